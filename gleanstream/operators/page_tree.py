@@ -1,7 +1,8 @@
 """A tolerant page tree and the few CSS selectors the extraction rules use.
 
-Runs inside Arrow tasks, one page at a time. Real pages are rarely well-formed,
-so nothing here ever fails on markup.
+Runs inside Arrow tasks, one page at a time. Real pages are rarely well-formed, so
+nothing here ever fails on markup. Most of a page is never asked for, so the tree
+only notes where attributes and texts are, and decodes them on demand.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from functools import lru_cache
-from html.parser import HTMLParser
+from html import unescape
 
 # Fixed values of the HTML standard: elements without content, and elements
 # whose start tag ends an open element of the given names.
@@ -31,63 +32,115 @@ ENDED_BY_START = {
 # An open element is not ended from inside one of these.
 SCOPE_TAGS = frozenset("html body table td th ul ol dl div article section nav".split())
 
+# Elements whose content is text only; character references count in the second kind.
+RAW_TAGS = frozenset(("script", "style"))
+TEXT_TAGS = RAW_TAGS | {"title", "textarea"}
+
+# One step over markup. A tag always matches, up to the end of the page if need be,
+# so no position is scanned twice.
+_TOKEN = re.compile(
+    r"""<!--(?:-?>|.*?(?:--!?>|\Z))
+    | <[!?][^>]*+(?:>|\Z)
+    | </(?:>|[^a-zA-Z>][^>]*+(?:>|\Z))
+    | <(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)
+      (?P<attrs>(?:[\s/]++
+        | [^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+|(?=>)))?
+      )*+)
+      (?P<done>>|\Z)""",
+    re.DOTALL | re.VERBOSE,
+)
+_ATTRIBUTE = re.compile(
+    r"""([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s>"'][^\s>]*)|))?"""
+)
+_TEXT_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE) for tag in TEXT_TAGS}
+
 _COMPOUND = re.compile(r"(?P<tag>[\w-]+)?(?P<rest>(?:\.[\w-]+|\[[^\]]+\])*)")
 _PART = re.compile(r"\.([\w-]+)|\[([\w-]+)=['\"]?([^'\"\]]*)['\"]?\]")
 
 
-class PageTree(HTMLParser):
+class PageTree:
     """Elements in document order, so the inside of an element is one index range."""
 
     def __init__(self, html: str):
-        super().__init__(convert_charrefs=True)
-        self.tags: list[str] = ["#page"]
-        self.attrs: list[dict[str, str]] = [{}]
+        if "\r" in html:
+            html = html.replace("\r\n", "\n").replace("\r", "\n")
+        self.html = html
+        self.tags = ["#page"]
         self.parent = [-1]
         self.end = [0]
         self.first_text = [0]
         self.last_text = [0]
-        self.texts: list[tuple[int, str]] = []
         self.by_tag: dict[str, list[int]] = {}
+        self._texts: list[tuple[int, int, int]] = []
+        self._attr_text = [""]
+        self._attrs: dict[int, dict[str, str]] = {}
         self._open = [0]
-        self.feed(html)
-        self.close()
-        while self._open:
-            self._pop()
-
-    def _pop(self) -> None:
-        node = self._open.pop()
-        self.end[node] = len(self.tags)
-        self.last_text[node] = len(self.texts)
+        self._open_tags = {"#page": 1}
+        self._read()
+        self._pop_through(0)
+
+    def _read(self) -> None:
+        html, at = self.html, 0
+        while (token := _TOKEN.search(html, at)) is not None:
+            start = token.start()
+            if start > at:
+                self._texts.append((self._open[-1], at, start))
+            at = token.end()
+            tag = token["tag"]
+            if tag is None or not token["done"]:
+                continue
+            tag = tag.lower()
+            if token["close"]:
+                self._end_tag(tag)
+                continue
+            self._start_tag(tag, token["attrs"])
+            if tag in TEXT_TAGS:
+                stop = _TEXT_END[tag].search(html, at)
+                stop = stop.start() if stop else len(html)
+                if stop > at:
+                    self._texts.append((self._open[-1], at, stop))
+                at = stop
+        if at < len(html):
+            self._texts.append((self._open[-1], at, len(html)))
 
     def _pop_through(self, depth: int) -> None:
         while len(self._open) > depth:
-            self._pop()
+            node = self._open.pop()
+            self._open_tags[self.tags[node]] -= 1
+            self.end[node] = len(self.tags)
+            self.last_text[node] = len(self._texts)
+
+    def _none_open(self, tags) -> bool:
+        for tag in tags:
+            if self._open_tags.get(tag):
+                return False
+        return True
 
-    def handle_starttag(self, tag, attrs):
+    def _start_tag(self, tag: str, attr_text: str) -> None:
         ended = ENDED_BY_START.get(tag, ())
-        for depth in range(len(self._open) - 1, 0, -1):
-            name = self.tags[self._open[depth]]
-            if name in ended:
-                self._pop_through(depth)
-                break
-            if name in SCOPE_TAGS:
-                break
+        if not self._none_open(ended):
+            for depth in range(len(self._open) - 1, 0, -1):
+                name = self.tags[self._open[depth]]
+                if name in ended:
+                    self._pop_through(depth)
+                    break
+                if name in SCOPE_TAGS:
+                    break
         node = len(self.tags)
         self.tags.append(tag)
-        self.attrs.append({name: value or "" for name, value in attrs})
+        self._attr_text.append(attr_text)
         self.parent.append(self._open[-1])
         self.end.append(node + 1)
-        self.first_text.append(len(self.texts))
-        self.last_text.append(len(self.texts))
+        self.first_text.append(len(self._texts))
+        self.last_text.append(len(self._texts))
         self.by_tag.setdefault(tag, []).append(node)
         if tag not in VOID_TAGS:
             self._open.append(node)
+            self._open_tags[tag] = self._open_tags.get(tag, 0) + 1
 
-    def handle_startendtag(self, tag, attrs):
-        # "<div/>" opens a div: only void elements end themselves
-        self.handle_starttag(tag, attrs)
-
-    def handle_endtag(self, tag):
+    def _end_tag(self, tag: str) -> None:
+        if not self._open_tags.get(tag):
+            return
         for depth in range(len(self._open) - 1, 0, -1):
             name = self.tags[self._open[depth]]
             if name == tag:
@@ -96,21 +149,35 @@ class PageTree(HTMLParser):
             if name in BLOCK_TAGS and tag not in BLOCK_TAGS:
                 return
 
-    def handle_data(self, data):
-        self.texts.append((self._open[-1], data))
+    def attrs(self, node: int) -> dict[str, str]:
+        """Attributes by lower-case name; the first of a repeated one counts."""
+        found = self._attrs.get(node)
+        if found is None:
+            found = self._attrs[node] = {}
+            for name, *values in _ATTRIBUTE.findall(self._attr_text[node]):
+                found.setdefault(name.lower(), unescape("".join(values)))
+        return found
+
+    def _text(self, owner: int, start: int, stop: int) -> str:
+        text = self.html[start:stop]
+        return text if "&" not in text or self.tags[owner] in RAW_TAGS else unescape(text)
+
+    def _inside(self, node: int) -> list[tuple[int, int, int]]:
+        return self._texts[self.first_text[node]:self.last_text[node]]
 
     def full_text(self, node: int) -> str:
-        return "".join(t for _, t in self.texts[self.first_text[node]:self.last_text[node]])
+        return "".join([self._text(*part) for part in self._inside(node)])
 
     def own_text(self, node: int) -> str:
-        inside = self.texts[self.first_text[node]:self.last_text[node]]
-        return "".join(t for owner, t in inside if owner == node)
+        return "".join([self._text(*part) for part in self._inside(node) if part[0] == node])
 
     def _fits(self, node: int, compound) -> bool:
         tag, classes, wanted = compound
         if tag and self.tags[node] != tag:
             return False
-        attrs = self.attrs[node]
+        if not classes and not wanted:
+            return True
+        attrs = self.attrs(node)
         if classes and not classes.issubset(attrs.get("class", "").split()):
             return False
         return all(attrs.get(name) == value for name, value in wanted)

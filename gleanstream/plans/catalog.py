@@ -116,8 +116,7 @@ def _log(spark: SparkSession, sf_dir: str) -> str:
     """A log with one message per event, in event order."""
     path = run_dir(spark, "log")
     rows = inputs.messages(spark, sf_dir).withColumn("topic", F.lit("jobs-data"))
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    log_sink.publish_to_log(rows, path, ("event_id",), tasks=tasks)
+    log_sink.publish_to_log(rows, path, ("event_id",))
     return path
 
 
@@ -127,9 +126,7 @@ def _publish_turns(spark: SparkSession, sf_dir: str, path: str) -> str:
 
 
 def _stream(spark: SparkSession, log: str) -> DataFrame:
-    """The log in at least two micro-batches."""
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return stream_log(spark, log, files_per_batch=max(1, tasks // 2))
+    return stream_log(spark, log, bytes_per_batch="4g")
 
 
 def _drain_to_table(source: DataFrame, path: str) -> None:
@@ -175,7 +172,7 @@ def stream_earliest(spark, sf_dir):
     """A stream that starts after two publishes still begins at the first record."""
     log, path = _log(spark, sf_dir), run_dir(spark, "stream-earliest")
     _publish_turns(spark, sf_dir, log)
-    _drain_to_table(stream_log(spark, log), path)
+    _drain_to_table(_stream(spark, log), path)
     return spark.read.schema(RAW).parquet(f"{path}/rows").agg(
         F.count(F.lit(1)).alias("records"), F.min("offset").alias("first_offset"),
         F.max("offset").alias("last_offset"))
@@ -532,7 +529,7 @@ def typed_snapshot(spark, sf_dir):
 
 @registered(PUBLISHED_SQL)
 def stream_publish(spark, sf_dir):
-    """Log to stream to collection to snapshot, in several micro-batches."""
+    """Log to stream to collection to snapshot."""
     root = run_dir(spark, "stream-publish")
     consumer = _consumer(root)
     consumer.start(_stream(spark, _log(spark, sf_dir)), until_drained=True).awaitTermination()

@@ -1,0 +1,138 @@
+"""Every line of the decode table, on hand-written records."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from gleanstream.operators.decode import (
+    batch_count, decode_log_strings, decode_postings, record_trace, rename_fields,
+)
+from gleanstream.operators.encode import encode_messages
+from gleanstream.plans import inputs
+from gleanstream.schemas import MESSAGE_FIELDS, POSTING_FIELDS, RAW
+
+FULL = {name: f"v{i}" for i, name in enumerate(MESSAGE_FIELDS)}
+NULLS = [None] * 8
+
+
+def text(**changes):
+    return json.dumps({**FULL, **changes}, ensure_ascii=False)
+
+
+def raw_text(salary):
+    """A record whose Salary is the given JSON text."""
+    return text(Salary="@").replace('"@"', salary)
+
+
+def with_salary(value):
+    row = [FULL[name] for name in MESSAGE_FIELDS]
+    row[MESSAGE_FIELDS.index("Salary")] = value
+    return row
+
+
+CASES = {
+    "plain": (text(), with_salary("v3")),
+    "empty string": (raw_text('""'), with_salary("")),
+    "key missing": (json.dumps({k: v for k, v in FULL.items() if k != "Job"}), NULLS),
+    "json null": (raw_text("null"), with_salary("null")),
+    "decimal": (raw_text("1.50"), with_salary("1.5")),
+    "exponent": (raw_text("1e3"), with_salary("1000.0")),
+    "large double": (raw_text("123456789.123"), with_salary("1.23456789123E8")),
+    "beyond double": (raw_text("1E400"), with_salary("Infinity")),
+    "big integer": (raw_text("12345678901234567890123"), with_salary("12345678901234567890123")),
+    "boolean": (raw_text("true"), with_salary("true")),
+    "object": (raw_text('{"x": 1}'), with_salary("")),
+    "empty object": (raw_text("{}"), with_salary("")),
+    "array": (raw_text("[1, null]"), with_salary("")),
+    "repeated key in value": (raw_text('{"x": 1, "x": 2}'), with_salary("")),
+    "string like object": (raw_text('"{x"'), with_salary("{x")),
+    "string like array": (raw_text('"[1]"'), with_salary("[1]")),
+    "quoted string": (raw_text('"\\"q\\""'), with_salary('"q"')),
+    "escapes": (raw_text('"\\u00e9\\n/"'), with_salary("é\n/")),
+    "text null": (raw_text('"null"'), with_salary("null")),
+    "duplicate key": (raw_text('"a"')[:-1] + ', "Salary": "b"}', with_salary("b")),
+    "duplicate key, null last": (raw_text('"a"')[:-1] + ', "Salary": null}', with_salary("null")),
+    "text after": (text() + " more", with_salary("v3")),
+    "text after, odd value": (raw_text("null") + ' {"a": 1}', with_salary("null")),
+    "extra keys": (text(Other="x", More="y"), with_salary("v3")),
+    "other case": (text().replace('"Job"', '"job"'), NULLS),
+    "top-level array": (f"[{text()}]", NULLS),
+    "top-level text": ('"x"', NULLS),
+    "top-level number": ("3", NULLS),
+    "top-level null": ("null", NULLS),
+    "sentinel": ("Not found", NULLS),
+    "truncated": (text()[:-1], NULLS),
+    "cut in a value": (text()[:-4], NULLS),
+    "single quotes": (text().replace('"', "'"), NULLS),
+    "not a number": (raw_text("NaN"), NULLS),
+    "leading zero": (raw_text("01"), NULLS),
+    "raw control character": (raw_text('"a\tb"'), NULLS),
+    "empty": ("", NULLS),
+    "blank": ("  ", NULLS),
+    "sql null": (None, NULLS),
+}
+
+
+@pytest.fixture(scope="module")
+def decoded(spark):
+    rows = [(name, value) for name, (value, _) in CASES.items()]
+    frame = spark.createDataFrame(rows, "name string, value string")
+    return {row[0]: list(row)[1:] for row in decode_postings(frame, keep=("name",)).collect()}
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_decode_case(decoded, name):
+    assert decoded[name] == CASES[name][1]
+
+
+def test_null_text_mode(spark):
+    frame = spark.createDataFrame([(raw_text("null"),), (text()[:9],)], "value string")
+    rows = [list(r) for r in decode_postings(frame, null_text="null").collect()]
+    assert rows == [with_salary(None), NULLS]
+    with pytest.raises(ValueError):
+        decode_postings(frame, null_text="other")
+
+
+def test_columns_are_renamed_by_position(spark):
+    frame = spark.createDataFrame([(text(),)], "value string")
+    assert tuple(decode_postings(frame).columns) == POSTING_FIELDS
+    listing = spark.createDataFrame([tuple(FULL.values())], list(MESSAGE_FIELDS))
+    assert rename_fields(listing).first().asDict()["JobsDetails"] == FULL["JobDetails"]
+
+
+def test_filter_does_not_repeat_the_parse(spark, sf):
+    frame = decode_postings(inputs.messages(spark, sf)).where("SearchWord IS NOT NULL")
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1
+    assert plan.count("parseJson") == 1
+    assert "BatchEvalPython" not in plan and "Exchange" not in plan
+
+
+@pytest.mark.parametrize("fixture", ["turns", "documents"])
+def test_round_trip(spark, sf, fixture):
+    """decode(encode(x)) is x; nulls come back as text."""
+    if fixture == "turns":
+        rows = inputs.turn_listings(spark, sf).select(*MESSAGE_FIELDS)
+    else:
+        stored = inputs.document_postings(spark, sf)
+        rows = stored.withColumnsRenamed({"SearchWord": "SearchKeyWord", "JobsDetails": "JobDetails"})
+    want = rename_fields(rows).select(
+        *[F.coalesce(name, F.lit("null")).alias(name) for name in POSTING_FIELDS])
+    got = decode_postings(encode_messages(rows))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_batch_count_includes_malformed(spark):
+    frame = spark.createDataFrame([(text(),), ("bad",), (None,)], "value string")
+    assert batch_count(decode_postings(frame)).first()["records"] == 3
+
+
+def test_log_strings_and_trace(spark):
+    raw = spark.createDataFrame(
+        [(b"name", "é".encode(), "t", 2, 7, None, 0)],
+        "key binary, value binary, topic string, partition int, offset bigint, "
+        "timestamp timestamp, timestampType int")
+    decoded = decode_log_strings(raw)
+    assert decoded.columns == RAW.names
+    assert tuple(record_trace(decoded).first()) == ("name", "é", 2, 7)
