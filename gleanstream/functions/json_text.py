@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanstream.functions.once import computed_once
+
 _STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 _REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
 _NULL_TEXT = {"literal": "'null'", "null": "CAST(NULL AS STRING)"}
@@ -33,16 +35,6 @@ def is_object(text: Column) -> Column:
     return F.coalesce(kind.startswith("OBJECT"), F.lit(False))
 
 
-def _once(df: DataFrame, struct: Column, names: Sequence[str]) -> DataFrame:
-    """Add the fields of a struct as columns that are computed once per row.
-
-    A plain projection would not do: a later filter on a decoded column is pushed
-    below it and takes the parse along, once for every mention of a field. Nothing
-    is pushed below a generator, and one of a single element adds no rows.
-    """
-    return df.select("*", F.inline(F.array(struct)).alias(*names))
-
-
 def parse_object(df: DataFrame, text: str, fields: Sequence[str]) -> DataFrame:
     """Add what :func:`field_text` and :func:`field_present` look at.
 
@@ -54,7 +46,7 @@ def parse_object(df: DataFrame, text: str, fields: Sequence[str]) -> DataFrame:
         conf.set(_REPEATED_KEYS, "true")
     schema = ", ".join(f"`{name}` string" for name in fields)
     values = F.from_json(F.col(text), schema, _STRICT_JSON)
-    parsed = _once(df, values, [f"_value_{name}" for name in fields])
+    parsed = computed_once(df, values, [f"_value_{name}" for name in fields])
 
     odd = " OR ".join(
         f"_value_{name} IS NULL OR " + " OR ".join(
@@ -63,11 +55,11 @@ def parse_object(df: DataFrame, text: str, fields: Sequence[str]) -> DataFrame:
     # text that does not parse counts as an object without keys
     variant = F.expr(
         f"CASE WHEN {odd} THEN coalesce(try_parse_json(`{text}`), parse_json('null')) END")
-    parsed = _once(parsed, F.struct(variant), ["_variant"])
+    parsed = computed_once(parsed, F.struct(variant), ["_variant"])
 
     kinds = ", ".join(
         f"schema_of_variant(try_variant_get(_variant, '$.{name}', 'variant'))" for name in fields)
-    return _once(
+    return computed_once(
         parsed, F.expr(f"CASE WHEN _variant IS NOT NULL THEN struct({kinds}) END"),
         [f"_kind_{name}" for name in fields])
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleanstream.functions.once import computed_once
 from gleanstream.functions.text import TRIM_CHARS, stamp
 from gleanstream.operators.page_tree import PageTree
 from gleanstream.schemas import (
@@ -126,11 +127,8 @@ def extract_lists(
     """Replace the page text by one list column per field."""
     others = [name for name in captures.columns if name != html]
     fields = [rule.field for rule in rules]
-    return (
-        captures
-        .select(*others, field_lists(F.col(html), rules, block, strict).alias("_lists"))
-        .select(*others, *[F.col(f"_lists.{name}").alias(name) for name in fields])
-    )
+    lists = field_lists(F.col(html), rules, block, strict)
+    return computed_once(captures, lists, fields).select(*others, *fields)
 
 
 def zip_fields(

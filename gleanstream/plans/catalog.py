@@ -126,7 +126,7 @@ def _publish_turns(spark: SparkSession, sf_dir: str, path: str) -> str:
 
 
 def _stream(spark: SparkSession, log: str) -> DataFrame:
-    return stream_log(spark, log, bytes_per_batch="4g")
+    return stream_log(spark, log, bytes_per_batch=4 << 30)
 
 
 def _drain_to_table(source: DataFrame, path: str) -> None:

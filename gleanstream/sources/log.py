@@ -25,7 +25,7 @@ def _raw(records: DataFrame, topic: str) -> DataFrame:
 
 def stream_log(
     spark: SparkSession, log_dir: str, topic: str = TOPIC,
-    files_per_batch: int | None = None, bytes_per_batch: str | None = None,
+    files_per_batch: int | None = None, bytes_per_batch: int | None = None,
 ) -> DataFrame:
     """One topic as a stream, from its first record.
 

@@ -1,0 +1,80 @@
+import json
+
+import pytest
+from pyspark.errors import SparkRuntimeException
+
+from gleanstream.operators import clean
+from gleanstream.schemas import POSTING_FIELDS, PUBLISHED
+
+FULL = {name: f"v{i}" for i, name in enumerate(POSTING_FIELDS)}
+
+
+def document(drop=(), **changes):
+    fields = {"_id": "1", **FULL, **changes}
+    return json.dumps({k: v for k, v in fields.items() if k not in drop})
+
+
+def documents(spark, *texts):
+    return spark.createDataFrame([(t,) for t in texts], "document string")
+
+
+def test_only_objects(spark):
+    frame = documents(spark, "{}", '{"a":1}', "[1]", '"x"', "1", "null", "{", "", None)
+    assert [r[0] for r in clean.only_objects(frame).collect()] == ["{}", '{"a":1}']
+
+
+def test_guard(spark):
+    frame = documents(spark, document(), document(drop=["SearchWord"]), document(Salary=None), "{}")
+    rows = [list(r) for r in clean.guard_missing(frame).collect()]
+    assert rows[0] == list(FULL.values())
+    assert rows[1] == [None] * 8 == rows[3]
+    assert rows[2][POSTING_FIELDS.index("Salary")] == "null"
+
+
+def test_missing_field_modes(spark):
+    frame = documents(spark, document(), document(drop=["Job", "Created"]), document(drop=["SearchWord", "Job"]))
+    kept = clean.guard_missing(frame).collect()
+    assert len(kept) == 2
+    rejects = clean.missing_field_rejects(frame).collect()
+    assert [r["reason"] for r in rejects] == ["document lacks: Job,Created"]
+    assert json.loads(rejects[0]["document"])["_id"] == "1"
+    with pytest.raises(SparkRuntimeException, match="document lacks: Job,Created"):
+        clean.guard_missing(frame, on_missing="fail").collect()
+    whole = documents(spark, document(), document(drop=["SearchWord"]))
+    assert clean.guard_missing(whole, on_missing="fail").count() == 2
+    with pytest.raises(ValueError):
+        clean.guard_missing(frame, on_missing="other")
+
+
+def test_drop_id(spark):
+    frame = spark.createDataFrame([(1, "x")], "_id int, a string")
+    assert clean.drop_id(frame).columns == ["a"]
+
+
+def postings(spark, *words):
+    return spark.createDataFrame(
+        [(w, *list(FULL.values())[1:], "s", 0) for w in words],
+        ", ".join(f"{n} string" for n in POSTING_FIELDS) + ", stream_id string, batch_id int")
+
+
+def test_snapshot(spark):
+    frame = clean.snapshot(postings(spark, "a", None, "a", "b"), "2024-01-01 00:00:00")
+    assert frame.columns == PUBLISHED.names
+    rows = frame.collect()
+    assert sorted(r["SearchWord"] for r in rows) == ["a", "a", "b"]
+    assert {r["QueryAt"] for r in rows} == {"2024-01-01 00:00:00"}
+
+
+def test_dedup_is_off_by_default(spark):
+    frame = postings(spark, "a", "a", "b")
+    assert clean.snapshot(frame, "t").count() == 3
+    assert clean.snapshot(frame, "t", dedup=True).count() == 2
+
+
+def test_filter_and_columns_reach_the_scan(spark, tmp_path):
+    postings(spark, "a", None).write.parquet(str(tmp_path / "p"))
+    frame = clean.snapshot(spark.read.parquet(str(tmp_path / "p")), "t").select("SearchWord", "QueryAt")
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(SearchWord)]" in plan
+    assert "ReadSchema: struct<SearchWord:string>" in plan
+    assert "Exchange" not in plan
