@@ -1,4 +1,4 @@
-"""Captured pages to messages on a log: one plan, one publish."""
+"""Captured pages to messages on a log."""
 
 from __future__ import annotations
 
@@ -6,21 +6,38 @@ from pyspark.sql import Column, DataFrame
 
 from gleanstream.operators.encode import encode_messages
 from gleanstream.operators.extract import extract_listings, page_budget
+from gleanstream.session import run_dir, ship_code
 from gleanstream.sinks.log import publish_to_log
 
+ORDER = ("page_id", "position")
+
 
 def listing_messages(
     captures: DataFrame, keyword: str | Column, captured_at: Column,
-    page_no: Column | None = None, pages: int | None = None, **extraction,
+    page_no: Column | None = None, pages: int | None = None, key: Column | None = None,
+    **extraction,
 ) -> DataFrame:
-    """Messages with the page id and position that order them."""
+    """Messages, with the page id and position that order them; one lazy plan."""
     if pages is not None:
         captures = page_budget(captures, page_no, pages)
     rows = extract_listings(captures, keyword, captured_at, **extraction)
-    return encode_messages(rows, keep=("page_id", "position"))
+    return encode_messages(rows, keep=ORDER, key=key)
+
 
+def acquire(
+    captures: DataFrame, log_dir: str, keyword: str | Column, captured_at: Column,
+    n_partitions: int = 1, **options,
+) -> str:
+    """Extract and publish; returns the id of the publish.
 
-def acquire(captures: DataFrame, log_dir: str, keyword: str | Column, captured_at: Column,
-            n_partitions: int = 1, **options) -> str:
+    Publishing looks at its input twice, once to sample the order. Extraction is by
+    far the dearest step, so its result is written before: pages are parsed once,
+    and a publish that has to be repeated does not touch them.
+    """
+    spark = captures.sparkSession
+    ship_code(spark)
+    stage = run_dir(spark, "messages")
     messages = listing_messages(captures, keyword, captured_at, **options)
-    return publish_to_log(messages, log_dir, ("page_id", "position"), n_partitions)
+    messages.write.parquet(stage)
+    stored = spark.read.schema(messages.schema).parquet(stage)
+    return publish_to_log(stored, log_dir, ORDER, n_partitions)

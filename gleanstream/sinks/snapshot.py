@@ -78,14 +78,18 @@ class FullSnapshot:
         self.published_dir = published_dir
         self.log_dir = log_dir
         self.dedup = dedup
+        self._place: str | None = None
 
     def prepare(self, spark, postings_dir, refresh):
         return snapshot(read_collection(spark, postings_dir), refresh.query_at, self.dedup)
 
     def publish(self, rows, refresh):
-        last = last_refresh(rows.sparkSession, self.log_dir)
-        place = "slot=1" if last is not None and last["place"] == "slot=0" else "slot=0"
+        if self._place is None:
+            last = last_refresh(rows.sparkSession, self.log_dir)
+            self._place = last["place"] if last is not None else "slot=1"
+        place = "slot=1" if self._place == "slot=0" else "slot=0"
         rows.write.mode("overwrite").parquet(f"{self.published_dir}/{place}")
+        self._place = place
         return place
 
 
