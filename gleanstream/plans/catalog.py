@@ -14,7 +14,7 @@ from gleanstream.operators.extract import Rule
 from gleanstream.plans import inputs
 from gleanstream.plans.inputs import DUCKDB_WORDS, documents_sql, messages_sql, table
 from gleanstream.schemas import (
-    EXTRACTED_FIELDS, MESSAGE_FIELDS, MESSAGE_TO_POSTING, NO_SALARY, POSTING_FIELDS, RAW,
+    MESSAGE_FIELDS, MESSAGE_TO_POSTING, NO_SALARY, POSTING_FIELDS, RAW,
 )
 from gleanstream.session import run_dir, ship_code
 from gleanstream.sinks import collection as store
@@ -267,6 +267,17 @@ def extract_nth(spark, sf_dir):
         "page_id", F.get(tx.all_elements(F.col("html"), "a"), F.lit(1)).alias("second_link"))
 
 
+@registered("""SELECT doc_id, trim(concat(chr(160), chr(9), chr(32), text, chr(10), chr(8195), chr(65279)),
+concat(chr(9), chr(10), chr(11), chr(12), chr(13), chr(32), chr(160), chr(5760), chr(8192), chr(8193),
+chr(8194), chr(8195), chr(8196), chr(8197), chr(8198), chr(8199), chr(8200), chr(8201), chr(8202),
+chr(8232), chr(8233), chr(8239), chr(8287), chr(12288), chr(65279))) AS text FROM documents""")
+def trim_text(spark, sf_dir):
+    """White space of every kind goes from both ends, and from nowhere else."""
+    padded = F.concat(F.lit("\u00a0\t "), F.col("text"), F.lit("\n\u2003\ufeff"))
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", tx.strip_space(padded).alias("text"))
+
+
 @registered(f"""WITH {LISTED} SELECT page_id, position, "Deadline" FROM listed""")
 def extract_own_text(spark, sf_dir):
     return extract.zip_fields(_listing_lists(spark, sf_dir, "Deadline"), ["Deadline"])
@@ -545,5 +556,3 @@ def pages_to_snapshot(spark, sf_dir):
     rows = extract.extract_listings(inputs.listing_pages(spark, sf_dir), KEYWORD, _captured_at())
     return clean.snapshot(decode.decode_postings(encode.encode_messages(rows)), QUERY_AT)
 
-
-assert set(EXTRACTED_FIELDS) == {rule.field for rule in extract.LISTING_RULES}

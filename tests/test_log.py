@@ -111,3 +111,24 @@ def test_broker_needs_its_connector(spark):
         source.stream_kafka(spark, "h:1")
     with pytest.raises(AnalysisException):
         sink.publish_to_kafka(messages(spark, 1), "h:1")
+
+
+def test_order_survives_coalescing_at_run_time(spark, tmp_path):
+    """Without a task count, adaptive execution merges neighbouring ranges."""
+    path = str(tmp_path)
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+        "spark.sql.shuffle.partitions": "40",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        sink.publish_to_log(messages(spark, 20_000).repartition(9), path, ("id",))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert 1 < sink.read_spans(spark, path).count() < 40
+    log = source.read_log(spark, path, "t")
+    assert log.where(F.col("value") == F.concat(F.lit("v"), "offset")).count() == 20_000

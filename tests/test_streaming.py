@@ -2,7 +2,8 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from gleanstream.operators.clean import snapshot
+from gleanstream.operators.clean import snapshot, with_search_word
+from gleanstream.operators.decode import decode_postings
 from gleanstream.plans import inputs
 from gleanstream.schemas import POSTING_FIELDS, PUBLISHED
 from gleanstream.sinks import log as log_sink
@@ -259,3 +260,13 @@ def test_typed_view(spark):
 def test_append_counts(spark, tmp_path):
     rows = spark.createDataFrame([("x",) * 8] * 3, list(POSTING_FIELDS))
     assert append_batch(rows, str(tmp_path), "s", 0) == 3
+
+
+def test_operators_run_on_a_stream(spark, log, tmp_path):
+    """Decode and filter are the same expressions on a stream as on a table."""
+    stream = with_search_word(decode_postings(stream_log(spark, log)))
+    assert stream.isStreaming
+    query = stream.writeStream.format("parquet").option("path", str(tmp_path / "rows")).option(
+        "checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "rows")).count() == N - MALFORMED
