@@ -92,7 +92,7 @@ def _all(tag: str) -> str:
 # What listing_pages() put on its pages, read from the rows instead of the markup.
 LISTED = """listed AS (
 SELECT doc_id // 15 AS page_id,
-  row_number() OVER (PARTITION BY doc_id // 15 ORDER BY doc_id) - 1 AS position,
+  CAST(row_number() OVER (PARTITION BY doc_id // 15 ORDER BY doc_id) - 1 AS INTEGER) AS position,
   concat('Title ', doc_id) AS "Job", source AS "Company", lang AS "Location",
   concat(doc_id, ' days ago') AS "Deadline",
   CASE WHEN doc_id % 3 = 0 THEN text ELSE concat(text, 'end') END AS "JobDetails",
@@ -166,7 +166,7 @@ def stream_read(spark, sf_dir):
 
 
 @registered("""SELECT (SELECT count(*) FROM events) + (SELECT count(*) FROM conversations) AS records,
-0 AS first_offset,
+CAST(0 AS BIGINT) AS first_offset,
 (SELECT count(*) FROM events) + (SELECT count(*) FROM conversations) - 1 AS last_offset""")
 def stream_earliest(spark, sf_dir):
     """A stream that starts after two publishes still begins at the first record."""
@@ -215,7 +215,7 @@ def publish_messages(spark, sf_dir):
     return read_log(spark, path).select("key", "value", "topic", "partition", "offset")
 
 
-@registered("""SELECT 'jobs-data' AS topic, 0 AS "partition", e + c AS messages, 0 AS min_offset,
+@registered("""SELECT 'jobs-data' AS topic, 0 AS "partition", e + c AS messages, CAST(0 AS BIGINT) AS min_offset,
 e + c - 1 AS max_offset
 FROM (SELECT (SELECT count(*) FROM events) AS e, (SELECT count(*) FROM conversations) AS c) AS n""")
 def delivery_report(spark, sf_dir):
@@ -299,7 +299,7 @@ def default_value(spark, sf_dir):
         "page_id", tx.or_default(found, NO_SALARY).alias("Salary"))
 
 
-@registered(f"""SELECT page_id, unnest(range(len(links))) AS position, unnest(links) AS link,
+@registered(f"""SELECT page_id, CAST(unnest(range(len(links))) AS INTEGER) AS position, unnest(links) AS link,
 unnest(list_resize(ads, len(links))) AS ad
 FROM (SELECT page_id, {_all('a')} AS links, {_all('div')} AS ads FROM pages) AS p""")
 def zip_fields(spark, sf_dir):
@@ -327,7 +327,7 @@ PAGE_RULES = (
 )
 
 
-@registered(f"""SELECT page_id, unnest(range(len(links))) AS position, unnest(links) AS link,
+@registered(f"""SELECT page_id, CAST(unnest(range(len(links))) AS INTEGER) AS position, unnest(links) AS link,
 unnest(list_resize([{_entities(_first('h1'))}], len(links))) AS title,
 unnest(list_resize([{_entities(f"trim({_first('div')})")}], len(links))) AS ad,
 unnest(list_resize([{_entities(_first('footer'))}], len(links))) AS footer
@@ -368,9 +368,9 @@ def has_next(spark, sf_dir):
 
 
 @registered(f"""WITH {LISTED} SELECT page_id, page_id % 4 <> 3 AS has_next, n AS "n_Job",
-n AS "n_Company", len(salary) AS "n_Salary", n AS "n_Location", n AS "n_Deadline",
+n AS "n_Company", CAST(len(salary) AS INTEGER) AS "n_Salary", n AS "n_Location", n AS "n_Deadline",
 n AS "n_JobDetails", (page_id % 4 = 3) OR n >= 15 AS complete
-FROM (SELECT page_id, count(*) AS n FROM listed GROUP BY 1) AS c JOIN salaries USING (page_id)""")
+FROM (SELECT page_id, CAST(count(*) AS INTEGER) AS n FROM listed GROUP BY 1) AS c JOIN salaries USING (page_id)""")
 def page_completeness(spark, sf_dir):
     ship_code(spark)
     pages = inputs.listing_pages(spark, sf_dir).withColumn("has_next", extract.has_next(F.col("html")))
@@ -401,8 +401,8 @@ def malformed_sentinel(spark, sf_dir):
         "conv_id", "turn", encode.encode_value().alias("value"))
 
 
-@registered("""SELECT count(*) AS messages, count(DISTINCT user_id) AS keys, 0 AS split_keys,
-0 AS missing_offsets FROM events""")
+@registered("""SELECT count(*) AS messages, count(DISTINCT user_id) AS keys, CAST(0 AS BIGINT) AS split_keys,
+CAST(0 AS BIGINT) AS missing_offsets FROM events""")
 def keyed_partitioning(spark, sf_dir):
     """Eight partitions by user: no key in two partitions, no gap in any offset range."""
     path = run_dir(spark, "log")
