@@ -190,17 +190,19 @@ def grid_cells(published: DataFrame, escape_formulas: bool = True) -> DataFrame:
     ])
 
 
+# Quotes are doubled, as spreadsheets expect, and nothing in a cell is trimmed or dropped.
+_GRID = {
+    "header": True, "quote": '"', "escape": '"', "charToEscapeQuoteEscaping": '"',
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
+
 def grid_export(published: DataFrame, path: str, escape_formulas: bool = True) -> None:
     """Headed CSV, written by all tasks; every part starts with the header row."""
-    (
-        grid_cells(published.select(*PUBLISHED_FIELDS), escape_formulas)
-        .write.mode("overwrite").option("header", True)
-        .option("quote", '"').option("escape", '"').csv(path)
-    )
+    cells = grid_cells(published.select(*PUBLISHED_FIELDS), escape_formulas)
+    cells.write.mode("overwrite").options(**_GRID).csv(path)
 
 
 def read_grid(spark: SparkSession, path: str) -> DataFrame:
-    return (
-        spark.read.schema(PUBLISHED).option("header", True).option("multiLine", True)
-        .option("quote", '"').option("escape", '"').csv(path)
-    )
+    """The grid as rows; a blank cell is NULL, whether it was NULL or empty text."""
+    return spark.read.schema(PUBLISHED).options(**_GRID, multiLine=True).csv(path)
