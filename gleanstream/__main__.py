@@ -58,6 +58,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     one.add_argument("--interval", default=BATCH_INTERVAL)
     one.add_argument("--until-drained", action="store_true")
     one.add_argument("--trace", action="store_true")
+    one.add_argument("--bytes-per-batch", type=int, default=None, help="bound for --log")
+    one.add_argument("--records-per-batch", type=int, default=None, help="bound for --kafka")
+    one.add_argument("--group", default=None, help="consumer group, for --kafka")
     one.add_argument("--null-text", choices=("literal", "null"), default="literal")
 
     command("report", "--log")
@@ -96,8 +99,9 @@ def _consume(spark: SparkSession, args: argparse.Namespace) -> None:
         trace_dir=f"{args.store}/trace" if args.trace else None,
     )
     source = (
-        stream_kafka(spark, args.kafka, args.topic) if args.kafka
-        else stream_log(spark, args.log, args.topic)
+        stream_kafka(spark, args.kafka, args.topic, group=args.group,
+                     records_per_batch=args.records_per_batch) if args.kafka
+        else stream_log(spark, args.log, args.topic, bytes_per_batch=args.bytes_per_batch)
     )
     run_until_stopped(consumer.start(source, args.interval, args.until_drained))
 

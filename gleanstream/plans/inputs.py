@@ -148,7 +148,7 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents")
         .select(F.expr(f"doc_id div {LISTINGS_PER_PAGE}").alias("page_id"), "doc_id", block.alias("block"))
         .groupBy("page_id")
-        .agg(F.array_sort(F.collect_list(F.struct("doc_id", "block"))).alias("blocks"))
+        .agg(F.sort_array(F.collect_list(F.struct("doc_id", "block"))).alias("blocks"))
         .select("page_id", F.concat(
             F.lit('<!DOCTYPE html><html><body><ul class="css-zu9cdh eu4oa1w0">'),
             F.array_join(F.col("blocks.block"), ""), F.lit("</ul>"),

@@ -23,6 +23,7 @@ from pyspark.errors import AnalysisException
 from gleanstream.operators.encode import key_partition
 from gleanstream.schemas import RAW
 from gleanstream.session import run_dir
+from gleanstream.sources.log import topic_path
 
 _TASK_ROWS = (1 << 33) - 1
 _BROADCAST_ROWS = 1_000_000
@@ -100,20 +101,22 @@ def publish_to_log(
 
     spans = spark.read.schema(_SPANS).parquet(reserved).select(
         "topic", "partition", "task", "first_row", "first_offset")
-    if spans.count() <= _BROADCAST_ROWS:
+    n_spans, first_topic, last_topic = spans.agg(
+        F.count(F.lit(1)), F.min("topic"), F.max("topic")).first()
+    if n_spans <= _BROADCAST_ROWS:
         spans = F.broadcast(spans)
     moment = F.lit(datetime.now()) if published_at is None else published_at
-    (
-        staged.join(spans, ["topic", "partition", "task"])
-        .select(
-            "key", "value", "topic", "partition",
-            (F.col("first_offset") + F.col("row") - F.col("first_row")).alias("offset"),
-            moment.cast("timestamp").alias("timestamp"),
-            F.lit(0).alias("timestampType"),
-        )
-        .select(*RAW.names)
-        .write.mode("append").partitionBy("topic").parquet(f"{log_dir}/records")
-    )
+    records = staged.join(spans, ["topic", "partition", "task"]).select(
+        "key", "value", "topic", "partition",
+        (F.col("first_offset") + F.col("row") - F.col("first_row")).alias("offset"),
+        moment.cast("timestamp").alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    ).select(*RAW.names)
+    if n_spans and first_topic == last_topic:
+        # straight into the topic's folder: no sort by topic before the write
+        records.drop("topic").write.mode("append").parquet(topic_path(log_dir, first_topic))
+    elif n_spans:
+        records.write.mode("append").partitionBy("topic").parquet(f"{log_dir}/records")
     return publish_id
 
 

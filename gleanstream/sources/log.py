@@ -6,19 +6,29 @@ the same columns and needs the Kafka connector jar.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanstream.schemas import RAW, TOPIC
 
+_TOPIC = re.compile(r"[A-Za-z0-9._-]{1,249}")
 _IN_FILES = T.StructType([field for field in RAW.fields if field.name != "topic"])
 
 
-def _topic_path(log_dir: str, topic: str) -> str:
+def topic_path(log_dir: str, topic: str) -> str:
+    if not _TOPIC.fullmatch(topic):
+        raise ValueError(f"not a topic name: {topic!r}")
     return f"{log_dir}/records/topic={topic}"
 
 
+def create_topic(spark: SparkSession, log_dir: str, topic: str = TOPIC) -> None:
+    """An empty topic, unless it is there; a stream may then start before any publish."""
+    spark.createDataFrame([], _IN_FILES).write.mode("ignore").parquet(topic_path(log_dir, topic))
+
+
 def _raw(records: DataFrame, topic: str) -> DataFrame:
     return records.withColumn("topic", F.lit(topic)).select(*RAW.names)
 
@@ -32,16 +42,17 @@ def stream_log(
     Only files that a publish has committed are seen. The two bounds keep a
     micro-batch small when the stream starts on a long log.
     """
+    create_topic(spark, log_dir, topic)
     reader = spark.readStream.schema(_IN_FILES)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     elif bytes_per_batch:
         reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
-    return _raw(reader.parquet(_topic_path(log_dir, topic)), topic)
+    return _raw(reader.parquet(topic_path(log_dir, topic)), topic)
 
 
 def read_log(spark: SparkSession, log_dir: str, topic: str = TOPIC) -> DataFrame:
-    return _raw(spark.read.schema(_IN_FILES).parquet(_topic_path(log_dir, topic)), topic)
+    return _raw(spark.read.schema(_IN_FILES).parquet(topic_path(log_dir, topic)), topic)
 
 
 def kafka_options(

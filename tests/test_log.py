@@ -56,6 +56,24 @@ def test_second_publish_continues(spark, tmp_path):
     assert source.read_log(spark, path, "u").count() == 3
 
 
+def test_two_topics_in_one_publish(spark, tmp_path):
+    path = str(tmp_path)
+    both = messages(spark, 10).union(messages(spark, 6, topic="u"))
+    sink.publish_to_log(both, path, ("id",), tasks=2)
+    sink.publish_to_log(messages(spark, 2, first=10), path, ("id",))
+    for topic, n in (("t", 12), ("u", 6)):
+        rows = source.read_log(spark, path, topic).orderBy("offset").collect()
+        assert [r["offset"] for r in rows] == list(range(n))
+        assert [r["value"] for r in rows] == [f"v{i}" for i in range(n)]
+        assert {r["topic"] for r in rows} == {topic}
+
+
+def test_topic_names_are_checked(spark):
+    for name in ("a/b", "", "x" * 250, "..\\a"):
+        with pytest.raises(ValueError):
+            source.read_log(spark, "/tmp", name)
+
+
 def test_nothing_to_publish(spark, tmp_path):
     path = str(tmp_path)
     sink.publish_to_log(messages(spark, 0), path, ("id",))

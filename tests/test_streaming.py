@@ -270,3 +270,18 @@ def test_operators_run_on_a_stream(spark, log, tmp_path):
         "checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "rows")).count() == N - MALFORMED
+
+
+def test_consumer_may_start_before_the_first_publish(spark, sf, tmp_path):
+    root, path = str(tmp_path), str(tmp_path / "log")
+    query = consumer(root).start(stream_log(spark, path), interval="1 second")
+    try:
+        query.processAllAvailable()
+        assert read_collection(spark, f"{root}/postings").count() == 0
+        rows = inputs.messages(spark, sf).withColumn("topic", F.lit("jobs-data"))
+        log_sink.publish_to_log(rows, path, ("event_id",))
+        query.processAllAvailable()
+        assert read_collection(spark, f"{root}/postings").count() == N
+    finally:
+        query.stop()
+    assert published(spark, root).count() == N - MALFORMED
