@@ -90,7 +90,7 @@ def _consume(spark: SparkSession, args: argparse.Namespace) -> None:
     published, refreshes = f"{args.store}/published", f"{args.store}/refreshes"
     publisher = {
         "incremental": lambda: IncrementalSnapshot(published),
-        "full": lambda: FullSnapshot(published, refreshes),
+        "full": lambda: FullSnapshot(published),
         "grid": lambda: GridSnapshot(f"{args.store}/grid"),
     }[args.snapshot]()
     consumer = ListingConsumer(

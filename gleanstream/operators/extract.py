@@ -194,7 +194,10 @@ def page_completeness(
 
 
 def drop_recaptures(listings: DataFrame, created: str = "Created") -> DataFrame:
-    """Listings seen again on a page captured twice: the earliest capture stays."""
+    """Listings seen again on a page captured twice: the earliest capture stays.
+
+    All other columns must be equal, so leave out those that tell captures apart.
+    """
     same = [name for name in listings.columns if name != created]
     return listings.groupBy(*same).agg(F.min(created).alias(created)).select(*listings.columns)
 

@@ -239,9 +239,9 @@ def publish_snapshot(spark, sf_dir):
     root = run_dir(spark, "publish")
     published, log = f"{root}/published", f"{root}/refreshes"
     records = store.append_batch(_postings(spark, sf_dir), f"{root}/postings", "s", 0)
-    publisher = snap.FullSnapshot(published, log)
+    publisher, place = snap.FullSnapshot(published), None
     for batch_id, query_at in enumerate(("2024-01-01 00:00:00", QUERY_AT)):
-        refresh = snap.Refresh("s", batch_id, query_at)
+        refresh = snap.Refresh("s", batch_id, query_at, last_place=place)
         place = publisher.publish(
             publisher.prepare(spark, f"{root}/postings", refresh), refresh)
         snap.write_refresh_log(spark, log, refresh, records, place, None)

@@ -66,7 +66,8 @@ def publish_to_log(
 ) -> str:
     """Append ``key, value, topic`` rows to the log; returns the id of this publish.
 
-    ``order_by`` must be unique within a partition. One publisher per log at a time.
+    ``order_by`` should be unique: ties are numbered in any order. One publisher per
+    log at a time.
     The input is read twice, so pass a stored table where it is costly to compute.
     Offsets are reserved before any record becomes visible, so a failed publish
     leaves a gap and never a repeated offset.

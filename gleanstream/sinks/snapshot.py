@@ -35,12 +35,13 @@ _LOG_KEYS = "stream_id string, batch_id bigint"
 
 @dataclass(frozen=True)
 class Refresh:
-    """One refresh: which batch asked for it, and since when batches are unpublished."""
+    """One refresh: the batch that asked for it, the first unpublished one, the last good place."""
 
     stream_id: str
     batch_id: int
     query_at: str
     first_pending: int = 0
+    last_place: str | None = None
 
 
 class Publisher(Protocol):
@@ -74,22 +75,16 @@ class IncrementalSnapshot:
 class FullSnapshot:
     """``dedup`` drops whole-row copies, which needs a shuffle of the collection."""
 
-    def __init__(self, published_dir: str, log_dir: str, dedup: bool = False):
+    def __init__(self, published_dir: str, dedup: bool = False):
         self.published_dir = published_dir
-        self.log_dir = log_dir
         self.dedup = dedup
-        self._place: str | None = None
 
     def prepare(self, spark, postings_dir, refresh):
         return snapshot(read_collection(spark, postings_dir), refresh.query_at, self.dedup)
 
     def publish(self, rows, refresh):
-        if self._place is None:
-            last = last_refresh(rows.sparkSession, self.log_dir)
-            self._place = last["place"] if last is not None else "slot=1"
-        place = "slot=1" if self._place == "slot=0" else "slot=0"
+        place = "slot=1" if refresh.last_place == "slot=0" else "slot=0"
         rows.write.mode("overwrite").parquet(f"{self.published_dir}/{place}")
-        self._place = place
         return place
 
 

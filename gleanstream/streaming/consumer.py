@@ -11,7 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 from gleanstream.operators.decode import decode_log_strings, decode_postings, record_trace
 from gleanstream.session import now_stamp
 from gleanstream.sinks.collection import append_batch
-from gleanstream.sinks.snapshot import Publisher, Refresh, last_published_batch, write_refresh_log
+from gleanstream.sinks.snapshot import (
+    Publisher, Refresh, last_published_batch, last_refresh, write_refresh_log,
+)
 from gleanstream.sources.collection import batch_path
 
 BATCH_INTERVAL = "10 seconds"
@@ -36,6 +38,7 @@ class ListingConsumer:
     query_at: Callable[[], str] = now_stamp
     stream_id: str | None = None
     _published: int | None = None
+    _place: str | None = None
 
     def _stream_id(self, spark: SparkSession) -> str:
         """The id Spark keeps inside the checkpoint: same after a restart, new if it is new."""
@@ -57,9 +60,12 @@ class ListingConsumer:
 
     def _refresh(self, spark: SparkSession, stream_id: str, batch_id: int, records: int) -> None:
         if self._published is None:
+            # read once; from here on this process is the one that refreshes
+            last = last_refresh(spark, self.log_dir)
+            self._place = last["place"] if last is not None else None
             self._published = last_published_batch(spark, self.log_dir, stream_id)
         refresh = Refresh(
-            stream_id, batch_id, self.query_at(), min(self._published + 1, batch_id))
+            stream_id, batch_id, self.query_at(), min(self._published + 1, batch_id), self._place)
         rows = self.publisher.prepare(spark, self.postings_dir, refresh)
         place = error = None
         try:
@@ -68,7 +74,7 @@ class ListingConsumer:
             error = str(problem) or type(problem).__name__
         write_refresh_log(spark, self.log_dir, refresh, records, place, error)
         if error is None:
-            self._published = max(self._published, batch_id)
+            self._published, self._place = max(self._published, batch_id), place
 
     def start(
         self, source: DataFrame, interval: str = BATCH_INTERVAL, until_drained: bool = False

@@ -64,7 +64,7 @@ def test_batches_restart_and_snapshot(spark, sf, log, tmp_path, kind):
 
     def publisher():
         if kind == "full":
-            return snap.FullSnapshot(f"{root}/published", f"{root}/refreshes")
+            return snap.FullSnapshot(f"{root}/published")
         return snap.IncrementalSnapshot(f"{root}/published")
 
     drain(spark, log, consumer(root, publisher()))
@@ -212,7 +212,7 @@ def test_nothing_published_yet(spark, tmp_path):
 
 def test_full_snapshot_alternates_and_replaces(spark, tmp_path):
     root = str(tmp_path)
-    job = consumer(root, snap.FullSnapshot(f"{root}/published", f"{root}/refreshes"), stream_id="s")
+    job = consumer(root, snap.FullSnapshot(f"{root}/published"), stream_id="s")
     places = []
     for batch_id, word in enumerate("abc"):
         job.process(batch(spark, word), batch_id)
@@ -223,7 +223,7 @@ def test_full_snapshot_alternates_and_replaces(spark, tmp_path):
 
 def test_full_snapshot_dedup(spark, tmp_path):
     root = str(tmp_path)
-    publisher = snap.FullSnapshot(f"{root}/published", f"{root}/refreshes", dedup=True)
+    publisher = snap.FullSnapshot(f"{root}/published", dedup=True)
     consumer(root, publisher, stream_id="s").process(batch(spark, "a", "a", "b"), 0)
     assert published(spark, root).count() == 2
 
@@ -285,3 +285,22 @@ def test_consumer_may_start_before_the_first_publish(spark, sf, tmp_path):
     finally:
         query.stop()
     assert published(spark, root).count() == N - MALFORMED
+
+
+def test_full_snapshot_never_writes_over_the_one_in_use(spark, tmp_path, monkeypatch):
+    """A refresh that was written but not logged is written again to the same place."""
+    root = str(tmp_path)
+    job = consumer(root, snap.FullSnapshot(f"{root}/published"), stream_id="s")
+    job.process(batch(spark, "a"), 0)
+
+    def broken(*_):
+        raise OSError("log is down")
+
+    monkeypatch.setattr("gleanstream.streaming.consumer.write_refresh_log", broken)
+    with pytest.raises(OSError):
+        job.process(batch(spark, "b"), 1)
+    monkeypatch.undo()
+    assert [r["SearchWord"] for r in published(spark, root).collect()] == ["a"]
+    job.process(batch(spark, "b"), 1)
+    assert snap.last_refresh(spark, f"{root}/refreshes")["place"] == "slot=1"
+    assert sorted(r["SearchWord"] for r in published(spark, root).collect()) == ["a", "b"]
