@@ -72,12 +72,15 @@ PUBLISHED_SQL = (
 
 
 def _entities(text: str) -> str:
-    """Character references that occur in ``pages``; the ampersand's comes last."""
+    """Character references that occur in ``pages``; the ampersand's comes last.
+
+    These few are references by the HTML standard also where the semicolon is missing.
+    """
     for entity, plain in (
-        ("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"),
-        ("&amp;", "&"),
+        ("&copy", "©"), ("&middot", "·"), ("&quot", '"'), ("&lt", "<"), ("&gt", ">"),
+        ("&amp", "&"),
     ):
-        text = f"replace({text}, '{entity}', '{plain}')"
+        text = f"regexp_replace({text}, '{entity};?', '{plain}', 'g')"
     return text
 
 

@@ -26,6 +26,7 @@ def texts(html, selector):
     ("<title>a&lt;<b></title>", "title", ["a<<b>"]),
     ("<p>a &lt; b &copy; &unknown; &#233;", "p", ["a < b © &unknown; é"]),
     ("<p>a < b <3</p>", "p", ["a < b <3"]),
+    ("<p>x&amp</p>&copy", "p", ["x&"]),
     ("<p>a<!-- <p>no --><!-->b", "p", ["ab"]),
     ("<p>a\r\nb\rc", "p", ["a\nb\nc"]),
     ("<p>x<a href='y", "p", ["x"]),
