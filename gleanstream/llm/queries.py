@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanstream.llm import decontaminate, exact_dedup, near_dedup
+from gleanstream.llm import decontaminate, exact_dedup, near_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"))
 
@@ -29,7 +33,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    query.__name__: query for query in (op1_exact_dedup, op5_near_dedup, op9_decontaminate)}
+    query.__name__: query for query in (op1_exact_dedup, op2_toxicity, op5_near_dedup, op9_decontaminate)}
 
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.ORACLE_SQL.strip(),
