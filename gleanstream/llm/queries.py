@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gleanstream.llm import decontaminate, exact_dedup, near_dedup, toxicity
+from gleanstream.llm import bpe, decontaminate, exact_dedup, near_dedup, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary() -> str:
+    """The tokenizer file of the encoding query."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -27,13 +35,25 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoded(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary(), with_ids=False
+    ).select(F.col("row.doc_id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
-    query.__name__: query for query in (op1_exact_dedup, op2_toxicity, op5_near_dedup, op9_decontaminate)}
+    query.__name__: query for query in (
+        op1_exact_dedup, op2_toxicity, op5_near_dedup, op8_bpe,
+        op9_decontaminate, op10_quality)}
 
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.ORACLE_SQL.strip(),

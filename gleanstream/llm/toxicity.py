@@ -35,7 +35,7 @@ SAMPLE = {0: 9000, 1: 3000}
 #: Learned stems need this many toxic documents, and this share of them.
 LEAST_DOCUMENTS, LEAST_SHARE = 5, 0.004
 #: Least log odds of a learned stem, and the weight of a seed word.
-LEAST_WEIGHT, SEED_WEIGHT = 3.0, 4.0
+LEAST_WEIGHT, SEED_WEIGHT = 2.3, 4.0
 #: Distinct entries that a toxic document should be covered by.
 COVER = 2
 STEM_LENGTHS = range(3, 13)
@@ -194,9 +194,10 @@ def _sums(weights: Model):
 
 def _covering(rows: list[np.ndarray], known: list[str], weights: np.ndarray,
               least: int) -> list[int]:
-    """Stems that cover every toxic document COVER times if they can, the widest first.
+    """Stems that cover every toxic document COVER times if they can.
 
-    Of equal cover the more telling wins, then the longer beginning, then the whole word.
+    The next is that with the largest product of newly covered documents and weight; of
+    equals a beginning goes before a whole word, and the longer beginning first.
     """
     has = np.zeros((len(known), len(rows)), dtype=bool)
     for column, stems in enumerate(rows):
@@ -206,10 +207,10 @@ def _covering(rows: list[np.ndarray], known: list[str], weights: np.ndarray,
     chosen: list[int] = []
     while len(chosen) < len(known):
         gain = has @ (need > 0).astype(np.float32)
-        gain[chosen] = 0
-        if gain.max(initial=0) < least:
+        gain = np.where(gain >= least, gain * weights, 0)
+        if not gain.any():
             break
-        best = np.lexsort((rank[:, 1], rank[:, 0], np.round(weights, 6), gain))[-1]
+        best = np.lexsort((rank[:, 1], rank[:, 0], np.round(gain, 3)))[-1]
         chosen.append(int(best))
         need -= has[best]
         # a stem that continues or begins the chosen one says the same

@@ -128,3 +128,15 @@ def run_hashes(words: np.ndarray, width: int) -> np.ndarray:
         total *= np.uint64(_Q)
         total += words[step:step + count]
     return mixed(total + np.uint64(width))
+
+
+def rolling_hashes(data: bytes, width: int) -> np.ndarray:
+    """Hash of every ``width`` consecutive bytes."""
+    count = len(data) - width + 1
+    if count <= 0:
+        return np.zeros(0, dtype=np.uint64)
+    raw = np.frombuffer(data, dtype=np.uint8)
+    powers, inverses = _power_tables(len(raw) + 1)
+    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers[:len(raw)], out=sums[1:])
+    return mixed((sums[width:] - sums[:-width]) * inverses[:count])
