@@ -8,15 +8,15 @@ the first blank after it, going on over further chunks until there is one. At bl
 tokenizer always splits, so the repaired join and its neighbours agree exactly with the
 encoding of the whole text. What is new in a chunk is encoded word by word, each word once.
 
-The coder is for tokenizers that drop white space and decode by joining tokens; it checks
-this and refuses others. Nulls count as empty; empty texts have no tokens and decode to an
+The coder is for tokenizers that drop white space; it tries this out and refuses others. Nulls count as empty; empty texts have no tokens and decode to an
 empty text. All columns are let through as ``row``; nothing is shuffled.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+import struct
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ from gleanstream.session import ship_code
 #: Bytes that the rolling hash looks at, and the mean distance of borders (a power of two).
 ROLL, CHUNK = 24, 256
 #: Entries that a worker keeps of each kind; about 150 MB together.
-CHUNKS_KEPT, WORDS_KEPT = 60_000, 300_000
+CHUNKS_KEPT, WORDS_KEPT = 60_000, 500_000
 _BLANKS = b" \n\t"
 
 
@@ -71,59 +71,52 @@ class Coder:
         self.tokenizer = Tokenizer.from_str(config)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.chunks: dict[bytes, tuple[bytes, bytes]] = {}
-        self.words: dict[bytes, tuple[bytes, bytes]] = {}
+        self.chunks: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
         self.met = self.reused = 0
         probe = [self._ids(text) for text in ("a b's\n c", "a", "b's", "c", " \n\t ")]
-        if probe[0] != probe[1] + probe[2] + probe[3] or probe[4] or self.tokenizer.decoder:
-            raise ValueError("the tokenizer keeps white space or has a decoder of its own")
+        if probe[0] != probe[1] + probe[2] + probe[3] or probe[4]:
+            raise ValueError("the tokenizer keeps white space, so texts can't be cut there")
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _learn(self, new: Iterable[bytes]) -> None:
+    def _forget(self) -> None:
+        """Only between calls, so that nothing a call needs is forgotten in it."""
         if len(self.words) > WORDS_KEPT:
-            self.words = dict(list(self.words.items())[WORDS_KEPT // 2:])
-        new = list(new)
+            self.words = dict(list(self.words.items())[-WORDS_KEPT // 2:])
+        if len(self.chunks) > CHUNKS_KEPT:
+            self.chunks = dict(list(self.chunks.items())[-CHUNKS_KEPT // 2:])
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text, as little-endian 32-bit integers."""
+        self._forget()
+        cut = [list(pieces(text.encode("utf-8"))) if text else [] for text in texts]
+        fresh = {piece: _split(piece) for parts in cut for piece, _ in parts
+                 if piece not in self.chunks}
+        new = list({word: None for split in fresh.values() for word in split
+                    if word not in self.words})
         coded = self.tokenizer.encode_batch_fast(
             [word.decode("utf-8") for word in new], add_special_tokens=False)
         for word, one in zip(new, coded, strict=True):
-            text = self.tokenizer.decode(one.ids, skip_special_tokens=False)
-            self.words[word] = (np.array(one.ids, "<u4").tobytes(), text.encode("utf-8"))
-
-    def _coded(self, piece: bytes) -> tuple[bytes, bytes]:
-        """Ids as bytes and decoded text of a piece that begins and ends at blanks."""
-        parts = [self.words[word] for word in _split(piece)]
-        return b"".join([ids for ids, _ in parts]), b" ".join([text for _, text in parts if text])
-
-    def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
-        """Ids (little-endian, 32 bits) and decoded UTF-8 of each text."""
-        cut = [list(pieces(text.encode("utf-8"))) if text else [] for text in texts]
-        fresh = {piece for parts in cut for piece, join in parts if join or piece not in self.chunks}
-        new = {word for piece in fresh for word in _split(piece)} - self.words.keys()
-        if new:
-            self._learn(new)
-        if len(self.chunks) > CHUNKS_KEPT:
-            self.chunks = dict(list(self.chunks.items())[CHUNKS_KEPT // 2:])
-        found = []
+            ids = one.ids
+            self.words[word] = struct.pack(f"<{len(ids)}I", *ids)
+        known = self.words.__getitem__
+        ids_of = {piece: b"".join(map(known, split)) for piece, split in fresh.items()}
         for parts in cut:
-            coded = []
             for piece, join in parts:
-                if join:
-                    coded.append(self._coded(piece))
-                    continue
-                self.met += 1
-                known = self.chunks.get(piece)
-                if known is None:
-                    if missing := set(_split(piece)) - self.words.keys():
-                        self._learn(missing)  # forgotten meanwhile
-                    known = self.chunks[piece] = self._coded(piece)
-                else:
-                    self.reused += 1
-                coded.append(known)
-            found.append((b"".join([ids for ids, _ in coded]),
-                          b" ".join([text for _, text in coded if text])))
-        return found
+                if not join:
+                    self.met += 1
+                    if piece in self.chunks:
+                        self.reused += 1
+                    else:
+                        self.chunks[piece] = ids_of[piece]
+        return [b"".join([self.chunks[piece] if piece in self.chunks else ids_of[piece]
+                          for piece, _ in parts]) for parts in cut]
+
+    def decode(self, ids: bytes) -> str:
+        return self.tokenizer.decode(
+            np.frombuffer(ids, "<u4").tolist(), skip_special_tokens=False)
 
 
 def _split(piece: bytes) -> list[bytes]:
@@ -151,17 +144,18 @@ def _encoder(config, with_ids: bool):
             for start in range(0, batch.num_rows, 200):
                 part = batch.slice(start, 200)
                 coded = coder.encode(part.column("text").to_pylist())
+                decoded = [coder.decode(ids) for ids in coded]
                 columns = [
                     part.column("row"),
-                    pa.array([len(ids) // 4 for ids, _ in coded], pa.int64()),
-                    pa.array([hashlib.sha256(ids).hexdigest() for ids, _ in coded]),
-                    pa.array([hashlib.sha256(text).hexdigest() for _, text in coded])]
+                    pa.array([len(ids) // 4 for ids in coded], pa.int64()),
+                    pa.array([hashlib.sha256(ids).hexdigest() for ids in coded]),
+                    pa.array([hashlib.sha256(text.encode()).hexdigest() for text in decoded])]
                 names = ["row", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if with_ids:
                     columns += [
-                        pa.array([np.frombuffer(ids, "<u4").astype(np.int32) for ids, _ in coded],
+                        pa.array([np.frombuffer(ids, "<u4").astype(np.int32) for ids in coded],
                                  pa.list_(pa.int32())),
-                        pa.array([text.decode("utf-8") for _, text in coded])]
+                        pa.array(decoded)]
                     names += ["ids", "decoded"]
                 yield pa.RecordBatch.from_arrays(columns, names)
     return run
