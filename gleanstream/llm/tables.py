@@ -119,10 +119,20 @@ def without(docs: DataFrame, gone: DataFrame, doc_id: str) -> DataFrame:
     only those that may have to go are shuffled. Null ids stay.
     """
     gone = stored(gone.toDF("_gone").filter("_gone IS NOT NULL").distinct(), "gone")
-    bits = filter_bits(gone.count(), FILTER_BITS)
-    known = stored(member_filter(
-        gone.select(F.xxhash64("_gone").alias("key")), "key", bits), "member-filter")
     ident = F.col(f"row.{doc_id}").cast("bigint")
-    marked = with_maybe(packed(docs).withColumn("key", F.xxhash64(ident)), "key", known, bits)
+    marked = marked_among(packed(docs).withColumn("key", F.xxhash64(ident)), "key", gone.select(
+        F.xxhash64("_gone").alias("key")))
     rest = marked.filter("maybe").join(gone, ident == F.col("_gone"), "left_anti")
     return marked.filter(~F.col("maybe")).select("row.*").unionByName(rest.select("row.*"))
+
+
+def marked_among(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """Add ``maybe``: whether a row's 64-bit key may be in the one-column table ``keys``."""
+    keys = stored(keys.distinct(), "keys")
+    bits = filter_bits(keys.count(), FILTER_BITS)
+    return with_maybe(rows, key, stored(member_filter(keys, keys.columns[0], bits), "member-filter"), bits)
+
+
+def among(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """Rows whose key is in the table ``keys`` or, rarely, seems to be; nothing is shuffled."""
+    return marked_among(rows, key, keys).filter("maybe").drop("maybe")
