@@ -36,7 +36,7 @@ def _occurrences(docs: DataFrame, text: str, site: str, min_chars: int) -> DataF
     """(line, site) of every line that counts, from the packed documents."""
     lines = F.explode(F.array_distinct(F.transform(
         F.split(F.col(f"row.{text}"), "\n"), lambda one: _line_key(one, min_chars))))
-    site_text = F.coalesce(F.concat(F.lit("="), F.col(f"row.{site}").cast("string")), F.lit(""))
+    site_text = F.coalesce(F.concat(F.lit("="), F.col(f"row.{site}").cast("string")), F.lit("-"))
     return docs.select(site_text.alias("site"), lines.alias("line")).filter("line IS NOT NULL")
 
 

@@ -1,0 +1,54 @@
+import random
+
+import brute
+import pytest
+
+from gleanstream.llm import decontaminate
+
+
+def corpus(seed):
+    rng = random.Random(seed)
+    words = ["the", "a", "Éa", "x9"] + [f"w{i}" for i in range(40)]
+    some = lambda n: [rng.choice(words) for _ in range(n)]
+    items = [(i, " ".join(some(rng.choice([0, 1, 3, 12, 13, 14, 40])))) for i in range(1, 15)]
+    items += [(20, None), (21, items[5][1]), (21, items[5][1])]
+    docs = [(1, None), (2, ""), (3, "?!"), (4, items[6][1])]
+    for ident in range(5, 40):
+        own = some(rng.randrange(200))
+        for _ in range(rng.randrange(3)):
+            passage = (rng.choice(items)[1] or "").split()
+            start = rng.randrange(len(passage) + 1)
+            own[0:0] = passage[start:start + rng.choice([12, 13, 20])] + some(3)
+        docs.append((ident, rng.choice([" ", "-", ", "]).join(own).title()))
+    return docs, items
+
+
+@pytest.mark.parametrize("slice_words", [200_000, 40])
+def test_against_plain(spark, slice_words):
+    docs, items = corpus(1)
+    got = decontaminate.contamination(
+        spark.createDataFrame(docs, "doc_id bigint, text string"),
+        spark.createDataFrame(items, "item_id bigint, text string"), slice_words=slice_words)
+    want = brute.contamination(docs, items)
+    assert {row["doc_id"]: (row["n_words"], row["n_hit"], row["n_items"], row["items_sha256"],
+                            row["contaminated"]) for row in got.collect()} == want
+    assert any(one[-1] for one in want.values()) and not all(one[-1] for one in want.values())
+
+
+def test_drop(spark):
+    docs, items = corpus(2)
+    rows = [(ident, text, "x", ident) for ident, text in docs] + [(None, docs[-1][1], "null", 0)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, n_words string, row bigint")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = decontaminate.drop_contaminated(frame, bench)
+    clean = {ident for ident, one in brute.contamination(docs, items).items() if not one[-1]}
+    assert got.columns == frame.columns
+    assert {row["doc_id"] for row in got.collect()} == clean | {None}
+
+
+def test_empty(spark):
+    docs = spark.createDataFrame([], "doc_id bigint, text string")
+    bench = spark.createDataFrame([], "item_id bigint, text string")
+    assert decontaminate.contamination(docs, bench).count() == 0
+    one = spark.createDataFrame([(1, "a b c")], "doc_id bigint, text string")
+    assert decontaminate.contamination(one, bench).first()["n_words"] == 3

@@ -1,0 +1,45 @@
+import brute
+import public_tokenizers
+from tokenizers import Tokenizer
+
+import __spark_entry__ as contract
+import corpus_pipeline
+from gleanstream.llm import toxicity
+
+
+def test_registered():
+    names = list(contract.queries())
+    assert [name for name in names if name.startswith("op")] == [
+        f"op{n}_{rest}" for n, rest in enumerate((
+            "exact_dedup", "toxicity", "url_filter", "warc", "near_dedup", "secret_scan", "line_dedup",
+            "bpe", "decontaminate", "quality"), 1)]
+    assert names[-1] == "pipeline" and len(corpus_pipeline.STAGES) == 5
+
+
+def test_against_plain(spark, sf):
+    docs, bench, labels = (spark.read.parquet(f"{sf}/{name}.parquet")
+                           for name in ("documents", "benchmark", "labels"))
+    model = toxicity.fit(docs, labels)
+    scores = toxicity.scored(docs, model).collect()
+    rows = [(row["row"]["doc_id"], row["row"]["text"]) for row in scores if row["score"] < 0.7]
+    assert 0 < len(rows) < len(scores)
+    keep = brute.exact_groups(rows)
+    rows = [row for row in rows if keep[row[0]][0] == row[0]]
+    near = brute.near_groups(rows)
+    rows = [row for row in rows if near[row[0]][1] == row[0]]
+    found = brute.contamination(rows, [tuple(row) for row in bench.select("item_id", "text").collect()])
+    rows = [row for row in rows if not found[row[0]][-1]]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = {ident: brute.encoding(tokenizer, text) for ident, text in rows}
+
+    got = corpus_pipeline.run(spark, sf)
+    assert got.columns[:5] == docs.columns
+    assert {row["doc_id"]: (row["n_tokens"], row["ids_sha256"], row["decoded_sha256"])
+            for row in got.collect()} == want
+
+
+def test_stages_keep_the_columns_of_documents(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, sf).columns == docs.columns
+        assert stage(spark, docs.limit(0), sf).count() == 0
