@@ -45,7 +45,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     one = command("acquire", "--log", "--kafka")
     one.add_argument("--captures", required=True)
     one.add_argument("--keyword", required=True)
-    one.add_argument("--pages", type=int, default=3)
+    one.add_argument("--pages", type=int, default=None, help="pages per search; default all")
     one.add_argument("--partitions", type=int, default=1)
     one.add_argument("--captured-at", default=None, help="yyyy-MM-dd HH:mm:ss")
     one.add_argument("--zip", choices=("pad", "strict", "block"), default="pad")

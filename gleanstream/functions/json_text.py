@@ -19,7 +19,12 @@ from pyspark.sql import functions as F
 
 from gleanstream.functions.once import computed_once
 
-_STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+# Limits of the parser are lifted; nesting of more than 1,000 levels stays beyond it.
+_STRICT_JSON = {
+    "allowSingleQuotes": "false", "allowNonNumericNumbers": "false",
+    "maxStringLen": "2147483647", "maxNumLen": "2147483647",
+}
+NESTING_LIMIT = 1000
 _REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
 _NULL_TEXT = {"literal": "'null'", "null": "CAST(NULL AS STRING)"}
 
@@ -30,8 +35,13 @@ def encode_object(fields: Sequence[str]) -> Column:
 
 
 def is_object(text: Column) -> Column:
-    """True for the text of a JSON object, false for all else (NULL included)."""
-    return F.json_object_keys(text).isNotNull()
+    """True for the text of a JSON object, false for all else (NULL included).
+
+    The quick check refuses very long values, so what it refuses is parsed as a whole.
+    """
+    root = F.schema_of_variant(F.from_json(text, "variant", _STRICT_JSON))
+    return F.json_object_keys(text).isNotNull() | F.coalesce(
+        F.startswith(root, F.lit("OBJECT")), F.lit(False))
 
 
 def parse_object(df: DataFrame, text: str, fields: Sequence[str]) -> DataFrame:
@@ -52,12 +62,13 @@ def parse_object(df: DataFrame, text: str, fields: Sequence[str]) -> DataFrame:
             f"startswith(_value_{name}, '{mark}')" for mark in '{["')
         for name in fields)
     # text that does not parse counts as an object without keys
-    variant = F.expr(
-        f"CASE WHEN {odd} THEN coalesce(try_parse_json(`{text}`), parse_json('null')) END")
-    parsed = computed_once(parsed, F.struct(variant), ["_variant"])
+    variants = F.from_json(
+        F.col(text), ", ".join(f"`{name}` variant" for name in fields), _STRICT_JSON)
+    none = F.struct(*[F.lit(None).cast("variant").alias(name) for name in fields])
+    parsed = computed_once(
+        parsed, F.struct(F.when(F.expr(odd), F.coalesce(variants, none)).alias("_variant")), ["_variant"])
 
-    kinds = ", ".join(
-        f"schema_of_variant(try_variant_get(_variant, '$.{name}', 'variant'))" for name in fields)
+    kinds = ", ".join(f"schema_of_variant(_variant.`{name}`)" for name in fields)
     return computed_once(
         parsed, F.expr(f"CASE WHEN _variant IS NOT NULL THEN struct({kinds}) END"),
         [f"_kind_{name}" for name in fields])

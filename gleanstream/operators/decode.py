@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanstream.functions.json_text import all_present, field_text, parse_object
+from gleanstream.functions.json_text import (
+    NESTING_LIMIT, all_present, field_present, field_text, is_object, parse_object,
+)
 from gleanstream.schemas import MESSAGE_FIELDS, MESSAGE_TO_POSTING
 
 
@@ -46,6 +48,23 @@ def decode_postings(
     return rename_fields(decode_listings(records, keep, null_text), keep)
 
 
+def decode_rejects(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The records that decode to a row of nulls, each with the reason.
+
+    Text that the parser's nesting limit refuses is told apart from malformed text.
+    """
+    parsed = parse_object(records.select(*keep, "value"), "value", MESSAGE_FIELDS)
+    absent = F.concat_ws(",", *[
+        F.when(~field_present(name), F.lit(name)) for name in MESSAGE_FIELDS])
+    deep = F.regexp_count("value", F.lit(r"[\[{]")) > NESTING_LIMIT
+    reason = (
+        F.when(F.col("value").isNull(), "no text")
+        .when(is_object(F.col("value")), F.concat(F.lit("lacks: "), absent))
+        .when(deep & F.trim("value").startswith("{"), "nested too deeply for the parser")
+        .otherwise("not a JSON object"))
+    return parsed.where(~all_present(MESSAGE_FIELDS)).select(*keep, "value", reason.alias("reason"))
+
+
 def record_trace(raw: DataFrame) -> DataFrame:
     return raw.select("key", "value", "partition", "offset")
 

@@ -10,9 +10,13 @@ from gleanstream.functions.text import or_default
 from gleanstream.schemas import MESSAGE_FIELDS, MESSAGE_KEY, NOT_ENCODABLE, TOPIC
 
 
+def or_sentinel(value: Column) -> Column:
+    return or_default(value, NOT_ENCODABLE)
+
+
 def encode_value(fields: tuple[str, ...] = MESSAGE_FIELDS) -> Column:
     """Message text; a row that cannot be encoded is still sent, as a sentinel."""
-    return or_default(encode_object(fields), NOT_ENCODABLE)
+    return or_sentinel(encode_object(fields))
 
 
 def encode_messages(

@@ -63,15 +63,15 @@ NEXT_LINK = r"<a\b[^>]*\bdata-testid=['\"]pagination-page-next['\"]"
 def _item_text(page: PageTree, item: int, rule: Rule, strict: bool) -> str | None:
     node = item
     for selector, nth in rule.path:
-        found = page.select(selector, node)
-        if nth >= len(found):
+        found = page.nth(selector, node, nth)
+        if found is None:
             if rule.or_item:
                 node = item
                 break
             if rule.otherwise is None and strict:
                 raise ValueError(f"{rule.field}: {selector!r} has no match number {nth}")
             return rule.otherwise
-        node = found[nth]
+        node = found
     return page.own_text(node).strip(TRIM_CHARS) if rule.text == "own" else page.full_text(node)
 
 
@@ -175,7 +175,8 @@ def page_budget(captures: DataFrame, page_no: Column, pages: int) -> DataFrame:
 
 
 def has_next(html: Column, pattern: str = NEXT_LINK) -> Column:
-    return html.rlike(pattern)
+    """Whether a page has a link to the next; a page without text has none."""
+    return F.coalesce(html.rlike(pattern), F.lit(False))
 
 
 def page_completeness(
@@ -184,22 +185,36 @@ def page_completeness(
 ) -> DataFrame:
     """List sizes per page, and whether the page was read in full.
 
-    The last page may be short; any other needs ``expected`` entries in every list.
+    The last page may be short; any other needs ``expected`` entries in every list. A
+    page without any entry was not read, whether it was the last or not.
     """
     others = [name for name in pages.columns if name not in fields]
     sizes = [F.size(name).alias(f"n_{name}") for name in fields]
     counted = pages.select(*others, *sizes)
     fewest = F.least(*[F.col(f"n_{name}") for name in fields])
-    return counted.withColumn("complete", ~F.col(next_page) | (fewest >= expected))
+    most = F.greatest(*[F.col(f"n_{name}") for name in fields])
+    more = F.coalesce(next_page, F.lit(False))
+    return counted.withColumn("complete", (most > 0) & (~more | (fewest >= expected)))
 
 
 def drop_recaptures(listings: DataFrame, created: str = "Created") -> DataFrame:
     """Listings seen again on a page captured twice: the earliest capture stays.
 
-    All other columns must be equal, so leave out those that tell captures apart.
+    All other columns must be equal, so leave out those that tell captures apart. Stamps
+    are compared as numbers, which hash aggregation can hold. Text that is no stamp is not
+    older or newer than any: it stays, once.
     """
     same = [name for name in listings.columns if name != created]
-    return listings.groupBy(*same).agg(F.min(created).alias(created)).select(*listings.columns)
+    stamped = F.col(created).rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$")
+    number = F.when(stamped, F.translate(created, "-: ", "").cast("bigint"))
+    earliest = F.regexp_replace(
+        F.lpad(F.col("_earliest").cast("string"), 14, "0"),
+        r"(\d{4})(\d\d)(\d\d)(\d\d)(\d\d)(\d\d)", "$1-$2-$3 $4:$5:$6")
+    return (
+        listings.withColumn("_other", F.when(~stamped, F.col(created)))
+        .groupBy(*same, "_other").agg(F.min(number).alias("_earliest"))
+        .withColumn(created, F.coalesce("_other", earliest)).select(*listings.columns)
+    )
 
 
 def extract_listings(

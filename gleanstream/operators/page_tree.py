@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections.abc import Iterator
 from functools import lru_cache
 from html import unescape
+from itertools import islice
 
 # Fixed values of the HTML standard: elements without content, and elements
 # whose start tag ends an open element of the given names.
@@ -74,6 +76,8 @@ class PageTree:
         self._texts: list[tuple[int, int, int]] = []
         self._attr_text = [""]
         self._attrs: dict[int, dict[str, str]] = {}
+        self._paths: dict[tuple, tuple[list[int], list[int]]] = {}
+        self._owned: dict[int, list[tuple[int, int, int]]] | None = None
         self._open = [0]
         self._open_tags = {"#page": 1}
         self._read()
@@ -169,7 +173,11 @@ class PageTree:
         return "".join([self._text(*part) for part in self._inside(node)])
 
     def own_text(self, node: int) -> str:
-        return "".join([self._text(*part) for part in self._inside(node) if part[0] == node])
+        if self._owned is None:
+            self._owned = {}
+            for part in self._texts:
+                self._owned.setdefault(part[0], []).append(part)
+        return "".join([self._text(*part) for part in self._owned.get(node, ())])
 
     def _fits(self, node: int, compound) -> bool:
         tag, classes, wanted = compound
@@ -182,32 +190,67 @@ class PageTree:
             return False
         return all(attrs.get(name) == value for name, value in wanted)
 
-    def _matches(self, node: int, path, scope: int) -> bool:
-        if not self._fits(node, path[-1]):
-            return False
-        at, left = node, len(path) - 1
-        while left and at != scope:
+    def _nearest(self, node: int, compound, known: dict[int, int]) -> int:
+        """The nearest element above ``node`` that fits; -1 if none. ``known`` saves the way."""
+        trail = []
+        at = self.parent[node]
+        while at >= 0 and at not in known:
+            if self._fits(at, compound):
+                known[at] = at
+                break
+            trail.append(at)
             at = self.parent[at]
-            if at < 0:
-                return False
-            if self._fits(at, path[left - 1]):
-                left -= 1
-        return not left
+        found = known[at] if at >= 0 else -1
+        for passed in trail:
+            known[passed] = found
+        return found
+
+    def _path_matches(self, path) -> tuple[list[int], list[int]]:
+        """Elements that a path leads to on the whole page, and where each path starts at the latest.
+
+        Of all ways to match an element's ancestors, the one that takes the nearest each
+        time starts deepest, so an element matches inside a scope if that start lies in it.
+        """
+        found = self._paths.get(path)
+        if found is None:
+            tag = path[-1][0]
+            nodes, starts = [], []
+            known: list[dict[int, int]] = [{} for _ in path]
+            for node in self.by_tag.get(tag, []) if tag else range(1, len(self.tags)):
+                if not self._fits(node, path[-1]):
+                    continue
+                at = node
+                for part in range(len(path) - 2, -1, -1):
+                    at = self._nearest(at, path[part], known[part])
+                    if at < 0:
+                        break
+                if at >= 0:
+                    nodes.append(node)
+                    starts.append(at)
+            found = self._paths[path] = nodes, starts
+        return found
+
+    def _path_select(self, path, scope: int) -> Iterator[int]:
+        nodes, starts = self._path_matches(path)
+        for at in range(bisect_left(nodes, scope + 1), bisect_left(nodes, self.end[scope])):
+            if starts[at] >= scope:
+                yield nodes[at]
 
     def select(self, selector: str, scope: int = 0) -> list[int]:
         """Matching elements inside ``scope``, in document order.
 
         Ancestors named by the selector are looked for up to ``scope`` itself.
         """
-        found: set[int] = set()
-        stop = self.end[scope]
-        for path in parse_selector(selector):
-            tag = path[-1][0]
-            nodes = self.by_tag.get(tag, []) if tag else range(1, len(self.tags))
-            for at in range(bisect_left(nodes, scope + 1), bisect_left(nodes, stop)):
-                if self._matches(nodes[at], path, scope):
-                    found.add(nodes[at])
-        return sorted(found)
+        paths = parse_selector(selector)
+        if len(paths) == 1:
+            return list(self._path_select(paths[0], scope))
+        return sorted({node for path in paths for node in self._path_select(path, scope)})
+
+    def nth(self, selector: str, scope: int, number: int) -> int | None:
+        """The match of that number from 0, without looking for the ones after it."""
+        paths = parse_selector(selector)
+        found = self._path_select(paths[0], scope) if len(paths) == 1 else self.select(selector, scope)
+        return next(islice(found, number, None), None)
 
 
 @lru_cache(maxsize=1024)

@@ -14,7 +14,7 @@ from gleanstream.operators.extract import Rule
 from gleanstream.plans import inputs
 from gleanstream.plans.inputs import DUCKDB_WORDS, documents_sql, messages_sql, table
 from gleanstream.schemas import (
-    MESSAGE_FIELDS, MESSAGE_TO_POSTING, NO_SALARY, POSTING_FIELDS, RAW,
+    MESSAGE_FIELDS, MESSAGE_TO_POSTING, NOT_ENCODABLE, POSTING_FIELDS, RAW,
 )
 from gleanstream.session import run_dir, ship_code
 from gleanstream.sinks import collection as store
@@ -294,12 +294,11 @@ def extract_fallback(spark, sf_dir):
         tx.first_element(html, "h2"), tx.first_element(html, "h1")).alias("heading"))
 
 
-@registered(f"""SELECT page_id, coalesce(nullif(regexp_extract(url, '[?&]page=(\\d+)', 1), ''),
-'{NO_SALARY}') AS "Salary" FROM pages""")
+@registered(f"""WITH {LISTED} SELECT page_id, CAST(unnest(range(len(salary))) AS INTEGER) AS position,
+unnest(salary) AS "Salary" FROM salaries""")
 def default_value(spark, sf_dir):
-    found = F.nullif(F.regexp_extract("url", r"[?&]page=(\d+)", 1), F.lit(""))
-    return table(spark, sf_dir, "pages").select(
-        "page_id", tx.or_default(found, NO_SALARY).alias("Salary"))
+    """The salary rule; every fourth listing discloses none."""
+    return extract.zip_fields(_listing_lists(spark, sf_dir, "Salary"), ["Salary"])
 
 
 @registered(f"""SELECT page_id, CAST(unnest(range(len(links))) AS INTEGER) AS position, unnest(links) AS link,
@@ -355,28 +354,34 @@ def stamp_created(spark, sf_dir):
 
 
 @registered("""SELECT page_id, url FROM pages
-WHERE coalesce(try_cast(regexp_extract(url, '[?&]page=(\\d+)', 1) AS INTEGER), 0) < 2""")
+WHERE coalesce(try_cast(regexp_extract(url, '[?&]page=(\\d+)', 1) AS HUGEINT), 0) < 2""")
 def page_budget(spark, sf_dir):
     """The first two result pages of a search; the ordinal is part of the URL."""
     return extract.page_budget(
         table(spark, sf_dir, "pages").select("page_id", "url"), url_page_number(F.col("url")), 2)
 
 
-@registered("""SELECT page_id, regexp_matches(html, 'rel="next"')
-OR regexp_matches(url, '[?&]page=\\d+') AS has_next FROM pages""")
+@registered("""SELECT DISTINCT doc_id // 15 AS page_id, (doc_id // 15) % 4 <> 3 AND (doc_id // 15) % 5 <> 0
+AS has_next FROM documents""")
 def has_next(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", (
-        extract.has_next(F.col("html"), 'rel="next"')
-        | extract.has_next(F.col("url"), r"[?&]page=\d+")).alias("has_next"))
+    return _some_unread(spark, sf_dir).select("page_id", extract.has_next(F.col("html")).alias("has_next"))
+
+
+def _some_unread(spark, sf_dir):
+    """Listing pages; every fifth capture has no text. The last page is a short one."""
+    return inputs.listing_pages(spark, sf_dir).withColumn(
+        "html", F.when(F.col("page_id") % 5 != 0, F.col("html")))
 
 
-@registered(f"""WITH {LISTED} SELECT page_id, page_id % 4 <> 3 AS has_next, n AS "n_Job",
-n AS "n_Company", CAST(len(salary) AS INTEGER) AS "n_Salary", n AS "n_Location", n AS "n_Deadline",
-n AS "n_JobDetails", (page_id % 4 = 3) OR n >= 15 AS complete
-FROM (SELECT page_id, CAST(count(*) AS INTEGER) AS n FROM listed GROUP BY 1) AS c JOIN salaries USING (page_id)""")
+@registered(f"""WITH {LISTED}, read AS (SELECT page_id, page_id % 5 <> 0 AS there, page_id % 4 <> 3 AS linked,
+ CASE WHEN page_id % 5 <> 0 THEN n ELSE 0 END AS n, CASE WHEN page_id % 5 <> 0 THEN len(salary) ELSE 0 END AS s
+ FROM (SELECT page_id, CAST(count(*) AS INTEGER) AS n FROM listed GROUP BY 1) AS c JOIN salaries USING (page_id))
+SELECT page_id, there AND linked AS has_next, n AS "n_Job", n AS "n_Company", CAST(s AS INTEGER) AS "n_Salary",
+n AS "n_Location", n AS "n_Deadline", n AS "n_JobDetails", there AND (NOT linked OR n >= 15) AS complete
+FROM read""")
 def page_completeness(spark, sf_dir):
     ship_code(spark)
-    pages = inputs.listing_pages(spark, sf_dir).withColumn("has_next", extract.has_next(F.col("html")))
+    pages = _some_unread(spark, sf_dir).withColumn("has_next", extract.has_next(F.col("html")))
     return extract.page_completeness(extract.extract_lists(pages))
 
 
@@ -397,11 +402,14 @@ def encode_json(spark, sf_dir):
         "doc_id", encode_object(("text", "lang", "source")).alias("value"))
 
 
-@registered(f"""WITH {TURNS} SELECT conv_id, turn,
-coalesce(CAST(json_object({JSON_PAIRS}) AS VARCHAR), 'Not found') AS value FROM turns""")
+@registered(f"""WITH {DECODED} SELECT d.event_id AS event_id, value, "SearchWord", "Created"
+FROM decoded AS d JOIN messages AS m ON d.event_id = m.event_id WHERE d.event_id % 100 IN (0, 11)""")
 def malformed_sentinel(spark, sf_dir):
-    return inputs.turn_listings(spark, sf_dir).select(
-        "conv_id", "turn", encode.encode_value().alias("value"))
+    """The sentinel of what could not be encoded decodes to nulls, beside messages that are whole."""
+    rows = inputs.messages(spark, sf_dir).where("event_id % 100 IN (0, 11)").withColumn(
+        "value", encode.or_sentinel(F.nullif("value", F.lit(NOT_ENCODABLE))))
+    decoded = decode.decode_postings(rows, keep=("event_id", "value"))
+    return decoded.select("event_id", "value", "SearchWord", "Created")
 
 
 @registered("""SELECT count(*) AS messages, count(DISTINCT user_id) AS keys, CAST(0 AS BIGINT) AS split_keys,

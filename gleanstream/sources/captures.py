@@ -13,5 +13,11 @@ def read_captures(spark: SparkSession, path: str) -> DataFrame:
 
 
 def url_page_number(url: Column) -> Column:
-    """``page=<n>`` of a URL; a URL without one is the first page, number 0."""
-    return F.coalesce(F.regexp_extract(url, r"[?&]page=(\d+)", 1).try_cast("int"), F.lit(0))
+    """``page=<n>`` of a URL; a URL without one is the first page, number 0.
+
+    A number beyond any type is a far page, never the first.
+    """
+    digits = F.regexp_extract(url, r"[?&]page=(\d+)", 1)
+    far = F.lit(2**63 - 1)
+    return F.when(F.coalesce(digits, F.lit("")) == "", 0).otherwise(
+        F.coalesce(digits.try_cast("bigint"), far))

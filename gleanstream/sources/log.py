@@ -43,7 +43,8 @@ def stream_log(
     micro-batch small when the stream starts on a long log.
     """
     create_topic(spark, log_dir, topic)
-    reader = spark.readStream.schema(_IN_FILES)
+    # by default files a week older than the newest would be passed over
+    reader = spark.readStream.schema(_IN_FILES).option("maxFileAge", "36500d")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     elif bytes_per_batch:

@@ -55,9 +55,9 @@ def test_messages_follow_page_and_position(spark, captures_dir, tmp_path):
 
 def test_page_number(spark):
     urls = ["http://a/?page=12&x", "http://a/?q=1&page=3", "http://a/page=3", "http://a/?mypage=3",
-            "http://a/?page=99999999999", None]
+            "http://a/?page=99999999999", "http://a/?page=" + "9" * 40, None]
     frame = spark.createDataFrame([(u,) for u in urls], "url string")
-    assert [r[0] for r in frame.select(url_page_number(F.col("url"))).collect()] == [12, 3, 0, 0, 0, 0]
+    assert [r[0] for r in frame.select(url_page_number(F.col("url"))).collect()] == [12, 3, 0, 0, 99999999999, 2**63 - 1, 0]
 
 
 def test_a_place_for_the_log_is_required(capsys):

@@ -151,6 +151,21 @@ def test_recaptures_keep_the_earliest(spark):
     assert got == {("a", None, "2024-01-01 00:00:00"), ("b", "x", "2024-01-03 00:00:00")}
 
 
+def test_recaptures_hash_and_odd_stamps(spark):
+    rows = [("a", "soon"), ("a", "soon"), ("a", "2024-01-02 00:00:00"), ("a", "0001-01-01 00:00:00"), ("b", None)]
+    frame = spark.createDataFrame(rows, "Job string, Created string")
+    dropped = extract.drop_recaptures(frame)
+    assert {tuple(r) for r in dropped.collect()} == {("a", "soon"), ("a", "0001-01-01 00:00:00"), ("b", None)}
+    assert "SortAggregate" not in dropped._jdf.queryExecution().executedPlan().toString()
+
+
+def test_completeness_of_an_empty_capture(spark):
+    pages = spark.createDataFrame([(1, None), (2, "<p>")], "page_id int, html string").withColumn(
+        "has_next", extract.has_next(F.col("html")))
+    rows = extract.page_completeness(extract.extract_lists(pages)).collect()
+    assert [(row["has_next"], row["complete"]) for row in rows] == [(False, False)] * 2
+
+
 def test_page_budget_goes_by_ordinal(spark):
     frame = spark.createDataFrame([(3,), (0,), (2,), (1,)], "n int")
     assert sorted(r["n"] for r in extract.page_budget(frame, F.col("n"), 3).collect()) == [0, 1, 2]

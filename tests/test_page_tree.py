@@ -1,10 +1,13 @@
 """The page tree against browser behaviour, and against the stdlib tokenizer on real pages."""
 
+import random
+import time
 from html.parser import HTMLParser
 
 import pyarrow.parquet as pq
 import pytest
 
+from gleanstream.operators.extract import LISTING_RULES, _page_lists
 from gleanstream.operators.page_tree import PageTree, parse_selector
 
 
@@ -100,3 +103,38 @@ def test_same_tags_and_text_as_the_stdlib(sf):
         got = [(page.tags[i], page.attrs(i)) for i in range(1, len(page.tags))]
         assert got == other.tags
         assert page.full_text(0) == "".join(other.text)
+
+
+@pytest.mark.parametrize("attributes", ["", ' class="jobMetaDataGroup css-pj786l eu4oa1w0"',
+                                        ' class="company_location css-17fky0v e37uo190"'])
+def test_matching_does_not_grow_with_depth(attributes):
+    """All listing rules on 50,000 unclosed elements; climbing from each would take hours."""
+    html = '<ul class="css-zu9cdh eu4oa1w0"><li>' + f"<div{attributes}>" * 50_000
+    began = time.perf_counter()
+    lists = _page_lists(html, LISTING_RULES, None, False)
+    assert time.perf_counter() - began < 5
+    assert len(lists["Salary"]) == (49_999 if "jobMeta" in attributes else 0)
+
+
+def test_scoped_paths_against_climbing():
+    rng = random.Random(3)
+
+    def climbed(page, path, node, scope):
+        if not page._fits(node, path[-1]):
+            return False
+        at, left = node, len(path) - 1
+        while left and at != scope:
+            at = page.parent[at]
+            if page._fits(at, path[left - 1]):
+                left -= 1
+        return not left
+
+    for _ in range(60):
+        page = PageTree("".join(rng.choice(["<a>", "<b class=x>", "<i>", "</a>", "</b>", "<b>", "t"])
+                                for _ in range(60)))
+        for selector in ("a", "a b", "b.x b", "a i b", ".x a", "a b,i b"):
+            for scope in range(len(page.tags)):
+                want = [node for node in range(scope + 1, page.end[scope]) if any(
+                    climbed(page, path, node, scope) for path in parse_selector(selector))]
+                assert page.select(selector, scope) == want
+                assert page.nth(selector, scope, 1) == (want[1] if len(want) > 1 else None)
