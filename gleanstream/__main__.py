@@ -46,7 +46,6 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     one.add_argument("--captures", required=True)
     one.add_argument("--keyword", required=True)
     one.add_argument("--pages", type=int, default=None, help="pages per search; default all")
-    one.add_argument("--partitions", type=int, default=1)
     one.add_argument("--captured-at", default=None, help="yyyy-MM-dd HH:mm:ss")
     one.add_argument("--zip", choices=("pad", "strict", "block"), default="pad")
     one.add_argument("--block", default=None, help="selector of one listing, for --zip block")
@@ -79,10 +78,10 @@ def _acquire(spark: SparkSession, args: argparse.Namespace) -> None:
     }
     if args.kafka:
         ship_code(spark)
-        publish_to_kafka(listing_messages(captures, args.keyword, moment, **options), args.kafka)
+        publish_to_kafka(
+            listing_messages(captures, args.keyword, moment, **options), args.kafka).show()
         return
-    publish_id = acquire(
-        captures, args.log, args.keyword, moment, n_partitions=args.partitions, **options)
+    publish_id = acquire(captures, args.log, args.keyword, moment, **options)
     delivery_report(spark, args.log, publish_id).show(truncate=False)
 
 

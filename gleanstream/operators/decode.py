@@ -66,7 +66,9 @@ def decode_rejects(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def record_trace(raw: DataFrame) -> DataFrame:
-    return raw.select("key", "value", "partition", "offset")
+    """Keys and values with their places: partition and offset, or file and row."""
+    places = [name for name in ("partition", "offset", "place", "row") if name in raw.columns]
+    return raw.select("key", "value", *places)
 
 
 def batch_count(records: DataFrame) -> DataFrame:

@@ -25,10 +25,10 @@ def encode_messages(
     key: Column | None = None,
     topic: str = TOPIC,
 ) -> DataFrame:
-    """``key, value, topic`` and the ``keep`` columns (needed to order the log).
+    """``key, value, topic`` and the ``keep`` columns.
 
     The default key is one constant for all. Pass a key column to spread the
-    messages over the partitions of a topic.
+    messages over the partitions of a broker's topic.
     """
     return listings.select(
         *keep,
@@ -36,8 +36,3 @@ def encode_messages(
         encode_value().alias("value"),
         F.lit(topic).alias("topic"),
     )
-
-
-def key_partition(n_partitions: int) -> Column:
-    """Partition of a key: equal keys always meet in one partition."""
-    return F.pmod(F.hash("key"), F.lit(n_partitions)).cast("int")

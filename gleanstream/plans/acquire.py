@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 
 from gleanstream.operators.encode import encode_messages
 from gleanstream.operators.extract import extract_listings, page_budget
-from gleanstream.session import run_dir, ship_code
+from gleanstream.session import ship_code
 from gleanstream.sinks.log import publish_to_log
 
 ORDER = ("page_id", "position")
@@ -17,7 +17,7 @@ def listing_messages(
     page_no: Column | None = None, pages: int | None = None, key: Column | None = None,
     **extraction,
 ) -> DataFrame:
-    """Messages, with the page id and position that order them; one lazy plan."""
+    """Messages, with the page id and position they come from; one lazy plan."""
     if pages is not None:
         captures = page_budget(captures, page_no, pages)
     rows = extract_listings(captures, keyword, captured_at, **extraction)
@@ -25,19 +25,8 @@ def listing_messages(
 
 
 def acquire(
-    captures: DataFrame, log_dir: str, keyword: str | Column, captured_at: Column,
-    n_partitions: int = 1, **options,
+    captures: DataFrame, log_dir: str, keyword: str | Column, captured_at: Column, **options,
 ) -> str:
-    """Extract and publish; returns the id of the publish.
-
-    Publishing looks at its input twice, once to sample the order. Extraction is by
-    far the dearest step, so its result is written before: pages are parsed once,
-    and a publish that has to be repeated does not touch them.
-    """
-    spark = captures.sparkSession
-    ship_code(spark)
-    stage = run_dir(spark, "messages")
-    messages = listing_messages(captures, keyword, captured_at, **options)
-    messages.write.parquet(stage)
-    stored = spark.read.schema(messages.schema).parquet(stage)
-    return publish_to_log(stored, log_dir, ORDER, n_partitions)
+    """Extract and publish in one pass over the pages; returns the id of the publish."""
+    ship_code(captures.sparkSession)
+    return publish_to_log(listing_messages(captures, keyword, captured_at, **options), log_dir)

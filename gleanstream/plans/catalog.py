@@ -14,7 +14,7 @@ from gleanstream.operators.extract import Rule
 from gleanstream.plans import inputs
 from gleanstream.plans.inputs import DUCKDB_WORDS, documents_sql, messages_sql, table
 from gleanstream.schemas import (
-    MESSAGE_FIELDS, MESSAGE_TO_POSTING, NOT_ENCODABLE, POSTING_FIELDS, RAW,
+    MESSAGE_FIELDS, MESSAGE_TO_POSTING, NOT_ENCODABLE, POSTING_FIELDS,
 )
 from gleanstream.session import run_dir, ship_code
 from gleanstream.sinks import collection as store
@@ -116,20 +116,20 @@ def _captured_at():
 
 
 def _log(spark: SparkSession, sf_dir: str) -> str:
-    """A log with one message per event, in event order."""
+    """A log with one message per event."""
     path = run_dir(spark, "log")
     rows = inputs.messages(spark, sf_dir).withColumn("topic", F.lit("jobs-data"))
-    log_sink.publish_to_log(rows, path, ("event_id",))
+    log_sink.publish_to_log(rows, path)
     return path
 
 
 def _publish_turns(spark: SparkSession, sf_dir: str, path: str) -> str:
     rows = encode.encode_messages(inputs.turn_listings(spark, sf_dir), keep=("conv_id", "turn"))
-    return log_sink.publish_to_log(rows, path, ("conv_id", "turn"))
+    return log_sink.publish_to_log(rows, path)
 
 
 def _stream(spark: SparkSession, log: str) -> DataFrame:
-    return stream_log(spark, log, bytes_per_batch=4 << 30)
+    return stream_log(spark, log)
 
 
 def _drain_to_table(source: DataFrame, path: str) -> None:
@@ -159,26 +159,23 @@ def _listing_lists(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
 
 # ---------------------------------------------------------------- sources
 
-@registered(f"""WITH {MESSAGES} SELECT key, value, 'jobs-data' AS topic, 0 AS "partition",
-row_number() OVER (ORDER BY event_id) - 1 AS "offset" FROM messages""")
+@registered(f"WITH {MESSAGES} SELECT key, value, 'jobs-data' AS topic FROM messages")
 def stream_read(spark, sf_dir):
     path = run_dir(spark, "stream-read")
     _drain_to_table(_stream(spark, _log(spark, sf_dir)), path)
-    return spark.read.schema(RAW).parquet(f"{path}/rows").select(
-        "key", "value", "topic", "partition", "offset")
+    return spark.read.parquet(f"{path}/rows").select("key", "value", "topic")
 
 
 @registered("""SELECT (SELECT count(*) FROM events) + (SELECT count(*) FROM conversations) AS records,
-CAST(0 AS BIGINT) AS first_offset,
-(SELECT count(*) FROM events) + (SELECT count(*) FROM conversations) - 1 AS last_offset""")
+CAST(2 AS BIGINT) AS publishes, (SELECT count(*) FROM events) + (SELECT count(*) FROM conversations) AS places""")
 def stream_earliest(spark, sf_dir):
     """A stream that starts after two publishes still begins at the first record."""
     log, path = _log(spark, sf_dir), run_dir(spark, "stream-earliest")
     _publish_turns(spark, sf_dir, log)
     _drain_to_table(_stream(spark, log), path)
-    return spark.read.schema(RAW).parquet(f"{path}/rows").agg(
-        F.count(F.lit(1)).alias("records"), F.min("offset").alias("first_offset"),
-        F.max("offset").alias("last_offset"))
+    return spark.read.parquet(f"{path}/rows").agg(
+        F.count(F.lit(1)).alias("records"), F.count_distinct("publish_id").alias("publishes"),
+        F.count_distinct("place", "row").alias("places"))
 
 
 @registered(f"""WITH {DECODED}, {TURNS} SELECT {POSTING_LIST} FROM decoded UNION ALL
@@ -210,22 +207,20 @@ def collection_scan(spark, sf_dir):
 # ---------------------------------------------------------------- sinks
 
 @registered(f"""WITH {TURNS} SELECT 'name' AS key, CAST(json_object({JSON_PAIRS}) AS VARCHAR) AS value,
-'jobs-data' AS topic, 0 AS "partition", row_number() OVER (ORDER BY conv_id, turn) - 1 AS "offset"
-FROM turns""")
+'jobs-data' AS topic FROM turns""")
 def publish_messages(spark, sf_dir):
     path = run_dir(spark, "log")
     _publish_turns(spark, sf_dir, path)
-    return read_log(spark, path).select("key", "value", "topic", "partition", "offset")
+    return read_log(spark, path).select("key", "value", "topic")
 
 
-@registered("""SELECT 'jobs-data' AS topic, 0 AS "partition", e + c AS messages, CAST(0 AS BIGINT) AS min_offset,
-e + c - 1 AS max_offset
-FROM (SELECT (SELECT count(*) FROM events) AS e, (SELECT count(*) FROM conversations) AS c) AS n""")
+@registered("""SELECT 'jobs-data' AS topic, 'ok' AS status, count(*) AS messages FROM events
+UNION ALL SELECT 'jobs-data', 'ok', count(*) FROM conversations""")
 def delivery_report(spark, sf_dir):
-    """Two publishes to one log; the second goes on where the first ended."""
+    """Two publishes to one log, each with what it delivered."""
     path = _log(spark, sf_dir)
     _publish_turns(spark, sf_dir, path)
-    return log_sink.delivery_report(spark, path)
+    return log_sink.delivery_report(spark, path).select("topic", "status", "messages")
 
 
 @registered(f"WITH {DECODED} SELECT {POSTING_LIST} FROM decoded")
@@ -412,27 +407,16 @@ def malformed_sentinel(spark, sf_dir):
     return decoded.select("event_id", "value", "SearchWord", "Created")
 
 
-@registered("""SELECT count(*) AS messages, count(DISTINCT user_id) AS keys, CAST(0 AS BIGINT) AS split_keys,
-CAST(0 AS BIGINT) AS missing_offsets FROM events""")
+@registered("""SELECT count(*) AS messages, count(DISTINCT user_id) AS keys, CAST(0 AS BIGINT) AS split_keys
+FROM events""")
 def keyed_partitioning(spark, sf_dir):
-    """Eight partitions by user: no key in two partitions, no gap in any offset range."""
-    path = run_dir(spark, "log")
-    rows = table(spark, sf_dir, "events").select(
-        "event_id", F.col("user_id").cast("string").alias("key"),
-        F.col("event_type").alias("value"), F.lit("users").alias("topic"))
-    log_sink.publish_to_log(rows, path, ("event_id",), n_partitions=8)
-    log = read_log(spark, path, "users")
-    none = F.lit(0).cast("bigint")
-    by_key = log.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("partition").alias("a"), F.max("partition").alias("b"),
-    ).agg(F.sum("n").alias("messages"), F.count(F.lit(1)).alias("keys"),
-          F.count_if(F.col("a") != F.col("b")).alias("split_keys"), none.alias("missing_offsets"))
-    by_partition = log.groupBy("partition").agg(
-        (F.max("offset") + 1 - F.count(F.lit(1))).alias("missing"),
-    ).agg(none.alias("messages"), none.alias("keys"), none.alias("split_keys"),
-          F.sum("missing").alias("missing_offsets"))
-    return by_key.unionByName(by_partition).agg(*[
-        F.sum(name).alias(name) for name in by_key.columns])
+    """Messages dealt by key into eight partitions: no key lies in two of them."""
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("key"))
+    dealt = rows.repartition(8, "key").withColumn("partition", F.spark_partition_id())
+    by_key = dealt.groupBy("key", "partition").count().groupBy("key").agg(
+        F.sum("count").alias("n"), F.count(F.lit(1)).alias("places"))
+    return by_key.agg(F.sum("n").alias("messages"), F.count(F.lit(1)).alias("keys"),
+                      F.count_if(F.col("places") > 1).alias("split_keys"))
 
 
 # ---------------------------------------------------------------- decode
@@ -461,10 +445,11 @@ def rename_fields(spark, sf_dir):
     return decode.rename_fields(inputs.turn_listings(spark, sf_dir))
 
 
-@registered(f"""WITH {MESSAGES} SELECT key, value, 0 AS "partition",
-row_number() OVER (ORDER BY event_id) - 1 AS "offset" FROM messages""")
+@registered(f"WITH {MESSAGES} SELECT key, value, true AS placed FROM messages")
 def record_trace(spark, sf_dir):
-    return decode.record_trace(read_log(spark, _log(spark, sf_dir)))
+    trace = decode.record_trace(read_log(spark, _log(spark, sf_dir)))
+    return trace.select(
+        "key", "value", (F.col("place").contains("publish_id=") & (F.col("row") >= 0)).alias("placed"))
 
 
 @registered("SELECT count(*) AS records FROM events")

@@ -1,12 +1,9 @@
 """Publishing messages.
 
-The file-backed log gives every message a partition and an offset, as a broker
-would: offsets are gap-free inside a partition and follow an explicit order.
-A numbering window per partition would put a whole partition into one task, and
-with the default constant key that is every message there is. So messages are
-range-partitioned over (topic, partition, order), which splits a hot partition
-over many tasks, and a small table of counts per task turns positions inside a
-task into offsets.
+A publish is one append without a shuffle: tasks write what they have to a folder that no
+reader looks at, and when all is written the folder is renamed into its topic. Readers,
+streams among them, so see a publish as a whole or not at all. A row in the log's report
+says what was published, or what went wrong.
 """
 
 from __future__ import annotations
@@ -15,129 +12,82 @@ import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
-from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from gleanstream.operators.encode import key_partition
-from gleanstream.schemas import RAW
-from gleanstream.session import run_dir
 from gleanstream.sources.log import topic_path
 
-_TASK_ROWS = (1 << 33) - 1
-_BROADCAST_ROWS = 1_000_000
-_SPANS = (
-    "topic string, partition int, task int, first_row bigint, n bigint, first_offset bigint"
-)
+_REPORT = "publish_id string, topic string, status string, messages bigint, error string"
 
 
-def _spans(staged: DataFrame, last: DataFrame | None) -> DataFrame:
-    """One row per (task, log partition): rows, and the offset of the first one."""
-    counts = staged.groupBy("topic", "partition", "task").agg(
-        F.min("row").alias("first_row"), F.count(F.lit(1)).alias("n")
-    )
-    before = (
-        W.partitionBy("topic", "partition").orderBy("task")
-        .rowsBetween(W.unboundedPreceding, -1)
-    )
-    start = F.lit(0).cast("bigint")
-    if last is not None:
-        counts = counts.join(last, ["topic", "partition"], "left")
-        start = F.coalesce(F.col("last_offset") + 1, F.lit(0))
-    return counts.select(
-        "topic", "partition", "task", "first_row", "n",
-        (start + F.coalesce(F.sum("n").over(before), F.lit(0))).alias("first_offset"),
-    )
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; one step in a file system, and a copy in most object stores."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path(target).getParent())
+    if not files.rename(path(source), path(target)):
+        raise OSError(f"{source} could not be moved to {target}")
 
 
-def read_spans(spark: SparkSession, log_dir: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(f"{_SPANS}, publish_id string").parquet(f"{log_dir}/offsets")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+def _report(spark: SparkSession, log_dir: str, publish_id: str, rows: list[tuple]) -> None:
+    frame = spark.createDataFrame([(publish_id, *row) for row in rows], _REPORT)
+    frame.coalesce(1).write.parquet(f"{log_dir}/publishes/{publish_id}")
 
 
 def publish_to_log(
-    messages: DataFrame, log_dir: str, order_by: Sequence[str],
-    n_partitions: int = 1, published_at: Column | None = None, tasks: int | None = None,
+    messages: DataFrame, log_dir: str, order_by: Sequence[str] = (),
+    published_at: Column | None = None,
 ) -> str:
     """Append ``key, value, topic`` rows to the log; returns the id of this publish.
 
-    ``order_by`` should be unique: ties are numbered in any order. One publisher per
-    log at a time.
-    The input is read twice, so pass a stored table where it is costly to compute.
-    Offsets are reserved before any record becomes visible, so a failed publish
-    leaves a gap and never a repeated offset.
+    Messages stay where and as they are; ``order_by`` asks for a sort of them all. A publish
+    that fails leaves nothing to be read, and is reported as failed.
     """
     spark = messages.sparkSession
     publish_id = uuid.uuid4().hex
-    stage = run_dir(spark, "publish")
-    order = ["topic", "partition", *order_by]
-    keyed = messages.withColumn("partition", key_partition(n_partitions))
-    spread = (
-        keyed.repartitionByRange(tasks, *order) if tasks else keyed.repartitionByRange(*order)
-    )
-    (
-        spread.sortWithinPartitions(*order)
-        .select(
-            "key", "value", "topic", "partition",
-            F.spark_partition_id().alias("task"),
-            F.monotonically_increasing_id().bitwiseAND(F.lit(_TASK_ROWS)).alias("row"),
-        )
-        # range bounds are sampled per run: fix rows, tasks and positions once
-        .write.parquet(stage)
-    )
-    staged = spark.read.schema(
-        "key string, value string, topic string, partition int, task int, row bigint"
-    ).parquet(stage)
-
-    known = read_spans(spark, log_dir)
-    last = None if known is None else known.groupBy("topic", "partition").agg(
-        F.max(F.col("first_offset") + F.col("n") - 1).alias("last_offset"))
-    reserved = f"{log_dir}/offsets/publish_id={publish_id}"
-    _spans(staged, last).write.parquet(reserved)
-
-    spans = spark.read.schema(_SPANS).parquet(reserved).select(
-        "topic", "partition", "task", "first_row", "first_offset")
-    n_spans, first_topic, last_topic = spans.agg(
-        F.count(F.lit(1)), F.min("topic"), F.max("topic")).first()
-    if n_spans <= _BROADCAST_ROWS:
-        spans = F.broadcast(spans)
+    stage = f"{log_dir}/unpublished/{publish_id}"
     moment = F.lit(datetime.now()) if published_at is None else published_at
-    records = staged.join(spans, ["topic", "partition", "task"]).select(
-        "key", "value", "topic", "partition",
-        (F.col("first_offset") + F.col("row") - F.col("first_row")).alias("offset"),
-        moment.cast("timestamp").alias("timestamp"),
-        F.lit(0).alias("timestampType"),
-    ).select(*RAW.names)
-    if n_spans and first_topic == last_topic:
-        # straight into the topic's folder: no sort by topic before the write
-        records.drop("topic").write.mode("append").parquet(topic_path(log_dir, first_topic))
-    elif n_spans:
-        records.write.mode("append").partitionBy("topic").parquet(f"{log_dir}/records")
+    rows = messages.sort(*order_by) if order_by else messages
+    try:
+        rows.select("key", "value", "topic", moment.cast("timestamp").alias("timestamp")).write.partitionBy(
+            "topic").parquet(stage)
+        # by partition value and row counts of the files
+        counts = spark.read.schema("value string, topic string").parquet(stage).groupBy(
+            "topic").count().collect()
+        targets = [topic_path(log_dir, row["topic"] or "") for row in counts]
+        for row, target in zip(counts, targets, strict=True):
+            _move(spark, f"{stage}/topic={row['topic']}", f"{target}/publish_id={publish_id}")
+    except Exception as error:
+        _report(spark, log_dir, publish_id, [(None, "failed", 0, str(error) or type(error).__name__)])
+        raise
+    _report(spark, log_dir, publish_id, [(row["topic"], "ok", row["count"], None) for row in counts])
     return publish_id
 
 
 def delivery_report(
     spark: SparkSession, log_dir: str, publish_id: str | None = None
 ) -> DataFrame:
-    """Messages and offset range per topic and partition, of one publish or of all."""
-    spans = spark.read.schema(f"{_SPANS}, publish_id string").parquet(f"{log_dir}/offsets")
-    if publish_id:
-        spans = spans.where(F.col("publish_id") == publish_id)
-    return spans.groupBy("topic", "partition").agg(
-        F.sum("n").alias("messages"),
-        F.min("first_offset").alias("min_offset"),
-        F.max(F.col("first_offset") + F.col("n") - 1).alias("max_offset"),
-    )
+    """What each publish delivered to each topic, or why it failed; of one publish or of all."""
+    path = f"{log_dir}/publishes/{publish_id or '*'}"
+    try:
+        return spark.read.schema(_REPORT).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], _REPORT)
+        raise
+
 
+def publish_to_kafka(messages: DataFrame, servers: str) -> DataFrame:
+    """The same messages to a broker, confirmed by all in-sync replicas.
 
-def publish_to_kafka(messages: DataFrame, servers: str) -> None:
-    """The same messages to a broker, confirmed by all in-sync replicas."""
+    Returns the report, with the count taken in the same pass. A publish that fails raises.
+    """
+    spark = messages.sparkSession
+    seen = Observation()
     (
-        messages.select("key", "value", "topic").write.format("kafka")
+        messages.select("key", "value", "topic").observe(seen, F.count(F.lit(1)).alias("messages"))
+        .write.format("kafka")
         .option("kafka.bootstrap.servers", servers).option("kafka.acks", "all").save()
     )
+    return spark.createDataFrame([(None, None, "ok", seen.get["messages"], None)], _REPORT)

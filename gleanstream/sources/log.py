@@ -15,7 +15,10 @@ from pyspark.sql import types as T
 from gleanstream.schemas import RAW, TOPIC
 
 _TOPIC = re.compile(r"[A-Za-z0-9._-]{1,249}")
-_IN_FILES = T.StructType([field for field in RAW.fields if field.name != "topic"])
+_IN_FILES = T.StructType([
+    *(field for field in RAW.fields if field.name in ("key", "value", "timestamp")),
+    T.StructField("publish_id", T.StringType()),
+])
 
 
 def topic_path(log_dir: str, topic: str) -> str:
@@ -26,11 +29,18 @@ def topic_path(log_dir: str, topic: str) -> str:
 
 def create_topic(spark: SparkSession, log_dir: str, topic: str = TOPIC) -> None:
     """An empty topic, unless it is there; a stream may then start before any publish."""
-    spark.createDataFrame([], _IN_FILES).write.mode("ignore").parquet(topic_path(log_dir, topic))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(topic_path(log_dir, topic))
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        spark.createDataFrame([], _IN_FILES).drop("publish_id").write.mode("ignore").parquet(
+            f"{topic_path(log_dir, topic)}/publish_id=none")
 
 
 def _raw(records: DataFrame, topic: str) -> DataFrame:
-    return records.withColumn("topic", F.lit(topic)).select(*RAW.names)
+    """``place`` and ``row`` say where a record lies: its file, and its number in there."""
+    return records.select(
+        "key", "value", F.lit(topic).alias("topic"), "publish_id",
+        F.col("_metadata.file_path").alias("place"), F.col("_metadata.row_index").alias("row"),
+        "timestamp")
 
 
 def stream_log(
@@ -39,8 +49,8 @@ def stream_log(
 ) -> DataFrame:
     """One topic as a stream, from its first record.
 
-    Only files that a publish has committed are seen. The two bounds keep a
-    micro-batch small when the stream starts on a long log.
+    A publish is seen once it is complete. The two bounds keep a micro-batch small when
+    the stream starts on a long log.
     """
     create_topic(spark, log_dir, topic)
     # by default files a week older than the newest would be passed over

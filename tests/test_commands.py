@@ -26,7 +26,7 @@ def test_pages_to_snapshot(spark, captures_dir, tmp_path, capsys, kind):
     log, store = str(tmp_path / "log"), str(tmp_path / "store")
     main(["acquire", "--captures", captures_dir, "--log", log, "--keyword", "Data Science",
           "--pages", "3", "--captured-at", "2024-01-01 00:00:00"])
-    assert "|jobs-data|0        |45      |0         |44        |" in capsys.readouterr().out
+    assert "|jobs-data|ok    |45      |NULL |" in capsys.readouterr().out
     main(["consume", "--log", log, "--store", store, "--until-drained", "--trace", "--snapshot", kind])
     if kind == "grid":
         rows = read_grid(spark, f"{store}/grid")
@@ -43,14 +43,12 @@ def test_pages_to_snapshot(spark, captures_dir, tmp_path, capsys, kind):
     assert "Data Science" in capsys.readouterr().out
 
 
-def test_messages_follow_page_and_position(spark, captures_dir, tmp_path):
-    log = str(tmp_path)
+def test_all_pages_unless_asked(spark, captures_dir, tmp_path):
     pages = spark.read.parquet(captures_dir)
-    acquire(pages, log, "k", F.lit("2024-01-01").cast("timestamp_ntz"),
-            page_no=url_page_number(F.col("url")), pages=5)
-    rows = read_log(spark, log).orderBy("offset").select(
-        F.get_json_object("value", "$.Job").alias("job")).collect()
-    assert [r["job"] for r in rows] == [f"Title {i}" for i in range(75)]
+    for name, budget, n in (("all", {}, 200), ("some", {"page_no": url_page_number(F.col("url")), "pages": 5}, 75)):
+        acquire(pages, str(tmp_path / name), "k", F.lit("2024-01-01").cast("timestamp_ntz"), **budget)
+        rows = read_log(spark, str(tmp_path / name)).select(F.get_json_object("value", "$.Job")).collect()
+        assert sorted(int(r[0].split()[1]) for r in rows) == list(range(n))
 
 
 def test_page_number(spark):

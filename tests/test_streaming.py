@@ -21,7 +21,7 @@ MALFORMED = 60
 def log(spark, sf, tmp_path):
     path = str(tmp_path / "log")
     rows = inputs.messages(spark, sf).withColumn("topic", F.lit("jobs-data"))
-    log_sink.publish_to_log(rows, path, ("event_id",), tasks=4)
+    log_sink.publish_to_log(rows.repartition(4), path)
     return path
 
 
@@ -89,7 +89,7 @@ def test_batches_restart_and_snapshot(spark, sf, log, tmp_path, kind):
 
     # new messages are one more batch of the same stream
     rows = inputs.messages(spark, sf).withColumn("topic", F.lit("jobs-data"))
-    log_sink.publish_to_log(rows, log, ("event_id",), tasks=1)
+    log_sink.publish_to_log(rows, log)
     drain(spark, log, consumer(root, publisher(), query_at=lambda: "2024-01-02 00:00:00"))
     assert read_collection(spark, f"{root}/postings").count() == 2 * N
     rows = published(spark, root)
@@ -187,7 +187,7 @@ def test_trace(spark, log, tmp_path):
     root = str(tmp_path)
     drain(spark, log, consumer(root, trace_dir=f"{root}/trace"))
     trace = spark.read.parquet(f"{root}/trace")
-    assert trace.select("key", "value", "partition", "offset").distinct().count() == N
+    assert trace.select("key", "value", "place", "row").distinct().count() == N
 
 
 def test_stream_lifecycle(spark, log, tmp_path):
@@ -279,7 +279,7 @@ def test_consumer_may_start_before_the_first_publish(spark, sf, tmp_path):
         query.processAllAvailable()
         assert read_collection(spark, f"{root}/postings").count() == 0
         rows = inputs.messages(spark, sf).withColumn("topic", F.lit("jobs-data"))
-        log_sink.publish_to_log(rows, path, ("event_id",))
+        log_sink.publish_to_log(rows, path)
         query.processAllAvailable()
         assert read_collection(spark, f"{root}/postings").count() == N
     finally:
