@@ -21,7 +21,7 @@ from gleanstream.schemas import TOPIC
 from gleanstream.session import now_stamp, ship_code
 from gleanstream.sinks.log import delivery_report, publish_to_kafka
 from gleanstream.sinks.snapshot import (
-    FullSnapshot, GridSnapshot, IncrementalSnapshot, read_grid, read_published,
+    FullSnapshot, GridSnapshot, IncrementalSnapshot, read_published, read_published_grid,
 )
 from gleanstream.sources.captures import read_captures, url_page_number
 from gleanstream.sources.log import stream_kafka, stream_log
@@ -90,7 +90,7 @@ def _consume(spark: SparkSession, args: argparse.Namespace) -> None:
     publisher = {
         "incremental": lambda: IncrementalSnapshot(published),
         "full": lambda: FullSnapshot(published),
-        "grid": lambda: GridSnapshot(f"{args.store}/grid"),
+        "grid": lambda: GridSnapshot(published),
     }[args.snapshot]()
     consumer = ListingConsumer(
         postings_dir=f"{args.store}/postings", log_dir=refreshes, publisher=publisher,
@@ -106,11 +106,8 @@ def _consume(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _show(spark: SparkSession, args: argparse.Namespace) -> None:
-    rows = (
-        read_grid(spark, f"{args.store}/grid") if args.grid
-        else read_published(spark, f"{args.store}/published", f"{args.store}/refreshes")
-    )
-    rows.show()
+    read = read_published_grid if args.grid else read_published
+    read(spark, f"{args.store}/published", f"{args.store}/refreshes").show()
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -12,6 +12,7 @@ from gleanstream.functions.json_text import encode_object
 from gleanstream.operators import clean, decode, encode, extract
 from gleanstream.operators.extract import Rule
 from gleanstream.plans import inputs
+from gleanstream.plans.documents import documents_snapshot
 from gleanstream.plans.inputs import DUCKDB_WORDS, documents_sql, messages_sql, table
 from gleanstream.schemas import (
     MESSAGE_FIELDS, MESSAGE_TO_POSTING, NOT_ENCODABLE, POSTING_FIELDS,
@@ -242,7 +243,7 @@ def publish_snapshot(spark, sf_dir):
         refresh = snap.Refresh("s", batch_id, query_at, last_place=place)
         place = publisher.publish(
             publisher.prepare(spark, f"{root}/postings", refresh), refresh)
-        snap.write_refresh_log(spark, log, refresh, records, place, None)
+        snap.write_refresh_log(spark, log, refresh, publisher.kind, records, place, None)
     return snap.read_published(spark, published, log)
 
 
@@ -543,6 +544,44 @@ def stream_publish(spark, sf_dir):
     return snap.read_published(spark, f"{root}/published", f"{root}/refreshes")
 
 
+@registered(f"""WITH {DECODED} SELECT {POSTING_LIST}, '{QUERY_AT}' AS "QueryAt" FROM decoded
+WHERE "SearchWord" IS NOT NULL""")
+def snapshot_catches_up(spark, sf_dir):
+    """Two streams store half the messages each; the first's publish fails, the second's makes up for it."""
+    root, rows = run_dir(spark, "catches-up"), inputs.messages(spark, sf_dir)
+
+    class Down(snap.IncrementalSnapshot):
+        def publish(self, rows, refresh):
+            raise OSError("target is down")
+
+    for stream, publisher, half in (("given-up", Down(f"{root}/published"), 0), ("next", None, 1)):
+        job = _consumer(root, publisher)
+        job.stream_id = stream
+        job.process(rows.where(F.col("event_id") % 2 == half), 0)
+    return snap.read_published(spark, f"{root}/published", f"{root}/refreshes")
+
+
+@registered(f"""WITH {PARSED_DOCUMENTS} SELECT {", ".join(f'"{n}"' for n in POSTING_FIELDS)},
+'{QUERY_AT}' AS "QueryAt" FROM (SELECT {_decoded_columns({n: n for n in POSTING_FIELDS}, "guarded")}
+ FROM parsed WHERE guarded AND whole) AS kept WHERE "SearchWord" IS NOT NULL""")
+def documents_to_snapshot(spark, sf_dir):
+    """Stored JSON documents, cleaned, to the snapshot; what lacks a field goes to the rejects."""
+    root = run_dir(spark, "documents")
+    rows = documents_snapshot(inputs.stored_documents(spark, sf_dir), QUERY_AT, f"{root}/rejects")
+    rows.write.parquet(f"{root}/snapshot")
+    return spark.read.schema(rows.schema).parquet(f"{root}/snapshot")
+
+
+@registered(f"""WITH {PARSED_DOCUMENTS} SELECT document, concat('document lacks: ',
+concat_ws(',', {", ".join(f"CASE WHEN NOT json_exists(j, '$.{n}') THEN '{n}' END" for n in POSTING_FIELDS)}))
+AS reason FROM parsed WHERE guarded AND NOT whole""")
+def rejects(spark, sf_dir):
+    """The rejects table that the same path writes."""
+    path = f"{run_dir(spark, 'documents')}/rejects"
+    documents_snapshot(inputs.stored_documents(spark, sf_dir), QUERY_AT, path)
+    return spark.read.schema("document string, reason string").parquet(path)
+
+
 @registered(f"""WITH {LISTED} SELECT '{KEYWORD}' AS "SearchWord", "Job", "Company",
 salary[position + 1] AS "Salary", "Location", "Deadline", "JobDetails" AS "JobsDetails", "Created",
 '{QUERY_AT}' AS "QueryAt" FROM listed JOIN salaries USING (page_id)""")

@@ -1,15 +1,17 @@
 """Publishing the snapshot.
 
 Readers always see one whole refresh: every clean posting with one ``QueryAt``.
-There are two ways to keep it.
+There are three ways to keep it, each in a folder of its own below the published one.
 
 ``IncrementalSnapshot`` writes the new batches only. ``QueryAt`` is the same for
 all rows of a refresh, so it is kept once per refresh and attached on reading.
-A refresh costs as much as its batch, however long the history is.
+A refresh costs as much as its batch, however long the history is. What is new is
+what no logged refresh covers, whichever stream stored it, so a batch whose publish
+failed, or whose stream was given up, is made up for by the next refresh.
 
-``FullSnapshot`` rewrites every row each time, for targets that need a plain
-table. It alternates between two folders, so readers of the last refresh are
-not disturbed by the next one.
+``FullSnapshot`` and ``GridSnapshot`` rewrite every row each time, for targets that
+need a plain table or a headed grid. They alternate between two folders, so the last
+refresh stays readable until the next one is logged.
 """
 
 from __future__ import annotations
@@ -24,57 +26,67 @@ from pyspark.sql import functions as F
 from gleanstream.functions.text import guard_formula, parse_stamp
 from gleanstream.operators.clean import snapshot, stamp_query_at, with_search_word
 from gleanstream.schemas import POSTING_FIELDS, PUBLISHED, PUBLISHED_FIELDS, SNAPSHOT_MAX_COLUMNS
+from gleanstream.sinks.refresh_log import RefreshLog
 from gleanstream.sources.collection import STORED, batch_path, read_batches, read_collection
 
-LOG_FIELDS = (
-    "status string, error string, records bigint, query_at string, "
-    "place string, refreshed_at timestamp"
-)
-_LOG_KEYS = "stream_id string, batch_id bigint"
-
 
 @dataclass(frozen=True)
 class Refresh:
-    """One refresh: the batch that asked for it, the first unpublished one, the last good place."""
+    """One refresh: the batch that asked for it, all batches to publish, the last good place."""
 
     stream_id: str
     batch_id: int
     query_at: str
-    first_pending: int = 0
+    pending: tuple[tuple[str, int], ...] = ()
     last_place: str | None = None
 
+    @property
+    def batches(self) -> tuple[tuple[str, int], ...]:
+        """The pending batches and the refresh's own."""
+        return tuple(dict.fromkeys((*self.pending, (self.stream_id, self.batch_id))))
+
 
 class Publisher(Protocol):
+    kind: str
+
     def prepare(self, spark: SparkSession, postings_dir: str, refresh: Refresh) -> DataFrame:
         """The rows to write; an unreadable collection fails here."""
 
     def publish(self, rows: DataFrame, refresh: Refresh) -> str:
-        """Write them and say where they are."""
+        """Write them and say where they are, below the published folder."""
+
+
+def _other_slot(kind: str, last_place: str | None) -> str:
+    return f"{kind}/slot=1" if last_place == f"{kind}/slot=0" else f"{kind}/slot=0"
 
 
 class IncrementalSnapshot:
+    kind = "rows"
+
     def __init__(self, published_dir: str):
         self.published_dir = published_dir
 
     def prepare(self, spark, postings_dir, refresh):
-        pending = range(refresh.first_pending, refresh.batch_id + 1)
-        return with_search_word(read_batches(spark, postings_dir, refresh.stream_id, pending))
+        return with_search_word(read_batches(spark, postings_dir, refresh.batches))
 
     def publish(self, rows, refresh):
-        if refresh.first_pending == refresh.batch_id:
-            path = batch_path(self.published_dir, refresh.stream_id, refresh.batch_id)
+        folder = f"{self.published_dir}/{self.kind}"
+        if len(refresh.batches) == 1:
+            path = batch_path(folder, refresh.stream_id, refresh.batch_id)
             rows.select(*POSTING_FIELDS).write.mode("overwrite").parquet(path)
         else:
             (
                 rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy("stream_id", "batch_id").parquet(self.published_dir)
+                .partitionBy("stream_id", "batch_id").parquet(folder)
             )
-        return "rows"
+        return self.kind
 
 
 class FullSnapshot:
     """``dedup`` drops whole-row copies, which needs a shuffle of the collection."""
 
+    kind = "full"
+
     def __init__(self, published_dir: str, dedup: bool = False):
         self.published_dir = published_dir
         self.dedup = dedup
@@ -83,7 +95,7 @@ class FullSnapshot:
         return snapshot(read_collection(spark, postings_dir), refresh.query_at, self.dedup)
 
     def publish(self, rows, refresh):
-        place = "slot=1" if refresh.last_place == "slot=0" else "slot=0"
+        place = _other_slot(self.kind, refresh.last_place)
         rows.write.mode("overwrite").parquet(f"{self.published_dir}/{place}")
         return place
 
@@ -91,6 +103,8 @@ class FullSnapshot:
 class GridSnapshot:
     """A headed grid of text cells for a spreadsheet, rewritten at each refresh."""
 
+    kind = "grid"
+
     def __init__(self, published_dir: str, escape_formulas: bool = True):
         self.published_dir = published_dir
         self.escape_formulas = escape_formulas
@@ -99,74 +113,58 @@ class GridSnapshot:
         return snapshot(read_collection(spark, postings_dir), refresh.query_at)
 
     def publish(self, rows, refresh):
-        grid_export(rows, self.published_dir, self.escape_formulas)
-        return "grid"
+        place = _other_slot(self.kind, refresh.last_place)
+        grid_export(rows, f"{self.published_dir}/{place}", self.escape_formulas)
+        return place
 
 
 def write_refresh_log(
-    spark: SparkSession, log_dir: str, refresh: Refresh, records: int,
+    spark: SparkSession, log_dir: str, refresh: Refresh, kind: str, records: int,
     place: str | None, error: str | None,
 ) -> None:
-    row = spark.range(1).select(
-        F.lit("failed" if error else "ok").alias("status"),
-        F.lit(error).cast("string").alias("error"),
-        F.lit(records).cast("bigint").alias("records"),
-        F.lit(refresh.query_at).alias("query_at"),
-        F.lit(place).cast("string").alias("place"),
-        F.current_timestamp().alias("refreshed_at"),
-    )
-    row.coalesce(1).write.mode("overwrite").parquet(
-        batch_path(log_dir, refresh.stream_id, refresh.batch_id))
-
-
-def read_refresh_log(spark: SparkSession, log_dir: str) -> DataFrame:
-    return spark.read.schema(f"{LOG_FIELDS}, {_LOG_KEYS}").parquet(log_dir)
-
+    RefreshLog(spark, log_dir).append(
+        refresh.stream_id, refresh.batch_id, kind=kind, query_at=refresh.query_at, records=records,
+        place=place, error=error, covers=refresh.batches if kind == IncrementalSnapshot.kind else ())
 
-def _good_refreshes(spark: SparkSession, log_dir: str) -> DataFrame | None:
-    try:
-        return read_refresh_log(spark, log_dir).where("status = 'ok'")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
 
+def pending_batches(spark: SparkSession, postings_dir: str, log_dir: str) -> tuple[tuple[str, int], ...]:
+    """Stored batches of any stream that no refresh has put into the incremental snapshot."""
+    stored = spark.read.schema(STORED).parquet(postings_dir).select("stream_id", "batch_id").distinct()
+    covered = RefreshLog(spark, log_dir).covered()
+    rows = stored.join(covered, (stored["stream_id"] == covered["covered_stream"]) & stored["batch_id"].between(
+        covered["first"], covered["last"]), "left_anti")
+    return tuple((row["stream_id"], row["batch_id"]) for row in rows.sort("stream_id", "batch_id").collect())
 
-def last_refresh(spark: SparkSession, log_dir: str):
-    """The newest successful refresh as one row, or None."""
-    good = _good_refreshes(spark, log_dir)
-    if good is None:
-        return None
-    newest = F.max(F.struct("refreshed_at", "stream_id", "batch_id", "query_at", "place"))
-    return good.agg(newest.alias("newest")).first()["newest"]
 
-
-def last_published_batch(spark: SparkSession, log_dir: str, stream_id: str) -> int:
-    """Number of a stream's newest published batch; -1 before the first."""
-    good = _good_refreshes(spark, log_dir)
-    if good is None:
-        return -1
-    last = good.where(F.col("stream_id") == stream_id).agg(F.max("batch_id").alias("b")).first()["b"]
-    return -1 if last is None else last
+def last_refresh(spark: SparkSession, log_dir: str, *kinds: str):
+    """The newest successful refresh, of some kinds or of any, as one row, or None."""
+    return RefreshLog(spark, log_dir).last(*kinds)
 
 
 def read_published(spark: SparkSession, published_dir: str, log_dir: str) -> DataFrame:
-    """The snapshot as of the newest successful refresh, whichever way it is kept."""
-    last = last_refresh(spark, log_dir)
+    """The snapshot as of the newest successful refresh, incremental or full."""
+    log = RefreshLog(spark, log_dir).read_once()
+    last = log.last(IncrementalSnapshot.kind, FullSnapshot.kind)
     if last is None:
-        raise ValueError("nothing has been published yet")
-    if last["place"].startswith("slot="):
+        raise ValueError("nothing has been published yet that this reads; a grid has its own reader")
+    if last["kind"] == FullSnapshot.kind:
         return spark.read.schema(PUBLISHED).parquet(f"{published_dir}/{last['place']}")
-    if last["place"] != "rows":
-        raise ValueError(f"a snapshot kept as {last['place']!r} has its own reader")
-    done = _good_refreshes(spark, log_dir).groupBy("stream_id").agg(
-        F.max("batch_id").alias("last_batch"))
-    rows = spark.read.schema(STORED).parquet(published_dir)
-    # a batch is visible once its refresh is logged; one row per stream on the small side
-    visible = rows.join(done, "stream_id").where("batch_id <= last_batch")
+    rows = spark.read.schema(STORED).parquet(f"{published_dir}/{last['place']}")
+    covered = log.covered()
+    # a batch is visible once its refresh is logged; a row per stream, or few, on the small side
+    visible = rows.join(covered, (rows["stream_id"] == covered["covered_stream"]) & rows["batch_id"].between(
+        covered["first"], covered["last"]), "left_semi")
     return stamp_query_at(visible.select(*POSTING_FIELDS), last["query_at"])
 
 
+def read_published_grid(spark: SparkSession, published_dir: str, log_dir: str) -> DataFrame:
+    """The newest grid that was written whole."""
+    last = last_refresh(spark, log_dir, GridSnapshot.kind)
+    if last is None:
+        raise ValueError("no grid has been published yet")
+    return read_grid(spark, f"{published_dir}/{last['place']}")
+
+
 def typed_snapshot(published: DataFrame) -> DataFrame:
     """Stamps as timestamps, as a sheet would read them; other text gives NULL."""
     return published.withColumns({

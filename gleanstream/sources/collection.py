@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -20,10 +22,10 @@ def read_collection(spark: SparkSession, postings_dir: str) -> DataFrame:
 
 
 def read_batches(
-    spark: SparkSession, postings_dir: str, stream_id: str, batch_ids: range
+    spark: SparkSession, postings_dir: str, batches: Iterable[tuple[str, int]]
 ) -> DataFrame:
-    """Some batches of one stream, without listing the rest of the collection."""
-    paths = [batch_path(postings_dir, stream_id, batch_id) for batch_id in batch_ids]
+    """Some batches, without listing the rest of the collection."""
+    paths = [batch_path(postings_dir, stream_id, batch_id) for stream_id, batch_id in batches]
     return spark.read.schema(STORED).option("basePath", postings_dir).parquet(*paths)
 
 

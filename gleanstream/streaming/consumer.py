@@ -12,7 +12,7 @@ from gleanstream.operators.decode import decode_log_strings, decode_postings, re
 from gleanstream.session import now_stamp
 from gleanstream.sinks.collection import append_batch
 from gleanstream.sinks.snapshot import (
-    Publisher, Refresh, last_published_batch, last_refresh, write_refresh_log,
+    Publisher, Refresh, last_refresh, pending_batches, write_refresh_log,
 )
 from gleanstream.sources.collection import batch_path
 
@@ -37,7 +37,7 @@ class ListingConsumer:
     null_text: str = "literal"
     query_at: Callable[[], str] = now_stamp
     stream_id: str | None = None
-    _published: int | None = None
+    _pending: tuple[tuple[str, int], ...] | None = None
     _place: str | None = None
 
     def _stream_id(self, spark: SparkSession) -> str:
@@ -59,22 +59,23 @@ class ListingConsumer:
         self._refresh(spark, stream_id, batch_id, records)
 
     def _refresh(self, spark: SparkSession, stream_id: str, batch_id: int, records: int) -> None:
-        if self._published is None:
+        if self._pending is None:
             # read once; from here on this process is the one that refreshes
-            last = last_refresh(spark, self.log_dir)
+            last = last_refresh(spark, self.log_dir, self.publisher.kind)
             self._place = last["place"] if last is not None else None
-            self._published = last_published_batch(spark, self.log_dir, stream_id)
-        refresh = Refresh(
-            stream_id, batch_id, self.query_at(), min(self._published + 1, batch_id), self._place)
+            self._pending = pending_batches(spark, self.postings_dir, self.log_dir)
+        refresh = Refresh(stream_id, batch_id, self.query_at(), self._pending, self._place)
         rows = self.publisher.prepare(spark, self.postings_dir, refresh)
         place = error = None
         try:
             place = self.publisher.publish(rows, refresh)
         except Exception as problem:  # noqa: BLE001 - a target's failure must not end the stream
             error = str(problem) or type(problem).__name__
-        write_refresh_log(spark, self.log_dir, refresh, records, place, error)
+        write_refresh_log(spark, self.log_dir, refresh, self.publisher.kind, records, place, error)
         if error is None:
-            self._published, self._place = max(self._published, batch_id), place
+            self._pending, self._place = (), place
+        else:
+            self._pending = refresh.batches
 
     def start(
         self, source: DataFrame, interval: str = BATCH_INTERVAL, until_drained: bool = False

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from gleanstream.__main__ import main
 from gleanstream.plans import inputs
 from gleanstream.plans.acquire import acquire
-from gleanstream.sinks.snapshot import read_grid, read_published
+from gleanstream.sinks.snapshot import read_published, read_published_grid
 from gleanstream.sources.captures import url_page_number
 from gleanstream.sources.log import read_log
 
@@ -29,7 +29,7 @@ def test_pages_to_snapshot(spark, captures_dir, tmp_path, capsys, kind):
     assert "|jobs-data|ok    |45      |NULL |" in capsys.readouterr().out
     main(["consume", "--log", log, "--store", store, "--until-drained", "--trace", "--snapshot", kind])
     if kind == "grid":
-        rows = read_grid(spark, f"{store}/grid")
+        rows = read_published_grid(spark, f"{store}/published", f"{store}/refreshes")
     else:
         rows = read_published(spark, f"{store}/published", f"{store}/refreshes")
     found = rows.collect()

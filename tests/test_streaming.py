@@ -9,6 +9,7 @@ from gleanstream.schemas import POSTING_FIELDS, PUBLISHED
 from gleanstream.sinks import log as log_sink
 from gleanstream.sinks import snapshot as snap
 from gleanstream.sinks.collection import append_batch
+from gleanstream.sinks.refresh_log import RefreshLog, read_refresh_log
 from gleanstream.sources.collection import read_collection
 from gleanstream.sources.log import stream_log
 from gleanstream.streaming.consumer import ListingConsumer, run_until_stopped
@@ -54,7 +55,7 @@ def published(spark, root):
 
 
 def refreshes(spark, root):
-    rows = snap.read_refresh_log(spark, f"{root}/refreshes").orderBy("refreshed_at").collect()
+    rows = read_refresh_log(spark, f"{root}/refreshes").orderBy("refreshed_at").collect()
     return [(r["batch_id"], r["status"], r["records"]) for r in rows]
 
 
@@ -156,7 +157,7 @@ def test_publish_failure(spark, tmp_path):
     job.process(batch(spark, None), 2)
     assert read_collection(spark, f"{root}/postings").count() == 3
     assert [r["SearchWord"] for r in published(spark, root).collect()] == ["a"]
-    log = snap.read_refresh_log(spark, f"{root}/refreshes")
+    log = read_refresh_log(spark, f"{root}/refreshes")
     assert [r["error"] for r in log.where("status = 'failed'").collect()] == ["target is down"] * 2
     # another process goes on
     consumer(root, Failing(f"{root}/published", fails=set()), stream_id="s").process(batch(spark, "c"), 3)
@@ -217,7 +218,7 @@ def test_full_snapshot_alternates_and_replaces(spark, tmp_path):
     for batch_id, word in enumerate("abc"):
         job.process(batch(spark, word), batch_id)
         places.append(snap.last_refresh(spark, f"{root}/refreshes")["place"])
-    assert places == ["slot=0", "slot=1", "slot=0"]
+    assert places == ["full/slot=0", "full/slot=1", "full/slot=0"]
     assert sorted(r["SearchWord"] for r in published(spark, root).collect()) == ["a", "b", "c"]
 
 
@@ -230,12 +231,12 @@ def test_full_snapshot_dedup(spark, tmp_path):
 
 def test_grid(spark, tmp_path):
     root = str(tmp_path)
-    publisher = snap.GridSnapshot(f"{root}/grid")
+    publisher = snap.GridSnapshot(f"{root}/published")
     consumer(root, publisher, stream_id="s").process(batch(spark, "=1+1", "+a", "x\\\"y", "l\\nm"), 0)
-    grid = snap.read_grid(spark, f"{root}/grid")
+    grid = snap.read_published_grid(spark, f"{root}/published", f"{root}/refreshes")
     assert grid.columns == PUBLISHED.names
     assert sorted(r["SearchWord"] for r in grid.collect()) == ["'+a", "'=1+1", "l\nm", 'x"y']
-    raw = spark.read.text(f"{root}/grid").collect()
+    raw = spark.read.text(f"{root}/published/grid/slot=0").collect()
     assert sum(r[0] == ",".join(PUBLISHED.names) for r in raw) >= 1
     with pytest.raises(ValueError, match="own reader"):
         published(spark, root)
@@ -302,5 +303,73 @@ def test_full_snapshot_never_writes_over_the_one_in_use(spark, tmp_path, monkeyp
     monkeypatch.undo()
     assert [r["SearchWord"] for r in published(spark, root).collect()] == ["a"]
     job.process(batch(spark, "b"), 1)
-    assert snap.last_refresh(spark, f"{root}/refreshes")["place"] == "slot=1"
+    assert snap.last_refresh(spark, f"{root}/refreshes")["place"] == "full/slot=1"
     assert sorted(r["SearchWord"] for r in published(spark, root).collect()) == ["a", "b"]
+
+
+KINDS = {"rows": snap.IncrementalSnapshot, "full": snap.FullSnapshot, "grid": snap.GridSnapshot}
+
+
+@pytest.mark.parametrize("first,second", [("grid", "rows"), ("full", "rows"), ("rows", "full"), ("rows", "rows")])
+def test_kinds_follow_each_other(spark, tmp_path, first, second):
+    """Whatever kind of snapshot was kept before, the next one has every stored row."""
+    root = str(tmp_path)
+    consumer(root, KINDS[first](f"{root}/published"), stream_id="s").process(batch(spark, "a"), 0)
+    consumer(root, KINDS[second](f"{root}/published"), stream_id="s").process(batch(spark, "b"), 1)
+    assert sorted(r["SearchWord"] for r in published(spark, root).collect()) == ["a", "b"]
+    consumer(root, KINDS["rows"](f"{root}/published"), stream_id="s").process(batch(spark, "c"), 2)
+    assert sorted(r["SearchWord"] for r in published(spark, root).collect()) == ["a", "b", "c"]
+
+
+def test_stream_given_up_after_a_failed_publish(spark, tmp_path):
+    root = str(tmp_path)
+    consumer(root, Failing(f"{root}/published", fails={0}), stream_id="s").process(batch(spark, "a"), 0)
+    consumer(root, stream_id="t").process(batch(spark, "b"), 0)
+    assert sorted(r["SearchWord"] for r in published(spark, root).collect()) == ["a", "b"]
+
+
+def test_failed_grid_leaves_the_last_one(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    job = consumer(root, snap.GridSnapshot(f"{root}/published"), stream_id="s")
+    job.process(batch(spark, "a"), 0)
+    export = snap.grid_export
+
+    def midway(rows, path, *rest):
+        export(rows.limit(1), path, *rest)
+        raise OSError("target is down")
+
+    monkeypatch.setattr(snap, "grid_export", midway)
+    job.process(batch(spark, "b"), 1)
+    monkeypatch.undo()
+
+    def words():
+        grid = snap.read_published_grid(spark, f"{root}/published", f"{root}/refreshes")
+        return sorted(r["SearchWord"] for r in grid.collect())
+
+    assert words() == ["a"]
+    job.process(batch(spark, "c"), 2)
+    assert words() == ["a", "b", "c"]
+
+
+def test_refresh_log_stays_small(spark, tmp_path):
+    """Many refreshes, gaps and failures: few files are read, and they say the same."""
+    log = RefreshLog(spark, str(tmp_path), compact_every=10)
+    for batch_id in range(64):
+        failed = batch_id % 13 == 5
+        log.append("s" if batch_id % 2 else "t", batch_id, kind="rows", query_at=f"at {batch_id}", records=1,
+                   place=None if failed else "rows", error="down" if failed else None,
+                   covers=() if failed else [("s" if batch_id % 2 else "t", batch_id)])
+    assert len(log.rows().inputFiles()) <= 11
+    assert log.last("rows")["query_at"] == "at 63" and log.last("full") is None
+    covered = {(row["covered_stream"], batch_id) for row in log.covered().collect()
+               for batch_id in range(row["first"], row["last"] + 1)}
+    assert covered == {("s" if i % 2 else "t", i) for i in range(64) if i % 13 != 5}
+
+
+def test_unfinished_compaction_does_not_count(spark, tmp_path):
+    log = RefreshLog(spark, str(tmp_path))
+    log.append("s", 0, kind="rows", query_at="q", records=1, place="rows", error=None, covers=[("s", 0)])
+    log.compact()
+    assert log.version() == 1 and log.last()["query_at"] == "q"
+    (tmp_path / "version=2" / "head").mkdir(parents=True)
+    assert log.version() == 1 and log.covered().count() == 1
