@@ -97,16 +97,18 @@ def test_rounds_reach_pairs_without_the_centre(spark, monkeypatch):
     star = near_dedup._sketch_filtered(near_dedup._star(members, drawn=False), sketches, plan)
     assert star.count() == 0  # all are unlike the centre
     labels = spark.createDataFrame([], "node bigint, label bigint")
-    pairs = near_dedup._blocks(near_dedup._open(members, labels), sketches, plan)
-    assert {(row["a"], row["b"]) for row in pairs.collect()} == {
-        (a, b) for a in range(41, 45) for b in range(41, a)}
+    want = {(a, b) for a in range(41, 45) for b in range(41, a)}
+    for block in (near_dedup.BLOCK, 2, 1):  # in one block, and over several
+        monkeypatch.setattr(near_dedup, "BLOCK", block)
+        pairs = near_dedup._blocks(near_dedup._open(members, labels), sketches, plan)
+        assert {(row["a"], row["b"]) for row in pairs.collect()} == want
 
 
 def test_sketches_estimate_similarity():
     rng = np.random.default_rng(3)
     plan = near_dedup.Plan()
-    for alike in (0.95, 0.85, 0.4):
-        shared = int(2000 * alike / (1 + alike) * 2 / 2)
+    for alike in (0.95, 0.86, 0.4):
+        shared = round(4000 * alike / (1 + alike))
         pool = rng.integers(0, 2**63, 4000 - shared, dtype=np.uint64)
         left, right = pool[:2000], np.concatenate([pool[:shared], pool[2000:]])
         odd = near_dedup.odd_sketches(near_dedup.minhashes([left, right], plan.samples), plan.sketch_bits)
