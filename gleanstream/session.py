@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -20,11 +21,14 @@ def _local_dir() -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see. A local one is made only for a local master."""
+    """The folder all executors see, as the session names it.
+
+    Only where driver and executors are one process, and nothing is set, is one made here.
+    """
     folder = spark.conf.get(_CHECKPOINT_DIR, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
         raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder shared by the executors")
     return _local_dir()
 

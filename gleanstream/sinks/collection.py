@@ -17,12 +17,3 @@ def append_batch(postings: DataFrame, postings_dir: str, stream_id: str, batch_i
     path = batch_path(postings_dir, stream_id, batch_id)
     postings.select(*POSTING_FIELDS).write.mode("overwrite").parquet(path)
     return postings.sparkSession.read.schema(postings.schema).parquet(path).count()
-
-
-def append_mongo(postings: DataFrame, uri: str, database: str, collection: str) -> None:
-    """Append to a document collection; needs the MongoDB connector jar."""
-    (
-        postings.select(*POSTING_FIELDS).write.format("mongodb").mode("append")
-        .option("connection.uri", uri).option("database", database)
-        .option("collection", collection).save()
-    )

@@ -31,12 +31,3 @@ def read_batches(
 
 def batch_path(root: str, stream_id: str, batch_id: int) -> str:
     return f"{root}/stream_id={stream_id}/batch_id={batch_id}"
-
-
-def read_mongo(spark: SparkSession, uri: str, database: str, collection: str) -> DataFrame:
-    """A document collection; needs the MongoDB connector jar."""
-    return (
-        spark.read.format("mongodb").schema(POSTING)
-        .option("connection.uri", uri).option("database", database)
-        .option("collection", collection).load()
-    )
