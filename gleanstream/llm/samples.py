@@ -41,5 +41,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
         wanted |= (F.col("label") == value) & (share < int(fraction * parts))
         weight = F.when(F.col("label") == value, 1 / fraction).otherwise(weight)
     chosen = known.filter(wanted).select("doc_id", "label", weight.alias("weight"))
-    return docs.withColumn("doc_id", F.col("doc_id").cast("bigint")).join(
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *columns).join(
         F.broadcast(chosen), "doc_id").select("label", "weight", *columns)
