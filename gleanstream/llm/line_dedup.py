@@ -65,10 +65,15 @@ def without_boilerplate(docs: DataFrame, text: str = "text", site: str = "source
                         registers: int = REGISTERS, band: float = BAND) -> DataFrame:
     """``row`` (the document as given), clean, n_lines, n_removed.
 
-    Only hashes of lines are joined with the boilerplate; a document's text is shuffled only
-    if it may lose a line.
+    The most frequent lines, of which there can be no more than HOT_KEYS, go to all tasks and
+    are taken out on the spot. For the others only hashes of lines are joined, and a
+    document's text is shuffled only if it may lose one of those.
     """
     gone = boilerplate(docs, text, site, min_sites, min_chars, registers, band)
+    total = gone.agg(F.sum("documents")).first()[0] or 0
+    is_hot = F.col("documents") * tables.HOT_KEYS > total
+    hot = [row[0] for row in gone.filter(is_hot).select(F.hex("line")).collect()]
+    gone = gone.filter(~is_hot)
     rows = tables.packed(docs).withColumn("ident", F.xxhash64(F.to_json(F.struct(
         F.col(f"row.{text}").alias("text"), F.col(f"row.{site}").alias("site")))))
     lines = rows.select("ident", F.explode(F.array_distinct(F.transform(
@@ -84,8 +89,10 @@ def without_boilerplate(docs: DataFrame, text: str = "text", site: str = "source
     untouched = marked.filter(~F.col("maybe")).select(
         "row", F.lit(None).cast("array<binary>").alias("lost"))
     all_lines = F.split(F.col(f"row.{text}"), "\n")
-    kept = F.when(F.col("lost").isNull(), all_lines).otherwise(F.filter(
-        all_lines, lambda one: ~F.coalesce(
+    common = F.filter(all_lines, lambda one: ~F.coalesce(
+        F.hex(_line_key(one, min_chars)).isin(hot), F.lit(False))) if hot else all_lines
+    kept = F.when(F.col("lost").isNull(), common).otherwise(F.filter(
+        common, lambda one: ~F.coalesce(
             F.array_contains(F.col("lost"), _line_key(one, min_chars)), F.lit(False))))
     return affected.unionByName(untouched).select("row", all_lines.alias("_all"), kept.alias("_kept")).select(
         "row", F.array_join("_kept", "\n").alias("clean"),
