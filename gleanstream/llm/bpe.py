@@ -3,10 +3,10 @@
 A rolling hash over the bytes of a text puts chunk borders where the content says so, so that
 a passage has the same chunks in every document it occurs in. A chunk that a worker has
 met is not encoded again. A border can cut a word, and then the tokens on both sides
-are wrong; each join is repaired by encoding anew from the last blank before the border to
-the first blank after it, going on over further chunks until there is one. At blanks the
-tokenizer always splits, so the repaired join and its neighbours agree exactly with the
-encoding of the whole text. What is new in a chunk is encoded word by word, each word once.
+would be wrong; each join is repaired by encoding on to the next blank, over further borders
+if there is none before them. At blanks the tokenizer always splits, so the repaired join and
+its neighbours agree exactly with the encoding of the whole text. What is new in a chunk is
+encoded word by word, and each word of a block of texts once.
 
 The coder is for tokenizers that drop white space; it tries this out and refuses others. Nulls count as empty; empty texts have no tokens and decode to an
 empty text. All columns are let through as ``row``; nothing is shuffled.
@@ -15,53 +15,68 @@ empty text. All columns are let through as ``row``; nothing is shuffled.
 from __future__ import annotations
 
 import hashlib
+import os
 import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gleanstream.llm import tables, words
-from gleanstream.session import ship_code
 
 #: Bytes that the rolling hash looks at, and the mean distance of borders (a power of two).
 ROLL, CHUNK = 24, 256
-#: Entries that a worker keeps of each kind; about 150 MB together.
-CHUNKS_KEPT, WORDS_KEPT = 60_000, 500_000
-_BLANKS = b" \n\t"
-
-
-def borders(data: bytes) -> list[int]:
-    """Byte offsets after which the content ends a chunk; independent of what is farther off."""
-    found: list[int] = []
-    for start in range(0, len(data), words.BLOCK_BYTES):
-        low = max(0, start - ROLL)
-        hashes = words.rolling_hashes(data[low:start + words.BLOCK_BYTES], ROLL)
-        at = np.flatnonzero(hashes & np.uint64(CHUNK - 1) == 0) + low + ROLL
-        found.extend(at[at > start].tolist())
-    return found
-
-
-def pieces(data: bytes) -> Iterator[tuple[bytes, bool]]:
-    """The text cut at blanks: chunk cores, and (marked True) the joins between them."""
-    done = 0  # all before is given out
-    for border in borders(data):
-        if border <= done:
-            continue  # inside a join that had to go on over this border
-        before = max(data.rfind(blank, done, border) for blank in _BLANKS)
-        ahead = [place for blank in _BLANKS if (place := data.find(blank, border)) >= 0]
-        end = min(ahead, default=len(data))
-        if before >= done:
-            yield data[done:before], False
-            yield data[before:end], True
-        else:
-            yield data[done:end], True
-        done = end
-    if done < len(data):
-        yield data[done:], False
+#: Bytes of text that are cut and encoded at once.
+BLOCK_BYTES = 1 << 19
+#: Entries that a worker keeps: chunks, and words of each of two generations; about 70 MB.
+CHUNKS_KEPT, WORDS_KEPT = 20_000, 150_000
+
+
+def _table(chars: bytes) -> np.ndarray:
+    table = np.zeros(256, dtype=bool)
+    table[list(chars)] = True
+    return table
+
+
+_BLANK = _table(b" \n\t")
+_ALNUM = _table(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+#: Signs that end a word. No quotes (they join letters that follow), no signs of special tokens.
+_ENDING = _table(b".,;:!?$%*&#")
+
+
+def chunk_ends(data: bytes, documents: np.ndarray) -> np.ndarray:
+    """Where chunks of a block end: at ends of documents, and at repaired content borders.
+
+    A border that cuts a word moves on to the next blank, so the word is encoded as a whole.
+    """
+    raw = np.frombuffer(data, np.uint8)
+    hashes = words.rolling_hashes(data, ROLL)
+    borders = np.flatnonzero(hashes & np.uint64(CHUNK - 1) == 0) + ROLL
+    blanks = np.append(np.flatnonzero(_BLANK[raw]), len(data))
+    return np.union1d(blanks[np.searchsorted(blanks, borders)], documents)
+
+
+def split_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the parts between which the tokenizer always splits.
+
+    These are blanks, and the place between a letter or digit and the signs that end a word.
+    """
+    raw = np.frombuffer(data, np.uint8)
+    inside = np.zeros(len(raw) + 2, dtype=bool)
+    inside[1:-1] = ~_BLANK[raw]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    if not len(starts):
+        return starts, ends
+    # the last byte at or before each place that is no ending sign
+    core = np.maximum.accumulate(np.where(_ENDING[raw], -1, np.arange(len(raw))))
+    stems = core[ends - 1] + 1
+    cut = (stems > starts) & (stems < ends)
+    cut[cut] = _ALNUM[raw[stems[cut] - 1]]
+    return (np.sort(np.concatenate([starts, stems[cut]])),
+            np.sort(np.concatenate([ends, stems[cut]])))
 
 
 class Coder:
@@ -73,59 +88,100 @@ class Coder:
         self.tokenizer.no_padding()
         self.chunks: dict[bytes, bytes] = {}
         self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.met = self.reused = 0
-        probe = [self._ids(text) for text in ("a b's\n c", "a", "b's", "c", " \n\t ")]
-        if probe[0] != probe[1] + probe[2] + probe[3] or probe[4]:
+        probe = [self._ids(text) for text in ("a b's.,\n c", "a", "b's", ".,", "c", " \n\t ")]
+        if probe[0] != sum(probe[1:], []):
             raise ValueError("the tokenizer keeps white space, so texts can't be cut there")
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _forget(self) -> None:
-        """Only between calls, so that nothing a call needs is forgotten in it."""
+    def _known(self, met: list[bytes]) -> list[bytes]:
+        """Ids of distinct words; those that are new are encoded, each once."""
         if len(self.words) > WORDS_KEPT:
-            self.words = dict(list(self.words.items())[-WORDS_KEPT // 2:])
+            self.words, self.older = {}, self.words
+        found = list(map(self.words.get, met))
+        new = []
+        for place, ids in enumerate(found):
+            if ids is None:
+                ids = self.older.get(met[place])
+                if ids is None:
+                    new.append(place)
+                else:
+                    found[place] = self.words[met[place]] = ids
+        coded = self.tokenizer.encode_batch_fast(
+            [met[place].decode("utf-8") for place in new], add_special_tokens=False)
+        for place, one in zip(new, coded, strict=True):
+            ids = one.ids
+            found[place] = self.words[met[place]] = struct.pack(f"<{len(ids)}I", *ids)
+        return found
+
+    def _encode_words(self, data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[
+            np.ndarray, np.ndarray]:
+        """Ids of all words, and where those of each word begin and the last end."""
+        if not len(starts):
+            return np.zeros(0, "<u4"), np.zeros(1, np.int64)
+        _, first, which = np.unique(
+            words.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        known = self._known([
+            data[start:end] for start, end in zip(starts[first].tolist(), ends[first].tolist())])
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        flat = np.frombuffer(b"".join(known), "<u4")
+        begin = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+        bounds = np.concatenate([[0], np.cumsum(sizes[which])])
+        places = np.repeat(begin[which] - bounds[:-1], sizes[which]) + np.arange(bounds[-1])
+        return flat[places], bounds
+
+    def _encode_block(self, block: list[bytes]) -> list[bytes]:
+        data = b"\n".join(block)
+        documents = np.cumsum([len(one) + 1 for one in block]) - 1
+        ends = chunk_ends(data, documents)
+        cuts = ends.tolist()
+        chunks = [data[start:end] for start, end in zip([0, *cuts], cuts)]
         if len(self.chunks) > CHUNKS_KEPT:
-            self.chunks = dict(list(self.chunks.items())[-CHUNKS_KEPT // 2:])
+            self.chunks = {}
+        fresh: dict[bytes, int] = {}
+        for place, chunk in enumerate(chunks):
+            if chunk not in self.chunks:
+                fresh.setdefault(chunk, place)
+        self.met += len(chunks)
+        self.reused += len(chunks) - len(fresh)
+
+        starts, stops = split_words(data)
+        taken = np.zeros(len(chunks) + 1, dtype=bool)
+        taken[list(fresh.values())] = True
+        owner = np.searchsorted(ends, starts, side="right")  # a word starts before its chunk ends
+        keep = taken[owner]
+        ids, bounds = self._encode_words(data, starts[keep], stops[keep])
+        owner = owner[keep]
+        low, high = (np.searchsorted(owner, list(fresh.values()), side=side).tolist()
+                     for side in ("left", "right"))
+        for at, chunk in enumerate(fresh):
+            self.chunks[chunk] = ids[bounds[low[at]]:bounds[high[at]]].tobytes()
+        coded = list(map(self.chunks.__getitem__, chunks))
+        last = (np.searchsorted(ends, documents) + 1).tolist()
+        return [b"".join(coded[start:end]) for start, end in zip([0, *last], last)]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, as little-endian 32-bit integers."""
-        self._forget()
-        cut = [list(pieces(text.encode("utf-8"))) if text else [] for text in texts]
-        fresh = {piece: _split(piece) for parts in cut for piece, _ in parts
-                 if piece not in self.chunks}
-        new = list({word: None for split in fresh.values() for word in split
-                    if word not in self.words})
-        coded = self.tokenizer.encode_batch_fast(
-            [word.decode("utf-8") for word in new], add_special_tokens=False)
-        for word, one in zip(new, coded, strict=True):
-            ids = one.ids
-            self.words[word] = struct.pack(f"<{len(ids)}I", *ids)
-        known = self.words.__getitem__
-        ids_of = {piece: b"".join(map(known, split)) for piece, split in fresh.items()}
-        for parts in cut:
-            for piece, join in parts:
-                if not join:
-                    self.met += 1
-                    if piece in self.chunks:
-                        self.reused += 1
-                    else:
-                        self.chunks[piece] = ids_of[piece]
-        return [b"".join([self.chunks[piece] if piece in self.chunks else ids_of[piece]
-                          for piece, _ in parts]) for parts in cut]
+        found: list[bytes] = []
+        block: list[bytes] = []
+        size = 0
+        for text in texts:
+            data = text.encode("utf-8") if text else b""
+            if block and size + len(data) > BLOCK_BYTES:
+                found += self._encode_block(block)
+                block, size = [], 0
+            block.append(data)
+            size += len(data) + 1
+        return found + (self._encode_block(block) if block else [])
 
     def decode(self, ids: bytes) -> str:
         return self.tokenizer.decode(
             np.frombuffer(ids, "<u4").tolist(), skip_special_tokens=False)
 
 
-def _split(piece: bytes) -> list[bytes]:
-    """Words between the blanks at which pieces are cut; other white space stays inside."""
-    return piece.translate(_TO_BLANK).split(b" ") if piece else []
-
-
-_TO_BLANK = bytes.maketrans(b"\n\t", b"  ")
-
 _coders: dict[str, Coder] = {}
 
 
@@ -133,31 +189,30 @@ def _coder(config: str) -> Coder:
     """One coder a worker process, kept from task to task."""
     key = hashlib.sha256(config.encode()).hexdigest()
     if key not in _coders:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         _coders[key] = Coder(config)
     return _coders[key]
 
 
-def _encoder(config, with_ids: bool):
+def _encoder(config, text_column: str, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(config.value)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 200):
-                part = batch.slice(start, 200)
-                coded = coder.encode(part.column("text").to_pylist())
-                decoded = [coder.decode(ids) for ids in coded]
-                columns = [
-                    part.column("row"),
-                    pa.array([len(ids) // 4 for ids in coded], pa.int64()),
-                    pa.array([hashlib.sha256(ids).hexdigest() for ids in coded]),
-                    pa.array([hashlib.sha256(text.encode()).hexdigest() for text in decoded])]
-                names = ["row", "n_tokens", "ids_sha256", "decoded_sha256"]
-                if with_ids:
-                    columns += [
-                        pa.array([np.frombuffer(ids, "<u4").astype(np.int32) for ids in coded],
-                                 pa.list_(pa.int32())),
-                        pa.array(decoded)]
-                    names += ["ids", "decoded"]
-                yield pa.RecordBatch.from_arrays(columns, names)
+        for part in tables.slices(batches):
+            coded = coder.encode(part.column("row").field(text_column).to_pylist())
+            decoded = [coder.decode(ids) for ids in coded]
+            columns = [
+                part.column("row"),
+                pa.array([len(ids) // 4 for ids in coded], pa.int64()),
+                pa.array([hashlib.sha256(ids).hexdigest() for ids in coded]),
+                pa.array([hashlib.sha256(text.encode()).hexdigest() for text in decoded])]
+            names = ["row", "n_tokens", "ids_sha256", "decoded_sha256"]
+            if with_ids:
+                columns += [
+                    pa.array([np.frombuffer(ids, "<u4").astype(np.int32) for ids in coded],
+                             pa.list_(pa.int32())),
+                    pa.array(decoded)]
+                names += ["ids", "decoded"]
+            yield pa.RecordBatch.from_arrays(columns, names)
     return run
 
 
@@ -168,7 +223,7 @@ def encoded(docs: DataFrame, vocabulary: str, text: str = "text", with_ids: bool
     executors need no such file. Without ``with_ids`` only the digests leave the tasks.
     """
     spark = docs.sparkSession
-    ship_code(spark)
+    tables.prepare(spark)
     with open(vocabulary, encoding="utf-8") as file:
         config = spark.sparkContext.broadcast(file.read())
     rows = tables.packed(docs)
@@ -176,5 +231,4 @@ def encoded(docs: DataFrame, vocabulary: str, text: str = "text", with_ids: bool
     schema = f"row {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     if with_ids:
         schema += ", ids array<int>, decoded string"
-    return rows.select("row", F.col(f"row.{text}").alias("text")).mapInArrow(
-        _encoder(config, with_ids), schema)
+    return rows.mapInArrow(_encoder(config, text, with_ids), schema)

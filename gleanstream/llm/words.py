@@ -62,11 +62,25 @@ def _block_words(data: bytes, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     inside[1:-1] = mask[raw]
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
+    return _span_hashes(raw, starts, ends), starts
+
+
+def _prefix_sums(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     powers, inverses = _power_tables(len(raw) + 1)
     sums = np.zeros(len(raw) + 1, dtype=np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers[:len(raw)], out=sums[1:])
+    return sums, inverses
+
+
+def _span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    sums, inverses = _prefix_sums(raw)
     hashes = (sums[ends] - sums[starts]) * inverses[starts]
-    return mixed(hashes + (ends - starts).astype(np.uint64) * np.uint64(_Q)), starts
+    return mixed(hashes + (ends - starts).astype(np.uint64) * np.uint64(_Q))
+
+
+def span_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the bytes between starts and ends, as they are."""
+    return _span_hashes(np.frombuffer(data, np.uint8), starts, ends)
 
 
 def _cut(data: bytes, mask: np.ndarray) -> Iterator[bytes]:
@@ -135,8 +149,5 @@ def rolling_hashes(data: bytes, width: int) -> np.ndarray:
     count = len(data) - width + 1
     if count <= 0:
         return np.zeros(0, dtype=np.uint64)
-    raw = np.frombuffer(data, dtype=np.uint8)
-    powers, inverses = _power_tables(len(raw) + 1)
-    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers[:len(raw)], out=sums[1:])
+    sums, inverses = _prefix_sums(np.frombuffer(data, dtype=np.uint8))
     return mixed((sums[width:] - sums[:-width]) * inverses[:count])
