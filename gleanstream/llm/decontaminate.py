@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanstream.llm import tables, words
-from gleanstream.session import ship_code
 
 WINDOW = 13
 #: Words of a shingle; shorter windows are one shingle.
@@ -88,7 +87,7 @@ def _counted(shingles: dict[int, np.ndarray]):
     """Occurrences of the items' shingles, summed within each batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookups = {width: Lookup(values) for width, values in shingles.items()}
-        for batch in batches:
+        for batch in tables.slices(batches):
             for _, hashes, bounds in words.hashed_words(
                     batch.column(0).to_pylist(), words.ALPHANUMERIC):
                 for width, lookup in lookups.items():
@@ -124,7 +123,7 @@ def _matched(prefixes: dict):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookups = {width: Lookup(np.array(list(tokens), np.uint64))
                    for width, tokens in prefixes.items()}
-        for batch in batches:
+        for batch in tables.slices(batches):
             for first, hashes, bounds in words.hashed_words(
                     batch.column(1).to_pylist(), words.ALPHANUMERIC):
                 lengths, starts, ends, owners = np.diff(bounds), [], [], []
@@ -155,7 +154,7 @@ _MATCH_SCHEMA = (
 
 def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words that lie in any span, and the digest of the items."""
-    for batch in batches:
+    for batch in tables.slices(batches):
         rows = batch.to_pydict()
         hit, digests, counts = [], [], []
         for starts, ends, items in zip(rows["starts"], rows["ends"], rows["items"], strict=True):
@@ -192,7 +191,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc
                   slice_words: int = SLICE_WORDS) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items."""
     spark = docs.sparkSession
-    ship_code(spark)
+    tables.prepare(spark)
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     items = benchmark.select(
         F.col(item_id).cast("bigint").alias("item_id"), F.col(item_text).alias("text")

@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanstream.llm import samples, tables, words
-from gleanstream.session import ship_code
 
 #: Labelled documents that the machine is fitted on, at most, by label.
 SAMPLE = {0: 5000, 1: 7000}
@@ -137,7 +136,7 @@ def trained(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray,
 
 
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in tables.slices(batches):
         rows = features(batch.column("text").to_pylist(), batch.column("n_chars").to_pylist())
         yield pa.RecordBatch.from_arrays([
             batch.column("label"), batch.column("weight"),
@@ -153,7 +152,7 @@ def _with_size(docs: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, most: dict[int, int] | None = None,
         modulus: int = 4, fold: int = 2) -> Machine:
-    ship_code(docs.sparkSession)
+    tables.prepare(docs.sparkSession)
     rows = samples.labelled_sample(
         _with_size(docs).select("doc_id", "text", "n_chars"), labels, "quality", modulus, fold,
         most or SAMPLE, ("text", "n_chars")).mapInArrow(
@@ -169,7 +168,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: dict[int, int] | None = None,
 def _scored(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = model.value
-        for batch in batches:
+        for batch in tables.slices(batches):
             scores = [machine.score(*one) for one in features(
                 batch.column("text").to_pylist(), batch.column("n_chars").to_pylist())]
             yield pa.RecordBatch.from_arrays(
@@ -180,7 +179,7 @@ def _scored(model):
 def scored(docs: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
     """``row`` (the document as given) and score; one pass, no shuffle."""
     spark = docs.sparkSession
-    ship_code(spark)
+    tables.prepare(spark)
     rows = tables.packed(docs)
     kind = rows.schema["row"].dataType.simpleString()
     size = F.col("row.n_chars").cast("bigint") if "n_chars" in docs.columns else F.lit(None).cast("bigint")

@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanstream.llm import tables
-from gleanstream.session import ship_code
 
 # The base patterns, in the order in which their kinds are listed.
 ASSIGN = re.compile(
@@ -122,7 +121,7 @@ def _listed(spans: list[tuple[int, int, int]]) -> str:
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in tables.slices(batches):
         counts: list[list[int]] = [[], [], [], []]
         digests, lists = [], []
         for text in batch.column("text").to_pylist():
@@ -140,7 +139,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def scanned(docs: DataFrame, text: str = "text") -> DataFrame:
     """``row`` (the document as given), counts by kind, base_sha256, spans; no shuffle."""
-    ship_code(docs.sparkSession)
+    tables.prepare(docs.sparkSession)
     rows = tables.packed(docs)
     kind = rows.schema["row"].dataType.simpleString()
     return rows.select("row", F.col(f"row.{text}").alias("text")).mapInArrow(

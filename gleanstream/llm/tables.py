@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanstream.session import run_dir
+from gleanstream.session import run_dir, ship_code
 
 #: A key that holds more than this share of all rows is joined by broadcast. Fewer than
 #: HOT_KEYS keys can hold so much, so what is broadcast is bounded whatever the data are.
 HOT_KEYS = 1000
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Bits in one block of a repeat filter, as ``bitmap_construct_agg`` makes them (4 KiB).
 BLOCK_BITS = 32768
 #: Bits of a filter at most, 128 MiB. Beyond 2**26 rows it takes more and more other rows for
@@ -17,6 +21,17 @@ BLOCK_BITS = 32768
 FILTER_BITS = 2**30
 
 
+def prepare(spark: SparkSession) -> None:
+    """What Python tasks need: this package, and record batches that stay small.
+
+    The engine's default of 10,000 rows a batch is for short rows; with whole texts it costs
+    each task, on both sides, some hundred MB. A session's own setting is left alone.
+    """
+    ship_code(spark)
+    if spark.conf.get(_BATCH_ROWS) == "10000":
+        spark.conf.set(_BATCH_ROWS, "1000")
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write a table to the shared folder and read it: cuts lineage, survives lost executors."""
     path = run_dir(df.sparkSession, purpose)
@@ -24,6 +39,13 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 400) -> Iterator[pa.RecordBatch]:
+    """Batches in small parts, so that a worker holds few decoded texts at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """All columns as one struct, so that helper columns never clash with those of the input."""
     return docs.select(F.struct("*").alias("row"))

@@ -1,9 +1,10 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick over folded text.
 
 Folding undoes disguises: compatibility forms, accents, look-alike letters of other scripts,
-and digits or signs that stand for letters inside a word. The lexicon has seed words and
-stems learned from labelled documents: beginnings of words (or whole words) that are far
-likelier in toxic documents, chosen greedily so that each covers documents the others do not.
+and digits or signs that stand for letters inside a word (signs around it are punctuation).
+The lexicon has seed words and stems learned from labelled documents: beginnings of words (or
+whole words) that are far likelier in toxic documents, chosen greedily so that each covers
+documents the others do not.
 Weights are log odds. One automaton finds all entries at word starts in a single pass; hits
 inside an exception phrase do not count. The score is a logistic function of the summed
 weights and of the summed weights per hundred words, so that length is normalised out.
@@ -28,7 +29,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanstream.llm import samples, tables
-from gleanstream.session import ship_code
 
 #: Labelled documents that a model is fitted on, at most, by label.
 SAMPLE = {0: 9000, 1: 3000}
@@ -156,7 +156,7 @@ def _stems(text: str) -> set[str]:
 
 
 def _stem_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in tables.slices(batches):
         texts = batch.column("text").to_pylist()
         for start in range(0, len(texts), 100):
             counts: Counter[str] = Counter()
@@ -171,7 +171,7 @@ def _known_stems(known: list[str]):
     """The known stems that each document has."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = {stem: place for place, stem in enumerate(known)}
-        for batch in batches:
+        for batch in tables.slices(batches):
             rows = [sorted(places[stem] for stem in _stems(folded(text)) & places.keys())
                     for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -182,7 +182,7 @@ def _known_stems(known: list[str]):
 def _sums(weights: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = weights.automaton()
-        for batch in batches:
+        for batch in tables.slices(batches):
             rows = [folded(text) for text in batch.column("text").to_pylist()]
             sums = [matched(row, automaton)[0] for row in rows]
             sizes = [row.count(" ") - 1 for row in rows]
@@ -243,7 +243,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: dict[int, int] | None = None,
     What reaches the driver is bounded by the sample: stems that enough of its toxic
     documents have, which documents have them, and two numbers a document.
     """
-    ship_code(docs.sparkSession)
+    tables.prepare(docs.sparkSession)
     rows = samples.labelled_sample(docs, labels, "toxic", modulus, fold, most or SAMPLE)
     # copies of one text would make its rare words look telling
     rows = tables.stored(
@@ -284,11 +284,11 @@ def fit(docs: DataFrame, labels: DataFrame, most: dict[int, int] | None = None,
     return Model(model.weights, model.exceptions, tuple(map(float, fitted)))
 
 
-def _scored(model: Model):
+def _scored(model: Model, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = model.automaton()
-        for batch in batches:
-            rows = [folded(text) for text in batch.column(1).to_pylist()]
+        for batch in tables.slices(batches):
+            rows = [folded(one) for one in batch.column(0).field(text).to_pylist()]
             hits = [matched(row, automaton) for row in rows]
             totals = np.array([total for total, _ in hits], dtype=float)
             words = np.array([max(row.count(" ") - 1, 0) for row in rows], dtype=float)
@@ -302,11 +302,11 @@ def _scored(model: Model):
 
 def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``row`` (the document as given), score, n_hits and density; one pass, no shuffle."""
-    ship_code(docs.sparkSession)
+    tables.prepare(docs.sparkSession)
     rows = tables.packed(docs)
     kind = rows.schema["row"].dataType.simpleString()
-    return rows.select("row", F.col(f"row.{text}").alias("text")).mapInArrow(
-        _scored(model), f"row {kind}, score double, n_hits bigint, density double")
+    return rows.mapInArrow(
+        _scored(model, text), f"row {kind}, score double, n_hits bigint, density double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

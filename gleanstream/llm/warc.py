@@ -32,7 +32,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanstream.llm import tables
-from gleanstream.session import ship_code
 
 #: Records of one archive file at most, and bytes that the reader inflates at once.
 FILE_RECORDS, PIECE = 20_000, 1 << 16
@@ -89,7 +88,7 @@ def _written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def write_archives(pages: DataFrame, path: str, min_bytes: int = 0,
                    file_records: int = FILE_RECORDS) -> None:
     """Write pages (page_id, url, html) as archives to a new folder."""
-    ship_code(pages.sparkSession)
+    tables.prepare(pages.sparkSession)
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     sha = F.unhex(F.sha1(payload))
     narrow = tables.stored(pages.select(
@@ -253,7 +252,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True,
                   strict: bool = False) -> DataFrame:
     """One row per record: page_id, payload_bytes, payload_digest, record_type, refers_to, url,
     html (of responses), problem. A task reads whole files, which ``file_records`` bounds."""
-    ship_code(spark)
+    tables.prepare(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     return files.select("content").mapInArrow(
         _read(with_payload, strict),
