@@ -6,14 +6,16 @@ odd sketch (a parity bitmap) and hashed into bands. Documents that share a band
 candidates; the population count of two sketches' XOR estimates the similarity and throws
 out the dissimilar, and what is left is confirmed on the full sets of the whole texts.
 
-Candidates are taken in rounds, joining components after each: first every member of a band
-bucket against the bucket's smallest document, then against one drawn by hash, last all
-pairs of a bucket that still lie in different components, in blocks whose joins let only
-pairs through that their sketches hold to be similar. So a large group of near copies costs
-its members once or twice, and no pair that shares a band is passed over.
+Candidates are taken in two rounds, joining components after each: first every member of a
+band bucket against the bucket's smallest document, and in one bucket of eight against
+another drawn by hash; then all pairs of a bucket that still lie in different components,
+compared block by block through their sketches. So a large group of near copies costs its
+members a few times over, and no pair that shares a band is passed over.
 
-With 32 bands of 6 samples a pair at similarity 0.85 shares no band with probability 3e-7,
-and its sketches throw it out with a probability below 1e-9.
+In the second round the documents of the buckets that are left get sketches of many more
+samples, for their pairs are mostly just dissimilar. With 32 bands of 6 samples a pair at
+similarity 0.85 shares no band with probability 3e-7; its sketches throw it out with about
+the same.
 
 Nulls and texts without words have empty sets and are linked with nothing; null doc_ids are
 never linked. Rows that share a doc_id are one document with the links of all its texts.
@@ -23,7 +25,7 @@ An empty table gives an empty result. Other columns are let through.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -32,29 +34,30 @@ from pyspark.sql import functions as F
 
 from gleanstream.llm import tables, words
 from gleanstream.llm.components import connected_components
-from gleanstream.session import ship_code
 
 #: Words of a shingle.
 SHINGLE = 5
 #: Documents of a block, and partners that share one copy of a text.
-BLOCK = 128
+BLOCK = 256
+#: One bucket of so many has a second centre, in case the first is unlike the others.
+DRAWN = 8
 _SKETCH_SCHEMA = (
     "doc_id bigint, n_shingles bigint, set_key binary, sketch array<bigint>, bands array<bigint>")
 
 
 @dataclass(frozen=True)
 class Plan:
-    """Parameters. ``percent``: least similarity; ``slack``: what an estimate may lack of it."""
+    """Parameters of one odd sketch, and of the bands for which its samples are used.
+
+    ``percent`` is the least similarity, ``slack`` what an estimate may lack of it: five
+    standard deviations of an estimate at similarity 0.85.
+    """
 
     percent: int = 85
-    bands: int = 32
-    rows: int = 6
+    samples: int = 192
     sketch_bits: int = 512
-    slack: float = 0.2
-
-    @property
-    def samples(self) -> int:
-        return self.bands * self.rows
+    slack: float = 0.16
+    bands: int = 32
 
     @property
     def most_odd_bits(self) -> int:
@@ -67,6 +70,10 @@ class Plan:
         full = 1 - np.exp(-4 * self.samples * apart / self.sketch_bits)
         return int(self.sketch_bits / 2 * full)
 
+    def finer(self) -> Plan:
+        """For the few documents whose buckets stay open: more samples, less slack."""
+        return replace(self, samples=1024, sketch_bits=2048, slack=0.067)
+
 
 def shingle_sets(texts: list[str | None]) -> Iterator[tuple[int, list[np.ndarray]]]:
     """Blocks of texts as (first text, distinct shingle hashes of each, sorted)."""
@@ -111,9 +118,10 @@ def odd_sketches(samples: np.ndarray, bits: int) -> np.ndarray:
 
 
 def band_keys(samples: np.ndarray, plan: Plan) -> np.ndarray:
-    grouped = samples.reshape(len(samples), plan.bands, plan.rows)
+    rows = plan.samples // plan.bands
+    grouped = samples.reshape(len(samples), plan.bands, rows)
     keys = np.tile(np.arange(1, plan.bands + 1, dtype=np.uint64), (len(samples), 1))
-    for i in range(plan.rows):
+    for i in range(rows):
         keys = words.mixed(keys ^ grouped[:, :, i]) * np.uint64(0x9E3779B97F4A7C15)
     return keys.view(np.int64)
 
@@ -126,7 +134,7 @@ def _set_key(values: np.ndarray) -> bytes:
 
 def _sketched(plan: Plan):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tables.slices(batches):
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for first, sets in shingle_sets(texts):
                 sizes = [len(one) for one in sets]
@@ -148,9 +156,25 @@ def _sketched(plan: Plan):
     return run
 
 
+def _finely_sketched(plan: Plan):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tables.slices(batches):
+            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            for first, sets in shingle_sets(texts):
+                places = [first + place for place, one in enumerate(sets) if len(one)]
+                full = [one for one in sets if len(one)]
+                if full:
+                    sketches = odd_sketches(minhashes(full, plan.samples), plan.sketch_bits)
+                    yield pa.RecordBatch.from_arrays([
+                        ids.take(pa.array(places)), pa.array([len(one) for one in full], pa.int64()),
+                        pa.array(list(sketches), pa.list_(pa.int64()))],
+                        ["rep", "n_shingles", "sketch"])
+    return run
+
+
 def _similar(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tables.slices(batches):
             sets: list[list[np.ndarray]] = []
             for name in ("text_a", "text_b"):
                 sets.append([one for _, block in shingle_sets(batch.column(name).to_pylist())
@@ -164,20 +188,20 @@ def _similar(percent: int):
     return run
 
 
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Documents that may be among the ids; a filter of bounded size, and no shuffle."""
+    return tables.among(
+        docs.withColumn("key", F.xxhash64("doc_id")), "key",
+        ids.select(F.xxhash64("doc_id").alias("key"))).select("doc_id", "text")
+
+
 def _confirmed(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar.
 
-    Only texts that take part are shuffled, found by a bounded filter. A text with many
+    Only texts that take part are shuffled. A text with many
     partners is sent once for every BLOCK of them, so no task gets all its pairs.
     """
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    bits = tables.filter_bits(2 * pairs.count(), tables.FILTER_BITS)
-    known = tables.stored(tables.member_filter(
-        ends.select(F.xxhash64("doc_id").alias("key")), "key", bits), "member-filter")
-    texts = tables.with_maybe(
-        docs.withColumn("key", F.xxhash64("doc_id")), "key", known, bits
-    ).filter("maybe").select("doc_id", "text")
-
+    texts = _texts(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")))
     degrees = tables.stored(pairs.groupBy("b").count(), "degrees")
     shares = F.ceil(F.col("count") / BLOCK).cast("int")
     dealt = tables.attach(pairs, degrees, "b", "count").select(
@@ -212,18 +236,14 @@ def _sketch_filtered(pairs: DataFrame, sketches: DataFrame, plan: Plan) -> DataF
 
 
 def _star(members: DataFrame, drawn: bool) -> DataFrame:
-    """Pairs of each bucket's members with its centre: the smallest, or one drawn by hash.
-
-    Labelled members are paired with a centre of another component only.
-    """
+    """Pairs of each bucket's members with its centre: the smallest, or one drawn by hash."""
     order = F.xxhash64("rep", "key") if drawn else F.col("rep")
-    label = F.col("label") if "label" in members.columns else F.col("rep")
-    members = members.withColumn("label", label)
     centres = tables.stored(members.groupBy("key").agg(
-        F.count("*").alias("size"), F.min(F.struct(order.alias("order"), "rep", "label")).alias("centre")), "centres")
-    joined = tables.attach(members.select("key", "rep", "label"), centres, "key", "size")
-    return joined.filter(F.col("label") != F.col("centre.label")).select(
-        F.greatest("rep", "centre.rep").alias("a"), F.least("rep", "centre.rep").alias("b"))
+        F.count("*").alias("size"),
+        F.min(F.struct(order.alias("order"), "rep"))["rep"].alias("centre")), "centres")
+    joined = tables.attach(members.select("key", "rep"), centres, "key", "size")
+    return joined.filter(F.col("rep") != F.col("centre")).select(
+        F.greatest("rep", "centre").alias("a"), F.least("rep", "centre").alias("b"))
 
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -238,35 +258,94 @@ def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
         "key", "rep", "label", "size")
 
 
+def _compared(plan: Plan):
+    """Similar pairs of the groups (key, i, j), which come one after another."""
+    columns = ("key", "i", "j", "own", "rep", "label", "n_shingles")
+
+    def pairs_of(rows: dict[str, np.ndarray], keys: list) -> Iterator[tuple[int, int]]:
+        left = np.flatnonzero(rows["own"] == rows["i"])
+        right = np.flatnonzero(rows["own"] == rows["j"])
+        low = np.minimum.outer(rows["n_shingles"][left], rows["n_shingles"][right])
+        high = np.maximum.outer(rows["n_shingles"][left], rows["n_shingles"][right])
+        maybe = (100 * low >= plan.percent * high) & (
+            rows["label"][left][:, None] != rows["label"][right])
+        at, to = np.nonzero(maybe)
+        sketches = rows["sketch"]
+        for start in range(0, len(at), 4096):
+            a, b = left[at[start:start + 4096]], right[to[start:start + 4096]]
+            odd = np.bitwise_count(sketches[a] ^ sketches[b]).sum(axis=1, dtype=np.int64)
+            for x, y in zip(a[odd <= plan.most_odd_bits], b[odd <= plan.most_odd_bits], strict=True):
+                # a pair counts in the first of the buckets that it shares
+                if rows["rep"][y] < rows["rep"][x] and min(keys[x] & keys[y]) == rows["key"][0]:
+                    yield int(rows["rep"][x]), int(rows["rep"][y])
+
+    def both_ways(rows: dict[str, np.ndarray], keys: list) -> set[tuple[int, int]]:
+        found = set(pairs_of(rows, keys))
+        if rows["i"][0] != rows["j"][0]:
+            found.update(pairs_of(rows | {"i": rows["j"], "j": rows["i"]}, keys))
+        return found
+
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        """Whole groups; a group has two blocks at most, however many rows a bucket has."""
+        rest: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if rest is None else pa.concat_tables([rest, table]).combine_chunks()
+            if not table.num_rows:
+                continue
+            marks = np.stack([table[name].to_numpy() for name in ("key", "i", "j")])
+            starts = np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1
+            cuts = [0, *starts.tolist()]
+            for start, end in zip(cuts, cuts[1:]):
+                yield table.slice(start, end - start)
+            rest = table.slice(cuts[-1])
+        if rest is not None and rest.num_rows:
+            yield rest
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple[int, int]] = []
+        for group in groups(tables.slices(batches, 2000)):
+            if group.num_rows > 1:
+                rows = {name: group[name].to_numpy() for name in columns}
+                flat = group["sketch"].combine_chunks().flatten().to_numpy()
+                rows["sketch"] = flat.reshape(group.num_rows, -1).view(np.uint64)
+                found += both_ways(rows, [set(one) for one in group["keys"].to_pylist()])
+            if len(found) > 10_000:
+                yield _pair_batch(found)
+                found = []
+        yield _pair_batch(found)
+    return run
+
+
+def _pair_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    both = [[pair[side] for pair in pairs] for side in (0, 1)]
+    return pa.RecordBatch.from_arrays([pa.array(one, pa.int64()) for one in both], ["a", "b"])
+
+
 def _blocks(members: DataFrame, sketches: DataFrame, plan: Plan) -> DataFrame:
     """Pairs of different components within a bucket that their sketches hold to be similar.
 
-    A bucket is dealt into blocks; each pair of blocks meets in one group of a join whose
-    condition is the sketch estimate, so only such pairs come out.
+    A bucket is dealt into blocks, and each pair of blocks is compared on its own; only
+    similar pairs come out, each in the first of the buckets that it shares.
     """
     count = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = tables.stored(members.join(sketches, "rep").select(
-        "key", "rep", "label", "n_shingles", "sketch", count.alias("blocks"),
-        F.pmod(F.xxhash64("rep"), count).cast("int").alias("own")), "blocks")
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = dealt.select("*", every.alias("other")).select(
-        "key", F.col("own").alias("i"), F.col("other").alias("j"), F.col("rep").alias("b"),
-        F.col("label").alias("label_b"), F.col("n_shingles").alias("n_b"),
-        F.col("sketch").alias("sketch_b"))
-    right = dealt.select("*", every.alias("other")).select(
-        "key", F.col("other").alias("i"), F.col("own").alias("j"), F.col("rep").alias("a"),
-        F.col("label").alias("label_a"), F.col("n_shingles").alias("n_a"),
-        F.col("sketch").alias("sketch_a"))
-    met = left.join(right, ["key", "i", "j"]).filter(
-        (F.col("b") < F.col("a")) & (F.col("label_a") != F.col("label_b")) & _could_be_similar(
-            plan, F.col("sketch_a"), F.col("sketch_b"), F.col("n_a"), F.col("n_b")))
-    return tables.stored(met.select("a", "b").distinct(), "pairs")
+    keys = members.groupBy("rep").agg(F.collect_set("key").alias("keys"))  # one a band at most
+    dealt = members.join(keys, "rep").join(sketches, "rep").select(
+        "key", "keys", "rep", "label", "n_shingles", "sketch",
+        F.pmod(F.xxhash64("rep"), count).cast("int").alias("own"),
+        F.explode(F.sequence(F.lit(0), count - 1)).alias("other"))
+    met = dealt.select(
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        "own", "rep", "label", "n_shingles", "sketch", "keys")
+    ordered = met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return tables.stored(
+        ordered.mapInArrow(_compared(plan), "a bigint, b bigint").distinct(), "pairs")
 
 
 def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                 plan: Plan = Plan()) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
-    ship_code(docs.sparkSession)
+    tables.prepare(docs.sparkSession)
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     rows = tables.stored(docs.mapInArrow(_sketched(plan), _SKETCH_SCHEMA), "sketches")
     linkable = rows.filter("set_key IS NOT NULL AND doc_id IS NOT NULL")
@@ -290,24 +369,24 @@ def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     links = linkable.join(known, "set_key").filter("doc_id <> rep").select(
         F.col("doc_id").alias("a"), F.col("rep").alias("b")).join(
         known.select(F.col("rep").alias("a")), "a", "left_semi").distinct()
+    drawn = members.filter(F.pmod(F.col("key"), F.lit(DRAWN)) == 0)
+    near = _star(members, drawn=False).unionByName(_star(drawn, drawn=True))
     links = tables.stored(links.unionByName(_confirmed(docs, tables.stored(
-        _sketch_filtered(_star(members, drawn=False), sketches, plan), "candidates"),
-        plan.percent)), "links")
+        _sketch_filtered(near, sketches, plan), "candidates"), plan.percent)), "links")
     labels = connected_components(links)
-    for last in (False, True):
-        left_over = tables.stored(_open(members, labels), "open-members")
-        if left_over.isEmpty():
-            break
-        if last:
-            pairs = _blocks(left_over, sketches, plan)
-        else:
-            pairs = tables.stored(_sketch_filtered(
-                _star(left_over, drawn=True), sketches, plan), "candidates")
-        if pairs.isEmpty():
-            continue
-        links = tables.stored(
-            links.unionByName(_confirmed(docs, pairs, plan.percent)), "links")
-        labels = connected_components(links)
+
+    left_over = tables.stored(_open(members, labels), "open-members")
+    if not left_over.isEmpty():
+        fine = plan.finer()
+        sketches = tables.stored(_texts(docs, left_over.select(
+            F.col("rep").alias("doc_id"))).mapInArrow(
+            _finely_sketched(fine), "rep bigint, n_shingles bigint, sketch array<bigint>"),
+            "fine-sketches")
+        pairs = _blocks(left_over, sketches, fine)
+        if not pairs.isEmpty():
+            links = tables.stored(
+                links.unionByName(_confirmed(docs, pairs, plan.percent)), "links")
+            labels = connected_components(links)
 
     placed = classes.join(labels, F.col("rep") == F.col("node"), "left").select(
         "set_key", "size", F.coalesce("label", "rep").alias("component_id"))
