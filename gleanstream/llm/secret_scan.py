@@ -69,7 +69,8 @@ def dense_windows(candidate: str, least: float, width: int = WINDOW) -> list[tup
 
     Entropy is log2 w - (sum of n log2 n) / w; a step changes two terms of the sum.
     """
-    terms = [0.0, *(n * math.log2(n) for n in range(1, width + 1))]
+    # one more than a window holds, for the moment before its first character goes
+    terms = [0.0, *(n * math.log2(n) for n in range(1, width + 2))]
     counts: dict[str, int] = {}
     total, spans = 0.0, []
     for end, char in enumerate(candidate, 1):
