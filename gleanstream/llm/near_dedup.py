@@ -50,7 +50,8 @@ class Plan:
     """Parameters of one odd sketch, and of the bands for which its samples are used.
 
     ``percent`` is the least similarity, ``slack`` what an estimate may lack of it: five
-    standard deviations of an estimate at similarity 0.85.
+    standard deviations of an estimate at that similarity, ``fine_slack`` the same for
+    :meth:`finer`. The defaults are for similarity 0.85.
     """
 
     percent: int = 85
@@ -58,6 +59,7 @@ class Plan:
     sketch_bits: int = 512
     slack: float = 0.16
     bands: int = 32
+    fine_slack: float = 0.067
 
     @property
     def most_odd_bits(self) -> int:
@@ -72,7 +74,7 @@ class Plan:
 
     def finer(self) -> Plan:
         """For the few documents whose buckets stay open: more samples, less slack."""
-        return replace(self, samples=1024, sketch_bits=2048, slack=0.067)
+        return replace(self, samples=1024, sketch_bits=2048, slack=self.fine_slack)
 
 
 def shingle_sets(texts: list[str | None]) -> Iterator[tuple[int, list[np.ndarray]]]:
