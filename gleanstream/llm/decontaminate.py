@@ -10,8 +10,8 @@ by one with the window's.
 Windows go to the tasks in slices of bounded size, one pass over the documents each, so
 nothing is broadcast that grows with the data. Null and empty texts have no words: a
 document without words has no hits, an item without words has no windows. Items that repeat
-count by item_id; items without an id take no part. Rows that share a doc_id are
-judged one by one when there is a single slice, and together else.
+count by item_id; items without an id take no part. Every row is judged on its own, whatever
+the number of slices; rows without a doc_id and rows that share one stay apart.
 """
 
 from __future__ import annotations
@@ -144,12 +144,11 @@ def _matched(prefixes: dict):
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(first, len(lengths)), pa.array(lengths, pa.int64()),
                     pa.array(starts, lists), pa.array(ends, lists), pa.array(owners, lists)],
-                    ["doc_id", "n_words", "starts", "ends", "items"])
+                    ["row", "n_words", "starts", "ends", "items"])
     return run
 
 
-_MATCH_SCHEMA = (
-    "doc_id bigint, n_words bigint, starts array<bigint>, ends array<bigint>, items array<bigint>")
+_MATCH_SCHEMA = "n_words bigint, starts array<bigint>, ends array<bigint>, items array<bigint>"
 
 
 def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,63 +166,92 @@ def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts.append(len(names))
             digests.append(hashlib.sha256(",".join(names).encode()).hexdigest())
         yield pa.RecordBatch.from_arrays([
-            batch.column("doc_id"), batch.column("n_words"), pa.array(hit, pa.int64()),
+            batch.column("row"), batch.column("n_words"), pa.array(hit, pa.int64()),
             pa.array(counts, pa.int64()), pa.array(digests, pa.string()), batch.column("items")],
-            ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "items"])
+            ["row", "n_words", "n_hit", "n_items", "items_sha256", "items"])
 
 
-def _slices(items: DataFrame, slice_words: int) -> Iterator[list[tuple[int, str | None]]]:
-    """Items in parts of about ``slice_words`` words, each small enough for every task.
+def _slices(items: DataFrame, slice_words: int) -> tuple[int, Iterator[list[tuple[int, str | None]]]]:
+    """How many parts of about ``slice_words`` words the items have, and the parts.
 
-    The driver holds one part at a time. Parts come from a hash of the item, so their number
+    Each is small enough for every task. Parts come from a hash of the item, so their number
     follows from the size of the benchmark alone.
     """
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     count = max(1, -(-int(size) // (6 * slice_words)))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
-    for number in range(count):
-        rows = items.filter(part == number).collect() if count > 1 else items.collect()
-        yield [(row["item_id"], row["text"]) for row in rows]
 
-
-def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id",
-                  item_text: str = "text", item_id: str = "item_id",
-                  slice_words: int = SLICE_WORDS) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items."""
-    spark = docs.sparkSession
-    tables.prepare(spark)
-    docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    def parts() -> Iterator[list[tuple[int, str | None]]]:
+        for number in range(count):
+            rows = items.filter(part == number).collect() if count > 1 else items.collect()
+            yield [(row["item_id"], row["text"]) for row in rows]
+    return count, parts()
+
+
+def _slice_matches(rows: DataFrame, part: list[tuple[int, str | None]]) -> DataFrame:
+    """``row`` of the table (row, text) as given, with what the windows of one slice match."""
+    windows = Windows(part)
+    shingles = windows.shingles()
+    counts: dict[int, int] = {}
+    if shingles:
+        counted = rows.select("text").mapInArrow(
+            _counted(shingles), "token bigint, n bigint").groupBy("token").agg(
+            F.sum("n").alias("n")).collect()  # at most one row for each shingle of the slice
+        counts = {row["token"] % 2**64: row["n"] for row in counted}
+    kind = rows.schema["row"].dataType.simpleString()
+    return rows.mapInArrow(_matched(windows.prefixes(counts)), f"row {kind}, {_MATCH_SCHEMA}")
+
+
+def _judged(rows: DataFrame, benchmark: DataFrame, item_text: str, item_id: str,
+            slice_words: int) -> DataFrame:
+    """``row`` of the table (row, text) as given, with its verdict; one for each row.
+
+    With several slices the rows are stored under a number of their own, by which the
+    matches of the slices come together again: no two rows are ever merged.
+    """
     items = benchmark.select(
         F.col(item_id).cast("bigint").alias("item_id"), F.col(item_text).alias("text")
     ).filter("item_id IS NOT NULL AND text IS NOT NULL").distinct()
-    parts = []
-    for part in _slices(tables.stored(items, "items"), slice_words):
-        windows = Windows(part)
-        shingles = windows.shingles()
-        counts: dict[int, int] = {}
-        if shingles:
-            counted = docs.select("text").mapInArrow(
-                _counted(shingles), "token bigint, n bigint").groupBy("token").agg(
-                F.sum("n").alias("n")).collect()  # at most one row for each shingle of the slice
-            counts = {row["token"] % 2**64: row["n"] for row in counted}
-        parts.append(docs.mapInArrow(_matched(windows.prefixes(counts)), _MATCH_SCHEMA))
-    found = parts[0]
-    if len(parts) > 1:
-        for part in parts[1:]:
-            found = found.unionByName(part)
+    count, parts = _slices(tables.stored(items, "items"), slice_words)
+    if count == 1:
+        found = _slice_matches(rows, next(parts))
+    else:
+        rows = tables.stored(
+            rows.withColumn("place", F.monotonically_increasing_id()), "numbered-documents")
+        numbered = rows.select(F.col("place").alias("row"), "text")
+        met = [_slice_matches(numbered, part) for part in parts]
+        found = met[0]
+        for one in met[1:]:
+            found = found.unionByName(one.filter("size(items) > 0"))
         merged = [F.flatten(F.collect_list(name)).alias(name) for name in ("starts", "ends", "items")]
-        found = found.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), *merged)
+        found = found.groupBy(F.col("row").alias("place")).agg(F.max("n_words").alias("n_words"), *merged)
+        found = rows.select("place", "row").join(found, "place").drop("place")
+    kind = found.schema["row"].dataType.simpleString()
     return found.mapInArrow(
-        _covered, "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, "
+        _covered, f"row {kind}, n_words bigint, n_hit bigint, n_items bigint, "
         "items_sha256 string, items array<bigint>").withColumn(
         "contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
+def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id",
+                  item_text: str = "text", item_id: str = "item_id",
+                  slice_words: int = SLICE_WORDS) -> DataFrame:
+    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items."""
+    tables.prepare(docs.sparkSession)
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("row"), F.col(text).alias("text"))
+    return _judged(rows, benchmark, item_text, item_id, slice_words).withColumnRenamed("row", "doc_id")
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
                       doc_id: str = "doc_id", slice_words: int = SLICE_WORDS) -> DataFrame:
-    """The documents that are not contaminated, with all their columns."""
-    verdicts = contamination(docs, benchmark, text, doc_id, slice_words=slice_words)
-    return tables.without(docs, verdicts.filter("contaminated").select("doc_id"), doc_id)
+    """The documents that are not contaminated, with all their columns.
+
+    Rows that share a ``doc_id`` and rows without one go by their own text alone.
+    """
+    tables.prepare(docs.sparkSession)
+    rows = tables.packed(docs).select("row", F.col(f"row.{text}").alias("text"))
+    return _judged(rows, benchmark, "text", "item_id", slice_words).filter(
+        "NOT contaminated").select("row.*")
 
 
 ORACLE_SQL = r"""

@@ -52,3 +52,23 @@ def test_empty(spark):
     assert decontaminate.contamination(docs, bench).count() == 0
     one = spark.createDataFrame([(1, "a b c")], "doc_id bigint, text string")
     assert decontaminate.contamination(one, bench).first()["n_words"] == 3
+
+
+@pytest.mark.parametrize("slice_words", [200_000, 40])
+def test_rows_of_one_id_stay_apart(spark, slice_words):
+    """Null and repeated ids, equal rows among them: a verdict a row, by the row's text alone."""
+    docs, items = corpus(3)
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    rows = [(None if at % 3 == 0 else 7, text) for at, (_, text) in enumerate(docs)] * 2
+    want = brute.contamination([(at, text) for at, (_, text) in enumerate(rows)], items)
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = decontaminate.contamination(frame, bench, slice_words=slice_words)
+    key = lambda row: (row[0] or 0, *row[1:])
+    assert sorted(((row["doc_id"], row["n_words"], row["n_hit"], row["n_items"], row["items_sha256"],
+                    row["contaminated"]) for row in got.collect()), key=key) == sorted(
+        ((ident, *want[at]) for at, (ident, _) in enumerate(rows)), key=key)
+    clean = [row for at, row in enumerate(rows) if not want[at][-1]]
+    assert 0 < len(clean) < len(rows)
+    kept = decontaminate.drop_contaminated(frame, bench, slice_words=slice_words)
+    text_first = lambda row: (row[1] or "", row[0] or 0)
+    assert sorted(map(tuple, kept.collect()), key=text_first) == sorted(clean, key=text_first)
