@@ -21,8 +21,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
                     most: dict[int, int], columns: tuple[str, ...] = ("text",)) -> DataFrame:
     """About ``most[l]`` documents with label l at most, none of the held-out fold.
 
-    Returns label, weight (labelled documents that one of the sample stands for) and the
-    columns. Choice is by a hash of the id, so a rerun takes the same rows. Labels are cut
+    Returns doc_id, label, weight (labelled documents that one of the sample stands for) and
+    the columns. Choice is by a hash of the id, so a rerun takes the same rows. Labels are cut
     to the sample before the join, which broadcasts no more than ``most`` allows. Null
     labels and ids are left out; contradicting labels of one id count as the larger.
     """
@@ -42,4 +42,4 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
         weight = F.when(F.col("label") == value, 1 / fraction).otherwise(weight)
     chosen = known.filter(wanted).select("doc_id", "label", weight.alias("weight"))
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *columns).join(
-        F.broadcast(chosen), "doc_id").select("label", "weight", *columns)
+        F.broadcast(chosen), "doc_id").select("doc_id", "label", "weight", *columns)

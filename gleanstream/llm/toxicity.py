@@ -15,6 +15,7 @@ labels leave the seed words and a default calibration.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 import unicodedata
@@ -155,6 +156,27 @@ def _stems(text: str) -> set[str]:
     return found
 
 
+def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in tables.slices(batches):
+        digests = [hashlib.sha256(folded(text).encode("utf-8", "surrogatepass")).digest()
+                   for text in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(digests, pa.binary())], [*batch.schema.names, "digest"])
+
+
+def _distinct_texts(rows: DataFrame) -> DataFrame:
+    """label, weight and text of the sample, each folded text once for each label.
+
+    Copies of one text would make its rare words look telling. The copy with the smallest id
+    stays and has the weight of all.
+    """
+    return rows.select("doc_id", "label", "weight", "text").mapInArrow(
+        _digested, "doc_id bigint, label int, weight double, text string, digest binary").groupBy(
+        "digest", "label").agg(
+        F.sum("weight").alias("weight"), F.min(F.struct("doc_id", "text")).alias("first")).select(
+        "label", "weight", F.col("first.text").alias("text"))
+
+
 def _stem_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in tables.slices(batches):
         texts = batch.column("text").to_pylist()
@@ -245,10 +267,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: dict[int, int] | None = None,
     """
     tables.prepare(docs.sparkSession)
     rows = samples.labelled_sample(docs, labels, "toxic", modulus, fold, most or SAMPLE)
-    # copies of one text would make its rare words look telling
-    rows = tables.stored(
-        rows.withColumn("_start", F.substring("text", 1, 64)).dropDuplicates(["_start", "label"])
-        .drop("_start").repartition(12), "toxicity-sample")
+    rows = tables.stored(_distinct_texts(rows).repartition(12), "toxicity-sample")
     sizes = {row["label"]: row["count"] for row in rows.groupBy("label").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
@@ -277,6 +296,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: dict[int, int] | None = None,
 
     sums = rows.select("label", "weight", "text").mapInArrow(
         _sums(model), "label int, weight double, total double, words bigint").toPandas()
+    sums = sums.sort_values(list(sums.columns))  # tasks end in any order
     total, words = sums["total"].to_numpy(), sums["words"].to_numpy()
     features = np.stack([
         np.ones(len(sums)), np.log1p(total), np.log1p(100 * total / np.maximum(words, 1))], axis=1)

@@ -58,3 +58,25 @@ def test_odd_rows(spark):
     kept = toxicity.drop_toxic(docs, some)
     assert kept.columns == docs.columns and kept.filter("doc_id IS NOT NULL").count() == 3
     assert toxicity.drop_toxic(docs.limit(0), empty).count() == 0
+
+
+def test_sample_keeps_texts_that_open_alike(spark):
+    """Only whole folded texts are copies; the smallest id stays, with the weight of all."""
+    header = "the same banner on every page of this site, longer than sixty-four characters: "
+    rows = [(3, 1, 2.0, header + "One"), (2, 1, 3.0, header + "one!"), (4, 1, 2.0, header + "two"),
+            (5, 0, 1.5, header + "one"), (6, 0, 1.0, None), (7, 0, 1.0, "")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, label int, weight double, text string")
+    got = {tuple(row) for row in toxicity._distinct_texts(frame.repartition(3)).collect()}
+    assert got == {(1, 5.0, header + "one!"), (1, 2.0, header + "two"), (0, 1.5, header + "one"),
+                   (0, 2.0, None)}
+
+
+def test_learns_from_a_site_whose_pages_open_alike(spark):
+    header = "welcome to the daily board of our little town, read by all who live here. "
+    rows = [(n, header + f"page {n} " + ("zorgle" if n % 2 else "flower")) for n in range(1, 121)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(n, 1, n % 2) for n, _ in rows],
+                                   "doc_id bigint, quality int, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert any(pattern.startswith(" zorg") for pattern in model.weights)
+    assert toxicity.fit(docs.repartition(5), labels) == model
