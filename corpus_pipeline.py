@@ -8,6 +8,7 @@ last return the columns of documents; the last returns the kept documents with t
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gleanstream.llm import bpe, decontaminate, exact_dedup, near_dedup, tables, toxicity
 from gleanstream.llm.queries import table, vocabulary
@@ -37,9 +38,23 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All columns of the documents, n_tokens, ids_sha256, decoded_sha256 and ids."""
+    """All columns of the documents, n_tokens, ids_sha256, decoded_sha256 and ids.
+
+    A column of the documents with one of these names, in any case, is called ``input_<name>``,
+    with as many ``input_`` as make it unique.
+    """
     coded = bpe.encoded(docs, vocabulary(), with_ids=True)
-    return coded.select("row.*", "n_tokens", "ids_sha256", "decoded_sha256", "ids")
+    made = ["n_tokens", "ids_sha256", "decoded_sha256", "ids"]
+    taken = {name.lower() for name in (*made, *docs.columns)}
+    columns = []
+    for name in docs.columns:
+        new = name
+        if name.lower() in made:
+            while new.lower() in taken:
+                new = f"input_{new}"
+            taken.add(new.lower())
+        columns.append(F.col("row")[name].alias(new))
+    return coded.select(*columns, *made)
 
 
 STAGES = [

@@ -69,3 +69,14 @@ def test_near_stage_against_plain_80(spark, sf):
     near = brute.near_groups([tuple(row) for row in docs.select("doc_id", "text").collect()], percent=80)
     got = corpus_pipeline.drop_near_copies(spark, docs, sf)
     assert {row["doc_id"] for row in got.collect()} == {one for one in near if near[one][1] == one}
+
+
+def test_encoding_renames_clashing_columns(spark, sf, tmp_path):
+    frame = spark.createDataFrame(
+        [(1, "some text", "a", "b", "c")], "doc_id bigint, text string, IDS string, input_ids string, n_tokens string")
+    corpus_pipeline.encode(spark, frame, sf).write.parquet(str(tmp_path / "out"))
+    row = spark.read.parquet(str(tmp_path / "out")).first().asDict()
+    assert list(row) == ["doc_id", "text", "input_input_IDS", "input_ids", "input_n_tokens",
+                         "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
+    assert (row["input_input_IDS"], row["input_ids"], row["input_n_tokens"]) == ("a", "b", "c")
+    assert row["n_tokens"] == len(row["ids"]) > 0
