@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanstream.llm import (
-    bpe, decontaminate, exact_dedup, line_dedup, near_dedup, quality, secret_scan, toxicity,
-    url_filter, warc,
+    bpe, decontaminate, exact_dedup, line_dedup, near_dedup, periodic, quality, secret_scan,
+    toxicity, url_filter, warc,
 )
 from gleanstream.session import run_dir
 
@@ -80,9 +80,15 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return periodic.run_digests(periodic.with_planted_runs(docs))
+
+
 QUERIES: dict[str, Query] = {query.__name__: query for query in (
     op1_exact_dedup, op2_toxicity, op3_url_filter, op4_warc, op5_near_dedup, op6_secret_scan,
-    op7_line_dedup, op8_bpe, op9_decontaminate, op10_quality)}
+    op7_line_dedup, op8_bpe, op9_decontaminate, op10_quality,
+    op12_periodic_runs)}
 
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.ORACLE_SQL.strip(),

@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
+from gleanstream.functions.once import computed_once
 from gleanstream.session import run_dir, ship_code
 
 #: A key that holds more than this share of all rows is joined by broadcast. Fewer than
 #: HOT_KEYS keys can hold so much, so what is broadcast is bounded whatever the data are.
 HOT_KEYS = 1000
+#: Bytes of texts that a task works on at once; a longer text is a part of its own.
+PART_BYTES = 1 << 21
 _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Bits in one block of a repeat filter, as ``bitmap_construct_agg`` makes them (4 KiB).
 BLOCK_BITS = 32768
@@ -51,6 +58,41 @@ def packed(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct("*").alias("row"))
 
 
+def parts_by_bytes(columns: Sequence[pa.Array], most: int = PART_BYTES) -> Iterator[list[pa.Array]]:
+    """Parts of some arrays of equal length, cut so that each has few bytes, one row at least."""
+    count = len(columns[0])
+    sizes = np.zeros(count, np.int64)
+    for column in columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+            sizes += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    start = 0
+    while start < count:
+        fit = int(np.searchsorted(np.cumsum(sizes[start:start + 1000]), most, side="right"))
+        yield [column.slice(start, max(fit, 1)) for column in columns]
+        start += max(fit, 1)
+
+
+def with_result(rows: DataFrame, function: Callable[..., pa.Array], result: str, *inputs: str) -> DataFrame:
+    """Add the fields of the struct that ``function`` makes of some columns, as Arrow arrays.
+
+    ``result`` is the struct's schema. Only the inputs go to Python; other columns, whatever
+    their names and types, stay in the JVM. It is computed once per row, whatever looks at it,
+    in parts of few bytes, and a worker gives back its memory after each batch.
+    """
+    prepare(rows.sparkSession)
+    schema = StructType.fromDDL(result)
+
+    @F.arrow_udf(schema)
+    def made(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for _, *columns in batches:  # a constant goes along, so that there always are several
+            parts = [function(*part) for part in parts_by_bytes(columns)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], to_arrow_type(schema))
+            del columns, parts
+            pa.default_memory_pool().release_unused()
+
+    return computed_once(rows, made(F.lit(0), *inputs), schema.names)
+
+
 def attach(rows: DataFrame, table: DataFrame, key: str, count: str) -> DataFrame:
     """Left join with a table that has one row per key, whatever share of the rows a key has.
 

@@ -86,3 +86,21 @@ def encoding(tokenizer, text):
     decoded = tokenizer.decode(ids, skip_special_tokens=False)
     return (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
             hashlib.sha256(decoded.encode()).hexdigest())
+
+
+def plain_runs(words):
+    """(start, length, period) of maximal runs, trying every period."""
+    found, size = [], len(words)
+    for period in range(1, size // 4 + 1):
+        start = 0
+        while start + period < size:
+            end = start
+            while end + period < size and words[end] == words[end + period]:
+                end += 1
+            length = end - start + period
+            if end > start and length >= max(6, 4 * period):
+                own = words[start:start + length]
+                if all(own[shift:] != own[:-shift] for shift in range(1, period)):
+                    found.append((start, length, period))
+            start = max(end, start + 1)
+    return sorted(found, key=lambda run: (run[0], run[2]))

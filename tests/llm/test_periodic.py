@@ -1,0 +1,98 @@
+import hashlib
+import random
+import zlib
+
+import pytest
+from brute import plain_runs
+from pyspark.sql import types as T
+
+from gleanstream.llm import periodic, queries
+
+
+def test_against_plain():
+    random.seed(3)
+    for _ in range(400):
+        texts = []
+        for _ in range(random.randint(1, 4)):
+            size, letters = random.choice([0, 1, 5, 6, 7, 20, 60]), random.choice([1, 2, 3, 6])
+            words = [bytes([97 + random.randrange(letters)]) for _ in range(size)]
+            if size and random.random() < 0.5:
+                period, start = random.randint(1, max(1, size // 4)), random.randrange(size)
+                words = [words[i] if i < start else words[start + (i - start) % period]
+                         for i in range(size)]
+            texts.append(words)
+        assert periodic.runs(texts) == [plain_runs(words) for words in texts]
+
+
+def test_positions_in_many_parts():
+    random.seed(5)
+    numbers = random.sample(range(100_000), 5000)
+    own = periodic.Positions(numbers[0])
+    held = [numbers[0]]
+    for number in numbers[1:]:
+        before, after = own.add(number)
+        below, above = [n for n in held[-50:] if n < number], [n for n in held[-50:] if n > number]
+        assert before >= max(below, default=-1) and (after == -1) <= (not above)
+        held.append(number)
+    assert list(own) == sorted(numbers) and own.size == len(numbers) and len(own.parts) > 5
+
+
+@pytest.mark.parametrize("words, want", [
+    (["a"] * 5, []),  # too short
+    (["a"] * 6, [(0, 6, 1)]),
+    (["a", "b"] * 4, [(0, 8, 2)]),
+    (["a", "b"] * 3 + ["a"], []),
+    (["x"] + ["a", "b", "c"] * 4 + ["a", "y"], [(1, 13, 3)]),
+    (["a"] * 7 + ["b"] * 6, [(0, 7, 1), (7, 6, 1)]),
+])
+def test_shapes(words, want):
+    assert periodic.runs([[word.encode() for word in words]]) == [want]
+
+
+def test_very_long_text():
+    words = [b"w%d" % (i * i % 9973) for i in range(2500)]
+    text = [words[i % 2500] for i in range(150_000)]
+    assert periodic.runs([text]) == [[(0, 150_000, 2500)]]
+    assert periodic.runs([[b"a"] * 200_000]) == [[(0, 200_000, 1)]]
+    assert len(periodic.collapsed(text, [(0, 150_000, 2500)]).split()) == 2500
+
+
+def test_odd_rows(spark):
+    schema = T.StructType([
+        T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+        *(T.StructField(name, T.IntegerType()) for name in ("runs", "row", "a.b", "my col", "n-words"))])
+    texts = [None, "", " \n", "a a a a a a", "a a a a a a", "é é " * 9]
+    docs = spark.createDataFrame([(None, text, 1, 2, 3, 4, 5) for text in texts], schema)
+    rows = periodic.with_runs(docs).collect()
+    got = {(row["row"]["text"], row["n_words"], row["collapsed"],
+            tuple(map(tuple, row["runs"]))) for row in rows}
+    assert len(rows) == 6 and got == {
+        (None, 0, "", ()), ("", 0, "", ()), (" \n", 0, "", ()), (texts[3], 6, "a", ((0, 6, 1),)),
+        (texts[5], 9, "é é", ((0, 9, 1),))}  # a no-break space is part of a word
+    assert rows[0]["row"].asDict().keys() == set(docs.columns)
+    assert periodic.with_runs(docs.limit(0)).count() == 0
+    digests = periodic.run_digests(periodic.with_planted_runs(docs.select("doc_id", "text")))
+    assert digests.count() == 6 and digests.filter("start IS NULL").count() == 3
+
+
+def test_query_against_plain(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    want = {}
+    for ident, text in docs:
+        words = (text or "").encode().split()
+        h, size = zlib.crc32(str(ident).encode()), len(words)
+        if h % 10 == 0 and size:
+            start, step = h // 10 % size, 0
+            step = 1 + (size - start) // (3 + h // 10 % 8)
+            words = [words[i] if i < start else words[start + (i - start) % step] for i in range(size)]
+        runs = plain_runs(words)
+        kept = [word for i, word in enumerate(words)
+                if not any(s + q <= i < s + n for s, n, q in runs)]
+        best = min(runs, key=lambda run: (-run[1], run[0], run[2]), default=None)
+        listed = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+        want[ident] = (
+            len(runs), *(best or (None,) * 3), best and 1000 * best[1] // best[2],
+            hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(b" ".join(kept)).hexdigest())
+    rows = queries.op12_periodic_runs(spark, sf).collect()
+    assert {row["doc_id"]: tuple(row)[1:] for row in rows} == want and len(rows) == len(docs)
+    assert sum(bool(one[0]) for one in want.values()) > 5
