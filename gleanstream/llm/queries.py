@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanstream.llm import (
-    bpe, decontaminate, exact_dedup, line_dedup, near_dedup, periodic, quality, secret_scan,
+    bpe, decontaminate, exact_dedup, line_dedup, near_dedup, periodic, quality, quality_rules, secret_scan,
     toxicity, url_filter, warc,
 )
 from gleanstream.session import run_dir
@@ -85,10 +85,15 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.run_digests(periodic.with_planted_runs(docs))
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {query.__name__: query for query in (
     op1_exact_dedup, op2_toxicity, op3_url_filter, op4_warc, op5_near_dedup, op6_secret_scan,
     op7_line_dedup, op8_bpe, op9_decontaminate, op10_quality,
-    op12_periodic_runs)}
+    op12_periodic_runs, op13_quality_rules)}
 
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.ORACLE_SQL.strip(),

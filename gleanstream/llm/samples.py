@@ -43,3 +43,28 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
     chosen = known.filter(wanted).select("doc_id", "label", weight.alias("weight"))
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *columns).join(
         F.broadcast(chosen), "doc_id").select("doc_id", "label", "weight", *columns)
+
+
+def distinct_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, fold: int,
+                    most: dict[int, int], columns: tuple[str, ...] = ("text",)) -> DataFrame:
+    """A stored table of ``most[l]`` documents with label l at most, whatever rows share an id.
+
+    Rows of :func:`labelled_sample` that are equal in all columns count once a label, with the
+    weight of all. If there still are more than ``most``, those with the smallest digests stay, and
+    weigh the more. Returns digest (hexadecimal), label, weight and the columns.
+    """
+    whole = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    rows = labelled_sample(docs, labels, label, modulus, fold, most, columns).withColumn(
+        "digest", F.sha2(whole, 256))
+    rows = tables.stored(rows.groupBy("digest", "label").agg(
+        F.sum("weight").alias("weight"), *(F.first(name).alias(name) for name in columns)), "sample")
+    sizes = {row["label"]: row["count"] for row in rows.groupBy("label").count().collect()}
+    for value, size in sizes.items():
+        if size > most[value]:
+            # bounded: no more than ``most`` digests
+            last = rows.filter(F.col("label") == value).select("digest").sort("digest").limit(
+                most[value]).agg(F.max("digest")).first()[0]
+            rows = rows.filter((F.col("label") != value) | (F.col("digest") <= last)).withColumn(
+                "weight", F.when(F.col("label") == value, F.col("weight") * (size / most[value])).otherwise(
+                    F.col("weight")))
+    return rows

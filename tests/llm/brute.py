@@ -104,3 +104,15 @@ def plain_runs(words):
                     found.append((start, length, period))
             start = max(end, start + 1)
     return sorted(found, key=lambda run: (run[0], run[2]))
+
+
+def quality_counts(text):
+    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words)."""
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    windows = Counter(zip(words, words[1:], words[2:]))
+    inside = {place + step for place, window in enumerate(zip(words, words[1:], words[2:]))
+              for step in range(3) if windows[window] > 1}
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)),
+            sum(line in lines[:place] for place, line in enumerate(lines)), len(inside))
