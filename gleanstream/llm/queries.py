@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanstream.llm import (
-    bpe, decontaminate, exact_dedup, line_dedup, near_dedup, periodic, quality, quality_rules, secret_scan,
-    toxicity, url_filter, warc,
+    alignment, bpe, decontaminate, exact_dedup, line_dedup, near_dedup, periodic, quality,
+    quality_rules, secret_scan, toxicity, url_filter, warc,
 )
 from gleanstream.session import run_dir
 
@@ -20,11 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def vocabulary() -> str:
-    """The tokenizer file of the encoding query."""
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """A tokenizer file; by default that of the encoding query."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +80,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.token_alignment(
+        table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"),
+        vocabulary("piece_bpe_32k.model"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return periodic.run_digests(periodic.with_planted_runs(docs))
@@ -93,7 +99,7 @@ def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {query.__name__: query for query in (
     op1_exact_dedup, op2_toxicity, op3_url_filter, op4_warc, op5_near_dedup, op6_secret_scan,
     op7_line_dedup, op8_bpe, op9_decontaminate, op10_quality,
-    op12_periodic_runs, op13_quality_rules)}
+    op11_token_alignment, op12_periodic_runs, op13_quality_rules)}
 
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.ORACLE_SQL.strip(),

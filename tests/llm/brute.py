@@ -116,3 +116,44 @@ def quality_counts(text):
               for step in range(3) if windows[window] > 1}
     return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)),
             sum(line in lines[:place] for place, line in enumerate(lines)), len(inside))
+
+
+def alignments(rows, encode_a, encode_b, bytes_a, bytes_b):
+    """{place: (n_a, n_b, n_groups, n_links, n_best, count_sum, groups)} of texts.
+
+    The encoders give ids of a text, the others the bytes of an id.
+    """
+    links, shapes = [], []
+    for text in rows:
+        a, b = (encode_a(" " + text), encode_b(text)) if text else ([], [])
+        data = (" " + (text or "")).encode()
+        if not text or b"".join(map(bytes_a, a)) != data or b"".join(map(bytes_b, b)) != data:
+            links.append([])
+            shapes.append((0, 0, 0, 0, ""))
+            continue
+        groups, own = [[[], []]], []
+        i = j = end_a = end_b = 0
+        while i < len(a) or j < len(b):
+            if end_a <= end_b:
+                end_a += len(bytes_a(a[i]))
+                groups[-1][0].append(a[i])
+                i += 1
+            else:
+                end_b += len(bytes_b(b[j]))
+                groups[-1][1].append(b[j])
+                j += 1
+            if end_a == end_b:
+                groups.append([[], []])
+        groups.pop()
+        for left, right in groups:
+            own += [(x, y) for x in left for y in right]
+        links.append(own)
+        shapes.append((len(a), len(b), len(groups), len(own), ";".join(
+            ",".join(map(str, left)) + "|" + ",".join(map(str, right)) for left, right in groups)))
+    counts = Counter(pair for own in links for pair in set(own))
+    highest = defaultdict(int)
+    for (x, _), n in counts.items():
+        highest[x] = max(highest[x], n)
+    return [(*shape[:4], sum(counts[pair] == highest[pair[0]] for pair in own),
+             sum(counts[pair] for pair in own), shape[4])
+            for shape, own in zip(shapes, links, strict=True)]
