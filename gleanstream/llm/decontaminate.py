@@ -3,22 +3,25 @@
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z. A window is 13
 consecutive words of an item, or a shorter item as a whole. A window is contained in a
 document only if all its shingles are, so one necessary shingle is enough to find it: the
-rarest, by counts over all documents. Documents look up that prefix token alone; offset and
-length give the only place where the window can lie, and the words there are compared one
-by one with the window's.
-
-Windows go to the tasks in slices of bounded size, one pass over the documents each, so
-nothing is broadcast that grows with the data. Null and empty texts have no words: a
-document without words has no hits, an item without words has no windows. Items that repeat
-count by item_id; items without an id take no part. Every row is judged on its own, whatever
-the number of slices; rows without a doc_id and rows that share one stay apart.
+rarest, by counts over all documents. That prefix token of each window is joined with the
+documents' tokens. The offset of the token in the window gives the only place where the
+window can lie; the place must lie within the document (the positional and the length bound); and the
+words there are compared with the window's, one by one.
+
+One plan for any size of the benchmark, and one pass over the texts: a Bloom filter of the windows'
+shingles, of bounded size, lets through the documents' tokens that may be among them, each with
+the few words around it; only those are stored and joined. The filter decides what is
+shuffled, never what comes out. Frequent tokens are joined by broadcast, see ``tables.attach``.
+
+Null and empty texts have no words: a document without words has no hits, an item without words
+has no windows. Items that repeat count by item_id; items without an id take no part. Every row
+is judged on its own text; rows without a doc_id and rows that share one stay apart. A text of
+any length is read whole. An empty table gives an empty result, an empty benchmark no hits. Columns
+of the documents are let through by ``drop_contaminated``, whatever their names.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,229 +32,159 @@ from gleanstream.llm import tables, words
 WINDOW = 13
 #: Words of a shingle; shorter windows are one shingle.
 SHINGLE = 5
-#: Item words of one slice: about 20 MB of windows in a task.
+#: Item words whose windows are made in one task.
 SLICE_WORDS = 200_000
-_MASK_BITS = 20
-
-
-class Windows:
-    """Windows of some items, with the prefix token of each."""
-
-    def __init__(self, items: list[tuple[int, str | None]]):
-        self.runs: dict[tuple[int, ...], set[int]] = {}
-        for ident, text in items:
-            own = [block for _, block, _ in words.hashed_words([text], words.ALPHANUMERIC)]
-            sequence = own[0].tolist() if own else []
-            for start in range(max(len(sequence) - WINDOW + 1, min(len(sequence), 1))):
-                self.runs.setdefault(tuple(sequence[start:start + WINDOW]), set()).add(ident)
-
-    def shingles(self) -> dict[int, np.ndarray]:
-        """Distinct shingle hashes by width."""
-        found: dict[int, list[np.ndarray]] = {}
-        for run in self.runs:
-            width = min(len(run), SHINGLE)
-            found.setdefault(width, []).append(words.run_hashes(np.array(run, np.uint64), width))
-        return {width: np.unique(np.concatenate(parts)) for width, parts in found.items()}
-
-    def prefixes(self, counts: dict[int, int]) -> dict[int, dict[int, list]]:
-        """By width and token: (offset of the token, the window's words, its items)."""
-        found: dict[int, dict[int, list]] = {}
-        for run, items in self.runs.items():
-            width = min(len(run), SHINGLE)
-            tokens = words.run_hashes(np.array(run, np.uint64), width).tolist()
-            offset = min(range(len(tokens)), key=lambda i: (counts.get(tokens[i], 0), tokens[i]))
-            found.setdefault(width, {}).setdefault(tokens[offset], []).append(
-                (offset, np.array(run, np.uint64), sorted(items)))
-        return found
-
-
-class Lookup:
-    """Which of many hashes are in a set: a bit table first, then a search."""
-
-    def __init__(self, values: np.ndarray):
-        self.values = np.sort(values)
-        self.table = np.zeros(1 << _MASK_BITS, dtype=bool)
-        self.table[(values & np.uint64((1 << _MASK_BITS) - 1)).astype(np.int64)] = True
-
-    def places(self, hashes: np.ndarray) -> np.ndarray:
-        maybe = np.flatnonzero(
-            self.table[(hashes & np.uint64((1 << _MASK_BITS) - 1)).astype(np.int64)])
-        if not len(maybe):
-            return maybe
-        at = np.searchsorted(self.values, hashes[maybe])
-        at[at == len(self.values)] = 0
-        return maybe[self.values[at] == hashes[maybe]]
-
-
-def _counted(shingles: dict[int, np.ndarray]):
-    """Occurrences of the items' shingles, summed within each batch."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookups = {width: Lookup(values) for width, values in shingles.items()}
-        for batch in tables.slices(batches):
-            for _, hashes, bounds in words.hashed_words(
-                    batch.column(0).to_pylist(), words.ALPHANUMERIC):
-                for width, lookup in lookups.items():
-                    runs = words.run_hashes(hashes, width)
-                    found = lookup.places(runs)
-                    # a run must end in the document in which it starts
-                    end = bounds[np.searchsorted(bounds, found, side="right")]
-                    tokens, counts = np.unique(
-                        runs[found[found + width <= end]], return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(tokens.view(np.int64)), pa.array(counts, pa.int64())],
-                        ["token", "n"])
-    return run
-
-
-def _document_hits(hashes: np.ndarray, lookups: dict[int, Lookup], prefixes: dict) -> tuple[
-        set[tuple[int, int]], set[int]]:
-    """Spans of words, and items, of the windows that occur."""
-    spans, items = set(), set()
-    for width, lookup in lookups.items():
-        runs = words.run_hashes(hashes, width)
-        for place in lookup.places(runs).tolist():
-            for offset, window, owners in prefixes[width][int(runs[place])]:
-                start = place - offset
-                end = start + len(window)
-                if start >= 0 and end <= len(hashes) and np.array_equal(hashes[start:end], window):
-                    spans.add((start, end))
-                    items.update(owners)
-    return spans, items
-
-
-def _matched(prefixes: dict):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookups = {width: Lookup(np.array(list(tokens), np.uint64))
-                   for width, tokens in prefixes.items()}
-        for batch in tables.slices(batches):
-            for first, hashes, bounds in words.hashed_words(
-                    batch.column(1).to_pylist(), words.ALPHANUMERIC):
-                lengths, starts, ends, owners = np.diff(bounds), [], [], []
-                maybe = set()  # documents with a token, found for the whole block at once
-                for width, lookup in lookups.items():
-                    found = lookup.places(words.run_hashes(hashes, width))
-                    maybe.update((np.searchsorted(bounds, found, side="right") - 1).tolist())
-                for at in range(len(lengths)):
-                    spans, items = set(), set()
-                    if at in maybe:
-                        spans, items = _document_hits(
-                            hashes[bounds[at]:bounds[at + 1]], lookups, prefixes)
-                    ordered = sorted(spans)
-                    starts.append([start for start, _ in ordered])
-                    ends.append([end for _, end in ordered])
-                    owners.append(sorted(items))
-                lists = pa.list_(pa.int64())
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(first, len(lengths)), pa.array(lengths, pa.int64()),
-                    pa.array(starts, lists), pa.array(ends, lists), pa.array(owners, lists)],
-                    ["row", "n_words", "starts", "ends", "items"])
-    return run
-
-
-_MATCH_SCHEMA = "n_words bigint, starts array<bigint>, ends array<bigint>, items array<bigint>"
-
-
-def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words that lie in any span, and the digest of the items."""
-    for batch in tables.slices(batches):
-        rows = batch.to_pydict()
-        hit, digests, counts = [], [], []
-        for starts, ends, items in zip(rows["starts"], rows["ends"], rows["items"], strict=True):
-            total = reach = 0
-            for start, end in sorted(zip(starts, ends, strict=True)):
-                total += max(0, end - max(start, reach))
-                reach = max(reach, end)
-            names = sorted(map(str, set(items)))
-            hit.append(total)
-            counts.append(len(names))
-            digests.append(hashlib.sha256(",".join(names).encode()).hexdigest())
-        yield pa.RecordBatch.from_arrays([
-            batch.column("row"), batch.column("n_words"), pa.array(hit, pa.int64()),
-            pa.array(counts, pa.int64()), pa.array(digests, pa.string()), batch.column("items")],
-            ["row", "n_words", "n_hit", "n_items", "items_sha256", "items"])
-
-
-def _slices(items: DataFrame, slice_words: int) -> tuple[int, Iterator[list[tuple[int, str | None]]]]:
-    """How many parts of about ``slice_words`` words the items have, and the parts.
-
-    Each is small enough for every task. Parts come from a hash of the item, so their number
-    follows from the size of the benchmark alone.
-    """
+#: Bits of the filter at most (16 MB), and bits it has for each key if they suffice.
+FILTER_BITS, KEY_BITS = 2**27, 64
+
+
+def _item_windows(texts: pa.Array) -> pa.Array:
+    """Windows of items: their words and the hashes of their shingles."""
+    rows = []
+    for text in texts.to_pylist():
+        own = words.split(text, words.ALPHANUMERIC)
+        hashes = next(words.hashed_words([text], words.ALPHANUMERIC))[1]
+        size = min(len(own), WINDOW)
+        width = min(size, SHINGLE)
+        tokens = words.run_hashes(hashes, max(width, 1)).view(np.int64)
+        rows.append([
+            {"words": [word.decode() for word in own[start:start + size]],
+             "tokens": tokens[start:start + size - width + 1].tolist()}
+            for start in range(len(own) - size + 1)] if own else [])
+    one = pa.struct([("words", pa.list_(pa.string())), ("tokens", pa.list_(pa.int64()))])
+    return pa.StructArray.from_arrays([pa.array(rows, pa.list_(one))], ["windows"])
+
+
+def _windows(benchmark: DataFrame, item_text: str, item_id: str, slice_words: int) -> DataFrame:
+    """A stored table (item_id, words, tokens), one row for each window of each item."""
+    items = tables.stored(benchmark.select(
+        F.col(item_id).cast("bigint").alias("item_id"), F.col(item_text).alias("text")
+    ).filter("item_id IS NOT NULL AND text IS NOT NULL").distinct(), "items")
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    count = max(1, -(-int(size) // (6 * slice_words)))
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
-
-    def parts() -> Iterator[list[tuple[int, str | None]]]:
-        for number in range(count):
-            rows = items.filter(part == number).collect() if count > 1 else items.collect()
-            yield [(row["item_id"], row["text"]) for row in rows]
-    return count, parts()
+    dealt = items.repartition(max(1, -(-int(size) // (6 * slice_words))))
+    made = tables.with_result(
+        dealt, _item_windows, "windows array<struct<words: array<string>, tokens: array<bigint>>>", "text")
+    return tables.stored(made.select("item_id", F.explode("windows").alias("one")).select(
+        "item_id", "one.words", "one.tokens").distinct(), "windows")
+
+
+def _token_hits(filter_bytes, widths: list[int]):
+    """Words of a text, and its tokens that pass the filter, each with the words around it."""
+    before, after = WINDOW - 1, WINDOW
+
+    def run(texts: pa.Array) -> pa.Array:
+        rows = texts.to_pylist()
+        counts, hits = [], []
+        for first, hashes, bounds in words.hashed_words(rows, words.ALPHANUMERIC):
+            found: list[list[tuple[int, int]]] = [[] for _ in bounds[1:]]
+            for width in widths:
+                tokens = words.run_hashes(hashes, width).view(np.int64)
+                places = np.flatnonzero(tables.maybe_in(filter_bytes.value, tokens))
+                owner = np.searchsorted(bounds, places, side="right") - 1
+                inside = places + width <= bounds[owner + 1]  # a run must end in its own text
+                for place, at in zip(places[inside].tolist(), owner[inside].tolist()):
+                    found[at].append((place - int(bounds[at]), int(tokens[place])))
+            for at, own in enumerate(found):
+                counts.append(int(bounds[at + 1] - bounds[at]))
+                text = [word.decode() for word in words.split(rows[first + at], words.ALPHANUMERIC)] if own else []
+                hits.append([
+                    {"at": place, "token": token, "low": max(place - before, 0),
+                     "around": text[max(place - before, 0):place + after]} for place, token in own])
+        one = pa.struct([("at", pa.int64()), ("token", pa.int64()), ("low", pa.int64()),
+                         ("around", pa.list_(pa.string()))])
+        return pa.StructArray.from_arrays(
+            [pa.array(counts, pa.int64()), pa.array(hits, pa.list_(one))], ["n_words", "hits"])
+    return run
 
 
-def _slice_matches(rows: DataFrame, part: list[tuple[int, str | None]]) -> DataFrame:
-    """``row`` of the table (row, text) as given, with what the windows of one slice match."""
-    windows = Windows(part)
-    shingles = windows.shingles()
-    counts: dict[int, int] = {}
-    if shingles:
-        counted = rows.select("text").mapInArrow(
-            _counted(shingles), "token bigint, n bigint").groupBy("token").agg(
-            F.sum("n").alias("n")).collect()  # at most one row for each shingle of the slice
-        counts = {row["token"] % 2**64: row["n"] for row in counted}
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(_matched(windows.prefixes(counts)), f"row {kind}, {_MATCH_SCHEMA}")
+_HITS = ("n_words bigint, hits array<struct<at: bigint, token: bigint, low: bigint, "
+         "around: array<string>>>")
 
 
 def _judged(rows: DataFrame, benchmark: DataFrame, item_text: str, item_id: str,
             slice_words: int) -> DataFrame:
-    """``row`` of the table (row, text) as given, with its verdict; one for each row.
-
-    With several slices the rows are stored under a number of their own, by which the
-    matches of the slices come together again: no two rows are ever merged.
-    """
-    items = benchmark.select(
-        F.col(item_id).cast("bigint").alias("item_id"), F.col(item_text).alias("text")
-    ).filter("item_id IS NOT NULL AND text IS NOT NULL").distinct()
-    count, parts = _slices(tables.stored(items, "items"), slice_words)
-    if count == 1:
-        found = _slice_matches(rows, next(parts))
-    else:
-        rows = tables.stored(
-            rows.withColumn("place", F.monotonically_increasing_id()), "numbered-documents")
-        numbered = rows.select(F.col("place").alias("row"), "text")
-        met = [_slice_matches(numbered, part) for part in parts]
-        found = met[0]
-        for one in met[1:]:
-            found = found.unionByName(one.filter("size(items) > 0"))
-        merged = [F.flatten(F.collect_list(name)).alias(name) for name in ("starts", "ends", "items")]
-        found = found.groupBy(F.col("row").alias("place")).agg(F.max("n_words").alias("n_words"), *merged)
-        found = rows.select("place", "row").join(found, "place").drop("place")
-    kind = found.schema["row"].dataType.simpleString()
-    return found.mapInArrow(
-        _covered, f"row {kind}, n_words bigint, n_hit bigint, n_items bigint, "
-        "items_sha256 string, items array<bigint>").withColumn(
+    """All columns of the table but ``text``, and the verdict on it; one row for each row."""
+    spark = rows.sparkSession
+    kept = [name for name in rows.columns if name != "text"]
+    windows = _windows(benchmark, item_text, item_id, slice_words)
+    tokens = tables.stored(windows.select(F.explode("tokens").alias("token")).distinct(), "item-tokens")
+    bits = tables.filter_bits(tokens.count(), FILTER_BITS, KEY_BITS)
+    filter_bytes = spark.sparkContext.broadcast(
+        tables.filter_array(tables.member_filter(tokens, "token", bits), bits))
+    widths = sorted(row[0] for row in windows.select(
+        F.least(F.size("words"), F.lit(SHINGLE))).distinct().collect())  # five at most
+    found = tables.stored(tables.with_result(
+        rows.withColumn("place", F.monotonically_increasing_id()),
+        _token_hits(filter_bytes, widths), _HITS, "text").select(*kept, "place", "n_words", "hits"), "token-hits")
+    hits = found.select("place", "n_words", F.explode("hits").alias("hit")).select(
+        "place", "n_words", "hit.*")
+
+    counts = tables.stored(hits.groupBy("token").agg(F.count("*").alias("n")), "token-counts")
+    own = windows.select("words", F.posexplode("tokens").alias("offset", "token")).distinct()
+    rarest = own.join(counts, "token").groupBy("words").agg(
+        # all shingles of a window must occur
+        F.min(F.struct("n", "token", "offset")).alias("rarest"), F.count("*").alias("met"),
+    ).filter(F.col("met") == F.size("words") - F.least(F.size("words"), F.lit(SHINGLE)) + 1)
+    # where a window may begin, seen from its token, and its size: a few pairs of small numbers
+    prefixes = rarest.groupBy(F.col("rarest.token").alias("token")).agg(
+        F.max("rarest.n").alias("n"),
+        F.collect_set(F.struct(F.col("rarest.offset").alias("offset"), F.size("words").alias("size"))).alias("places"))
+    prefixes = tables.stored(prefixes, "prefix-tokens")
+    start = F.col("at") - F.col("one.offset")
+    met = tables.attach(hits, prefixes, "token", "n").filter("places IS NOT NULL").select(
+        "*", F.explode("places").alias("one")).filter(
+        (start >= 0) & (start + F.col("one.size") <= F.col("n_words"))).select(
+        "place", start.alias("start"), F.col("one.size").alias("size"),
+        F.slice("around", (start - F.col("low") + 1).cast("int"), F.col("one.size")).alias("words"))
+    met = tables.stored(met.distinct(), "candidates")
+
+    # verified word by word: what is left has the words of a window
+    owners = met.groupBy("words").agg(F.count("*").alias("n")).join(
+        windows.groupBy("words").agg(F.collect_set("item_id").alias("owners")), "words")
+    spans = tables.stored(tables.attach(met, tables.stored(owners, "met-windows"), "words", "n").filter(
+        "owners IS NOT NULL").select("place", "start", "size", "owners"), "spans")
+    items = spans.select("place", F.explode("owners").alias("item")).groupBy("place").agg(
+        F.sort_array(F.collect_set("item")).alias("items"))
+    # a document's spans are no more than its words
+    covered = spans.groupBy("place", "start").agg(F.max("size").alias("size")).groupBy("place").agg(
+        F.sort_array(F.collect_list(F.struct("start", "size"))).alias("spans")).select(
+        "place", F.expr("""aggregate(spans, named_struct('hit', 0L, 'reach', 0L), (seen, one) ->
+            named_struct('hit', seen.hit + greatest(0L, one.start + one.size - greatest(one.start, seen.reach)),
+            'reach', greatest(seen.reach, one.start + one.size)), seen -> seen.hit)""").alias("n_hit"))
+    verdicts = items.join(covered, "place")
+    names = F.array_join(F.sort_array(F.transform("items", lambda one: one.cast("string"))), ",")
+    return found.drop("hits").join(verdicts, "place", "left").drop("place").select(
+        *kept, "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
+        F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("n_items"),
+        F.sha2(F.coalesce(names, F.lit("")), 256).alias("items_sha256"),
+        F.coalesce("items", F.array().cast("array<bigint>")).alias("items")).withColumn(
         "contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id",
                   item_text: str = "text", item_id: str = "item_id",
                   slice_words: int = SLICE_WORDS) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items."""
-    tables.prepare(docs.sparkSession)
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("row"), F.col(text).alias("text"))
-    return _judged(rows, benchmark, item_text, item_id, slice_words).withColumnRenamed("row", "doc_id")
+    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, items, contaminated."""
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    return _judged(rows, benchmark, item_text, item_id, slice_words)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
                       doc_id: str = "doc_id", slice_words: int = SLICE_WORDS) -> DataFrame:
     """The documents that are not contaminated, with all their columns.
 
-    Rows that share a ``doc_id`` and rows without one go by their own text alone.
+    A row goes by its text alone, so what has to go is known by the text's digest. A filter lets
+    most documents stay where they are; only those that may have to go are shuffled.
     """
-    tables.prepare(docs.sparkSession)
-    rows = tables.packed(docs).select("row", F.col(f"row.{text}").alias("text"))
-    return _judged(rows, benchmark, "text", "item_id", slice_words).filter(
-        "NOT contaminated").select("row.*")
+    digest = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+    rows = docs.select(digest.alias("digest"), F.col(text).alias("text"))
+    gone = tables.stored(_judged(rows, benchmark, "text", "item_id", slice_words).filter(
+        "contaminated").select("digest").distinct(), "contaminated")
+    marked = tables.marked_among(
+        tables.packed(docs).withColumn("own", F.sha2(F.coalesce(F.col("row")[text], F.lit("")), 256)
+        ).withColumn("key", F.xxhash64("own")), "key", gone.select(F.xxhash64("digest").alias("key")))
+    rest = marked.filter("maybe").join(gone, F.col("own") == F.col("digest"), "left_anti")
+    return marked.filter(~F.col("maybe")).select("row.*").unionByName(rest.select("row.*"))
 
 
 ORACLE_SQL = r"""

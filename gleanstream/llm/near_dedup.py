@@ -1,10 +1,11 @@
 """MinHash near-dedup with odd sketches.
 
-A document's set holds its distinct five-word shingles. Equal sets are one class first, so
-that groups of copies never meet as pairs. MinHash samples of each class are folded into an
+A document's set holds its distinct five-word shingles. Texts of the same words are one class
+first, so that groups of copies never meet as pairs. MinHash samples of each class are folded into an
 odd sketch (a parity bitmap) and hashed into bands. Documents that share a band are
 candidates; the population count of two sketches' XOR estimates the similarity and throws
-out the dissimilar, and what is left is confirmed on the full sets of the whole texts.
+out the dissimilar, and what is left is confirmed on the full sets of the whole texts, word by
+word.
 
 Candidates are taken in two rounds, joining components after each: first every member of a
 band bucket against the bucket's smallest document, and in one bucket of eight against
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -77,6 +79,16 @@ class Plan:
         return replace(self, samples=1024, sketch_bits=2048, slack=self.fine_slack)
 
 
+def exact_sets(texts: list[str | None]) -> Iterator[frozenset]:
+    """The set of each text as tuples of words, for what must not rest on hashes."""
+    for text in texts:
+        own = words.split(text, words.SPACED)
+        if len(own) >= SHINGLE:
+            yield frozenset(zip(*(own[step:] for step in range(SHINGLE))))
+        else:
+            yield frozenset([tuple(own)] if own else [])
+
+
 def shingle_sets(texts: list[str | None]) -> Iterator[tuple[int, list[np.ndarray]]]:
     """Blocks of texts as (first text, distinct shingle hashes of each, sorted)."""
     for first, hashes, bounds in words.hashed_words(texts, words.SPACED):
@@ -128,10 +140,9 @@ def band_keys(samples: np.ndarray, plan: Plan) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _set_key(values: np.ndarray) -> bytes:
-    """128 bits that depend on the set alone."""
-    sums = words.mixed(values).sum(), words.mixed(values ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum()
-    return np.array(sums, dtype=np.uint64).tobytes()
+def _text_key(text: str | None) -> bytes:
+    """Digest of the sequence of words: texts of one key have one set, beyond any doubt."""
+    return sha256(b" ".join(words.split(text, words.SPACED))).digest()
 
 
 def _sketched(plan: Plan):
@@ -148,7 +159,7 @@ def _sketched(plan: Plan):
                     rows = zip(odd_sketches(samples, plan.sketch_bits), band_keys(samples, plan),
                                strict=True)
                     for place in np.flatnonzero(sizes):
-                        keys[place] = _set_key(sets[place])
+                        keys[place] = _text_key(texts[first + place])
                         sketches[place], bands[place] = next(rows)
                 yield pa.RecordBatch.from_arrays([
                     ids.slice(first, len(sets)), pa.array(sizes, pa.int64()),
@@ -177,13 +188,14 @@ def _finely_sketched(plan: Plan):
 def _similar(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tables.slices(batches):
-            sets: list[list[np.ndarray]] = []
-            for name in ("text_a", "text_b"):
-                sets.append([one for _, block in shingle_sets(batch.column(name).to_pylist())
-                             for one in block])
+            lefts = exact_sets(batch.column("text_a").to_pylist())
+            met: dict[str, frozenset] = {}  # the text that many pairs share
             keep = []
-            for left, right in zip(*sets, strict=True):
-                both = len(np.intersect1d(left, right, assume_unique=True))
+            for left, text in zip(lefts, batch.column("text_b").to_pylist(), strict=True):
+                if text not in met:
+                    met = {text: next(exact_sets([text]))}
+                right = met[text]
+                both = len(left & right)
                 keep.append(both > 0 and 100 * both >= percent * (len(left) + len(right) - both))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))

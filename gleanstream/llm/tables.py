@@ -72,7 +72,7 @@ def parts_by_bytes(columns: Sequence[pa.Array], most: int = PART_BYTES) -> Itera
         start += max(fit, 1)
 
 
-def with_result(rows: DataFrame, function: Callable[..., pa.Array], result: str, *inputs: str) -> DataFrame:
+def with_result(rows: DataFrame, function: Callable[..., pa.Array], result: str, *inputs: str | Column) -> DataFrame:
     """Add the fields of the struct that ``function`` makes of some columns, as Arrow arrays.
 
     ``result`` is the struct's schema. Only the inputs go to Python; other columns, whatever
@@ -113,10 +113,10 @@ def attach(rows: DataFrame, table: DataFrame, key: str, count: str) -> DataFrame
     return here.unionByName(rest.select(*rows.columns, *payload))
 
 
-def filter_bits(rows: int, most: int) -> int:
+def filter_bits(rows: int, most: int, key_bits: int = 16) -> int:
     """Bits for a filter over so many rows: 16 a row, as a power of two of at most ``most``."""
     bits = BLOCK_BITS
-    while bits < min(16 * rows, most):
+    while bits < min(key_bits * rows, most):
         bits *= 2
     return bits
 
@@ -176,6 +176,25 @@ def with_maybe(rows: DataFrame, key: str, bitmaps: DataFrame, bits: int) -> Data
         .drop("_block", "_bits"))
 
 
+def filter_array(bitmaps: DataFrame, bits: int) -> np.ndarray:
+    """A filter as bytes on the driver, for tasks in Python; ``bits`` bounds its size."""
+    found = np.zeros((bits // BLOCK_BITS, BLOCK_BITS // 8), np.uint8)
+    for row in bitmaps.toLocalIterator():
+        found[row["block"]] = np.frombuffer(row["bitmap"], np.uint8)
+    return found.ravel()
+
+
+def maybe_in(filter_bytes: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which 64-bit keys may be in a filter, as :func:`with_maybe` says it."""
+    keys = keys.view(np.uint64)
+    base = ((keys >> np.uint64(34)) & np.uint64(len(filter_bytes) // (BLOCK_BITS // 8) - 1)) * np.uint64(BLOCK_BITS)
+    found = np.ones(len(keys), dtype=bool)
+    for shift in (0, 15):
+        place = base + ((keys >> np.uint64(shift)) & np.uint64(BLOCK_BITS - 1))
+        found &= (filter_bytes[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    return found
+
+
 def without(docs: DataFrame, gone: DataFrame, doc_id: str) -> DataFrame:
     """The documents whose id is not among those of the one-column table ``gone``.
 

@@ -1,35 +1,36 @@
-"""Word hashes of many texts at once, in numpy.
+"""Words of texts, and 64-bit hashes of them, for many texts at once.
 
-The bytes of a block of texts are classed by a table of 256 entries into word bytes and
-separators, and every word gets a 64-bit polynomial hash from prefix sums, without a Python
-step per word. Both kinds of words used here are byte classes in UTF-8.
+Words are byte classes in UTF-8, so a text is split by a table of bytes. A word's hash is a
+BLAKE2 digest, for which no two words are known to collide; still, what must be exact compares
+the words themselves and takes the hashes as a filter only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from hashlib import blake2b
 
 import numpy as np
 
-#: Bytes of text that are worked on at once; a longer text is cut at separators.
+#: Bytes of text that are worked on at once; a longer text is a block of its own.
 BLOCK_BYTES = 1 << 20
 _P = np.uint64(0x9E3779B97F4A7C15)
 _Q = 0xD1342543DE82EF95
 
 
-def _mask(excluded: Sequence[int]) -> np.ndarray:
-    mask = np.ones(256, dtype=bool)
-    mask[list(excluded)] = False
-    return mask
+def _table(separators: Sequence[int]) -> bytes:
+    """Lower-cases A-Z and makes every separator a blank."""
+    table = bytearray(range(256))
+    table[0x41:0x5B] = range(0x61, 0x7B)
+    for byte in separators:
+        table[byte] = 0x20
+    return bytes(table)
 
 
-#: Words ``[^\x20\x09-\x0D]+``.
-SPACED = _mask([0x20, *range(0x09, 0x0E)])
+#: Words ``[^\x20\x09-\x0D]+`` of texts whose A-Z are lower-cased.
+SPACED = _table([0x20, *range(0x09, 0x0E)])
 #: Words ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` of texts whose A-Z are lower-cased.
-ALPHANUMERIC = _mask([*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
-
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[0x41:0x5B] += 32
+ALPHANUMERIC = _table([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 
 _powers = np.ones(1, dtype=np.uint64)
 _inverses = np.ones(1, dtype=np.uint64)
@@ -55,14 +56,17 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(33))
 
 
-def _block_words(data: bytes, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of a block, and the byte at which each begins."""
-    raw = _LOWER[np.frombuffer(data, dtype=np.uint8)]
-    inside = np.zeros(len(raw) + 2, dtype=bool)
-    inside[1:-1] = mask[raw]
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
-    starts, ends = edges[::2], edges[1::2]
-    return _span_hashes(raw, starts, ends), starts
+def split(text: str | None, table: bytes) -> list[bytes]:
+    """The words of a text, as bytes."""
+    return text.encode("utf-8", "surrogatepass").translate(table).split() if text else []
+
+
+class _Hashes(dict):
+    """Hashes of words, each computed once."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+        return value
 
 
 def _prefix_sums(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -72,64 +76,28 @@ def _prefix_sums(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sums, inverses
 
 
-def _span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    sums, inverses = _prefix_sums(raw)
-    hashes = (sums[ends] - sums[starts]) * inverses[starts]
-    return mixed(hashes + (ends - starts).astype(np.uint64) * np.uint64(_Q))
-
-
-def span_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of the bytes between starts and ends, as they are."""
-    return _span_hashes(np.frombuffer(data, np.uint8), starts, ends)
-
-
-def _cut(data: bytes, mask: np.ndarray) -> Iterator[bytes]:
-    """Pieces of at most BLOCK_BYTES, longer only where a word is."""
-    start = 0
-    while len(data) - start > BLOCK_BYTES:
-        window = np.frombuffer(data, np.uint8, BLOCK_BYTES, start)
-        gaps = np.flatnonzero(~mask[_LOWER[window]])
-        if len(gaps):
-            end = start + int(gaps[-1]) + 1
-        else:
-            later = np.flatnonzero(
-                ~mask[_LOWER[np.frombuffer(data, np.uint8, offset=start + BLOCK_BYTES)]])
-            end = start + BLOCK_BYTES + int(later[0]) + 1 if len(later) else len(data)
-        yield data[start:end]
-        start = end
-    yield data[start:]
-
-
 def hashed_words(
-    texts: Sequence[str | None], mask: np.ndarray
+    texts: Sequence[str | None], table: bytes
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Blocks of texts as (first text, word hashes, offsets of each text's words in them)."""
-    block: list[bytes] = []
-    size = first = 0
+    first = size = 0
+    lists: list[list[bytes]] = []
     for place, text in enumerate(texts):
-        data = text.encode("utf-8", "surrogatepass") if text else b""
-        if len(data) > BLOCK_BYTES:
-            if block:
-                yield first, *_joined(block, mask)
-            parts = [_block_words(piece, mask)[0] for piece in _cut(data, mask)]
-            words = np.concatenate(parts)
-            yield place, words, np.array([0, len(words)])
-            block, size, first = [], 0, place + 1
-            continue
-        if block and size + len(data) > BLOCK_BYTES:
-            yield first, *_joined(block, mask)
-            block, size, first = [], 0, place
-        block.append(data)
-        size += len(data) + 1
-    if block:
-        yield first, *_joined(block, mask)
-
-
-def _joined(block: list[bytes], mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    hashes, starts = _block_words(b" ".join(block), mask)
-    lengths = np.fromiter(map(len, block), np.int64, len(block)) + 1
-    bounds = np.concatenate([[0], np.cumsum(lengths)])
-    return hashes, np.searchsorted(starts, bounds)
+        if lists and size + len(text or "") > BLOCK_BYTES:
+            yield first, *_hashed(lists)
+            first, size, lists = place, 0, []
+        lists.append(split(text, table))
+        size += len(text or "")
+    if lists:
+        yield first, *_hashed(lists)
+
+
+def _hashed(lists: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    known = _Hashes()
+    bounds = np.cumsum([0, *map(len, lists)])
+    hashes = np.fromiter(
+        (known[word] for words in lists for word in words), np.uint64, int(bounds[-1]))
+    return hashes, bounds
 
 
 def run_hashes(words: np.ndarray, width: int) -> np.ndarray:

@@ -72,3 +72,47 @@ def test_rows_of_one_id_stay_apart(spark, slice_words):
     kept = decontaminate.drop_contaminated(frame, bench, slice_words=slice_words)
     text_first = lambda row: (row[1] or "", row[0] or 0)
     assert sorted(map(tuple, kept.collect()), key=text_first) == sorted(clean, key=text_first)
+
+
+def thue_morse(size, first="a", second="b"):
+    """Words that any polynomial hash modulo a power of two takes for each other's complement."""
+    return "".join(first if bin(place).count("1") % 2 == 0 else second for place in range(size))
+
+
+@pytest.mark.parametrize("size", [1024, 4096])
+def test_words_that_hashes_confuse(spark, size):
+    word, other = thue_morse(size), thue_morse(size, "b", "a")
+    docs = spark.createDataFrame([(1, word), (2, other), (3, f"x {other} y")], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, other)], "item_id bigint, text string")
+    rows = {row["doc_id"]: row["n_hit"] for row in decontaminate.contamination(docs, bench).collect()}
+    assert rows == {1: 0, 2: 1, 3: 1}
+
+
+def test_full_filter_changes_nothing(spark, monkeypatch):
+    """A filter of the smallest size lets nearly everything through; the join decides."""
+    monkeypatch.setattr(decontaminate, "KEY_BITS", 0)
+    docs, items = corpus(4)
+    items += [(100 + i, f"item {i} has words number {i * i} of its own and the a x9") for i in range(4000)]
+    got = decontaminate.contamination(
+        spark.createDataFrame(docs, "doc_id bigint, text string"),
+        spark.createDataFrame(items, "item_id bigint, text string"))
+    want = brute.contamination(docs, items)
+    assert {row["doc_id"]: tuple(row[name] for name in (
+        "n_words", "n_hit", "n_items", "items_sha256", "contaminated")) for row in got.collect()} == want
+
+
+def test_odd_columns_and_very_long_text(spark):
+    from pyspark.sql import types as T
+
+    schema = T.StructType([
+        T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+        *(T.StructField(name, T.IntegerType()) for name in ("row", "place", "hits", "a.b", "my col", "n-words"))])
+    passage = " ".join(f"p{i}" for i in range(13))
+    long = " ".join(f"w{i}" for i in range(150_000))
+    docs = spark.createDataFrame(
+        [(1, f"{long} {passage}", 1, 2, 3, 4, 5, 6), (2, passage, 1, 2, 3, 4, 5, 6)], schema)
+    bench = spark.createDataFrame([(1, passage)], "item_id bigint, text string")
+    rows = {row["doc_id"]: row for row in decontaminate.contamination(docs, bench).collect()}
+    assert (rows[1]["n_words"], rows[1]["n_hit"], rows[1]["contaminated"]) == (150_013, 13, False)
+    kept = decontaminate.drop_contaminated(docs, bench)
+    assert kept.columns == docs.columns and [row["doc_id"] for row in kept.collect()] == [1]
