@@ -1,15 +1,26 @@
 """BPE encoding and decoding with content-defined chunk reuse.
 
 A rolling hash over the bytes of a text puts chunk borders where the content says so, so that
-a passage has the same chunks in every document it occurs in. A chunk that a worker has
-met is not encoded again. A border can cut a word, and then the tokens on both sides
-would be wrong; each join is repaired by encoding on to the next blank, over further borders
-if there is none before them. At blanks the tokenizer always splits, so the repaired join and
-its neighbours agree exactly with the encoding of the whole text. What is new in a chunk is
-encoded word by word, and each word of a block of texts once.
-
-The coder is for tokenizers that drop white space; it tries this out and refuses others. Nulls count as empty; empty texts have no tokens and decode to an
-empty text. All columns are let through as ``row``; nothing is shuffled.
+a passage has the same chunks in every document it occurs in. Chunks are encoded as they are, borders in
+words or even in letters included, and a chunk that a worker has met is not encoded again.
+
+A border can cut a word, and then the tokens on both sides are wrong. Such a join is repaired by
+encoding a window of the text around it again: the words that the border may have changed, and
+a whole word more on each side. The window agrees if it begins with the tokens that the left chunk
+has for the first of its words, and ends with those that the right chunk has for the last; then what lies between takes the
+place of the tokens at the join. If it does not agree, or a chunk has no word left to compare, the
+window grows, over further chunks if need be, up to the ends of the text. Windows met before are
+not encoded again either.
+
+Within a chunk, words between blanks are remembered, lower-cased and without the signs that end them:
+at blanks, and between a letter and such signs, the tokenizer always splits. The coder is for tokenizers
+that drop white space and case; it tries this out and refuses others. Chunks, words and windows
+are known by their bytes, not by hashes.
+
+Nulls count as empty; empty texts have no tokens and decode to an empty text. A text of any length is
+encoded whole, in memory linear in it. Repeated rows are encoded alike, each on its own; an empty
+table gives an empty result. All columns are let through as ``row``, whatever their names; nothing is
+shuffled.
 """
 
 from __future__ import annotations
@@ -17,7 +28,7 @@ from __future__ import annotations
 import hashlib
 import os
 import struct
-from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -30,152 +41,198 @@ from gleanstream.llm import tables, words
 ROLL, CHUNK = 24, 256
 #: Bytes of text that are cut and encoded at once.
 BLOCK_BYTES = 1 << 19
-#: Entries that a worker keeps: chunks, and words of each of two generations; about 70 MB.
-CHUNKS_KEPT, WORDS_KEPT = 20_000, 150_000
+#: Entries that a worker keeps: chunks, windows, and words of each of two generations; about 40 MB.
+CHUNKS_KEPT, WINDOWS_KEPT, WORDS_KEPT = 10_000, 30_000, 80_000
 
 
-def _table(chars: bytes) -> np.ndarray:
-    table = np.zeros(256, dtype=bool)
-    table[list(chars)] = True
-    return table
-
-
-_BLANK = _table(b" \n\t")
-_ALNUM = _table(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+#: Where the tokenizer always splits, and bytes that continue a letter.
+_BLANK = np.isin(np.arange(256), list(b" \n\t\r\x0b\x0c"))
+_CONTINUES = (np.arange(256) & 0xC0) == 0x80
 #: Signs that end a word. No quotes (they join letters that follow), no signs of special tokens.
-_ENDING = _table(b".,;:!?$%*&#")
+_ENDING = b".,;:!?$%*&#"
 
 
-def chunk_ends(data: bytes, documents: np.ndarray) -> np.ndarray:
-    """Where chunks of a block end: at ends of documents, and at repaired content borders.
+def content_borders(data: bytes) -> np.ndarray:
+    """Where the content says that chunks end, at the mean CHUNK bytes apart; also within words.
 
-    A border that cuts a word moves on to the next blank, so the word is encoded as a whole.
+    A border within a letter moves to the letter's start, since text is made of letters.
     """
-    raw = np.frombuffer(data, np.uint8)
     hashes = words.rolling_hashes(data, ROLL)
     borders = np.flatnonzero(hashes & np.uint64(CHUNK - 1) == 0) + ROLL
-    blanks = np.append(np.flatnonzero(_BLANK[raw]), len(data))
-    return np.union1d(blanks[np.searchsorted(blanks, borders)], documents)
+    raw = np.append(np.frombuffer(data, np.uint8), 0)
+    for _ in range(3):  # a letter has four bytes at most
+        borders = borders - _CONTINUES[raw[borders]]
+    borders = np.unique(borders)
+    return borders[(borders > 0) & (borders < len(data))]
 
 
-def split_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the parts between which the tokenizer always splits.
+def word_parts(word: bytes) -> tuple[bytes, ...]:
+    """A word without the signs that end it, and those signs, if a letter or digit is before them."""
+    stem = word.rstrip(_ENDING)
+    if len(stem) == len(word) or not stem or not stem[-1:].isalnum():
+        return (word,)
+    return stem, word[len(stem):]
 
-    These are blanks, and the place between a letter or digit and the signs that end a word.
-    """
-    raw = np.frombuffer(data, np.uint8)
-    inside = np.zeros(len(raw) + 2, dtype=bool)
-    inside[1:-1] = ~_BLANK[raw]
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
-    starts, ends = edges[::2], edges[1::2]
-    if not len(starts):
-        return starts, ends
-    # the last byte at or before each place that is no ending sign
-    core = np.maximum.accumulate(np.where(_ENDING[raw], -1, np.arange(len(raw))))
-    stems = core[ends - 1] + 1
-    cut = (stems > starts) & (stems < ends)
-    cut[cut] = _ALNUM[raw[stems[cut] - 1]]
-    return (np.sort(np.concatenate([starts, stems[cut]])),
-            np.sort(np.concatenate([ends, stems[cut]])))
+
+class Chunk:
+    """A chunk's words and their ids, and whether its ends may lie within a word."""
+
+    __slots__ = ("words", "ids", "open_left", "open_right")
+
+    def __init__(self, data: bytes, found: list[bytes], ids: list[bytes]):
+        self.words, self.ids = found, ids
+        self.open_left = not _BLANK[data[0]]
+        self.open_right = not _BLANK[data[-1]]
 
 
 class Coder:
-    """Encodes and decodes, remembering chunks and words."""
+    """Encodes and decodes, remembering chunks, words and windows."""
 
     def __init__(self, config: str):
         self.tokenizer = Tokenizer.from_str(config)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.chunks: dict[bytes, bytes] = {}
+        self.special = [one.content.lower().encode()
+                        for one in self.tokenizer.get_added_tokens_decoder().values()]
+        self.chunks: dict[bytes, Chunk] = {}
+        self.windows: dict[bytes, bytes] = {}
         self.words: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        self.met = self.reused = 0
-        probe = [self._ids(text) for text in ("a b's.,\n c", "a", "b's", ".,", "c", " \n\t ")]
-        if probe[0] != sum(probe[1:], []):
-            raise ValueError("the tokenizer keeps white space, so texts can't be cut there")
+        self.met = self.reused = self.repaired = self.widened = 0
+        for blank in " \n\t\r\x0b\x0c":
+            parts = [self._ids(text) for text in (f"A b's.,{blank}{blank}C9?", "a", "b's", ".,", "c9", "?", blank)]
+            if parts[0] != sum(parts[1:], []):
+                raise ValueError("the tokenizer keeps white space or case, so texts can't be cut at blanks")
+
+    def _folded(self, data: bytes) -> bytes:
+        """Lower case, unless that could make a special token of what is none."""
+        low = data.lower()
+        return data if any(token in low for token in self.special) else low
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _known(self, met: list[bytes]) -> list[bytes]:
-        """Ids of distinct words; those that are new are encoded, each once."""
+    def _packed(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of some texts, each encoded on its own."""
+        coded = self.tokenizer.encode_batch_fast(
+            [text.decode("utf-8") for text in texts], add_special_tokens=False)
+        return [struct.pack(f"<{len(one.ids)}I", *one.ids) for one in coded]
+
+    def _know(self, met: set[bytes]) -> None:
+        """Have the ids of some words at hand; those that are new are encoded, each part once."""
         if len(self.words) > WORDS_KEPT:
             self.words, self.older = {}, self.words
-        found = list(map(self.words.get, met))
-        new = []
-        for place, ids in enumerate(found):
-            if ids is None:
-                ids = self.older.get(met[place])
+        known, older = self.words, self.older
+        parts = {}
+        new: dict[bytes, bytes] = {}
+        for word in met:
+            if word not in known:
+                ids = older.get(word)
                 if ids is None:
-                    new.append(place)
+                    parts[word] = own = word_parts(word)
+                    for part in own:
+                        if part not in known:
+                            new[part] = older.get(part, b"")
                 else:
-                    found[place] = self.words[met[place]] = ids
-        coded = self.tokenizer.encode_batch_fast(
-            [met[place].decode("utf-8") for place in new], add_special_tokens=False)
-        for place, one in zip(new, coded, strict=True):
-            ids = one.ids
-            found[place] = self.words[met[place]] = struct.pack(f"<{len(ids)}I", *ids)
-        return found
-
-    def _encode_words(self, data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[
-            np.ndarray, np.ndarray]:
-        """Ids of all words, and where those of each word begin and the last end."""
-        if not len(starts):
-            return np.zeros(0, "<u4"), np.zeros(1, np.int64)
-        _, first, which = np.unique(
-            words.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        known = self._known([
-            data[start:end] for start, end in zip(starts[first].tolist(), ends[first].tolist())])
-        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        flat = np.frombuffer(b"".join(known), "<u4")
-        begin = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-        bounds = np.concatenate([[0], np.cumsum(sizes[which])])
-        places = np.repeat(begin[which] - bounds[:-1], sizes[which]) + np.arange(bounds[-1])
-        return flat[places], bounds
-
-    def _encode_block(self, block: list[bytes]) -> list[bytes]:
-        data = b"\n".join(block)
-        documents = np.cumsum([len(one) + 1 for one in block]) - 1
-        ends = chunk_ends(data, documents)
-        cuts = ends.tolist()
-        chunks = [data[start:end] for start, end in zip([0, *cuts], cuts)]
+                    known[word] = ids
+        missing = [part for part, ids in new.items() if not ids]
+        known.update(new)
+        known.update(zip(missing, self._packed(missing), strict=True))
+        for word, own in parts.items():
+            known[word] = b"".join([known[part] for part in own])
+
+    def _chunks(self, texts: list[bytes]) -> list[list[Chunk]]:
+        """The chunks of each text, those that are new being encoded."""
         if len(self.chunks) > CHUNKS_KEPT:
             self.chunks = {}
-        fresh: dict[bytes, int] = {}
-        for place, chunk in enumerate(chunks):
-            if chunk not in self.chunks:
-                fresh.setdefault(chunk, place)
-        self.met += len(chunks)
-        self.reused += len(chunks) - len(fresh)
-
-        starts, stops = split_words(data)
-        taken = np.zeros(len(chunks) + 1, dtype=bool)
-        taken[list(fresh.values())] = True
-        owner = np.searchsorted(ends, starts, side="right")  # a word starts before its chunk ends
-        keep = taken[owner]
-        ids, bounds = self._encode_words(data, starts[keep], stops[keep])
-        owner = owner[keep]
-        low, high = (np.searchsorted(owner, list(fresh.values()), side=side).tolist()
-                     for side in ("left", "right"))
-        for at, chunk in enumerate(fresh):
-            self.chunks[chunk] = ids[bounds[low[at]]:bounds[high[at]]].tobytes()
-        coded = list(map(self.chunks.__getitem__, chunks))
-        last = (np.searchsorted(ends, documents) + 1).tolist()
-        return [b"".join(coded[start:end]) for start, end in zip([0, *last], last)]
+        cut = []
+        fresh: dict[bytes, list[bytes]] = {}
+        for data in map(self._folded, texts):
+            borders = [0, *content_borders(data).tolist(), len(data)] if data else []
+            own = [data[start:end] for start, end in pairwise(borders)]
+            cut.append(own)
+            self.met += len(own)
+            for chunk in own:
+                if chunk in self.chunks or chunk in fresh:
+                    self.reused += 1
+                else:
+                    fresh[chunk] = chunk.split()
+        self._know({word for found in fresh.values() for word in found})
+        known = self.words
+        for chunk, found in fresh.items():
+            self.chunks[chunk] = Chunk(chunk, found, [known[word] for word in found])
+        return [[self.chunks[chunk] for chunk in own] for own in cut]
+
+    def _encode_window(self, window: bytes) -> bytes:
+        ids = self.windows.get(window)
+        if ids is None:
+            if len(self.windows) > WINDOWS_KEPT:
+                self.windows = {}
+            ids = self.windows[window] = self._packed([window])[0]
+        return ids
+
+    def _join(self, found: list[bytes], ids: list[bytes], chunk: Chunk) -> None:
+        """Put a chunk behind the words so far, repairing the join between them.
+
+        ``found`` and ``ids`` are the words of the text so far, right but for the last; the chunk's
+        first word goes on with it. The last word stays open to the next join in turn.
+        """
+        left = 2  # the word at the join, and one to compare
+        while True:
+            start = max(len(found) - left, 0)
+            right = chunk.words[1:2]
+            window = b" ".join([*found[start:-1], found[-1] + chunk.words[0], *right])
+            got = self._encode_window(window)
+            # at the ends of the text, and of a chunk without another word, is nothing to compare
+            head = ids[start] if start < len(found) - 1 else b""
+            tail = chunk.ids[1] if right else b""
+            if got.startswith(head) and got.endswith(tail) and len(got) >= len(head) + len(tail):
+                break
+            if not start:
+                head, tail = b"", tail if got.endswith(tail) else b""
+                break
+            self.widened += 1
+            left *= 2
+        self.repaired += 1
+        middle = got[len(head):len(got) - len(tail)]
+        keep = start + 1 if head else start
+        joint = found[-1] + chunk.words[0]
+        del found[keep:], ids[keep:]
+        # the words between those that agree have their tokens together
+        found.append(joint)
+        ids.append(middle)
+        found += chunk.words[1:]
+        ids += chunk.ids[1:]
+
+    def _joined(self, chunks: list[Chunk]) -> bytes:
+        found: list[bytes] = []
+        ids: list[bytes] = []
+        is_open = False
+        for chunk in chunks:
+            if not chunk.words:  # blanks alone
+                is_open = False
+                continue
+            if is_open and chunk.open_left:
+                self._join(found, ids, chunk)
+            else:
+                found += chunk.words
+                ids += chunk.ids
+            is_open = chunk.open_right
+        return b"".join(ids)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, as little-endian 32-bit integers."""
         found: list[bytes] = []
         block: list[bytes] = []
         size = 0
-        for text in texts:
+        for text in [*texts, None]:
             data = text.encode("utf-8") if text else b""
-            if block and size + len(data) > BLOCK_BYTES:
-                found += self._encode_block(block)
+            if block and (size + len(data) > BLOCK_BYTES or len(found) + len(block) == len(texts)):
+                found += map(self._joined, self._chunks(block))
                 block, size = [], 0
             block.append(data)
-            size += len(data) + 1
-        return found + (self._encode_block(block) if block else [])
+            size += len(data)
+        return found
 
     def decode(self, ids: bytes) -> str:
         return self.tokenizer.decode(
@@ -194,41 +251,40 @@ def _coder(config: str) -> Coder:
     return _coders[key]
 
 
-def _encoder(config, text_column: str, with_ids: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(config.value)
-        for part in tables.slices(batches):
-            coded = coder.encode(part.column("row").field(text_column).to_pylist())
-            decoded = [coder.decode(ids) for ids in coded]
-            columns = [
-                part.column("row"),
-                pa.array([len(ids) // 4 for ids in coded], pa.int64()),
-                pa.array([hashlib.sha256(ids).hexdigest() for ids in coded]),
-                pa.array([hashlib.sha256(text.encode()).hexdigest() for text in decoded])]
-            names = ["row", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if with_ids:
-                columns += [
-                    pa.array([np.frombuffer(ids, "<u4").astype(np.int32) for ids in coded],
-                             pa.list_(pa.int32())),
-                    pa.array(decoded)]
-                names += ["ids", "decoded"]
-            yield pa.RecordBatch.from_arrays(columns, names)
-    return run
-
-
-def encoded(docs: DataFrame, vocabulary: str, text: str = "text", with_ids: bool = True) -> DataFrame:
+_FIELDS = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+
+
+def encoded(docs: DataFrame, vocabulary: str, text: str = "text", with_ids: bool = True,
+            with_decoded: bool | None = None) -> DataFrame:
     """``row`` (the document as given), n_tokens, ids_sha256, decoded_sha256, ids, decoded.
 
     ``vocabulary`` is a tokenizer file that the driver reads; its text is broadcast, so the
-    executors need no such file. Without ``with_ids`` only the digests leave the tasks.
+    executors need no such file. Only the text goes to Python. Without ``with_ids`` only the digests
+    come back, without ``with_decoded`` (by default as ``with_ids``) no decoded text does.
     """
-    spark = docs.sparkSession
-    tables.prepare(spark)
+    with_decoded = with_ids if with_decoded is None else with_decoded
     with open(vocabulary, encoding="utf-8") as file:
-        config = spark.sparkContext.broadcast(file.read())
+        config = docs.sparkSession.sparkContext.broadcast(file.read())
+
+    def run(texts: pa.Array) -> pa.Array:
+        coder = _coder(config.value)
+        coded = coder.encode(texts.to_pylist())
+        decoded = [coder.decode(ids) for ids in coded]
+        columns = [
+            pa.array([len(ids) // 4 for ids in coded], pa.int64()),
+            pa.array([hashlib.sha256(ids).hexdigest() for ids in coded], pa.string()),
+            pa.array([hashlib.sha256(one.encode()).hexdigest() for one in decoded], pa.string())]
+        names = ["n_tokens", "ids_sha256", "decoded_sha256"]
+        if with_ids:
+            bounds = np.cumsum([0, *(len(ids) // 4 for ids in coded)]).astype(np.int32)
+            columns.append(pa.ListArray.from_arrays(
+                pa.array(bounds), pa.array(np.frombuffer(b"".join(coded), "<i4"))))
+            names.append("ids")
+        if with_decoded:
+            columns.append(pa.array(decoded, pa.string()))
+            names.append("decoded")
+        return pa.StructArray.from_arrays(columns, names)
+
+    fields = _FIELDS + ", ids array<int>" * with_ids + ", decoded string" * with_decoded
     rows = tables.packed(docs)
-    kind = rows.schema["row"].dataType.simpleString()
-    schema = f"row {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    if with_ids:
-        schema += ", ids array<int>, decoded string"
-    return rows.mapInArrow(_encoder(config, text, with_ids), schema)
+    return tables.with_result(rows, run, fields, rows["row"][text])

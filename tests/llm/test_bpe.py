@@ -63,19 +63,63 @@ def test_passages_share_chunks():
     assert coder.reused - reused >= 0.7 * (coder.met - met)
 
 
-def test_words_and_chunks_are_the_text():
+def test_borders_and_words_are_the_text(monkeypatch):
+    """Borders lie in words too, never in letters; a word's parts are the word."""
+    monkeypatch.setattr(bpe, "CHUNK", 16)
     rng = random.Random(1)
+    inside = 0
     for _ in range(50):
-        block = ["".join(rng.choice("abc dé.,!'<\n") for _ in range(rng.randrange(4000))).encode()
-                 for _ in range(3)]
-        data = b"\n".join(block)
-        documents = np.cumsum([len(one) + 1 for one in block]) - 1
-        ends = bpe.chunk_ends(data, documents)
-        assert set(documents) <= set(ends)
-        assert all(end == len(data) or data[end] in b" \n\t" for end in ends)
-        starts, stops = bpe.split_words(data)
-        assert (starts < stops).all() and (starts[1:] >= stops[:-1]).all()
-        assert b"".join(data[a:b] for a, b in zip(starts, stops)) == b"".join(data.split())
+        text = "".join(rng.choice("abc dé漢😀.,!'<\n") for _ in range(rng.randrange(4000)))
+        data = text.encode()
+        borders = bpe.content_borders(data).tolist()
+        assert borders == sorted(set(borders)) and all(0 < one < len(data) for one in borders)
+        assert "".join(data[a:b].decode() for a, b in zip([0, *borders], [*borders, len(data)])) == text
+        inside += sum(data[one - 1:one + 1].isalpha() for one in borders)
+        assert all(b"".join(bpe.word_parts(word)) == word for word in data.split())
+    assert inside > 100
+
+
+@pytest.mark.parametrize("text, border", [
+    ("the international house", 9),  # in a word
+    ("a café au lait", 5),  # in a letter of two bytes: moved to its start
+    ("one, 'two' it's... 3", 14),  # between a letter and what goes with it
+    ("end...more signs", 5), ("<|endoftext|> x", 6), ("supercalifragilistic", 7), ("a bc", 3),
+])
+def test_joins_are_repaired(monkeypatch, tokenizer, text, border):
+    monkeypatch.setattr(bpe, "content_borders", lambda data: np.array([border] if border < len(data) else []))
+    coder = bpe.Coder(open(PATH, encoding="utf-8").read())
+    if not text.encode()[:border].decode("utf-8", "ignore").encode() == text.encode()[:border]:
+        border -= 1
+    got = np.frombuffer(coder.encode([text])[0], "<u4").tolist()
+    assert got == tokenizer.encode(text, add_special_tokens=False).ids
+    apart = [id for half in (text.encode()[:border], text.encode()[border:])
+             for id in tokenizer.encode(half.decode(), add_special_tokens=False).ids]
+    assert coder.repaired == 1 and apart != got
+
+
+def test_words_that_hashes_confuse(tokenizer):
+    """Thue-Morse words and their complements, in one block."""
+    coder = bpe.Coder(open(PATH, encoding="utf-8").read())
+    for size in (1024, 4096):
+        signs = [bin(place).count("1") % 2 for place in range(size)]
+        texts = ["".join("ab"[one ^ flip] for one in signs) for flip in (0, 1)]
+        for text, ids in zip(texts, coder.encode(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_very_long_text(tokenizer):
+    rng = random.Random(2)
+    texts = [" ".join(f"Word{rng.randrange(10**6)}," for _ in range(100_000)), "x9" * 200_000]
+    coder = bpe.Coder(open(PATH, encoding="utf-8").read())
+    for text, ids in zip(texts, coder.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_case_of_special_tokens(tokenizer):
+    coder = bpe.Coder(open(PATH, encoding="utf-8").read())
+    for text in ("<|ENDOFTEXT|> A", "<|endofTEXT|>", "x<|endoftext|>Y", "A<|EndOfText|>b " * 40):
+        assert np.frombuffer(coder.encode([text])[0], "<u4").tolist() == tokenizer.encode(
+            text, add_special_tokens=False).ids
 
 
 def test_refuses_other_tokenizers():
