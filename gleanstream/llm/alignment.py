@@ -243,7 +243,7 @@ def aligned(docs: DataFrame, config_path: str, model_path: str, text: str = "tex
         return pa.StructArray.from_arrays(
             [pa.array([row[at] for row in rows], kind) for at, kind in enumerate(kinds)], names)
 
-    return tables.with_result(tables.packed(docs), run, _FIELDS, f"row.{text}")
+    return tables.with_result(tables.packed(docs), run, _FIELDS, F.col("row")[text])
 
 
 def pair_counts(rows: DataFrame, base: int) -> DataFrame:

@@ -379,8 +379,13 @@ def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         tables.attach(banded, buckets, "key", "size").filter("size IS NOT NULL").select("key", "rep"),
         "bucket-members")
 
-    # a document with several texts links their classes
-    links = linkable.join(known, "set_key").filter("doc_id <> rep").select(
+    # a document with several texts links their classes; there are few, if any
+    several = linkable.groupBy("doc_id").agg(
+        F.min("set_key").alias("low"), F.max("set_key").alias("high"), F.count("*").alias("size")).filter(
+        "low < high").select("doc_id", "size")
+    owned = tables.attach(linkable.select("doc_id", "set_key"), tables.stored(several, "several-texts"),
+                          "doc_id", "size").filter("size IS NOT NULL").select("doc_id", "set_key").distinct()
+    links = owned.join(known, "set_key").filter("doc_id <> rep").select(
         F.col("doc_id").alias("a"), F.col("rep").alias("b")).join(
         known.select(F.col("rep").alias("a")), "a", "left_semi").distinct()
     drawn = members.filter(F.pmod(F.col("key"), F.lit(DRAWN)) == 0)

@@ -243,7 +243,7 @@ def with_runs(docs: DataFrame, text: str = "text") -> DataFrame:
     Only the text goes to Python, and nothing is shuffled.
     """
     return tables.with_result(
-        tables.packed(docs), _found, f"n_words bigint, runs {RUNS}, collapsed string", f"row.{text}")
+        tables.packed(docs), _found, f"n_words bigint, runs {RUNS}, collapsed string", F.col("row")[text])
 
 
 def with_planted_runs(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

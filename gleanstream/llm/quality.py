@@ -153,7 +153,7 @@ def _with_size(docs: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, most: dict[int, int] | None = None,
         modulus: int = 4, fold: int = 2) -> Machine:
     tables.prepare(docs.sparkSession)
-    rows = samples.labelled_sample(
+    rows = samples.distinct_sample(
         _with_size(docs).select("doc_id", "text", "n_chars"), labels, "quality", modulus, fold,
         most or SAMPLE, ("text", "n_chars")).mapInArrow(
         _featured, "label int, weight double, indices binary, values binary")
@@ -165,26 +165,17 @@ def fit(docs: DataFrame, labels: DataFrame, most: dict[int, int] | None = None,
         np.array([weight for *_, weight in sample]))
 
 
-def _scored(model):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = model.value
-        for batch in tables.slices(batches):
-            scores = [machine.score(*one) for one in features(
-                batch.column("text").to_pylist(), batch.column("n_chars").to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(scores, pa.float64())], ["row", "score"])
-    return run
-
-
 def scored(docs: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
     """``row`` (the document as given) and score; one pass, no shuffle."""
-    spark = docs.sparkSession
-    tables.prepare(spark)
+    model = docs.sparkSession.sparkContext.broadcast(machine)
+
+    def run(texts: pa.Array, sizes: pa.Array) -> pa.Array:
+        scores = [model.value.score(*one) for one in features(texts.to_pylist(), sizes.to_pylist())]
+        return pa.StructArray.from_arrays([pa.array(scores, pa.float64())], ["score"])
+
     rows = tables.packed(docs)
-    kind = rows.schema["row"].dataType.simpleString()
-    size = F.col("row.n_chars").cast("bigint") if "n_chars" in docs.columns else F.lit(None).cast("bigint")
-    return rows.select("row", F.col(f"row.{text}").alias("text"), size.alias("n_chars")).mapInArrow(
-        _scored(spark.sparkContext.broadcast(machine)), f"row {kind}, score double")
+    size = rows["row"]["n_chars"] if "n_chars" in docs.columns else F.lit(None)
+    return tables.with_result(rows, run, "score double", rows["row"][text], size.cast("bigint"))
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -97,7 +97,7 @@ def _counted(texts: pa.Array) -> pa.Array:
 def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``row`` (the document as given) and COUNTS; only the text goes to Python, no shuffle."""
     fields = ", ".join(f"{name} bigint" for name in COUNTS)
-    return tables.with_result(tables.packed(docs), _counted, fields, f"row.{text}")
+    return tables.with_result(tables.packed(docs), _counted, fields, F.col("row")[text])
 
 
 def base_failed() -> Column:

@@ -304,29 +304,25 @@ def fit(docs: DataFrame, labels: DataFrame, most: dict[int, int] | None = None,
     return Model(model.weights, model.exceptions, tuple(map(float, fitted)))
 
 
-def _scored(model: Model, text: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = model.automaton()
-        for batch in tables.slices(batches):
-            rows = [folded(one) for one in batch.column(0).field(text).to_pylist()]
-            hits = [matched(row, automaton) for row in rows]
-            totals = np.array([total for total, _ in hits], dtype=float)
-            words = np.array([max(row.count(" ") - 1, 0) for row in rows], dtype=float)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(model.score(totals, words), pa.float64()),
-                 pa.array([count for _, count in hits], pa.int64()),
-                 pa.array(100 * totals / np.maximum(words, 1), pa.float64())],
-                ["row", "score", "n_hits", "density"])
-    return run
-
-
 def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``row`` (the document as given), score, n_hits and density; one pass, no shuffle."""
-    tables.prepare(docs.sparkSession)
+    held: list = []  # the automaton, made once a task
+
+    def run(texts: pa.Array) -> pa.Array:
+        if not held:
+            held.append(model.automaton())
+        rows = [folded(one) for one in texts.to_pylist()]
+        hits = [matched(row, held[0]) for row in rows]
+        totals = np.array([total for total, _ in hits], dtype=float)
+        words = np.array([max(row.count(" ") - 1, 0) for row in rows], dtype=float)
+        return pa.StructArray.from_arrays(
+            [pa.array(model.score(totals, words), pa.float64()),
+             pa.array([count for _, count in hits], pa.int64()),
+             pa.array(100 * totals / np.maximum(words, 1), pa.float64())],
+            ["score", "n_hits", "density"])
+
     rows = tables.packed(docs)
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(
-        _scored(model, text), f"row {kind}, score double, n_hits bigint, density double")
+    return tables.with_result(rows, run, "score double, n_hits bigint, density double", rows["row"][text])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ def test_registered():
     assert [name for name in names if name.startswith("op")] == [
         f"op{n}_{rest}" for n, rest in enumerate((
             "exact_dedup", "toxicity", "url_filter", "warc", "near_dedup", "secret_scan", "line_dedup",
-            "bpe", "decontaminate", "quality"), 1)]
+            "bpe", "decontaminate", "quality", "token_alignment", "periodic_runs", "quality_rules"), 1)]
     assert names[-1] == "pipeline" and len(corpus_pipeline.STAGES) == 5
 
 
@@ -25,7 +25,7 @@ def test_against_plain(spark, sf):
     assert 0 < len(rows) < len(scores)
     keep = brute.exact_groups(rows)
     rows = [row for row in rows if keep[row[0]][0] == row[0]]
-    near = brute.near_groups(rows)
+    near = brute.near_groups(rows, percent=80)
     rows = [row for row in rows if near[row[0]][1] == row[0]]
     found = brute.contamination(rows, [tuple(row) for row in bench.select("item_id", "text").collect()])
     rows = [row for row in rows if not found[row[0]][-1]]
@@ -80,3 +80,25 @@ def test_encoding_renames_clashing_columns(spark, sf, tmp_path):
                          "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
     assert (row["input_input_IDS"], row["input_ids"], row["input_n_tokens"]) == ("a", "b", "c")
     assert row["n_tokens"] == len(row["ids"]) > 0
+
+
+def test_odd_rows(spark, sf):
+    """Null ids and texts, repeated rows and ids, a very long text, and columns of any name."""
+    from pyspark.sql import types as T
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    names = ["row", "score", "key", "place", "a.b", "my col", "n-chars", "a:b"]
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(name, T.IntegerType()) for name in names)])
+    long = " ".join(f"w{at}" for at in range(150_000))
+    texts = [(1, None), (2, ""), (None, "one of a kind"), (None, None), (3, "the same text"),
+             (3, "the same text"), (4, "The same  text"), (5, long), (5, "another text of this id"), (6, "\n")]
+    rows = [(ident, text, "en", "s", 0, *range(8)) for ident, text in texts]
+    frame = spark.createDataFrame(rows, schema)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        frame = stage(spark, frame, sf)
+        assert frame.columns == schema.names
+    got = [(row["doc_id"], row["text"]) for row in corpus_pipeline.encode(spark, frame, sf).collect()]
+    # null, empty and blank texts are one text: the longest stays; document 4 is a near copy of 3
+    assert sorted(got, key=str) == sorted([
+        (6, "\n"), (None, "one of a kind"), (3, "the same text"), (5, long),
+        (5, "another text of this id")], key=str)

@@ -75,5 +75,46 @@ def test_entropy_and_allow_list():
         assert added(text) == []
 
 
+def test_allow_list_covers_only_its_own_span():
+    rng = random.Random(5)
+
+    def added(text):
+        return scan.entropy_spans(text, scan.base_spans(text))
+
+    key = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=40))
+    digits = "".join(rng.choices("0123456789ABCDEF", k=40))
+    for text, start in ((key, 0), (f"/home/example/{key}", 14), (f"key={digits}", 4), (digits, 0),
+                        (f"123e4567-e89b-12d3-a456-426614174000/{key}", 37)):
+        spans = added(text)
+        assert sum(high - low for low, _, high in spans) >= 25, text
+        assert all(low >= start - 6 and high <= len(text) for low, _, high in spans), text
+    assert added("/home/example/plain/words/and/paths") == added("0123456789" * 4) == []
+
+
+def test_thresholds_against_plain():
+    rng = random.Random(7)
+    for _ in range(100):
+        text = "".join(rng.choices(rng.choice(["0123456789abcdef", "abcXYZ019/-", "0123456789"]), k=50))
+        for end, bits in enumerate(scan.thresholds(text, 8)):
+            window = text[max(end - 7, 0):end + 1]
+            spans = [m.span() for m in scan.ALLOWED.finditer(text)]
+            plain = len(window) < 8 or window.isdigit() or all(c.isalpha() or c in "/_=-" for c in window) or any(
+                low < end + 1 and high > end - 7 for low, high in spans)
+            want = math.inf if plain else 3.2 if all(c in "0123456789abcdefABCDEF" for c in window) else (
+                3.9 if window.isalnum() and window in (window.lower(), window.upper()) else 4.0)
+            assert bits == want, (text, end)
+
+
+def test_extra_columns(spark):
+    from pyspark.sql import types as T
+
+    schema = T.StructType([
+        T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+        *(T.StructField(name, T.IntegerType()) for name in ("row", "spans", "a.b", "my col", "n-chars"))])
+    docs = spark.createDataFrame([(1, "password=abcdefgh", 1, 2, 3, 4, 5)] * 2, schema)
+    rows = scan.scanned(docs).collect()
+    assert [(row["spans"], row["row"]["spans"], row["row"]["my col"]) for row in rows] == [("assign:0:17", 2, 4)] * 2
+
+
 def test_empty(spark):
     assert scan.scanned(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
