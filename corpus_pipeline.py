@@ -3,6 +3,12 @@
 Stages take (spark, docs, sf_dir) and return a table; ``run`` writes each as Parquet to the
 shared folder and reads it again, so that a lost executor costs no earlier stage. All but the
 last return the columns of documents; the last returns the kept documents with their tokens.
+
+Null texts count as empty, and null, empty and blank texts are equal. Rows without a doc_id go by their
+text in every stage, but are never near copies of others. Rows that share a doc_id are judged by
+their own text, except that near dedup takes them for one document. Rows repeated as a whole are exact
+copies. Texts of any length go through whole. An empty table gives an empty result. Columns of any name are
+let through; see :func:`encode` for names that the last stage makes.
 """
 
 from __future__ import annotations
@@ -43,7 +49,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A column of the documents with one of these names, in any case, is called ``input_<name>``,
     with as many ``input_`` as make it unique.
     """
-    coded = bpe.encoded(docs, vocabulary(), with_ids=True)
+    coded = bpe.encoded(docs, vocabulary(), with_ids=True, with_decoded=False)
     made = ["n_tokens", "ids_sha256", "decoded_sha256", "ids"]
     taken = {name.lower() for name in (*made, *docs.columns)}
     columns = []
