@@ -36,3 +36,18 @@ def encode_messages(
         encode_value().alias("value"),
         F.lit(topic).alias("topic"),
     )
+
+
+def key_partition(key: Column, partitions: int) -> Column:
+    """The partition of a topic that a key's messages go to; all without a key go to one."""
+    return F.pmod(F.hash(key), F.lit(partitions))
+
+
+def deal_by_key(messages: DataFrame, partitions: int) -> DataFrame:
+    """Messages by partition of their topic, which is named in ``partition``; one shuffle.
+
+    Messages of one key stay together, so that a consumer of the partition sees them all. With
+    one key for all, every message goes to one partition: give :func:`encode_messages` a key.
+    """
+    return messages.repartition(partitions, "key").withColumn(
+        "partition", key_partition(F.col("key"), partitions))

@@ -399,25 +399,29 @@ def encode_json(spark, sf_dir):
 
 
 @registered(f"""WITH {DECODED} SELECT d.event_id AS event_id, value, "SearchWord", "Created"
-FROM decoded AS d JOIN messages AS m ON d.event_id = m.event_id WHERE d.event_id % 100 IN (0, 11)""")
+FROM decoded AS d JOIN messages AS m ON d.event_id = m.event_id""")
 def malformed_sentinel(spark, sf_dir):
     """The sentinel of what could not be encoded decodes to nulls, beside messages that are whole."""
-    rows = inputs.messages(spark, sf_dir).where("event_id % 100 IN (0, 11)").withColumn(
+    rows = inputs.messages(spark, sf_dir).withColumn(
         "value", encode.or_sentinel(F.nullif("value", F.lit(NOT_ENCODABLE))))
     decoded = decode.decode_postings(rows, keep=("event_id", "value"))
     return decoded.select("event_id", "value", "SearchWord", "Created")
 
 
-@registered("""SELECT count(*) AS messages, count(DISTINCT user_id) AS keys, CAST(0 AS BIGINT) AS split_keys
-FROM events""")
+@registered(f"""WITH {TURNS} SELECT count(*) AS messages, count(DISTINCT conv_id) AS keys,
+CAST(0 AS BIGINT) AS split_keys, CAST(sum(length(CAST(json_object({JSON_PAIRS}) AS VARCHAR))) AS BIGINT) AS chars
+FROM turns""")
 def keyed_partitioning(spark, sf_dir):
-    """Messages dealt by key into eight partitions: no key lies in two of them."""
-    rows = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("key"))
-    dealt = rows.repartition(8, "key").withColumn("partition", F.spark_partition_id())
-    by_key = dealt.groupBy("key", "partition").count().groupBy("key").agg(
-        F.sum("count").alias("n"), F.count(F.lit(1)).alias("places"))
+    """Whole messages keyed by conversation and dealt to eight partitions: none splits a key."""
+    rows = encode.encode_messages(inputs.turn_listings(spark, sf_dir), key=F.col("conv_id"))
+    dealt = encode.deal_by_key(rows, 8).withColumn("place", F.spark_partition_id())
+    by_key = dealt.groupBy("key", "partition", "place").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("value")).alias("chars")).groupBy("key").agg(
+        F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.count(F.lit(1)).alias("places"),
+        F.bool_and(F.col("partition") == F.col("place")).alias("as_said"))
     return by_key.agg(F.sum("n").alias("messages"), F.count(F.lit(1)).alias("keys"),
-                      F.count_if(F.col("places") > 1).alias("split_keys"))
+                      F.count_if((F.col("places") > 1) | ~F.col("as_said")).alias("split_keys"),
+                      F.sum("chars").alias("chars"))
 
 
 # ---------------------------------------------------------------- decode

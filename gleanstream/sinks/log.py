@@ -1,9 +1,10 @@
 """Publishing messages.
 
-A publish is one append without a shuffle: tasks write what they have to a folder that no
-reader looks at, and when all is written the folder is renamed into its topic. Readers,
-streams among them, so see a publish as a whole or not at all. A row in the log's report
-says what was published, or what went wrong.
+A publish is one append without a shuffle: tasks write what they have, for all topics, to a folder
+that no reader looks at, together with the report of what was delivered to each topic. When all is
+written, the folder is renamed into the log: one step, by which all topics of the publish and its
+report are there. Readers, streams among them, see a publish as a whole or not at all, and
+a report of success can't be wrong. What went wrong is reported apart from the records.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from gleanstream.sources.log import topic_path
+from gleanstream.sources.log import check_topic, publish_path
 
 _REPORT = "publish_id string, topic string, status string, messages bigint, error string"
 
@@ -30,9 +31,9 @@ def _move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"{source} could not be moved to {target}")
 
 
-def _report(spark: SparkSession, log_dir: str, publish_id: str, rows: list[tuple]) -> None:
+def _report(spark: SparkSession, path: str, publish_id: str, rows: list[tuple]) -> None:
     frame = spark.createDataFrame([(publish_id, *row) for row in rows], _REPORT)
-    frame.coalesce(1).write.parquet(f"{log_dir}/publishes/{publish_id}")
+    frame.coalesce(1).write.parquet(path)
 
 
 def publish_to_log(
@@ -42,7 +43,7 @@ def publish_to_log(
     """Append ``key, value, topic`` rows to the log; returns the id of this publish.
 
     Messages stay where and as they are; ``order_by`` asks for a sort of them all. A publish
-    that fails leaves nothing to be read, and is reported as failed.
+    that fails leaves nothing to be read in any topic, and is reported as failed.
     """
     spark = messages.sparkSession
     publish_id = uuid.uuid4().hex
@@ -55,13 +56,16 @@ def publish_to_log(
         # by partition value and row counts of the files
         counts = spark.read.schema("value string, topic string").parquet(stage).groupBy(
             "topic").count().collect()
-        targets = [topic_path(log_dir, row["topic"] or "") for row in counts]
-        for row, target in zip(counts, targets, strict=True):
-            _move(spark, f"{stage}/topic={row['topic']}", f"{target}/publish_id={publish_id}")
+        for row in counts:
+            check_topic(row["topic"] or "")
+        if counts:
+            _report(spark, f"{stage}/report", publish_id,
+                    [(row["topic"], "ok", row["count"], None) for row in counts])
+            _move(spark, stage, publish_path(log_dir, publish_id))
     except Exception as error:
-        _report(spark, log_dir, publish_id, [(None, "failed", 0, str(error) or type(error).__name__)])
+        _report(spark, f"{log_dir}/failures/{publish_id}", publish_id,
+                [(None, "failed", 0, str(error) or type(error).__name__)])
         raise
-    _report(spark, log_dir, publish_id, [(row["topic"], "ok", row["count"], None) for row in counts])
     return publish_id
 
 
@@ -69,13 +73,14 @@ def delivery_report(
     spark: SparkSession, log_dir: str, publish_id: str | None = None
 ) -> DataFrame:
     """What each publish delivered to each topic, or why it failed; of one publish or of all."""
-    path = f"{log_dir}/publishes/{publish_id or '*'}"
-    try:
-        return spark.read.schema(_REPORT).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], _REPORT)
-        raise
+    found = spark.createDataFrame([], _REPORT)
+    for path in (f"{publish_path(log_dir, publish_id or '*')}/report", f"{log_dir}/failures/{publish_id or '*'}"):
+        try:
+            found = found.unionByName(spark.read.schema(_REPORT).parquet(path))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return found
 
 
 def publish_to_kafka(messages: DataFrame, servers: str) -> DataFrame:

@@ -21,18 +21,28 @@ _IN_FILES = T.StructType([
 ])
 
 
-def topic_path(log_dir: str, topic: str) -> str:
+def check_topic(topic: str) -> str:
     if not _TOPIC.fullmatch(topic):
         raise ValueError(f"not a topic name: {topic!r}")
-    return f"{log_dir}/records/topic={topic}"
+    return topic
+
+
+def publish_path(log_dir: str, publish_id: str) -> str:
+    """Folder of one publish: all its topics, and its report."""
+    return f"{log_dir}/records/publish_id={publish_id}"
+
+
+def topic_path(log_dir: str, topic: str) -> str:
+    """A pattern for one topic's folder in every publish."""
+    return f"{publish_path(log_dir, '*')}/topic={check_topic(topic)}"
 
 
 def create_topic(spark: SparkSession, log_dir: str, topic: str = TOPIC) -> None:
     """An empty topic, unless it is there; a stream may then start before any publish."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(topic_path(log_dir, topic))
+    path = f"{publish_path(log_dir, 'none')}/topic={check_topic(topic)}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        spark.createDataFrame([], _IN_FILES).drop("publish_id").write.mode("ignore").parquet(
-            f"{topic_path(log_dir, topic)}/publish_id=none")
+        spark.createDataFrame([], _IN_FILES).drop("publish_id").write.mode("ignore").parquet(path)
 
 
 def _raw(records: DataFrame, topic: str) -> DataFrame:
@@ -54,7 +64,8 @@ def stream_log(
     """
     create_topic(spark, log_dir, topic)
     # by default files a week older than the newest would be passed over
-    reader = spark.readStream.schema(_IN_FILES).option("maxFileAge", "36500d")
+    reader = spark.readStream.schema(_IN_FILES).option("maxFileAge", "36500d").option(
+        "basePath", f"{log_dir}/records")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     elif bytes_per_batch:
@@ -63,7 +74,8 @@ def stream_log(
 
 
 def read_log(spark: SparkSession, log_dir: str, topic: str = TOPIC) -> DataFrame:
-    return _raw(spark.read.schema(_IN_FILES).parquet(topic_path(log_dir, topic)), topic)
+    reader = spark.read.schema(_IN_FILES).option("basePath", f"{log_dir}/records")
+    return _raw(reader.parquet(topic_path(log_dir, topic)), topic)
 
 
 def kafka_options(

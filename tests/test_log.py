@@ -6,7 +6,7 @@ from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from gleanstream.functions.text import strip_space
-from gleanstream.operators.encode import encode_messages
+from gleanstream.operators.encode import deal_by_key, encode_messages
 from gleanstream.schemas import MESSAGE_FIELDS
 from gleanstream.sinks import log as sink
 from gleanstream.sources import log as source
@@ -107,6 +107,55 @@ def test_a_failed_publish_is_reported_and_not_seen(spark, tmp_path, monkeypatch,
     assert sorted(r["value"] for r in spark.read.parquet(f"{path}-rows").collect()) == want
 
 
+@pytest.mark.parametrize("moment", ["before the move", "while reporting"])
+def test_a_publish_of_several_topics_is_seen_in_all_or_none(spark, tmp_path, monkeypatch, moment):
+    path = str(tmp_path)
+    names = ("t", "u", "v")
+    sink.publish_to_log(messages(spark, 2), path)
+    streams = {name: source.stream_log(spark, path, name) for name in names}
+    many = messages(spark, 6, first=2).withColumn(
+        "topic", F.element_at(F.array(*map(F.lit, names)), (F.col("id") % 3 + 1).cast("int")))
+    name = "_move" if moment == "before the move" else "_report"
+    real = getattr(sink, name)
+    calls = []
+
+    def broken(*args):
+        calls.append(args)
+        if len(calls) == 1:
+            raise OSError("target is down")
+        return real(*args)
+
+    monkeypatch.setattr(sink, name, broken)
+    with pytest.raises(OSError):
+        sink.publish_to_log(many, path)
+    assert [source.read_log(spark, path, name).count() for name in names] == [2, 0, 0]
+    assert {tuple(row)[1:] for row in sink.delivery_report(spark, path).collect()} == {
+        ("t", "ok", 2, None), (None, "failed", 0, "target is down")}
+    monkeypatch.undo()
+    again = sink.publish_to_log(many, path)
+    assert [source.read_log(spark, path, name).count() for name in names] == [4, 2, 2]
+    report = {(row["topic"], row["status"], row["messages"]) for row in
+              sink.delivery_report(spark, path, again).collect()}
+    assert report == {(name, "ok", 2) for name in names}
+    total = [(row["status"], row["messages"]) for row in sink.delivery_report(spark, path).collect()]
+    assert sorted(total) == [("failed", 0), ("ok", 2), ("ok", 2), ("ok", 2), ("ok", 2)]
+    for name, stream in streams.items():  # started before the topics had a record
+        query = stream.writeStream.format("parquet").option("path", f"{path}-{name}").option(
+            "checkpointLocation", f"{path}-{name}-cp").trigger(availableNow=True).start()
+        query.awaitTermination()
+        assert spark.read.parquet(f"{path}-{name}").count() == (4 if name == "t" else 2)
+
+
+def test_keys_are_dealt_to_partitions(spark):
+    rows = messages(spark, 1000, key="IF(id % 10 = 0, NULL, CAST(id % 37 AS STRING))")
+    dealt = deal_by_key(rows, 5).withColumn("place", F.spark_partition_id()).collect()
+    assert len(dealt) == 1000 and all(row["partition"] == row["place"] for row in dealt)
+    places = {}
+    for row in dealt:
+        assert places.setdefault(row["key"], row["place"]) == row["place"]
+    assert len(set(places.values())) == 5 and None in places
+
+
 def test_published_at(spark, tmp_path):
     moment = datetime.datetime(2024, 1, 1)
     sink.publish_to_log(messages(spark, 1), str(tmp_path), published_at=F.lit(moment))
