@@ -2,6 +2,7 @@
 
     python -m gleanstream acquire --captures DIR --log DIR --keyword "Data Science" --pages 3
     python -m gleanstream consume --log DIR --store DIR
+    python -m gleanstream snapshot --documents DIR --store DIR
     python -m gleanstream report  --log DIR
     python -m gleanstream show    --store DIR
 
@@ -17,6 +18,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from gleanstream.plans.acquire import acquire, listing_messages
+from gleanstream.plans.documents import publish_documents
 from gleanstream.schemas import TOPIC
 from gleanstream.session import now_stamp, ship_code
 from gleanstream.sinks.log import delivery_report, publish_to_kafka
@@ -61,6 +63,14 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     one.add_argument("--records-per-batch", type=int, default=None, help="bound for --kafka")
     one.add_argument("--group", default=None, help="consumer group, for --kafka")
     one.add_argument("--null-text", choices=("literal", "null"), default="literal")
+    one.add_argument("--rejects", action="store_true", help="keep what does not decode, with reasons")
+    one.add_argument("--stop-file", default=None, help="stop after the batch under way when it appears")
+    one.add_argument("--idle-refresh", type=float, default=None, help="seconds")
+
+    one = command("snapshot")
+    one.add_argument("--documents", required=True, help="JSON documents, one a line")
+    one.add_argument("--store", required=True)
+    one.add_argument("--dedup", action="store_true")
 
     command("report", "--log")
     one = command("show")
@@ -96,13 +106,22 @@ def _consume(spark: SparkSession, args: argparse.Namespace) -> None:
         postings_dir=f"{args.store}/postings", log_dir=refreshes, publisher=publisher,
         checkpoint_dir=f"{args.store}/checkpoint", null_text=args.null_text,
         trace_dir=f"{args.store}/trace" if args.trace else None,
+        rejects_dir=f"{args.store}/rejects" if args.rejects else None,
     )
     source = (
         stream_kafka(spark, args.kafka, args.topic, group=args.group,
                      records_per_batch=args.records_per_batch) if args.kafka
         else stream_log(spark, args.log, args.topic, bytes_per_batch=args.bytes_per_batch)
     )
-    run_until_stopped(consumer.start(source, args.interval, args.until_drained))
+    run_until_stopped(
+        consumer.start(source, args.interval, args.until_drained), consumer, spark, args.stop_file,
+        args.idle_refresh)
+
+
+def _snapshot(spark: SparkSession, args: argparse.Namespace) -> None:
+    documents = spark.read.text(args.documents).withColumnRenamed("value", "document")
+    publish_documents(
+        documents, args.store, now_stamp(), dedup=args.dedup)
 
 
 def _show(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -117,6 +136,8 @@ def main(argv: list[str] | None = None) -> None:
         _acquire(spark, args)
     elif args.command == "consume":
         _consume(spark, args)
+    elif args.command == "snapshot":
+        _snapshot(spark, args)
     elif args.command == "report":
         delivery_report(spark, args.log).show(truncate=False)
     else:

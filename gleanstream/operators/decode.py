@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanstream.functions.json_text import (
@@ -48,21 +48,40 @@ def decode_postings(
     return rename_fields(decode_listings(records, keep, null_text), keep)
 
 
-def decode_rejects(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The records that decode to a row of nulls, each with the reason.
-
-    Text that the parser's nesting limit refuses is told apart from malformed text.
-    """
-    parsed = parse_object(records.select(*keep, "value"), "value", MESSAGE_FIELDS)
+def _reason() -> Column:
+    """Why a parsed record decodes to a row of nulls; looked at for such records only."""
     absent = F.concat_ws(",", *[
         F.when(~field_present(name), F.lit(name)) for name in MESSAGE_FIELDS])
     deep = F.regexp_count("value", F.lit(r"[\[{]")) > NESTING_LIMIT
-    reason = (
+    return (
         F.when(F.col("value").isNull(), "no text")
         .when(is_object(F.col("value")), F.concat(F.lit("lacks: "), absent))
         .when(deep & F.trim("value").startswith("{"), "nested too deeply for the parser")
         .otherwise("not a JSON object"))
-    return parsed.where(~all_present(MESSAGE_FIELDS)).select(*keep, "value", reason.alias("reason"))
+
+
+def decode_rejects(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The records that decode to a row of nulls, each with the reason.
+
+    Text that the parser's nesting limit refuses is told apart from malformed text.
+    """
+    parsed = parse_object(records.select(*keep, "value"), "value", MESSAGE_FIELDS)
+    return parsed.where(~all_present(MESSAGE_FIELDS)).select(*keep, "value", _reason().alias("reason"))
+
+
+def decode_tagged(
+    records: DataFrame, keep: tuple[str, ...] = (), null_text: str = "literal"
+) -> DataFrame:
+    """Postings and rejects in one parse: ``value``, ``reason`` and the posting columns.
+
+    Every record is there, as :func:`decode_postings` gives it; ``reason`` is set, and says what
+    :func:`decode_rejects` says, for a record that decodes to a row of nulls.
+    """
+    parsed = parse_object(records.select(*keep, "value"), "value", MESSAGE_FIELDS)
+    complete = all_present(MESSAGE_FIELDS)
+    return parsed.select(*keep, "value", F.when(~complete, _reason()).alias("reason"), *[
+        F.when(complete, field_text(old, null_text)).alias(new)
+        for old, new in MESSAGE_TO_POSTING.items()])
 
 
 def record_trace(raw: DataFrame) -> DataFrame:

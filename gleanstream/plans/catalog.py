@@ -548,6 +548,35 @@ def stream_publish(spark, sf_dir):
     return snap.read_published(spark, f"{root}/published", f"{root}/refreshes")
 
 
+@registered(f"""WITH {MESSAGES} SELECT key, value, CASE WHEN value IS NULL THEN 'no text'
+WHEN json_type(j) = 'OBJECT' THEN concat('lacks: ', concat_ws(',', {", ".join(
+    f"CASE WHEN NOT json_exists(j, '$.{n}') THEN '{n}' END" for n in MESSAGE_FIELDS)}))
+ELSE 'not a JSON object' END AS reason
+FROM (SELECT key, value, try_cast(value AS JSON) AS j FROM messages) AS parsed
+WHERE NOT coalesce(json_type(j) = 'OBJECT' AND {_keys(MESSAGE_FIELDS)}, false)""")
+def stream_rejects(spark, sf_dir):
+    """What a running consumer could not decode, with the reasons; the same parse as the postings'."""
+    root = run_dir(spark, "stream-rejects")
+    consumer = _consumer(root)
+    consumer.rejects_dir = f"{root}/rejects"
+    consumer.start(_stream(spark, _log(spark, sf_dir)), until_drained=True).awaitTermination()
+    return spark.read.schema("key string, value string, reason string").parquet(f"{root}/rejects").select(
+        "key", "value", "reason")
+
+
+@registered(f"""WITH {DECODED} SELECT count(*) AS records,
+count(*) FILTER (WHERE "SearchWord" IS NULL) AS rejected FROM decoded""")
+def stream_counts(spark, sf_dir):
+    """Counts that a running consumer observes while it writes its batches, added up."""
+    root = run_dir(spark, "stream-counts")
+    consumer = _consumer(root)
+    consumer.start(_stream(spark, _log(spark, sf_dir)), until_drained=True).awaitTermination()
+    seen = list(consumer.counts.values())
+    return spark.createDataFrame(
+        [(one["records"], one["rejected"]) for one in seen], "records bigint, rejected bigint").agg(
+        F.sum("records").alias("records"), F.sum("rejected").alias("rejected"))
+
+
 @registered(f"""WITH {DECODED} SELECT {POSTING_LIST}, '{QUERY_AT}' AS "QueryAt" FROM decoded
 WHERE "SearchWord" IS NOT NULL""")
 def snapshot_catches_up(spark, sf_dir):

@@ -2,18 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
 from gleanstream.schemas import POSTING_FIELDS
 from gleanstream.sources.collection import batch_path
 
-
 def append_batch(postings: DataFrame, postings_dir: str, stream_id: str, batch_id: int) -> int:
     """Store one micro-batch and return how many rows it has.
 
     The batch has its own folder, so a replay after a crash replaces itself
-    instead of adding copies. The count reads file footers, not rows.
+    instead of adding copies. The rows are counted in the pass that writes them.
     """
-    path = batch_path(postings_dir, stream_id, batch_id)
-    postings.select(*POSTING_FIELDS).write.mode("overwrite").parquet(path)
-    return postings.sparkSession.read.schema(postings.schema).parquet(path).count()
+    return append_observed(postings, postings_dir, stream_id, batch_id)["records"]
+
+
+def append_observed(
+    postings: DataFrame, postings_dir: str, stream_id: str, batch_id: int,
+    metrics: Mapping[str, Column] | None = None,
+) -> dict[str, int]:
+    """The same, with more aggregates of what is written, taken in the same pass."""
+    seen = Observation()
+    wanted = {"records": F.count(F.lit(1)), **(metrics or {})}
+    postings.observe(seen, *(column.alias(name) for name, column in wanted.items())).select(
+        *POSTING_FIELDS).write.mode("overwrite").parquet(batch_path(postings_dir, stream_id, batch_id))
+    return dict(seen.get)

@@ -32,17 +32,23 @@ from gleanstream.sources.collection import STORED, batch_path, read_batches, rea
 
 @dataclass(frozen=True)
 class Refresh:
-    """One refresh: the batch that asked for it, all batches to publish, the last good place."""
+    """One refresh: the batch that asked for it, all batches to publish, the last good place.
+
+    An idle refresh has no batch of its own: it moves the stamp on, and makes up for what is pending.
+    """
 
     stream_id: str
     batch_id: int
     query_at: str
     pending: tuple[tuple[str, int], ...] = ()
     last_place: str | None = None
+    idle: bool = False
 
     @property
     def batches(self) -> tuple[tuple[str, int], ...]:
         """The pending batches and the refresh's own."""
+        if self.idle:
+            return self.pending
         return tuple(dict.fromkeys((*self.pending, (self.stream_id, self.batch_id))))
 
 
@@ -71,8 +77,10 @@ class IncrementalSnapshot:
 
     def publish(self, rows, refresh):
         folder = f"{self.published_dir}/{self.kind}"
+        if not refresh.batches:  # an idle refresh: its stamp is in the log
+            return self.kind
         if len(refresh.batches) == 1:
-            path = batch_path(folder, refresh.stream_id, refresh.batch_id)
+            path = batch_path(folder, *refresh.batches[0])
             rows.select(*POSTING_FIELDS).write.mode("overwrite").parquet(path)
         else:
             (

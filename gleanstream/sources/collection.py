@@ -26,6 +26,8 @@ def read_batches(
 ) -> DataFrame:
     """Some batches, without listing the rest of the collection."""
     paths = [batch_path(postings_dir, stream_id, batch_id) for stream_id, batch_id in batches]
+    if not paths:
+        return spark.createDataFrame([], STORED)
     return spark.read.schema(STORED).option("basePath", postings_dir).parquet(*paths)
 
 

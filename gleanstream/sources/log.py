@@ -39,10 +39,10 @@ def topic_path(log_dir: str, topic: str) -> str:
 
 def create_topic(spark: SparkSession, log_dir: str, topic: str = TOPIC) -> None:
     """An empty topic, unless it is there; a stream may then start before any publish."""
-    path = f"{publish_path(log_dir, 'none')}/topic={check_topic(topic)}"
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        spark.createDataFrame([], _IN_FILES).drop("publish_id").write.mode("ignore").parquet(path)
+    folders = spark._jvm.org.apache.hadoop.fs.Path(topic_path(log_dir, topic))
+    if not folders.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(folders):
+        spark.createDataFrame([], _IN_FILES).drop("publish_id").write.mode("ignore").parquet(
+            f"{publish_path(log_dir, 'none')}/topic={topic}")
 
 
 def _raw(records: DataFrame, topic: str) -> DataFrame:

@@ -2,21 +2,35 @@
 
 from __future__ import annotations
 
+import signal
+import threading
+import time
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gleanstream.operators.decode import decode_log_strings, decode_postings, record_trace
+from gleanstream.operators.decode import decode_log_strings, decode_tagged, record_trace
 from gleanstream.session import now_stamp
-from gleanstream.sinks.collection import append_batch
+from gleanstream.sinks.collection import append_observed
 from gleanstream.sinks.snapshot import (
     Publisher, Refresh, last_refresh, pending_batches, write_refresh_log,
 )
 from gleanstream.sources.collection import batch_path
 
 BATCH_INTERVAL = "10 seconds"
+#: Batches of which a consumer remembers the counts.
+COUNTS_KEPT = 1000
+_POLL = 0.05
+_PLACES = ("partition", "offset", "place", "row")
+
+
+class Stopped(Exception):
+    """Raised instead of beginning a batch after a stop was asked for; nothing was done for it."""
 
 
 @dataclass
@@ -27,6 +41,15 @@ class ListingConsumer:
     contains the batch that caused it. A publish that fails is logged and made up
     for by the next one; any other failure ends the stream, which then resumes
     from its checkpoint and replays the batch.
+
+    Every batch is parsed once. With ``rejects_dir``, records that decode to a row of nulls are
+    also kept there, with the reason and their place, in a folder for each batch, so that a replay
+    replaces them too. ``counts`` has what the last batches of this run came to, taken while they were
+    written.
+
+    :meth:`request_stop` lets a running batch end and begins no other; :meth:`refresh_when_idle`
+    publishes again, with a new stamp, if nothing has for a while. Batches and idle refreshes
+    never run at the same time.
     """
 
     postings_dir: str
@@ -37,6 +60,11 @@ class ListingConsumer:
     null_text: str = "literal"
     query_at: Callable[[], str] = now_stamp
     stream_id: str | None = None
+    rejects_dir: str | None = None
+    counts: dict[int, dict[str, int]] = field(default_factory=dict)
+    _work: threading.Lock = field(default_factory=threading.Lock, repr=False)
+    _stop: threading.Event = field(default_factory=threading.Event, repr=False)
+    _refreshed: float | None = None
     _pending: tuple[tuple[str, int], ...] | None = None
     _place: str | None = None
 
@@ -48,23 +76,66 @@ class ListingConsumer:
         return self.stream_id
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
+        with self._work:
+            if self._stop.is_set():
+                raise Stopped(f"batch {batch_id} is left to the next start")
+            self._process(batch, batch_id)
+
+    def _process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         stream_id = self._stream_id(spark)
         raw = decode_log_strings(batch)
         if self.trace_dir:
             record_trace(raw).write.mode("overwrite").parquet(
                 batch_path(self.trace_dir, stream_id, batch_id))
-        records = append_batch(
-            decode_postings(raw, null_text=self.null_text), self.postings_dir, stream_id, batch_id)
-        self._refresh(spark, stream_id, batch_id, records)
+        places = tuple(name for name in ("key", *_PLACES) if name in raw.columns)
+        tagged = decode_tagged(raw, places, self.null_text)
+        if self.rejects_dir:  # read twice; without the second table the one write is the one parse
+            tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self.counts[batch_id] = append_observed(
+                tagged, self.postings_dir, stream_id, batch_id,
+                {"rejected": F.count("reason")})
+            if self.rejects_dir:
+                tagged.where("reason IS NOT NULL").select(*places, "value", "reason").write.mode(
+                    "overwrite").parquet(batch_path(self.rejects_dir, stream_id, batch_id))
+        finally:
+            if self.rejects_dir:
+                tagged.unpersist()
+        for old in sorted(self.counts)[:-COUNTS_KEPT]:
+            del self.counts[old]
+        self._refresh(spark, stream_id, batch_id, self.counts[batch_id]["records"])
+
+    def request_stop(self) -> None:
+        """End after the batch under way; safe from any thread and from a signal handler."""
+        self._stop.set()
+
+    def refresh_when_idle(self, spark: SparkSession, after: float) -> bool:
+        """Publish again if no refresh was made for so many seconds; says whether it did.
 
-    def _refresh(self, spark: SparkSession, stream_id: str, batch_id: int, records: int) -> None:
+        An idle refresh has a stream id of its own in the log, so that it replaces no batch's.
+        """
+        if self._refreshed is None:
+            self._refreshed = time.monotonic()
+        if time.monotonic() - self._refreshed < after or not self._work.acquire(blocking=False):
+            return False
+        try:
+            if time.monotonic() - self._refreshed < after:
+                return False
+            self._refresh(spark, f"{self._stream_id(spark)}-idle", int(time.time() * 1000), 0, idle=True)
+            return True
+        finally:
+            self._work.release()
+
+    def _refresh(
+        self, spark: SparkSession, stream_id: str, batch_id: int, records: int, idle: bool = False,
+    ) -> None:
         if self._pending is None:
             # read once; from here on this process is the one that refreshes
             last = last_refresh(spark, self.log_dir, self.publisher.kind)
             self._place = last["place"] if last is not None else None
             self._pending = pending_batches(spark, self.postings_dir, self.log_dir)
-        refresh = Refresh(stream_id, batch_id, self.query_at(), self._pending, self._place)
+        refresh = Refresh(stream_id, batch_id, self.query_at(), self._pending, self._place, idle)
         rows = self.publisher.prepare(spark, self.postings_dir, refresh)
         place = error = None
         try:
@@ -76,6 +147,7 @@ class ListingConsumer:
             self._pending, self._place = (), place
         else:
             self._pending = refresh.batches
+        self._refreshed = time.monotonic()
 
     def start(
         self, source: DataFrame, interval: str = BATCH_INTERVAL, until_drained: bool = False
@@ -88,11 +160,50 @@ class ListingConsumer:
         return writer.trigger(processingTime=interval).start()
 
 
-def run_until_stopped(query: StreamingQuery) -> None:
-    """Block until the query ends or is interrupted, then stop it."""
+def _exists(spark: SparkSession, path: str) -> bool:
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return file.getFileSystem(spark._jsc.hadoopConfiguration()).exists(file)
+
+
+def run_until_stopped(
+    query: StreamingQuery, consumer: ListingConsumer | None = None,
+    spark: SparkSession | None = None, stop_file: str | None = None, idle_refresh: float | None = None,
+) -> None:
+    """Block until the query ends, or is asked to, then stop it.
+
+    It is asked to by an interrupt, by SIGTERM, or by a file that appears. With a consumer, the batch
+    under way ends and is committed first, and none is begun after it, so nothing is replayed at the
+    next start. ``idle_refresh`` is the time in seconds after which an idle stream publishes again.
+    """
+    if consumer is None:
+        try:
+            query.awaitTermination()
+        except KeyboardInterrupt:
+            pass
+        finally:
+            query.stop()
+        return
+    in_main = threading.current_thread() is threading.main_thread()
+    before = signal.signal(signal.SIGTERM, lambda *_: consumer.request_stop()) if in_main else None
     try:
-        query.awaitTermination()
-    except KeyboardInterrupt:
-        pass
+        while query.isActive:
+            try:
+                if stop_file and not consumer._stop.is_set() and _exists(spark, stop_file):
+                    consumer.request_stop()
+                if consumer._stop.is_set():
+                    # between batches: none is begun any more, and the last one is committed
+                    if not query.status["isTriggerActive"] and not consumer._work.locked():
+                        query.stop()
+                elif idle_refresh is not None:
+                    consumer.refresh_when_idle(spark, idle_refresh)
+                time.sleep(_POLL)
+            except KeyboardInterrupt:
+                consumer.request_stop()
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as error:
+            if not (consumer._stop.is_set() and Stopped.__name__ in str(error)):
+                raise
     finally:
-        query.stop()
+        if in_main:
+            signal.signal(signal.SIGTERM, before)

@@ -43,6 +43,22 @@ def test_pages_to_snapshot(spark, captures_dir, tmp_path, capsys, kind):
     assert "Data Science" in capsys.readouterr().out
 
 
+def test_documents_to_snapshot(spark, sf, tmp_path):
+    from gleanstream.operators import clean
+
+    store, source = str(tmp_path / "store"), str(tmp_path / "documents")
+    documents = inputs.stored_documents(spark, sf)
+    documents.select("document").write.text(source)
+    want = clean.with_search_word(clean.guard_missing(clean.only_objects(documents)))
+    for _ in range(2):
+        main(["snapshot", "--documents", source, "--store", store])
+        rows = read_published(spark, f"{store}/published", f"{store}/refreshes")
+        assert rows.count() == want.count() > 0
+        assert rows.drop("QueryAt").exceptAll(want).isEmpty()
+    rejects = spark.read.parquet(f"{store}/rejects-documents")
+    assert rejects.count() == 2 * clean.missing_field_rejects(clean.only_objects(documents)).count() > 0
+
+
 def test_all_pages_unless_asked(spark, captures_dir, tmp_path):
     pages = spark.read.parquet(captures_dir)
     for name, budget, n in (("all", {}, 200), ("some", {"page_no": url_page_number(F.col("url")), "pages": 5}, 75)):

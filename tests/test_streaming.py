@@ -1,7 +1,11 @@
+import threading
+import time
+
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from gleanstream.operators import decode
 from gleanstream.operators.clean import snapshot, with_search_word
 from gleanstream.operators.decode import decode_postings
 from gleanstream.plans import inputs
@@ -11,7 +15,7 @@ from gleanstream.sinks import snapshot as snap
 from gleanstream.sinks.collection import append_batch
 from gleanstream.sinks.refresh_log import RefreshLog, read_refresh_log
 from gleanstream.sources.collection import read_collection
-from gleanstream.sources.log import stream_log
+from gleanstream.sources.log import read_log, stream_log
 from gleanstream.streaming.consumer import ListingConsumer, run_until_stopped
 
 N = 1000
@@ -373,3 +377,126 @@ def test_unfinished_compaction_does_not_count(spark, tmp_path):
     assert log.version() == 1 and log.last()["query_at"] == "q"
     (tmp_path / "version=2" / "head").mkdir(parents=True)
     assert log.version() == 1 and log.covered().count() == 1
+
+
+def test_rejects_of_a_stream_in_one_parse(spark, log, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    parses = []
+    real = decode.parse_object
+    monkeypatch.setattr(decode, "parse_object", lambda *args: parses.append(1) or real(*args))
+    job = consumer(root, rejects_dir=f"{root}/rejects")
+    drain(spark, log, job)
+    assert len(parses) == len(job.counts) == 2  # one a batch
+    found = spark.read.parquet(f"{root}/rejects")
+    assert found.count() == MALFORMED == sum(one["rejected"] for one in job.counts.values())
+    want = decode.decode_rejects(read_log(spark, log), ("key", "place", "row"))
+    both = found.select("key", "place", "row", "value", "reason")
+    assert both.exceptAll(want).isEmpty() and want.exceptAll(both).isEmpty()
+    assert {row["reason"] for row in found.collect()} >= {"no text", "not a JSON object", "lacks: Salary"}
+    # a replay replaces its rejects
+    rows = read_log(spark, log)
+    again = consumer(f"{root}/r", stream_id="s", rejects_dir=f"{root}/r/rejects")
+    for _ in range(2):
+        again.process(rows, 0)
+    assert spark.read.parquet(f"{root}/r/rejects").count() == MALFORMED
+
+
+def test_counts_need_no_second_read(spark, tmp_path):
+    reads = []
+    real = type(spark.read).parquet
+
+    def noted(self, *paths, **options):
+        reads.append(paths)
+        return real(self, *paths, **options)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(spark.read), "parquet", noted)
+        assert append_batch(batch(spark, "a", "b").select(F.lit("x").alias("SearchWord"), *[
+            F.lit("y").alias(name) for name in POSTING_FIELDS[1:]]), str(tmp_path), "s", 0) == 2
+    assert reads == []
+
+
+class Slow(snap.IncrementalSnapshot):
+    """Takes a second for each refresh, and says when one begins."""
+
+    def __init__(self, published_dir):
+        super().__init__(published_dir)
+        self.begun = threading.Event()
+
+    def publish(self, rows, refresh):
+        self.begun.set()
+        time.sleep(1)
+        return super().publish(rows, refresh)
+
+
+@pytest.mark.parametrize("how", ["request", "file"])
+def test_a_stop_lets_the_batch_under_way_end(spark, log, tmp_path, how):
+    root = str(tmp_path)
+    job = consumer(root, Slow(f"{root}/published"))
+    query = job.start(stream_log(spark, log, files_per_batch=1), interval="0 seconds")
+    stop_file = tmp_path / "stop"
+
+    def ask():
+        job.publisher.begun.wait(60)  # in the middle of the first batch
+        job.request_stop() if how == "request" else stop_file.write_text("")
+
+    threading.Thread(target=ask).start()
+    run_until_stopped(query, job, spark, str(stop_file))
+    assert not query.isActive
+    done = refreshes(spark, root)
+    assert 1 <= len(done) < 4 and all(status == "ok" for _, status, _ in done)
+    commits = sorted(int(one.name) for one in (tmp_path / "checkpoint" / "commits").iterdir()
+                     if one.name.isdigit())
+    assert commits == [one for one, _, _ in done]  # what was done is committed: nothing is replayed
+    after = consumer(root)
+    drain(spark, log, after, files=1)
+    assert sorted(after.counts)[0] == commits[-1] + 1
+    assert read_collection(spark, f"{root}/postings").count() == N
+
+
+def test_other_failures_are_not_taken_for_a_stop(spark, log, tmp_path, monkeypatch):
+    job = consumer(str(tmp_path))
+    monkeypatch.setattr(job, "_process", lambda *_: 1 / 0)
+    query = job.start(stream_log(spark, log), interval="0 seconds")
+    with pytest.raises(Exception, match="ZeroDivisionError"):
+        run_until_stopped(query, job, spark)
+
+
+@pytest.mark.parametrize("kind", [snap.IncrementalSnapshot, snap.FullSnapshot])
+def test_an_idle_stream_publishes_again(spark, log, tmp_path, kind):
+    root = str(tmp_path)
+    job = consumer(root, kind(f"{root}/published"))
+    query = job.start(stream_log(spark, log), interval="1 second")
+    query.processAllAvailable()
+    stamps = {published(spark, root).first()["QueryAt"]}
+    rows = published(spark, root).count()
+
+    def stop():
+        while len(refreshes(spark, root)) < 4 and query.isActive:
+            time.sleep(0.2)
+        job.request_stop()
+
+    waiting = threading.Thread(target=stop)
+    waiting.start()
+    run_until_stopped(query, job, spark, idle_refresh=0.5)
+    waiting.join()
+    done = refreshes(spark, root)
+    assert len(done) >= 4 and [records for _, _, records in done[1:]] == [0] * (len(done) - 1)
+    now = published(spark, root)
+    assert now.first()["QueryAt"] not in stamps and now.count() == rows == N - MALFORMED
+    assert read_collection(spark, f"{root}/postings").count() == N
+
+
+def test_an_idle_refresh_makes_up_for_a_failed_one(spark, tmp_path):
+    root = str(tmp_path)
+
+    class Down(snap.IncrementalSnapshot):
+        def publish(self, rows, refresh):
+            raise OSError("target is down")
+
+    job = consumer(root, Down(f"{root}/published"), stream_id="s")
+    job.process(batch(spark, "a"), 0)
+    job.publisher = snap.IncrementalSnapshot(f"{root}/published")
+    assert not job.refresh_when_idle(spark, 60)
+    assert job.refresh_when_idle(spark, 0)
+    assert [row["SearchWord"] for row in published(spark, root).collect()] == ["a"]
