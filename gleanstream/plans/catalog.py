@@ -398,8 +398,8 @@ def encode_json(spark, sf_dir):
         "doc_id", encode_object(("text", "lang", "source")).alias("value"))
 
 
-@registered(f"""WITH {DECODED} SELECT d.event_id AS event_id, value, "SearchWord", "Created"
-FROM decoded AS d JOIN messages AS m ON d.event_id = m.event_id""")
+@registered(f"""WITH {DECODED} SELECT d.event_id AS event_id, coalesce(value, '{NOT_ENCODABLE}') AS value,
+"SearchWord", "Created" FROM decoded AS d JOIN messages AS m ON d.event_id = m.event_id""")
 def malformed_sentinel(spark, sf_dir):
     """The sentinel of what could not be encoded decodes to nulls, beside messages that are whole."""
     rows = inputs.messages(spark, sf_dir).withColumn(
