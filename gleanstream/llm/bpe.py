@@ -38,11 +38,11 @@ from tokenizers import Tokenizer
 from gleanstream.llm import tables, words
 
 #: Bytes that the rolling hash looks at, and the mean distance of borders (a power of two).
-ROLL, CHUNK = 24, 256
+ROLL, CHUNK = 24, 512
 #: Bytes of text that are cut and encoded at once.
 BLOCK_BYTES = 1 << 19
-#: Entries that a worker keeps: chunks, windows, and words of each of two generations; about 40 MB.
-CHUNKS_KEPT, WINDOWS_KEPT, WORDS_KEPT = 10_000, 30_000, 80_000
+#: Entries that a worker keeps: chunks, windows, and words of each of two generations; about 70 MB.
+CHUNKS_KEPT, WINDOWS_KEPT, WORDS_KEPT = 5_000, 20_000, 150_000
 
 
 #: Where the tokenizer always splits, and bytes that continue a letter.
@@ -147,9 +147,14 @@ class Coder:
             self.chunks = {}
         cut = []
         fresh: dict[bytes, list[bytes]] = {}
-        for data in map(self._folded, texts):
-            borders = [0, *content_borders(data).tolist(), len(data)] if data else []
-            own = [data[start:end] for start, end in pairwise(borders)]
+        folded = [self._folded(data) for data in texts]
+        ends = np.cumsum([len(data) + 1 for data in folded]).tolist()
+        borders = content_borders(b"\n".join(folded))  # of all texts at once
+        for data, end in zip(folded, ends, strict=True):
+            first = end - len(data) - 1
+            low, high = np.searchsorted(borders, (first + 1, end - 1)).tolist()
+            inner = (borders[low:high] - first).tolist()
+            own = [data[start:stop] for start, stop in pairwise([0, *inner, len(data)])] if data else []
             cut.append(own)
             self.met += len(own)
             for chunk in own:
