@@ -133,3 +133,13 @@ def test_components(spark):
     got = connected_components(spark.createDataFrame(edges, "a bigint, b bigint"))
     assert {row["node"]: row["label"] for row in got.collect()} == {
         node: root(node) for a, b in edges if a != b for node in (a, b)}
+
+
+def test_words_that_hashes_confuse(spark):
+    """A Thue-Morse word and its complement: polynomial hashes modulo 2**64 take them for one."""
+    signs = [bin(place).count("1") % 2 for place in range(1024)]
+    texts = ["".join("ab"[one ^ flip] for one in signs) for flip in (0, 1)]
+    docs = spark.createDataFrame(
+        [(1, texts[0]), (2, texts[1]), (3, texts[0].upper())], "doc_id bigint, text string")
+    got = {row["doc_id"]: (row["component_id"], row["kept"]) for row in near_dedup.near_groups(docs).collect()}
+    assert got == {1: (1, True), 2: (2, True), 3: (1, False)}
