@@ -3,6 +3,7 @@
     python -m gleanstream acquire --captures DIR --log DIR --keyword "Data Science" --pages 3
     python -m gleanstream consume --log DIR --store DIR
     python -m gleanstream snapshot --documents DIR --store DIR
+    python -m gleanstream compact --store DIR
     python -m gleanstream report  --log DIR
     python -m gleanstream show    --store DIR
 
@@ -21,6 +22,7 @@ from gleanstream.plans.acquire import acquire, listing_messages
 from gleanstream.plans.documents import publish_documents
 from gleanstream.schemas import TOPIC
 from gleanstream.session import now_stamp, ship_code
+from gleanstream.sinks.compaction import KEEP_SECONDS, compact_store
 from gleanstream.sinks.log import delivery_report, publish_to_kafka
 from gleanstream.sinks.snapshot import (
     FullSnapshot, GridSnapshot, IncrementalSnapshot, read_published, read_published_grid,
@@ -72,6 +74,11 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     one.add_argument("--store", required=True)
     one.add_argument("--dedup", action="store_true")
 
+    one = command("compact")
+    one.add_argument("--store", required=True)
+    one.add_argument("--keep", type=float, default=KEEP_SECONDS,
+                     help="seconds that merged batches stay for readers that began before")
+
     command("report", "--log")
     one = command("show")
     one.add_argument("--store", required=True)
@@ -138,6 +145,8 @@ def main(argv: list[str] | None = None) -> None:
         _consume(spark, args)
     elif args.command == "snapshot":
         _snapshot(spark, args)
+    elif args.command == "compact":
+        print(compact_store(spark, args.store, args.keep))
     elif args.command == "report":
         delivery_report(spark, args.log).show(truncate=False)
     else:

@@ -19,6 +19,7 @@ from gleanstream.schemas import (
 )
 from gleanstream.session import run_dir, ship_code
 from gleanstream.sinks import collection as store
+from gleanstream.sinks import compaction
 from gleanstream.sinks import log as log_sink
 from gleanstream.sinks import snapshot as snap
 from gleanstream.sources.captures import url_page_number
@@ -594,6 +595,19 @@ def snapshot_catches_up(spark, sf_dir):
     return snap.read_published(spark, f"{root}/published", f"{root}/refreshes")
 
 
+@registered(f"""WITH {DECODED} SELECT {POSTING_LIST}, event_id % 4 AS batch_id FROM decoded""")
+def compact_postings(spark, sf_dir):
+    """Four batches, three of them merged and cleared away; a replay of a merged one adds nothing."""
+    root = run_dir(spark, "compact")
+    rows = decode.decode_postings(inputs.messages(spark, sf_dir), keep=("event_id",))
+    for batch in (0, 1, 2, 3):
+        store.append_batch(rows.where(F.col("event_id") % 4 == batch), root, "s", batch)
+    compaction.compact(spark, root)
+    compaction.clear_merged(spark, root, keep_seconds=0)
+    store.append_batch(rows.where(F.col("event_id") % 4 == 1), root, "s", 1)
+    return read_collection(spark, root).select(*POSTING_FIELDS, "batch_id")
+
+
 @registered(f"""WITH {PARSED_DOCUMENTS} SELECT {", ".join(f'"{n}"' for n in POSTING_FIELDS)},
 '{QUERY_AT}' AS "QueryAt" FROM (SELECT {_decoded_columns({n: n for n in POSTING_FIELDS}, "guarded")}
  FROM parsed WHERE guarded AND whole) AS kept WHERE "SearchWord" IS NOT NULL""")

@@ -27,7 +27,8 @@ from gleanstream.functions.text import guard_formula, parse_stamp
 from gleanstream.operators.clean import snapshot, stamp_query_at, with_search_word
 from gleanstream.schemas import POSTING_FIELDS, PUBLISHED, PUBLISHED_FIELDS, SNAPSHOT_MAX_COLUMNS
 from gleanstream.sinks.refresh_log import RefreshLog
-from gleanstream.sources.collection import STORED, batch_path, read_batches, read_collection
+from gleanstream.sources.collection import batch_path, read_batches, read_collection
+from gleanstream.sources.ranges import in_ranges, merged_ranges
 
 
 @dataclass(frozen=True)
@@ -77,10 +78,14 @@ class IncrementalSnapshot:
 
     def publish(self, rows, refresh):
         folder = f"{self.published_dir}/{self.kind}"
-        if not refresh.batches:  # an idle refresh: its stamp is in the log
+        merged = merged_ranges(rows.sparkSession, folder)
+        batches = [batch for batch in refresh.batches if not any(one.holds(*batch) for one in merged)]
+        if not batches:  # an idle refresh, or a replay of what is there: its stamp is in the log
             return self.kind
-        if len(refresh.batches) == 1:
-            path = batch_path(folder, *refresh.batches[0])
+        if len(batches) < len(refresh.batches):
+            rows = rows.where(~in_ranges(merged))
+        if len(batches) == 1:
+            path = batch_path(folder, *batches[0])
             rows.select(*POSTING_FIELDS).write.mode("overwrite").parquet(path)
         else:
             (
@@ -137,7 +142,7 @@ def write_refresh_log(
 
 def pending_batches(spark: SparkSession, postings_dir: str, log_dir: str) -> tuple[tuple[str, int], ...]:
     """Stored batches of any stream that no refresh has put into the incremental snapshot."""
-    stored = spark.read.schema(STORED).parquet(postings_dir).select("stream_id", "batch_id").distinct()
+    stored = read_collection(spark, postings_dir).select("stream_id", "batch_id").distinct()
     covered = RefreshLog(spark, log_dir).covered()
     rows = stored.join(covered, (stored["stream_id"] == covered["covered_stream"]) & stored["batch_id"].between(
         covered["first"], covered["last"]), "left_anti")
@@ -157,7 +162,7 @@ def read_published(spark: SparkSession, published_dir: str, log_dir: str) -> Dat
         raise ValueError("nothing has been published yet that this reads; a grid has its own reader")
     if last["kind"] == FullSnapshot.kind:
         return spark.read.schema(PUBLISHED).parquet(f"{published_dir}/{last['place']}")
-    rows = spark.read.schema(STORED).parquet(f"{published_dir}/{last['place']}")
+    rows = read_collection(spark, f"{published_dir}/{last['place']}")
     covered = log.covered()
     # a batch is visible once its refresh is logged; a row per stream, or few, on the small side
     visible = rows.join(covered, (rows["stream_id"] == covered["covered_stream"]) & rows["batch_id"].between(

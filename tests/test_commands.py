@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from gleanstream.__main__ import main
 from gleanstream.plans import inputs
 from gleanstream.plans.acquire import acquire
+from gleanstream.schemas import POSTING_FIELDS
 from gleanstream.sinks.snapshot import read_published, read_published_grid
 from gleanstream.sources.captures import url_page_number
 from gleanstream.sources.log import read_log
@@ -77,3 +78,16 @@ def test_page_number(spark):
 def test_a_place_for_the_log_is_required(capsys):
     with pytest.raises(SystemExit):
         main(["consume", "--store", "x"])
+
+
+def test_compact(spark, tmp_path, capsys):
+    from gleanstream.sinks.collection import append_batch
+    from gleanstream.sources.collection import read_collection
+
+    store = str(tmp_path)
+    rows = spark.createDataFrame([("a",)], "word string").select(*[F.col("word").alias(n) for n in POSTING_FIELDS])
+    for number in range(3):
+        append_batch(rows, f"{store}/postings", "s", number)
+    main(["compact", "--store", store, "--keep", "0"])
+    assert "'postings': 2" in capsys.readouterr().out
+    assert read_collection(spark, f"{store}/postings").count() == 3
