@@ -18,6 +18,7 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from gleanstream.operators.page_order import linked_captures
 from gleanstream.plans.acquire import acquire, listing_messages
 from gleanstream.plans.documents import publish_documents
 from gleanstream.schemas import TOPIC
@@ -50,6 +51,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     one.add_argument("--captures", required=True)
     one.add_argument("--keyword", required=True)
     one.add_argument("--pages", type=int, default=None, help="pages per search; default all")
+    one.add_argument("--pages-by", choices=("url", "links"), default="url",
+                     help="what tells a page's place: page=N in its URL, or the next links")
     one.add_argument("--captured-at", default=None, help="yyyy-MM-dd HH:mm:ss")
     one.add_argument("--zip", choices=("pad", "strict", "block"), default="pad")
     one.add_argument("--block", default=None, help="selector of one listing, for --zip block")
@@ -89,8 +92,11 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 def _acquire(spark: SparkSession, args: argparse.Namespace) -> None:
     captures = read_captures(spark, args.captures)
     moment = F.lit(args.captured_at or now_stamp()).cast("timestamp_ntz")
+    page_no = url_page_number(F.col("url"))
+    if args.pages_by == "links" and args.pages is not None:
+        captures, page_no = linked_captures(captures), F.col("ordinal")
     options = {
-        "page_no": url_page_number(F.col("url")), "pages": args.pages,
+        "page_no": page_no, "pages": args.pages,
         "zip_mode": args.zip, "block": args.block,
     }
     if args.kafka:

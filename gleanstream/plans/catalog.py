@@ -11,6 +11,7 @@ from gleanstream.functions import text as tx
 from gleanstream.functions.json_text import encode_object
 from gleanstream.operators import clean, decode, encode, extract
 from gleanstream.operators.extract import Rule
+from gleanstream.operators.page_order import page_order
 from gleanstream.plans import inputs
 from gleanstream.plans.documents import documents_snapshot
 from gleanstream.plans.inputs import DUCKDB_WORDS, documents_sql, messages_sql, table
@@ -389,6 +390,18 @@ def drop_recaptures(spark, sf_dir):
     return extract.drop_recaptures(rows)
 
 
+@registered(f"""WITH RECURSIVE links AS ({inputs.PAGE_LINKS_SQL.format(source="documents")}),
+before AS (SELECT l.next_url AS url, min(l.url) AS back, count(*) AS linked_by FROM links l
+ JOIN links n ON n.url = l.next_url WHERE l.next_url <> l.url GROUP BY l.next_url),
+nodes AS (SELECT links.url, back, coalesce(linked_by, 0) AS linked_by FROM links LEFT JOIN before USING (url)),
+walk AS (SELECT url, url AS head, CAST(0 AS BIGINT) AS ordinal FROM nodes WHERE back IS NULL
+ UNION ALL SELECT n.url, w.head, w.ordinal + 1 FROM walk w JOIN nodes n ON n.back = w.url)
+SELECT url, head, ordinal, linked_by, ordinal IS NULL AS in_cycle FROM nodes LEFT JOIN walk USING (url)""")
+def order_pages(spark, sf_dir):
+    """Place of every page by its next links, with forks and cycles."""
+    return page_order(inputs.page_links(spark, sf_dir))
+
+
 # ---------------------------------------------------------------- encode
 
 @registered("""SELECT doc_id, CAST(json_object('text', text, 'lang', lang, 'source',

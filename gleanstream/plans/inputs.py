@@ -105,6 +105,19 @@ SELECT lang AS SearchWord, source AS Job, 'co' AS Company,
 FROM {source}"""
 
 
+# Every document is a page that links to the next id; some link to none, back, past one, or in a circle.
+PAGE_LINKS_SQL = """
+SELECT concat('u', CAST(doc_id AS VARCHAR(20))) AS url,
+  CASE WHEN doc_id % 97 = 0 OR doc_id % 101 = 2 THEN NULL ELSE concat('u', CAST(
+    CASE WHEN doc_id % 101 = 4 OR doc_id % 53 = 7 THEN doc_id - 1 WHEN doc_id % 31 = 5 THEN doc_id + 2
+    ELSE doc_id + 1 END AS VARCHAR(20))) END AS next_url
+FROM {source}"""
+
+
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(PAGE_LINKS_SQL, source=table(spark, sf_dir, "documents"))
+
+
 def turn_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(TURN_LISTINGS_SQL, source=table(spark, sf_dir, "conversations"))
 

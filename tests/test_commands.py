@@ -91,3 +91,14 @@ def test_compact(spark, tmp_path, capsys):
     main(["compact", "--store", store, "--keep", "0"])
     assert "'postings': 2" in capsys.readouterr().out
     assert read_collection(spark, f"{store}/postings").count() == 3
+
+
+def test_pages_by_links(spark, tmp_path):
+    source, log = str(tmp_path / "captures"), str(tmp_path / "log")
+    pages = inputs.listing_pages(spark, "/root/testdata/sf0.001").where("page_id < 4").withColumn(
+        "url", F.concat(F.lit("http://x.example/s"), "page_id")).withColumn(
+        "html", F.replace("html", F.lit("?p"), F.concat(F.lit("/s"), F.col("page_id") + 1)))
+    pages.select("page_id", "url", "html").write.parquet(source)
+    main(["acquire", "--captures", source, "--log", log, "--keyword", "k", "--pages", "2", "--pages-by", "links"])
+    rows = read_log(spark, log).select(F.get_json_object("value", "$.Job")).collect()
+    assert sorted(int(r[0].split()[1]) for r in rows) == list(range(30))
