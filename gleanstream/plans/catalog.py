@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleanstream.functions import cells
 from gleanstream.functions import text as tx
 from gleanstream.functions.json_text import encode_object
 from gleanstream.operators import clean, decode, encode, extract
@@ -551,6 +552,36 @@ def typed_snapshot(spark, sf_dir):
     return snap.typed_snapshot(rows)
 
 
+# Written without the operator's patterns: digits with separators in threes, one day format at a time.
+CELL_DIGITS = r"((\d{1,3}(,\d{3})+|\d+)(\.\d*)?|\.\d+)([eE][+-]?\d+)?"
+CELLS = rf"""typed AS ({inputs.CELLS_SQL.format(source="documents")}),
+parts AS (SELECT *, trim(salary) AS s, string_split(replace(split_part(deadline, ' ', 1), '/', '-'), '-') AS d,
+ split_part(deadline, ' ', 2) AS t FROM typed),
+cells AS (SELECT *, s LIKE '(%' AS minus, try_cast(regexp_replace(s, '[,$%() +]', '', 'g') AS DOUBLE) AS size,
+ try_cast(concat(CASE WHEN length(d[1]) = 4 THEN concat(d[1], '-', lpad(d[2], 2, '0'), '-', lpad(d[3], 2, '0'))
+  ELSE concat(d[3], '-', lpad(d[1], 2, '0'), '-', lpad(d[2], 2, '0')) END, ' ', CASE WHEN t = '' THEN '00:00:00'
+  WHEN length(t) < 6 THEN concat(lpad(t, 5, '0'), ':00') ELSE t END) AS TIMESTAMP) AS moment FROM parts),
+kinds AS (SELECT *, CASE WHEN coalesce(s, '') = '' THEN 'blank' WHEN s = 'TRUE' THEN 'boolean'
+ WHEN regexp_full_match(s, '[+-]?{CELL_DIGITS}|\({CELL_DIGITS}\)') THEN 'number'
+ WHEN regexp_full_match(s, '{CELL_DIGITS}%') THEN 'percent'
+ WHEN regexp_full_match(s, '[$]{CELL_DIGITS}') THEN 'currency' ELSE 'text' END AS kind FROM cells)"""
+
+
+@registered(f"""WITH {CELLS} SELECT doc_id, kind AS salary_kind,
+CASE kind WHEN 'percent' THEN size / 100 WHEN 'number' THEN CASE WHEN minus THEN -size ELSE size END
+ WHEN 'currency' THEN size END AS salary_number, CASE WHEN kind = 'boolean' THEN true END AS salary_flag,
+CASE WHEN kind = 'text' THEN CASE WHEN ascii(s) = 39 THEN substr(s, 2) ELSE salary END END AS salary_text,
+CASE WHEN moment IS NULL THEN 'text' WHEN t = '' THEN 'date' ELSE 'datetime' END AS deadline_kind,
+moment AS deadline_moment FROM kinds""")
+def typed_cells(spark, sf_dir):
+    """Salaries and deadlines as a sheet would take them."""
+    rows = cells.typed_cells(inputs.typed_texts(spark, sf_dir), ["salary", "deadline"])
+    return rows.select(
+        "doc_id", F.col("salary.kind").alias("salary_kind"), F.col("salary.number").alias("salary_number"),
+        F.col("salary.flag").alias("salary_flag"), F.col("salary.text").alias("salary_text"),
+        F.col("deadline.kind").alias("deadline_kind"), F.col("deadline.moment").alias("deadline_moment"))
+
+
 # ---------------------------------------------------------------- end to end
 
 @registered(PUBLISHED_SQL)

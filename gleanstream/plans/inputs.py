@@ -114,6 +114,25 @@ SELECT concat('u', CAST(doc_id AS VARCHAR(20))) AS url,
 FROM {source}"""
 
 
+# Salaries and deadlines in the shapes that people type.
+CELLS_SQL = """
+SELECT doc_id, CASE doc_id % 12
+    WHEN 0 THEN concat('$', n, '.50') WHEN 1 THEN concat(n, '%') WHEN 2 THEN concat('(', n, ')')
+    WHEN 3 THEN concat('1,', right(concat('000', n), 3)) WHEN 4 THEN 'TRUE' WHEN 5 THEN concat(chr(39), n)
+    WHEN 6 THEN '' WHEN 7 THEN NULL WHEN 8 THEN concat(n, ',5') WHEN 9 THEN concat(' -', n, 'e1 ')
+    WHEN 10 THEN concat('=', n) ELSE concat(n, ' a year') END AS salary,
+  CASE doc_id % 6
+    WHEN 0 THEN concat('2024-02-', d) WHEN 1 THEN concat('2/', d, '/2024') WHEN 2 THEN concat('2024/2/', d)
+    WHEN 3 THEN concat('2024-1-', d, ' 8:0', CAST(doc_id % 10 AS VARCHAR(20))) WHEN 4 THEN concat('soon ', d)
+    ELSE concat('2024-12-', d, ' 23:59:5', CAST(doc_id % 10 AS VARCHAR(20))) END AS deadline
+FROM (SELECT doc_id, CAST(n_chars AS VARCHAR(20)) AS n, CAST(1 + doc_id % 31 AS VARCHAR(20)) AS d
+  FROM {source}) AS pieces"""
+
+
+def typed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(CELLS_SQL, source=table(spark, sf_dir, "documents"))
+
+
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(PAGE_LINKS_SQL, source=table(spark, sf_dir, "documents"))
 

@@ -16,6 +16,7 @@ refresh stays readable until the next one is logged.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Protocol
 
@@ -23,6 +24,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleanstream.functions.cells import typed_cells
 from gleanstream.functions.text import guard_formula, parse_stamp
 from gleanstream.operators.clean import snapshot, stamp_query_at, with_search_word
 from gleanstream.schemas import POSTING_FIELDS, PUBLISHED, PUBLISHED_FIELDS, SNAPSHOT_MAX_COLUMNS
@@ -178,9 +180,12 @@ def read_published_grid(spark: SparkSession, published_dir: str, log_dir: str) -
     return read_grid(spark, f"{published_dir}/{last['place']}")
 
 
-def typed_snapshot(published: DataFrame) -> DataFrame:
-    """Stamps as timestamps, as a sheet would read them; other text gives NULL."""
-    return published.withColumns({
+def typed_snapshot(published: DataFrame, cells: Sequence[str] = ()) -> DataFrame:
+    """Stamps as timestamps, as a sheet would read them; other text gives NULL.
+
+    Columns named in ``cells`` become typed cells, see :func:`gleanstream.functions.cells.typed_cell`.
+    """
+    return typed_cells(published, cells).withColumns({
         "Created": parse_stamp(F.col("Created")),
         "QueryAt": parse_stamp(F.col("QueryAt")),
     })
