@@ -35,8 +35,12 @@ def publish_documents(
     spark = documents.sparkSession
     published, log = f"{store}/published", f"{store}/refreshes"
     publisher, run = FullSnapshot(published), uuid.uuid4().hex
-    last = last_refresh(spark, log, publisher.kind)
-    refresh = Refresh(f"documents-{run}", 0, query_at, last_place=last["place"] if last else None)
+
+    def newest_place() -> str | None:
+        last = last_refresh(spark, log, publisher.kind)
+        return last["place"] if last else None
+
+    refresh = Refresh(f"documents-{run}", 0, query_at, last_place=newest_place(), newest_place=newest_place)
     rows = documents_snapshot(documents, query_at, f"{store}/rejects-documents/run={run}", text, dedup)
     place = error = None
     try:
@@ -47,3 +51,4 @@ def publish_documents(
     finally:
         records = spark.read.schema(rows.schema).parquet(f"{published}/{place}").count() if place else 0
         write_refresh_log(spark, log, refresh, publisher.kind, records, place, error)
+        publisher.release(spark, refresh)

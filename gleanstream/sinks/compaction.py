@@ -17,9 +17,9 @@ import time
 import uuid
 from collections.abc import Iterable
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
+from gleanstream.sinks.claims import put_if_absent, remove
 from gleanstream.sinks.refresh_log import RefreshLog
 from gleanstream.sources.collection import STORED, batch_path, read_ranges
 from gleanstream.sources.ranges import (
@@ -133,25 +133,11 @@ def compact(
 
 
 def _switch(spark: SparkSession, root: str, number: int, ranges: list[Range]) -> None:
-    """Make these the ranges that count, unless another compaction has made a list of that number.
-
-    The rename never replaces a list: one step in a distributed file system, a look and then a
-    rename in a local one.
-    """
+    """Make these the ranges that count, unless another compaction has made a list of that number."""
     stage = f"{root}/{MERGED}/unlisted-{uuid.uuid4().hex}"
     spark.createDataFrame([tuple(one) for one in ranges], RANGE_FIELDS).coalesce(1).write.parquet(stage)
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    files, source = files_of(spark, stage)
-    source, target = files.makeQualified(source), files.makeQualified(hadoop.Path(list_path(root, number)))
-    how = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
-    how[0] = hadoop.Options.Rename.NONE
-    context = hadoop.FileContext.getFileContext(source.toUri(), spark._jsc.hadoopConfiguration())
-    try:
-        context.rename(source, target, how)
-    except Py4JJavaError as error:
-        if "AlreadyExists" in str(error.java_exception.getClass().getName()):
-            raise OtherCompaction(f"list {number} of {root} is there already") from error
-        raise
+    if not put_if_absent(spark, stage, list_path(root, number)):
+        raise OtherCompaction(f"list {number} of {root} is there already")
 
 
 def _age(spark: SparkSession, path: str) -> float:
@@ -159,11 +145,6 @@ def _age(spark: SparkSession, path: str) -> float:
     return time.time() - files.getFileStatus(place).getModificationTime() / 1000
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    files, place = files_of(spark, path)
-    files.delete(place, True)
-
-
 def clear_merged(spark: SparkSession, root: str, keep_seconds: float = KEEP_SECONDS) -> int:
     """Delete what lists older than ``keep_seconds`` have replaced; returns the folders deleted.
 
@@ -188,7 +169,7 @@ def clear_merged(spark: SparkSession, root: str, keep_seconds: float = KEEP_SECO
         elif name not in named and _age(spark, path) >= keep_seconds:
             gone.append(path)
     for path in gone:
-        _remove(spark, path)
+        remove(spark, path)
     return len(gone)
 
 

@@ -17,14 +17,17 @@ from pyspark.sql.streaming import StreamingQuery
 from gleanstream.operators.decode import decode_log_strings, decode_tagged, record_trace
 from gleanstream.session import now_stamp
 from gleanstream.sinks.collection import append_observed
+from gleanstream.sinks.refresh_log import RefreshLog
 from gleanstream.sinks.snapshot import (
-    Publisher, Refresh, last_refresh, pending_batches, write_refresh_log,
+    Publisher, Refresh, last_refresh, pending_batches, stored_marks, write_refresh_log,
 )
 from gleanstream.sources.collection import batch_path
 
 BATCH_INTERVAL = "10 seconds"
 #: Batches of which a consumer remembers the counts.
 COUNTS_KEPT = 1000
+#: Times that a refresh is made anew because another refresher was quicker.
+REFRESH_ATTEMPTS = 10
 _POLL = 0.05
 _PLACES = ("partition", "offset", "place", "row")
 
@@ -49,7 +52,8 @@ class ListingConsumer:
 
     :meth:`request_stop` lets a running batch end and begins no other; :meth:`refresh_when_idle`
     publishes again, with a new stamp, if nothing has for a while. Batches and idle refreshes
-    never run at the same time.
+    never run at the same time. Several consumers, each with a checkpoint of its own, may refresh one
+    store: see :mod:`gleanstream.sinks.snapshot`.
     """
 
     postings_dir: str
@@ -67,6 +71,11 @@ class ListingConsumer:
     _refreshed: float | None = None
     _pending: tuple[tuple[str, int], ...] | None = None
     _place: str | None = None
+    _seen: int | None = None
+
+    def _last_place(self, spark: SparkSession) -> str | None:
+        last = last_refresh(spark, self.log_dir, self.publisher.kind)
+        return last["place"] if last is not None else None
 
     def _stream_id(self, spark: SparkSession) -> str:
         """The id Spark keeps inside the checkpoint: same after a restart, new if it is new."""
@@ -130,19 +139,39 @@ class ListingConsumer:
     def _refresh(
         self, spark: SparkSession, stream_id: str, batch_id: int, records: int, idle: bool = False,
     ) -> None:
+        kind, rewrites = self.publisher.kind, self.publisher.rewrites
+        log = RefreshLog(spark, self.log_dir)
         if self._pending is None:
-            # read once; from here on this process is the one that refreshes
-            last = last_refresh(spark, self.log_dir, self.publisher.kind)
-            self._place = last["place"] if last is not None else None
+            # read once: from here on this process sees to its own batches, and others to theirs
+            self._place = self._last_place(spark)
             self._pending = pending_batches(spark, self.postings_dir, self.log_dir)
-        refresh = Refresh(stream_id, batch_id, self.query_at(), self._pending, self._place, idle)
-        rows = self.publisher.prepare(spark, self.postings_dir, refresh)
-        place = error = None
-        try:
-            place = self.publisher.publish(rows, refresh)
-        except Exception as problem:  # noqa: BLE001 - a target's failure must not end the stream
-            error = str(problem) or type(problem).__name__
-        write_refresh_log(spark, self.log_dir, refresh, self.publisher.kind, records, place, error)
+        foreign = tuple(batch for batch in self._pending if batch != (stream_id, batch_id))
+        marks = stored_marks(spark, self.postings_dir, foreign)
+        for _ in range(REFRESH_ATTEMPTS):
+            after = log.newest() if rewrites else None
+            if after != self._seen:
+                self._place = self._last_place(spark)
+            refresh = Refresh(
+                stream_id, batch_id, self.query_at(), self._pending, self._place, idle,
+                lambda: stored_marks(spark, self.postings_dir, foreign) == marks,
+                (lambda: self._last_place(spark)) if rewrites else None)
+            rows = self.publisher.prepare(spark, self.postings_dir, refresh)
+            place = error = None
+            try:
+                try:
+                    place = self.publisher.publish(rows, refresh)
+                except Exception as problem:  # noqa: BLE001 - a target's failure must not end the stream
+                    error = str(problem) or type(problem).__name__
+                logged = write_refresh_log(
+                    spark, self.log_dir, refresh, kind, records, place, error, None if error else after)
+            finally:
+                self.publisher.release(spark, refresh)
+            if logged:
+                self._seen = after + 1 if rewrites and error is None else None
+                break
+        else:
+            place, error = None, "other refreshers were quicker each time"
+            write_refresh_log(spark, self.log_dir, refresh, kind, records, place, error)
         if error is None:
             self._pending, self._place = (), place
         else:

@@ -1,0 +1,137 @@
+"""Several refreshers of one store: no row is lost or double, whoever is quicker."""
+
+import threading
+
+import pytest
+
+from gleanstream.sinks import snapshot as snap
+from gleanstream.sinks.claims import claim, put_if_absent
+from gleanstream.sinks.collection import append_batch
+from gleanstream.sinks.refresh_log import RefreshLog, read_refresh_log
+from gleanstream.sources.collection import batch_path
+from tests.test_streaming import KINDS, batch, consumer, published
+
+
+def words(spark, root):
+    return sorted(row["SearchWord"] for row in published(spark, root).collect())
+
+
+def test_a_name_is_given_once(spark, tmp_path):
+    for name in "ab":
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x").write_text(name)
+    target = str(tmp_path / "below" / "name")
+    assert put_if_absent(spark, str(tmp_path / "a"), target)
+    assert not put_if_absent(spark, str(tmp_path / "b"), target)
+    assert (tmp_path / "below" / "name" / "x").read_text() == "a" and (tmp_path / "b" / "x").exists()
+    place = str(tmp_path / "claim")
+    assert claim(spark, place, "s") and claim(spark, place, "s") and not claim(spark, place, "t")
+
+
+def test_commits_are_numbered_whoever_writes(spark, tmp_path):
+    logs = [RefreshLog(spark, str(tmp_path), compact_every=4) for _ in range(3)]
+
+    def write(name, log):
+        for number in range(5):
+            assert log.append(name, number, kind="rows", query_at=f"{name}{number}", records=1, place="rows",
+                              error=None, covers=[(name, number)])
+
+    threads = [threading.Thread(target=write, args=(name, log)) for name, log in zip("abc", logs)]
+    for one in threads:
+        one.start()
+    for one in threads:
+        one.join()
+    assert logs[0].newest() == 15
+    assert {(r["covered_stream"], r["first"], r["last"]) for r in logs[0].covered().collect()} == {
+        (name, 0, 4) for name in "abc"}
+    more = {"kind": "full", "query_at": "q", "records": 1, "place": "full/slot=0", "error": None}
+    assert not logs[1].append("a", 5, **more, after=14)
+    assert logs[1].append("a", 5, **more, after=15) and logs[0].last()["stream_id"] == "a"
+
+
+class Interrupted:
+    """Lets something happen between the reading and the writing of the first refresh."""
+
+    def __init__(self, kind, root, meanwhile):
+        self.inner, self.meanwhile, self.published = KINDS[kind](f"{root}/published"), [meanwhile], 0
+        self.kind, self.rewrites, self.release = self.inner.kind, self.inner.rewrites, self.inner.release
+
+    def prepare(self, spark, postings_dir, refresh):
+        rows = self.inner.prepare(spark, postings_dir, refresh)
+        if self.meanwhile:
+            self.meanwhile.pop()()
+        return rows
+
+    def publish(self, rows, refresh):
+        self.published += 1
+        return self.inner.publish(rows, refresh)
+
+
+@pytest.mark.parametrize("kind,times", [("full", 2), ("rows", 1)])
+def test_the_slower_refresher_has_what_the_quicker_has(spark, tmp_path, kind, times):
+    root = str(tmp_path)
+    consumer(root, KINDS[kind](f"{root}/published"), stream_id="s").process(batch(spark, "a"), 0)
+    quick = consumer(root, KINDS[kind](f"{root}/published"), stream_id="t")
+    between = Interrupted(kind, root, lambda: quick.process(batch(spark, "b"), 0))
+    consumer(root, between, stream_id="s").process(batch(spark, "c"), 1)
+    assert words(spark, root) == ["a", "b", "c"] and between.published == times
+    quick.process(batch(spark, "d"), 1)
+    assert words(spark, root) == ["a", "b", "c", "d"]
+
+
+def test_both_take_up_the_same_pending_batch(spark, tmp_path):
+    root = str(tmp_path)
+    gone = consumer(root, stream_id="gone")
+    gone.publisher.publish = lambda *_: 1 / 0
+    gone.process(batch(spark, "x", "y"), 0)
+    other = consumer(root, stream_id="t")
+    between = Interrupted("rows", root, lambda: other.process(batch(spark, "b"), 0))
+    consumer(root, between, stream_id="s").process(batch(spark, "a"), 0)
+    assert words(spark, root) == ["a", "b", "x", "y"]
+
+
+def test_a_pending_batch_that_is_being_stored_waits(spark, tmp_path):
+    root = str(tmp_path)
+    rows = spark.createDataFrame([("x",) * 8], ["SearchWord", *(f"c{i}" for i in range(7))])
+    rows = rows.toDF(*snap.POSTING_FIELDS)
+    append_batch(rows, f"{root}/postings", "u", 0)
+    mark = tmp_path / "postings" / "stream_id=u" / "batch_id=0" / "_SUCCESS"
+    mark.rename(mark.with_name("_hidden"))
+    assert snap.pending_batches(spark, f"{root}/postings", f"{root}/refreshes") == ()
+    mark.with_name("_hidden").rename(mark)
+    assert snap.pending_batches(spark, f"{root}/postings", f"{root}/refreshes") == (("u", 0),)
+    # it is stored anew while a refresh reads it: that refresh fails, the next one has it
+    between = Interrupted("rows", root, lambda: append_batch(rows, f"{root}/postings", "u", 0))
+    job = consumer(root, between, stream_id="s")
+    job.process(batch(spark, "a"), 0)
+    log = read_refresh_log(spark, f"{root}/refreshes").collect()
+    assert [row["status"] for row in log] == ["failed"]
+    job.process(batch(spark, "b"), 1)
+    assert words(spark, root) == ["a", "b", "x"]
+
+
+@pytest.mark.parametrize("kind", ["rows", "full"])
+def test_refreshers_side_by_side(spark, tmp_path, kind):
+    root, failed = str(tmp_path), []
+
+    def work(name):
+        try:
+            job = consumer(root, KINDS[kind](f"{root}/published"), stream_id=name)
+            for number in range(3):
+                job.process(batch(spark, f"{name}{number}"), number)
+        except Exception as error:
+            failed.append(error)
+
+    threads = [threading.Thread(target=work, args=(name,)) for name in "stu"]
+    for one in threads:
+        one.start()
+    for one in threads:
+        one.join()
+    assert not failed
+    every = sorted(f"{name}{number}" for name in "stu" for number in range(3))
+    if kind == "full" and words(spark, root) != every:  # the last refresh may have failed ten times
+        consumer(root, KINDS[kind](f"{root}/published"), stream_id="v").process(batch(spark, None), 0)
+    assert words(spark, root) == every
+    if kind == "rows":
+        stored = spark.read.parquet(batch_path(f"{root}/published/rows", "s", 0))
+        assert stored.count() == 1
