@@ -28,6 +28,7 @@ from gleanstream.sources.captures import url_page_number
 from gleanstream.sources.collection import read_collection
 from gleanstream.sources.log import read_log, stream_log
 from gleanstream.streaming.consumer import ListingConsumer
+from gleanstream.streaming.recaptures import drop_recaptures_in_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -391,6 +392,20 @@ def drop_recaptures(spark, sf_dir):
     return extract.drop_recaptures(rows)
 
 
+@registered(f"""WITH {DOCS} SELECT DISTINCT "SearchWord", "Job", "Company", "Location",
+"JobsDetails" FROM docs""")
+def stream_recaptures(spark, sf_dir):
+    """Every listing captured in three micro-batches, each time with other stamps: published once."""
+    path = run_dir(spark, "stream-recaptures")
+    rows = inputs.document_postings(spark, sf_dir).drop("Salary", "Deadline")
+    for _ in range(3):
+        rows.write.mode("append").parquet(f"{path}/captures")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{path}/captures")
+        _drain_to_table(drop_recaptures_in_stream(stream), path)
+        rows = rows.withColumn("Created", F.lit("2030-01-01 00:00:00"))
+    return spark.read.schema(rows.schema).parquet(f"{path}/rows").drop("Created")
+
+
 @registered(f"""WITH RECURSIVE links AS ({inputs.PAGE_LINKS_SQL.format(source="documents")}),
 before AS (SELECT l.next_url AS url, min(l.url) AS back, count(*) AS linked_by FROM links l
  JOIN links n ON n.url = l.next_url WHERE l.next_url <> l.url GROUP BY l.next_url),
