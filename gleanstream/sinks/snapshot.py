@@ -241,8 +241,9 @@ def read_published(spark: SparkSession, published_dir: str, log_dir: str) -> Dat
         return spark.read.schema(PUBLISHED).parquet(f"{published_dir}/{last['place']}")
     rows = read_collection(spark, f"{published_dir}/{last['place']}")
     covered = log.covered()
-    # a batch is visible once its refresh is logged; a row per stream, or few, on the small side
-    visible = rows.join(covered, (rows["stream_id"] == covered["covered_stream"]) & rows["batch_id"].between(
+    # a batch is visible once its refresh is logged; a row per stream, or few, go to the tasks, for dealt
+    # by stream all rows of one would lie in one task
+    visible = rows.join(F.broadcast(covered), (rows["stream_id"] == covered["covered_stream"]) & rows["batch_id"].between(
         covered["first"], covered["last"]), "left_semi")
     return stamp_query_at(visible.select(*POSTING_FIELDS), last["query_at"])
 

@@ -500,3 +500,13 @@ def test_an_idle_refresh_makes_up_for_a_failed_one(spark, tmp_path):
     assert not job.refresh_when_idle(spark, 60)
     assert job.refresh_when_idle(spark, 0)
     assert [row["SearchWord"] for row in published(spark, root).collect()] == ["a"]
+
+
+def test_reading_does_not_deal_the_rows_by_stream(spark, sf, tmp_path):
+    job = consumer(str(tmp_path), stream_id="s")
+    for batch_id in range(2):
+        job.process(inputs.messages(spark, sf), batch_id)
+    found = published(spark, tmp_path)
+    assert found.count() == 2 * (N - MALFORMED)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan  # one stream has all rows
