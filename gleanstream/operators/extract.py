@@ -21,6 +21,10 @@ from gleanstream.operators.page_tree import PageTree
 from gleanstream.schemas import (
     EXTRACTED_FIELDS, LISTINGS_PER_PAGE, MESSAGE_FIELDS, NO_SALARY,
 )
+from gleanstream.session import bound_batches
+
+#: Characters of pages whose texts a task gives back at once; a longer page goes on its own.
+PART_CHARS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -96,6 +100,25 @@ def _page_lists(html: str | None, rules: Sequence[Rule], block: str | None, stri
     return lists
 
 
+def _in_parts(
+    batches: Iterator[pa.Array], rules: Sequence[Rule], block: str | None, strict: bool, made: pa.DataType,
+) -> Iterator[pa.Array]:
+    """The lists of all pages, given back every PART_CHARS of their text."""
+    for pages in batches:
+        lists, size = [], 0
+        for page in pages:
+            text = page.as_py()
+            lists.append(_page_lists(text, rules, block, strict))
+            size += len(text or "")
+            if size >= PART_CHARS:
+                yield pa.array(lists, made)
+                lists, size = [], 0
+        if lists:
+            yield pa.array(lists, made)
+        del pages, lists
+        pa.default_memory_pool().release_unused()
+
+
 def field_lists(
     html: Column, rules: Sequence[Rule] = LISTING_RULES,
     block: str | None = None, strict: bool = False,
@@ -112,10 +135,7 @@ def field_lists(
 
     @F.arrow_udf(result)
     def read_pages(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for pages in batches:
-            yield pa.array(
-                [_page_lists(page.as_py(), rules, block, strict) for page in pages], arrow
-            )
+        return _in_parts(batches, rules, block, strict, arrow)
 
     return read_pages(html)
 
@@ -125,6 +145,7 @@ def extract_lists(
     block: str | None = None, strict: bool = False,
 ) -> DataFrame:
     """Replace the page text by one list column per field."""
+    bound_batches(captures.sparkSession)
     others = [name for name in captures.columns if name != html]
     fields = [rule.field for rule in rules]
     lists = field_lists(F.col(html), rules, block, strict)

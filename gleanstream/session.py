@@ -13,6 +13,9 @@ from functools import cache
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of a record batch for a Python task; a longer row goes on its own.
+BATCH_BYTES = 4 << 20
 
 
 @cache
@@ -50,6 +53,16 @@ def ship_code(spark: SparkSession) -> None:
     spark.conf.set(flag, "true")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Have record batches for Python tasks end by their bytes, not only by their rows.
+
+    The engine's 10,000 rows a batch are a whole task's share when a row is a page. A session's own
+    setting is left alone.
+    """
+    if spark.conf.get(_BATCH_BYTES, None) is None:
+        spark.conf.set(_BATCH_BYTES, str(BATCH_BYTES))
+
+
 def now_stamp() -> str:
     """Driver-side wall clock as text, without a zone."""
     return datetime.now().strftime("%Y-%m-%d %H:%M:%S")

@@ -1,5 +1,8 @@
 """Hand-written listing pages, one per case."""
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 import pytest
 from pyspark.errors import PythonException, SparkRuntimeException
 from pyspark.sql import functions as F
@@ -177,3 +180,25 @@ def test_only_the_page_text_goes_to_python(spark):
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython [") == 1 and "read_pages(html#" in plan
     assert "Exchange" not in plan
+
+
+def test_page_batches_end_by_their_bytes(spark):
+    html = F.repeat(F.lit("<h1>x</h1>y"), 30_000)
+    pages = spark.range(0, 40, numPartitions=1).select(F.col("id").alias("page_id"), html.alias("html"))
+    found = extract.extract_lists(pages, [Rule("title", "h1")])
+    assert [len(row["title"]) for row in found.collect()] == [30_000] * 40
+
+    @F.arrow_udf("int")
+    def together(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([len(batch)] * len(batch), pa.int32())
+
+    assert max(row[0] for row in pages.select(together("html")).collect()) <= 15  # 4 MB of 13
+
+
+def test_texts_of_pages_come_back_in_parts():
+    pages = pa.array(["<h1>a</h1>", None, "<h1>b</h1>" + "x" * extract.PART_CHARS, "<h1>c</h1>"])
+    made = pa.struct([("title", pa.list_(pa.string()))])
+    parts = list(extract._in_parts(iter([pages, pages[:0]]), [Rule("title", "h1")], None, False, made))
+    assert [len(part) for part in parts] == [3, 1]
+    assert pa.concat_arrays(parts).to_pylist() == [{"title": one} for one in (["a"], [], ["b"], ["c"])]
