@@ -4,8 +4,8 @@ A text, with a blank before it, is encoded by a byte-level BPE (A) and by a piec
 which a token of each ends cut both into groups that cover the same bytes. Where the tokens go
 one to one, the ends of both lie on a diagonal: the same numbers at a constant shift of index. From a
 common border on, growing slices of the two end arrays are compared at that shift and jumped over
-while they are equal; a slice that is not equal is halved down to the first difference. The irregular
-group there is resolved token by token, which gives the next shift.
+while they are equal; a slice that is not equal is halved, and the last few tokens before the first
+difference are compared one by one. The irregular group there is resolved token by token, which gives the next shift.
 
 The links of a group are all its pairs of an A and a B token. Over the corpus, a pair of ids counts
 the documents that hold it linked. A document keeps its distinct pairs, and how often it has each.
@@ -41,6 +41,8 @@ from gleanstream.llm import tables
 FREQUENT = 1 << 19
 #: Group of more pairs than this are counted by distinct ids.
 DENSE = 4096
+#: Tokens that are compared at once at the begin of a diagonal run.
+FIRST_SLICE = 8
 
 # Fixed value: the pattern by which the byte-level tokenizer splits text before its merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -56,6 +58,13 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(byte): byte for byte in plain} | {chr(256 + i): byte for i, byte in enumerate(others)}
 
 
+def joined(parts: pa.Array, numbers: np.ndarray) -> bytes:
+    """Some of the binary ``parts`` in a row; Arrow lays them out side by side."""
+    taken = parts.take(pa.array(numbers))
+    _, offsets, data = taken.buffers()
+    return data[:int(np.frombuffer(offsets, np.int64)[len(taken)])].to_pybytes() if len(taken) else b""
+
+
 class BytePairs:
     """Tokenizer A: ids of a text, special tokens being plain text, and the bytes of each id."""
 
@@ -95,52 +104,59 @@ class Pieces:
             else piece.replace("▁", " ").encode()
             for number, piece in enumerate(map(self.coder.id_to_piece, range(self.size)))]
         self.lengths = np.array([len(one) for one in self.bytes], np.int64)
+        self.pieces = pa.array(self.bytes, pa.large_binary())
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.coder.encode(texts, num_threads=1)
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes.__getitem__, ids))
+    def decode(self, ids: np.ndarray) -> bytes:
+        return joined(self.pieces, ids)
 
 
 def cut(ends_a: list[int], ends_b: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """How many tokens of A and of B lie before the end of each group; both must end alike."""
-    firsts_a: list[int] = []  # the end of the first of some groups of one token a side
-    firsts_b: list[int] = []
-    sizes: list[int] = []
-    i = j = 0
     count = len(ends_a)
-    while i < count:
-        start, shift, probe = i, j - i, 1
-        while i < count and ends_a[i:i + probe] == ends_b[j:j + probe]:
+    ends_a, ends_b = [*ends_a, -1], [*ends_b, -2]  # no slice beyond the end is equal
+    starts_a: list[int] = []  # of the runs of groups of one token a side; between two is one other group
+    starts_b: list[int] = []
+    runs: list[int] = []
+    i = j = 0
+    while True:
+        starts_a.append(i)
+        starts_b.append(j)
+        start, probe = i, FIRST_SLICE
+        while ends_a[i:i + probe] == ends_b[j:j + probe]:
             i, j, probe = i + probe, j + probe, 2 * probe
-        if i < count:
-            while probe > 1:
-                probe //= 2
-                if ends_a[i:i + probe] == ends_b[j:j + probe]:
-                    i, j = i + probe, j + probe
-        else:  # the last probe may have gone beyond the end, on both sides
-            i, j = count, count + shift
-        if i > start:
-            firsts_a.append(start + 1)
-            firsts_b.append(start + shift + 1)
-            sizes.append(i - start)
-        if i < count:
-            a, b = ends_a[i], ends_b[j]
-            while a != b:
-                if a < b:
-                    i += 1
-                    a = ends_a[i]
-                else:
-                    j += 1
-                    b = ends_b[j]
+        while probe > FIRST_SLICE:
+            probe //= 2
+            if ends_a[i:i + probe] == ends_b[j:j + probe]:
+                i, j = i + probe, j + probe
+        a, b = ends_a[i], ends_b[j]
+        while a == b:  # a few tokens before the first difference
             i, j = i + 1, j + 1
-            firsts_a.append(i)
-            firsts_b.append(j)
-            sizes.append(1)
-    lengths = np.array(sizes, np.int64)
-    within = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    return np.repeat(firsts_a, lengths) + within, np.repeat(firsts_b, lengths) + within
+            a, b = ends_a[i], ends_b[j]
+        runs.append(i - start)
+        if i == count:
+            break
+        while a != b:
+            if a < b:
+                i += 1
+                a = ends_a[i]
+            else:
+                j += 1
+                b = ends_b[j]
+        i, j = i + 1, j + 1
+    lengths = np.array(runs, np.int64) + 1
+    lengths[-1] -= 1
+    ends = np.cumsum(lengths)
+    within = np.arange(1, ends[-1] + 1) - np.repeat(ends - lengths, lengths)
+    cuts = []
+    for starts in (starts_a, starts_b):
+        first = np.array(starts, np.int64)
+        cut_at = np.repeat(first, lengths) + within
+        cut_at[ends[:-1] - 1] = first[1:]
+        cuts.append(cut_at)
+    return cuts[0], cuts[1]
 
 
 def linked_pairs(ids_a: np.ndarray, ids_b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray,
@@ -174,8 +190,9 @@ class Aligner:
 
     def __init__(self, config: str, model: bytes):
         self.a, self.b = BytePairs(config), Pieces(model)
-        self.texts = [f"{number}{sign}" for size, signs in ((self.a.size, ",|"), (self.b.size, ",;"))
-                      for sign in signs for number in range(size)]
+        self.texts = pa.array(
+            [f"{number}{sign}".encode() for size, signs in ((self.a.size, ",|"), (self.b.size, ",;"))
+             for sign in signs for number in range(size)], pa.large_binary())
 
     def listed(self, a: np.ndarray, b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray) -> str:
         """The groups as ``a1,a2|b1;a3|b2,b3``."""
@@ -187,7 +204,7 @@ class Aligner:
         order = np.empty(len(a) + len(b), np.int64)
         order[np.arange(len(a)) + before] = a + last_a * self.a.size
         order[np.arange(len(b)) + after] = 2 * self.a.size + b + last_b * self.b.size
-        return "".join(map(self.texts.__getitem__, order.tolist()))[:-1]
+        return joined(self.texts, order)[:-1].decode()
 
     def align(self, texts: list[str | None]) -> Iterator[tuple | None]:
         """(n_a, n_b, n_groups, n_links, groups, pairs, times) of each text that has tokens."""
@@ -196,10 +213,10 @@ class Aligner:
             data = b" " + text.encode("utf-8")
             a = self.a.encode(" " + text)
             ends_a = np.cumsum(self.a.lengths[a])
-            if not text or ends_a[-1] != len(data) or self.b.decode(ids_b) != data:
+            b = np.array(ids_b, np.int64)
+            if not text or ends_a[-1] != len(data) or self.b.decode(b) != data:
                 yield None
                 continue
-            b = np.array(ids_b, np.int64)
             cuts_a, cuts_b = cut(ends_a.tolist(), np.cumsum(self.b.lengths[b]).tolist())
             pairs, times = linked_pairs(a, b, cuts_a, cuts_b, self.b.size)
             yield (len(a), len(b), len(cuts_a), int(times.sum()),

@@ -63,6 +63,27 @@ def test_cuts_of_all_kinds():
         assert [ends[0][i - 1] for i in cuts[0]] == common == [ends[1][j - 1] for j in cuts[1]]
 
 
+@pytest.mark.parametrize("first", [1, 3, 8])
+def test_cuts_of_long_runs(monkeypatch, first):
+    """Runs shorter and longer than the first slice, irregular groups at the begin and end or nowhere."""
+    monkeypatch.setattr(alignment, "FIRST_SLICE", first)
+    for length in (*range(1, 20), 1000, 1024, 1025):
+        run = list(range(3, 3 + length))
+        end = run[-1] + 3
+        for extra in ([], [end]):
+            for ends in ((run + extra, run + extra), ([1, *run, *extra], [2, *run, *extra]),
+                         ([*run, run[-1] + 1, end], [*run, run[-1] + 2, end]), ([1, *run], [2, *run])):
+                common = sorted(set(ends[0]) & set(ends[1]))
+                cuts = alignment.cut(*ends)
+                assert [ends[0][i - 1] for i in cuts[0]] == common == [ends[1][j - 1] for j in cuts[1]]
+
+
+def test_joined_parts():
+    parts = alignment.pa.array([b"a", b"", "é".encode(), b"xyz"], alignment.pa.large_binary())
+    assert alignment.joined(parts, np.array([3, 1, 2, 0, 3])) == "xyzéaxyz".encode()
+    assert alignment.joined(parts, np.array([1])) == alignment.joined(parts, np.array([], np.int64)) == b""
+
+
 def test_large_groups_are_counted_by_ids():
     a, b = np.arange(300) % 7, np.arange(200) % 5
     pairs, times = alignment.linked_pairs(a, b, np.array([1, 300]), np.array([1, 200]), 10)
