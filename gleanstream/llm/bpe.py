@@ -28,7 +28,7 @@ from __future__ import annotations
 import hashlib
 import os
 import struct
-from itertools import pairwise
+from itertools import filterfalse, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +41,8 @@ from gleanstream.llm import tables, words
 ROLL, CHUNK = 24, 512
 #: Bytes of text that are cut and encoded at once.
 BLOCK_BYTES = 1 << 19
-#: Entries that a worker keeps: chunks, windows, and words of each of two generations; about 70 MB.
-CHUNKS_KEPT, WINDOWS_KEPT, WORDS_KEPT = 5_000, 20_000, 150_000
+#: Entries that a worker keeps: chunks, windows, and words of each of two generations; about 110 MB.
+CHUNKS_KEPT, WINDOWS_KEPT, WORDS_KEPT = 5_000, 20_000, 250_000
 
 
 #: Where the tokenizer always splits, and bytes that continue a letter.
@@ -99,6 +99,11 @@ class Coder:
         self.words: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.met = self.reused = self.repaired = self.widened = 0
+        # without a decoder, the library decodes ids to their tokens with blanks between
+        self.tokens = None if self.tokenizer.decoder else list(
+            map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size())))
+        if self.tokens and None in self.tokens:
+            self.tokens = None  # ids with gaps
         for blank in " \n\t\r\x0b\x0c":
             parts = [self._ids(text) for text in (f"A b's.,{blank}{blank}C9?", "a", "b's", ".,", "c9", "?", blank)]
             if parts[0] != sum(parts[1:], []):
@@ -116,30 +121,28 @@ class Coder:
         """Ids of some texts, each encoded on its own."""
         coded = self.tokenizer.encode_batch_fast(
             [text.decode("utf-8") for text in texts], add_special_tokens=False)
-        return [struct.pack(f"<{len(one.ids)}I", *one.ids) for one in coded]
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in [one.ids for one in coded]]
 
     def _know(self, met: set[bytes]) -> None:
-        """Have the ids of some words at hand; those that are new are encoded, each part once."""
-        if len(self.words) > WORDS_KEPT:
-            self.words, self.older = {}, self.words
+        """Have the ids of some words that are not at hand; those that are new are encoded, each part once."""
         known, older = self.words, self.older
         parts = {}
         new: dict[bytes, bytes] = {}
         for word in met:
-            if word not in known:
-                ids = older.get(word)
-                if ids is None:
-                    parts[word] = own = word_parts(word)
-                    for part in own:
-                        if part not in known:
-                            new[part] = older.get(part, b"")
-                else:
-                    known[word] = ids
+            ids = older.get(word)
+            if ids is None:
+                parts[word] = own = word_parts(word)
+                for part in own:
+                    if part not in known:
+                        new[part] = older.get(part, b"")
+            else:
+                known[word] = ids
         missing = [part for part, ids in new.items() if not ids]
         known.update(new)
         known.update(zip(missing, self._packed(missing), strict=True))
         for word, own in parts.items():
-            known[word] = b"".join([known[part] for part in own])
+            if len(own) > 1:
+                known[word] = b"".join([known[part] for part in own])
 
     def _chunks(self, texts: list[bytes]) -> list[list[Chunk]]:
         """The chunks of each text, those that are new being encoded."""
@@ -162,12 +165,30 @@ class Coder:
                     self.reused += 1
                 else:
                     fresh[chunk] = chunk.split()
-        self._know({word for found in fresh.values() for word in found})
+        if len(self.words) > WORDS_KEPT:
+            self.words, self.older = {}, self.words
         known = self.words
+        unknown: set[bytes] = set()
+        for found in fresh.values():
+            unknown.update(filterfalse(known.__contains__, found))
+        self._know(unknown)
         for chunk, found in fresh.items():
-            self.chunks[chunk] = Chunk(chunk, found, [known[word] for word in found])
+            self.chunks[chunk] = Chunk(chunk, found, list(map(known.__getitem__, found)))
         return [[self.chunks[chunk] for chunk in own] for own in cut]
 
+    def _foresee(self, texts: list[list[Chunk]]) -> None:
+        """Encode at once the windows that most joins of some texts look at first."""
+        if len(self.windows) > WINDOWS_KEPT:
+            self.windows = {}
+        windows = set()
+        for chunks in texts:
+            for left, right in pairwise(chunks):
+                # the word before the last is as it is, if it is not in a join itself
+                if left.open_right and right.open_left and len(left.words) > 2:
+                    windows.add(b" ".join([left.words[-2], left.words[-1] + right.words[0], *right.words[1:2]]))
+        new = [window for window in windows if window not in self.windows]
+        self.windows.update(zip(new, self._packed(new), strict=True))
+
     def _encode_window(self, window: bytes) -> bytes:
         ids = self.windows.get(window)
         if ids is None:
@@ -233,15 +254,19 @@ class Coder:
         for text in [*texts, None]:
             data = text.encode("utf-8") if text else b""
             if block and (size + len(data) > BLOCK_BYTES or len(found) + len(block) == len(texts)):
-                found += map(self._joined, self._chunks(block))
+                chunks = self._chunks(block)
+                self._foresee(chunks)
+                found += map(self._joined, chunks)
                 block, size = [], 0
             block.append(data)
             size += len(data)
         return found
 
     def decode(self, ids: bytes) -> str:
-        return self.tokenizer.decode(
-            np.frombuffer(ids, "<u4").tolist(), skip_special_tokens=False)
+        numbers = np.frombuffer(ids, "<u4").tolist()
+        if self.tokens:
+            return " ".join(map(self.tokens.__getitem__, numbers))
+        return self.tokenizer.decode(numbers, skip_special_tokens=False)
 
 
 _coders: dict[str, Coder] = {}

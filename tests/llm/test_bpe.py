@@ -107,6 +107,27 @@ def test_words_that_hashes_confuse(tokenizer):
             assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_windows_are_encoded_together(monkeypatch, tokenizer):
+    """A block of text costs few calls of the tokenizer, however many joins it has."""
+    monkeypatch.setattr(bpe, "CHUNK", 64)
+    rng = random.Random(5)
+    text = " ".join(f"word{rng.randrange(10**6)}, it's" for _ in range(3000))
+    coder = bpe.Coder(open(PATH, encoding="utf-8").read())
+    calls = []
+    packed = coder._packed
+    monkeypatch.setattr(coder, "_packed", lambda texts: calls.append(len(texts)) or packed(texts))
+    got = coder.encode([text])[0]
+    assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert coder.repaired > 100 and len(calls) < coder.repaired / 3
+
+
+def test_decodes_as_the_library(tokenizer):
+    coder = bpe.Coder(open(PATH, encoding="utf-8").read())
+    ids = np.random.default_rng(1).permutation(tokenizer.get_vocab_size()).astype("<u4")
+    for some in (ids, ids[:1], ids[:0]):
+        assert coder.decode(some.tobytes()) == tokenizer.decode(some.tolist(), skip_special_tokens=False)
+
+
 def test_very_long_text(tokenizer):
     rng = random.Random(2)
     texts = [" ".join(f"Word{rng.randrange(10**6)}," for _ in range(100_000)), "x9" * 200_000]
