@@ -1,9 +1,11 @@
 import time
+from datetime import datetime
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from gleanstream.streaming.recaptures import drop_recaptures_in_stream
+from gleanstream.streaming.recaptures import EarliestCapture, drop_recaptures_in_stream
 
 SCHEMA = "Job string, Company string, Created string"
 BATCHES = [
@@ -50,3 +52,84 @@ def test_a_listing_is_published_once_over_batches_and_restarts(spark, tmp_path,
 def test_state_is_forgotten(spark, tmp_path, stores):
     row = ("a", "x", "2024-01-05 00:00:00")
     assert run(spark, tmp_path, [[row], [("b", "x", row[2])], [row]], remember=1, pause=2).count(row) == 2
+
+
+class Handle:
+    """A state store of one key that notes the messages it gets."""
+
+    def __init__(self):
+        self.messages, self.value = [], None
+
+    def getValueState(self, name, schema):
+        return self
+
+    def exists(self):
+        self.messages.append("exists")
+        return self.value is not None
+
+    def get(self):
+        self.messages.append("get")
+        return self.value
+
+    def update(self, value):
+        self.messages.append("update")
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def registerTimer(self, at):
+        self.messages.append("timer")
+        self.timer = at
+
+
+class At:
+    def __init__(self, ms):
+        self.ms = ms
+
+    getCurrentProcessingTimeInMs = getExpiryTimeInMs = lambda self: self.ms
+
+
+def test_a_known_listing_costs_one_message():
+    handle, processor = Handle(), EarliestCapture(["text"], 5000)
+    processor.init(handle)
+
+    def batch(number, ms):
+        del handle.messages[:]
+        now = Row(text="a", _number=number, _seen=datetime.fromtimestamp(ms / 1000))
+        return [row.text for row in processor.handleInputRows(("k",), iter([now]), At(ms))], handle.messages
+
+    assert batch(20240105, 1000) == (["a"], ["get", "update", "timer"])
+    assert batch(20240106, 5999) == ([], ["get"])
+    assert batch(20240104, 5999) == ([], ["get", "update"])
+    assert handle.value == (20240104, 5999)
+    assert batch(20240107, 11_000) == ([], ["get", "update"])
+    assert handle.value == (20240104, 11_000)
+    # never forgotten before 5000 s without a sighting, one that was not written included
+    batch(20240107, 15_999)
+    list(processor.handleExpiredTimer(("k",), At(0), At(5_011_000)))
+    assert handle.value and handle.timer == 5_016_000 > 15_999 + 5_000_000
+    list(processor.handleExpiredTimer(("k",), At(0), At(handle.timer)))
+    assert handle.value is None
+
+
+def test_columns_of_other_types_and_nulls_go_through(spark, tmp_path, stores):
+    schema = "n int, Job string, at timestamp, Created string, tags array<string>"
+    rows = [(1, "a", datetime(2024, 1, 5, 1, 2, 3, 4), "2024-01-05 00:00:00", ["x", None]),
+            (None, None, None, "2024-01-05 00:00:00", None), (None, "", None, "2024-01-05 00:00:00", [])]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/in")
+    drop_recaptures_in_stream(spark.readStream.schema(schema).parquet(f"{tmp_path}/in")).writeStream.format(
+        "parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(
+        availableNow=True).start().awaitTermination()
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert out.columns == ["n", "Job", "at", "Created", "tags"]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(rows, key=str)
+
+
+def test_columns_without_any_text(spark, tmp_path, stores):
+    spark.createDataFrame([(1, "2024-01-05 00:00:00"), (1, "2024-01-04 00:00:00")], "n int, Created string").write.parquet(
+        f"{tmp_path}/in")
+    stream = spark.readStream.schema("n int, Created string").parquet(f"{tmp_path}/in")
+    drop_recaptures_in_stream(stream).writeStream.format("parquet").option("path", f"{tmp_path}/out").option(
+        "checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    assert [tuple(row) for row in spark.read.parquet(f"{tmp_path}/out").collect()] == [(1, "2024-01-04 00:00:00")]
