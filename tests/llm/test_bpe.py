@@ -155,3 +155,25 @@ def test_empty_and_other_columns(spark):
     docs = spark.createDataFrame([(None, "a b", 3), (None, "a b", 3)], docs.schema)
     rows = bpe.encoded(docs, PATH).collect()
     assert [(row["row"]["n_tokens"], row["n_tokens"]) for row in rows] == [(3, 2), (3, 2)]
+
+
+def test_new_words_are_encoded_together(monkeypatch, tokenizer):
+    """Words that are met for the first time cost one call for a block, and are cut where each ends."""
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdeéßx'-<|>/w7.,") for _ in range(rng.randrange(1, 9))) for _ in range(4000)]
+    text = " ".join([*words, "<|endoftext|>", "a<|endoftext|>b", "</w>", "a</w>", "é\u0301", "É", "İ", "\u212b"])
+    coder = bpe.Coder(open(PATH, encoding="utf-8").read())
+    alone = []
+    packed = coder._packed
+    monkeypatch.setattr(coder, "_packed", lambda texts: alone.extend(texts) or packed(texts))
+    assert np.frombuffer(coder.encode([text])[0], "<u4").tolist() == tokenizer.encode(
+        text, add_special_tokens=False).ids
+    assert len(alone) < 100
+
+
+def test_bytes_that_do_not_fit_are_encoded_one_by_one(monkeypatch, tokenizer):
+    coder = bpe.Coder(open(PATH, encoding="utf-8").read())
+    coder.sizes = coder.sizes + 1  # as if tokens stood for other bytes
+    text = "some words, and é more of them"
+    assert np.frombuffer(coder.encode([text])[0], "<u4").tolist() == tokenizer.encode(
+        text, add_special_tokens=False).ids
