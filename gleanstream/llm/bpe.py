@@ -44,8 +44,10 @@ from gleanstream.llm import tables, words
 ROLL, CHUNK = 24, 512
 #: Bytes of text that are cut and encoded at once.
 BLOCK_BYTES = 1 << 19
-#: Entries that a worker keeps: chunks, windows, and words of each of two generations; about 110 MB.
-CHUNKS_KEPT, WINDOWS_KEPT, WORDS_KEPT = 5_000, 20_000, 250_000
+#: Words or windows that are encoded as one text at most.
+PIECE = 2_000
+#: Entries that a worker keeps: chunks, windows, and words of each of two generations.
+CHUNKS_KEPT, WINDOWS_KEPT, WORDS_KEPT = 5_000, 20_000, 100_000
 
 
 #: Where the tokenizer always splits, and bytes that continue a letter.
@@ -137,6 +139,9 @@ class Coder:
         that tokens stand for; a text for each would have much more to it. Where the bytes don't fit,
         each is encoded on its own.
         """
+        if len(texts) > PIECE:
+            return list(chain.from_iterable(
+                self._together(texts[start:start + PIECE]) for start in range(0, len(texts), PIECE)))
         plain = list(filter(_STEADY, texts)) if self.sizes is not None else []
         if len(plain) < 2:
             return self._packed(texts)
@@ -305,6 +310,7 @@ def _coder(config: str) -> Coder:
     if key not in _coders:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         _coders[key] = Coder(config)
+        tables.give_back()  # half of what reading the vocabulary took
     return _coders[key]
 
 

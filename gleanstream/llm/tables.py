@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -26,6 +28,7 @@ BLOCK_BITS = 32768
 #: Bits of a filter at most, 128 MiB. Beyond 2**26 rows it takes more and more other rows for
 #: members, which costs their shuffle but changes no result.
 FILTER_BITS = 2**30
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
 
 
 def prepare(spark: SparkSession) -> None:
@@ -46,11 +49,23 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return to the system what Arrow and, where it is glibc, the C library hold for later use.
+
+    An executor's workers live as long as it does, so what one stage took stays taken in all later ones.
+    """
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 400) -> Iterator[pa.RecordBatch]:
     """Batches in small parts, so that a worker holds few decoded texts at a time."""
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+        del batch
+        give_back()
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -88,7 +103,7 @@ def with_result(rows: DataFrame, function: Callable[..., pa.Array], result: str,
             parts = [function(*part) for part in parts_by_bytes(columns)]
             yield pa.concat_arrays(parts) if parts else pa.array([], to_arrow_type(schema))
             del columns, parts
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     return computed_once(rows, made(F.lit(0), *inputs), schema.names)
 

@@ -177,3 +177,22 @@ def test_bytes_that_do_not_fit_are_encoded_one_by_one(monkeypatch, tokenizer):
     text = "some words, and é more of them"
     assert np.frombuffer(coder.encode([text])[0], "<u4").tolist() == tokenizer.encode(
         text, add_special_tokens=False).ids
+
+
+def test_little_is_encoded_at_once_and_kept(tokenizer):
+    """Workers live on in later stages, so neither texts for the library nor what is kept may be large."""
+    class Watched:
+        longest = 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.longest = max(self.longest, *(text.count(" ") for text in texts))
+            return tokenizer.encode_batch_fast(texts, **options)
+
+    coder = bpe.Coder(open(PATH, encoding="utf-8").read())
+    coder.tokenizer = watched = Watched()
+    for start in range(0, 400_000, 40_000):
+        text = " ".join(f"w{number}" for number in range(start, start + 40_000))
+        got = coder.encode([text])[0]
+    assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert 0 < watched.longest <= 4 * bpe.PIECE <= 8000
+    assert len(coder.words) + len(coder.older) <= 320_000
